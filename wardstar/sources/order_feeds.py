@@ -140,8 +140,9 @@ def _conditions(table) -> DataFrame:
                  else l_partkey % 200 end as code""",
         )
         .selectExpr(
-            """cast(case when (l_orderkey + l_linenumber) % 2003 = 1 then o_custkey + 1
-                 else o_custkey end as string) as PATIENT""",
+            """case when (l_orderkey + l_linenumber) % 2003 = 1 then cast(o_custkey + 1 as string)
+                 when (l_orderkey + l_linenumber) % 2017 = 5 then concat('missing-', o_custkey)
+                 else cast(o_custkey as string) end as PATIENT""",
             "cast(l_orderkey as string) as ENCOUNTER",
             "cast(onset as string) as START",
             """case when l_returnflag = 'N' then null
