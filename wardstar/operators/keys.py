@@ -1,4 +1,4 @@
-"""Key checks: repeated grains, missing rows, missing parents.
+"""Key checks: repeated grains, missing rows, references without a parent.
 
 Keys are counted or made distinct before they are shuffled wherever the answer
 allows it, so a key holding a large share of the rows travels as one row per
@@ -8,9 +8,18 @@ join carries repeats, which adaptive execution splits when it is skewed.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardstar.functions.scalars import count_where
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
 
 def repeated_keys(rows: DataFrame, *keys: str, count_as: str = "rows_in_group") -> DataFrame:
     """Key combinations on more than one row, nulls forming a group."""
@@ -35,13 +44,80 @@ def grain_difference(staged: DataFrame, fact: DataFrame, *keys: str) -> DataFram
     )
 
 
-def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Non-null child keys no parent has, with the child rows behind each."""
-    used = (
-        child.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("key"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+def count_references(
+    scans: Sequence[tuple[DataFrame, Mapping[str, tuple[str, str]]]],
+    parents: Mapping[str, tuple[DataFrame, str]],
+) -> DataFrame:
+    """Rows that set each reference, and rows of those that no parent resolves.
+
+    ``scans`` pairs a frame with its references, name to (column, parent);
+    ``parents`` maps a parent to (frame, key column). Result: reference, n_set,
+    n_unresolved; every reference has a row.
+
+    References and parent keys meet in one grouping by key, without a join:
+    each frame is scanned once, and rows of the same key are added up before
+    the shuffle, so neither a popular parent nor a repeated key weighs on one
+    task.
+    """
+    number = {parent: i for i, parent in enumerate(parents)}
+    slots: dict[str, list[str]] = {parent: [] for parent in parents}
+    tagged = []
+    for rows, references in scans:
+        uses = []
+        for name, (column, parent) in references.items():
+            uses.append(_use(number[parent], len(slots[parent]), column))
+            slots[parent].append(name)
+        tagged.append(rows.select(F.inline(F.array(*uses))))
+    for parent, (rows, key) in parents.items():
+        tagged.append(rows.select(F.inline(F.array(_use(number[parent], -1, key)))))
+
+    width = max(len(names) for names in slots.values())
+    per_key = (
+        union_all(tagged)
+        .where(F.col("key").isNotNull())
+        .groupBy("parent", "key")
+        .agg(
+            F.max(F.col("slot") < 0).alias("found"),
+            *[count_where(F.col("slot") == i).alias(f"n{i}") for i in range(width)],
+        )
     )
-    known = parent.select(F.col(parent_key).alias("key"))
-    return used.join(known, "key", "left_anti")
+    sums = []
+    for i in range(width):
+        lost = F.when(~F.col("found"), F.col(f"n{i}"))
+        sums += [F.sum(f"n{i}").alias(f"set{i}"), F.sum(lost).alias(f"lost{i}")]
+    names = F.array(
+        *[
+            F.array(*[F.lit(n) for n in slots[p] + [None] * (width - len(slots[p]))])
+            for p in parents
+        ]
+    )
+    by_slot = F.inline(
+        F.array(
+            *[
+                F.struct(
+                    names[F.col("parent")][i].alias("reference"),
+                    F.col(f"set{i}").alias("n_set"),
+                    F.coalesce(f"lost{i}", F.lit(0)).alias("n_unresolved"),
+                )
+                for i in range(width)
+            ]
+        )
+    )
+    counted = per_key.groupBy("parent").agg(*sums).select(by_slot)
+    every = scans[0][0].sparkSession.createDataFrame(
+        [(n, 0, 0) for names in slots.values() for n in names],
+        "reference string, n_set long, n_unresolved long",
+    )
+    return (
+        every.unionByName(counted.where(F.col("reference").isNotNull()))
+        .groupBy("reference")
+        .agg(F.sum("n_set").alias("n_set"), F.sum("n_unresolved").alias("n_unresolved"))
+    )
+
 
+def _use(parent: int, slot: int, column: str):
+    return F.struct(
+        F.lit(parent).alias("parent"),
+        F.lit(slot).alias("slot"),
+        F.col(column).cast("string").alias("key"),
+    )

@@ -59,6 +59,7 @@ def attained_age(patients: DataFrame, seen: DataFrame) -> DataFrame:
     """Patients with the greatest age any published date reveals.
 
     A patient without a date counts as alive until the last date of the data.
+    ``seen`` is read twice, so pass it as a written table.
     """
     data_end = seen.agg(F.max("last_published_date")).scalar()
     until = F.coalesce(F.col("last_published_date"), data_end)

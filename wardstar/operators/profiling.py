@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardstar.functions.scalars import count_where
+from wardstar.operators.keys import count_references
 
 NULL_LABEL = "(null)"
 
@@ -35,60 +36,8 @@ def reference_profile(
     references: Mapping[str, tuple[str, str]],
     parents: Mapping[str, tuple[DataFrame, str]],
 ) -> DataFrame:
-    """Rows that set each reference and rows of those that do not resolve.
-
-    ``references`` maps a figure name to (column, parent name), ``parents`` a
-    parent name to (frame, key column). All references share one scan of the
-    feed and one shuffle of its counted keys. Columns: reference, n_set,
-    n_unresolved, in the order given.
-    """
-    used = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("reference"),
-                F.lit(parent).alias("parent"),
-                F.col(column).alias("key"),
-            )
-            for i, (column, parent) in enumerate(references.values())
-        ]
-    )
-    counted = (
-        rows.select(F.inline(used))
-        .where(F.col("key").isNotNull())
-        .groupBy("parent", "key")
-        .agg(
-            *[count_where(F.col("reference") == i).alias(f"n{i}") for i in range(len(references))]
-        )
-    )
-    known = None
-    for name in dict.fromkeys(parent for _, parent in references.values()):
-        frame, key = parents[name]
-        part = frame.select(F.lit(name).alias("parent"), F.col(key).alias("key"))
-        known = part if known is None else known.unionByName(part)
-    known = known.where(F.col("key").isNotNull()).distinct().withColumn("found", F.lit(True))
-    resolved = counted.join(known, ["parent", "key"], "left")
-
-    totals = []
-    for i in range(len(references)):
-        totals += [
-            _sum0(F.col(f"n{i}")).alias(f"set{i}"),
-            _sum0(F.when(F.col("found").isNull(), F.col(f"n{i}"))).alias(f"lost{i}"),
-        ]
-    one_row = resolved.agg(*totals)
-    return one_row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("reference"),
-                        F.col(f"set{i}").alias("n_set"),
-                        F.col(f"lost{i}").alias("n_unresolved"),
-                    )
-                    for i, name in enumerate(references)
-                ]
-            )
-        )
-    )
+    """References of one feed: reference, n_set, n_unresolved."""
+    return count_references([(rows, references)], parents)
 
 
 def children_per_parent(

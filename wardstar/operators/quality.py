@@ -1,106 +1,113 @@
 """Generic rules (not null, unique, relationships, accepted values) and severity.
 
-Each function returns one row per rule with the number of failures. All
-row-local conditions of a table are counted in one pass over it.
+A set of rules of one kind is answered together: every table contributes only
+its failures, already reduced per task, and one grouping adds them up per rule.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.functions.scalars import count_where
-from wardstar.operators.keys import orphan_keys, repeated_keys
+from wardstar.operators.keys import count_references, union_all
 
 
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def failures(rows: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+    """One row (name, n) per condition a row meets.
 
+    Rows meeting none are filtered out first. Where all conditions are null
+    checks the filter reaches the Parquet scan, which then skips every row
+    group whose statistics show no nulls.
+    """
+    met = [F.when(c, F.lit(name)) for name, c in conditions.items()]
+    return (
+        rows.where(reduce(or_, conditions.values()))
+        .select(F.explode(F.array_compact(F.array(*met))).alias("name"))
+        .select("name", F.lit(1).cast("bigint").alias("n"))
+    )
 
-def to_long(one_row: DataFrame, labels: Sequence[str], *, key_as: str, value_as: str) -> DataFrame:
-    """A one-row frame turned into one row per column, in column order."""
-    pairs = [
-        F.struct(F.lit(label).alias(key_as), F.col(f"`{column}`").alias(value_as))
-        for label, column in zip(labels, one_row.columns, strict=True)
-    ]
-    return one_row.select(F.inline(F.array(*pairs)))
 
+def nulls(rows: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """(name, n) for every null; ``names`` maps a rule name to its column."""
+    return failures(rows, {name: F.col(c).isNull() for name, c in names.items()})
 
-def failures_in_one_pass(rows: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
-    """Rows failing each named condition: (name, violations), one scan."""
-    counts = [count_where(c).alias(f"c{i}") for i, c in enumerate(conditions.values())]
-    return to_long(rows.agg(*counts), list(conditions), key_as="name", value_as="violations")
 
+def repeats(scans: Sequence[tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
+    """(name, n) for every value on more than one row; nulls are ignored.
 
-def _rule_rows(frame: DataFrame, table: str, rule: str) -> DataFrame:
-    return frame.select(
-        F.lit(table).alias("table_name"),
-        F.col("name").alias("column_name"),
-        F.lit(rule).alias("rule"),
-        "violations",
+    All columns of all tables share one grouping by rule and value.
+    """
+    names = [name for _, columns in scans for name in columns]
+    parts = []
+    for rows, columns in scans:
+        values = [
+            F.struct(
+                F.lit(names.index(name)).alias("rule"), F.col(c).cast("string").alias("value")
+            )
+            for name, c in columns.items()
+        ]
+        parts.append(rows.select(F.inline(F.array(*values))))
+    return (
+        union_all(parts)
+        .where(F.col("value").isNotNull())
+        .groupBy("rule", "value")
+        .agg(F.count(F.lit(1)).alias("uses"))
+        .where(F.col("uses") > 1)
+        .select(_name_of("rule", names).alias("name"), F.lit(1).cast("bigint").alias("n"))
     )
 
 
-def not_null(table: str, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows with a null, per column."""
-    conditions = {c: F.col(c).isNull() for c in columns}
-    return _rule_rows(failures_in_one_pass(rows, conditions), table, "not_null")
-
-
-def unique(table: str, rows: DataFrame, column: str) -> DataFrame:
-    """Values on more than one row; nulls are ignored."""
-    repeated = repeated_keys(rows.where(F.col(column).isNotNull()), column)
-    counted = repeated.agg(F.count(F.lit(1)).alias("violations"))
-    return _rule_rows(counted.withColumn("name", F.lit(column)), table, "unique")
+def _name_of(index: str, names: Sequence[str]) -> Column:
+    return F.array(*[F.lit(n) for n in names])[F.col(index)]
 
 
-def relationships(
-    table: str, child: DataFrame, column: str, parent: DataFrame, parent_column: str
+def orphans(
+    scans: Sequence[tuple[DataFrame, Mapping[str, tuple[str, str]]]],
+    parents: Mapping[str, tuple[DataFrame, str]],
 ) -> DataFrame:
-    """Child rows whose non-null key no parent has."""
-    counted = orphan_keys(child, column, parent, parent_column).agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("violations")
+    """(name, n) with the child rows no parent resolves."""
+    return count_references(scans, parents).select(
+        F.col("reference").alias("name"), F.col("n_unresolved").alias("n")
     )
-    return _rule_rows(counted.withColumn("name", F.lit(column)), table, "relationships")
 
 
-def unaccepted_values(
-    rows: DataFrame, accepted: Mapping[str, Sequence[str]]
-) -> DataFrame:
-    """Non-null values outside each column's list: (name, value, n_records).
+def outsiders(rows: DataFrame, accepted: Mapping[str, tuple[str, Sequence]]) -> DataFrame:
+    """(name, value) for every non-null value outside the list of its rule.
 
-    One scan for all columns; only offending values leave it, already counted
-    per task.
+    ``accepted`` maps a rule name to (column, values).
     """
-    offending = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(c).isNotNull() & ~F.col(c).isin(*values),
-                    F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")),
-                )
-                for c, values in accepted.items()
-            ]
+
+    def outside(column: str, values: Sequence) -> Column:
+        return F.col(column).isNotNull() & ~F.col(column).isin(*values)
+
+    found = [
+        F.when(
+            outside(column, values),
+            F.struct(F.lit(name).alias("name"), F.col(column).cast("string").alias("value")),
         )
-    )
-    return (
-        rows.select(F.inline(offending))
-        .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("n_records"))
-    )
+        for name, (column, values) in accepted.items()
+    ]
+    any_outside = reduce(or_, [outside(c, values) for c, values in accepted.values()])
+    return rows.where(any_outside).select(F.inline(F.array_compact(F.array(*found))))
 
 
-def accepted_values(
-    table: str, rows: DataFrame, accepted: Mapping[str, Sequence[str]]
-) -> DataFrame:
-    """Distinct values outside the list, per column."""
-    found = unaccepted_values(rows, accepted)
-    one_row = found.agg(*[count_where(F.col("name") == c).alias(c) for c in accepted])
-    long = to_long(one_row, list(accepted), key_as="name", value_as="violations")
-    return _rule_rows(long, table, "accepted_values")
+def distinct_outsiders(found: DataFrame) -> DataFrame:
+    """(name, n) once per distinct value."""
+    return found.distinct().select("name", F.lit(1).cast("bigint").alias("n"))
+
+
+def tally(spark: SparkSession, names: Sequence[str], parts: Sequence[DataFrame]) -> DataFrame:
+    """(name, violations) of every rule, zero included, from (name, n) rows."""
+    zeros = spark.createDataFrame([(n, 0) for n in names], "name string, n long")
+    return (
+        union_all([zeros, *parts])
+        .groupBy("name")
+        .agg(F.sum("n").cast("bigint").alias("violations"))
+    )
 
 
 def status(violations: Column, warn_if: Column, error_if: Column) -> Column:
@@ -110,3 +117,12 @@ def status(violations: Column, warn_if: Column, error_if: Column) -> Column:
         .when(violations > warn_if, "warn")
         .otherwise("pass")
     )
+
+
+def to_long(one_row: DataFrame, labels: Sequence[str], *, key_as: str, value_as: str) -> DataFrame:
+    """A one-row frame turned into one row per column, in column order."""
+    pairs = [
+        F.struct(F.lit(label).alias(key_as), F.col(f"`{column}`").alias(value_as))
+        for label, column in zip(labels, one_row.columns, strict=True)
+    ]
+    return one_row.select(F.inline(F.array(*pairs)))

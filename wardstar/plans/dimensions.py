@@ -114,25 +114,29 @@ def dim_payer(stg_payers: DataFrame) -> DataFrame:
     )
 
 
-def dim_patient(
+def patient_last_seen(
     stg_patients: DataFrame, stg_encounters: DataFrame, stg_conditions: DataFrame
 ) -> DataFrame:
-    """Patients without names, full dates or fine geography.
-
-    A patient any published date puts over 89 loses both years and joins one
-    category; the age at death is capped at that category.
-    """
-    seen = last_seen(
+    """Latest date the star publishes about each patient."""
+    return last_seen(
         {
             "stg_patients": stg_patients,
             "stg_encounters": stg_encounters,
             "stg_conditions": stg_conditions,
         }
     )
+
+
+def dim_patient(stg_patients: DataFrame, patient_last_seen: DataFrame) -> DataFrame:
+    """Patients without names, full dates or fine geography.
+
+    A patient any published date puts over 89 loses both years and joins one
+    category; the age at death is capped at that category.
+    """
     age = F.col("max_attained_age")
     birth, death = F.col("birth_date"), F.col("death_date")
     age_at_death = completed_years(birth, death)
-    return attained_age(stg_patients, seen).select(
+    return attained_age(stg_patients, patient_last_seen).select(
         "patient_id",
         unless_protected(age, F.year(birth)).cast("bigint").alias("birth_year"),
         unless_protected(age, F.year(death)).cast("bigint").alias("death_year"),

@@ -12,14 +12,10 @@ from wardstar.functions.scalars import (
     days_between,
     whole_minutes,
 )
-from wardstar.operators.privacy import age_guard
 
 
 def fct_encounter(
-    stg_encounters: DataFrame,
-    stg_patients: DataFrame,
-    stg_conditions: DataFrame,
-    dim_patient: DataFrame,
+    stg_encounters: DataFrame, stg_conditions: DataFrame, age_guard: DataFrame
 ) -> DataFrame:
     """One row per encounter.
 
@@ -32,7 +28,7 @@ def fct_encounter(
         F.count(F.lit(1)).alias("condition_count")
     )
     joined = stg_encounters.join(per_encounter, "encounter_id", "left").join(
-        age_guard(stg_patients, dim_patient), "patient_id"
+        age_guard, "patient_id"
     )
     stay = days_between(day(started), day(stopped))
     return joined.select(
@@ -60,10 +56,7 @@ def fct_encounter(
 
 
 def fct_condition(
-    stg_conditions: DataFrame,
-    stg_patients: DataFrame,
-    stg_encounters: DataFrame,
-    dim_patient: DataFrame,
+    stg_conditions: DataFrame, stg_encounters: DataFrame, age_guard: DataFrame
 ) -> DataFrame:
     """One row per condition recorded for a patient at an encounter."""
     started, stopped = F.col("started_date"), F.col("stopped_date")
@@ -71,7 +64,7 @@ def fct_condition(
         "encounter_id", day(F.col("started_at")).alias("encounter_day")
     )
     joined = stg_conditions.join(encounter_days, "encounter_id").join(
-        age_guard(stg_patients, dim_patient), "patient_id"
+        age_guard, "patient_id"
     )
     return joined.select(
         "patient_id",

@@ -6,73 +6,100 @@ of_n the rows it is a count of, amount a sum of money.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardstar.functions.scalars import count_where
 from wardstar.operators import profiling as pro
-from wardstar.operators.quality import union_all
+from wardstar.operators.keys import count_references, union_all
 
 ENCOUNTER = "APPOINTMENTID"
 TYPE_COLUMNS = ("HEALTHCARECLAIMTYPEID1", "HEALTHCARECLAIMTYPEID2")
 
-Figure = tuple[int, str | Column, Column | None, Column | None, Column | None]
 
+class Figure(NamedTuple):
+    """One line of a profile; with ``when``, only for rows that meet it."""
 
-def _figures(rows: DataFrame, figures: Sequence[Figure]) -> DataFrame:
-    """Figures (sort, text, n, of_n, amount) of every input row, in long form."""
+    sort: int
+    text: str | Column
+    n: Column
+    of_n: Column | None = None
+    amount: Column | None = None
+    when: Column | None = None
+
+
+def _figures(rows: DataFrame, *figures: Figure) -> DataFrame:
+    """Figures (sort, figure, n, of_n, amount) of every row, in long form."""
 
     def typed(value: Column | None, kind: str) -> Column:
         return (F.lit(None) if value is None else value).cast(kind)
 
-    structs = [
-        F.struct(
-            F.lit(sort).alias("sort"),
-            (F.lit(text) if isinstance(text, str) else text).alias("figure"),
-            typed(n, "bigint").alias("n"),
-            typed(of_n, "bigint").alias("of_n"),
-            typed(amount, "decimal(38,2)").alias("amount"),
+    def line(f: Figure) -> Column:
+        row = F.struct(
+            F.lit(f.sort).alias("sort"),
+            (F.lit(f.text) if isinstance(f.text, str) else f.text).alias("figure"),
+            typed(f.n, "bigint").alias("n"),
+            typed(f.of_n, "bigint").alias("of_n"),
+            typed(f.amount, "decimal(38,2)").alias("amount"),
         )
-        for sort, text, n, of_n, amount in figures
-    ]
-    return rows.select(F.inline(F.array(*structs)))
+        return row if f.when is None else F.when(f.when, row)
+
+    return rows.select(F.inline(F.array_compact(F.array(*[line(f) for f in figures]))))
 
 
 def _key_figures(feed: DataFrame, key: str, first: int, plural: str) -> DataFrame:
-    c = F.col
+    n_rows = F.col("n_rows")
     return _figures(
         pro.key_profile(feed, key),
-        [
-            (first, plural, c("n_rows"), None, None),
-            (first + 1, f"{plural} with a distinct {key}", c("n_distinct"), c("n_rows"), None),
-            (first + 2, f"{plural} with a null {key}", c("n_null"), c("n_rows"), None),
-        ],
+        Figure(first, plural, n_rows),
+        Figure(first + 1, f"{plural} with a distinct {key}", F.col("n_distinct"), n_rows),
+        Figure(first + 2, f"{plural} with a null {key}", F.col("n_null"), n_rows),
     )
 
 
-def _reference_figures(
-    feed: DataFrame,
-    plural: str,
-    references: Sequence[tuple[int, str, str]],
-    parents: dict[str, tuple[DataFrame, str]],
-) -> DataFrame:
-    """One figure per (sort, column, parent); keys of events say so."""
-    numbered = {str(sort): (column, parent) for sort, column, parent in references}
-    found = pro.reference_profile(feed, numbered, parents)
-    text = F.lit(None).cast("string")
-    for sort, column, _ in references:
-        suffix = " to an encounter" if column == ENCOUNTER else ""
-        label = f"{plural} whose {column} does not resolve{suffix}"
-        text = F.when(F.col("reference") == str(sort), F.lit(label)).otherwise(text)
-    return found.select(
-        F.col("reference").cast("int").alias("sort"),
-        text.alias("figure"),
-        F.col("n_unresolved").alias("n"),
-        F.col("n_set").alias("of_n"),
-        F.lit(None).cast("decimal(38,2)").alias("amount"),
+# Figure, column and parent of each reference profiled.
+CLAIM_REFERENCES = {
+    7: ("PATIENTID", "patients"),
+    8: ("PROVIDERID", "providers"),
+    9: ("REFERRINGPROVIDERID", "providers"),
+    10: ("SUPERVISINGPROVIDERID", "providers"),
+    11: (ENCOUNTER, "encounters"),
+}
+TRANSACTION_REFERENCES = {
+    12: ("PATIENTID", "patients"),
+    13: ("PROVIDERID", "providers"),
+    14: ("SUPERVISINGPROVIDERID", "providers"),
+    15: (ENCOUNTER, "encounters"),
+    16: ("CLAIMID", "claims"),
+}
+PAYER_FIGURE = 28
+
+
+def _reference_figures(found: DataFrame, n_encounters: Column) -> DataFrame:
+    """One figure per reference; a missing payer counts as one that is lost."""
+    lost, used = F.col("n_unresolved"), F.col("n_set")
+    figures = []
+    for plural, references in (
+        ("claims", CLAIM_REFERENCES),
+        ("claim transactions", TRANSACTION_REFERENCES),
+    ):
+        for sort, (column, parent) in references.items():
+            suffix = " to an encounter" if parent == "encounters" else ""
+            text = f"{plural} whose {column} does not resolve{suffix}"
+            mine = F.col("reference") == str(sort)
+            figures.append(Figure(sort, text, lost, used, when=mine))
+    figures.append(
+        Figure(
+            PAYER_FIGURE,
+            "encounters whose PAYER is missing or does not resolve",
+            n_encounters - (used - lost),
+            n_encounters,
+            when=F.col("reference") == str(PAYER_FIGURE),
+        )
     )
+    return _figures(found, *figures)
 
 
 def profile_claims(
@@ -83,105 +110,101 @@ def profile_claims(
     providers: DataFrame,
     payers: DataFrame,
 ) -> DataFrame:
-    """Thirty figures about claims and their transactions, from the raw feeds."""
+    """Thirty figures about claims and their transactions, from the raw feeds.
+
+    All references of the three feeds are resolved in one grouping by key, and
+    each further subject takes one grouping of its feed.
+    """
     c = F.col
-    parents = {
-        "patients": (patients, "Id"),
-        "providers": (providers, "Id"),
-        "encounters": (encounters, "Id"),
-        "claims": (claims, "Id"),
-    }
-    parts = [
-        _key_figures(claims, "Id", 1, "claims"),
-        _key_figures(transactions, "ID", 4, "claim transactions"),
-        _reference_figures(
-            claims,
-            "claims",
-            [
-                (7, "PATIENTID", "patients"),
-                (8, "PROVIDERID", "providers"),
-                (9, "REFERRINGPROVIDERID", "providers"),
-                (10, "SUPERVISINGPROVIDERID", "providers"),
-                (11, ENCOUNTER, "encounters"),
-            ],
-            parents,
-        ),
-        _reference_figures(
-            transactions,
-            "claim transactions",
-            [
-                (12, "PATIENTID", "patients"),
-                (13, "PROVIDERID", "providers"),
-                (14, "SUPERVISINGPROVIDERID", "providers"),
-                (15, ENCOUNTER, "encounters"),
-                (16, "CLAIMID", "claims"),
-            ],
-            parents,
-        ),
-    ]
 
-    per_encounter = pro.children_per_parent(encounters, "Id", claims, ENCOUNTER, TYPE_COLUMNS)
-    n_all = c("n_parents")
-    mixes = [
-        (20 + i, f"encounters whose claims carry more than one {t}", c(f"n_{t}_mixes"), n_all, None)
-        for i, t in enumerate(TYPE_COLUMNS)
-    ]
-    parts.append(
-        _figures(
-            pro.children_summary(per_encounter),
-            [
-                (17, "encounters with no claim", c("n_without"), n_all, None),
-                (18, "encounters with exactly one claim", c("n_with_one"), n_all, None),
-                (19, "most claims on one encounter", c("most_children"), None, None),
-                *mixes,
-            ],
-        )
+    def named(references: dict[int, tuple[str, str]]) -> dict[str, tuple[str, str]]:
+        return {str(sort): reference for sort, reference in references.items()}
+
+    references = count_references(
+        [
+            (claims, named(CLAIM_REFERENCES)),
+            (transactions, named(TRANSACTION_REFERENCES)),
+            (encounters, named({PAYER_FIGURE: ("PAYER", "payers")})),
+        ],
+        {
+            "patients": (patients, "Id"),
+            "providers": (providers, "Id"),
+            "encounters": (encounters, "Id"),
+            "claims": (claims, "Id"),
+            "payers": (payers, "Id"),
+        },
     )
+    n_encounters = encounters.agg(F.count(F.lit(1))).scalar()
+    n_transactions = transactions.agg(F.count(F.lit(1))).scalar()
 
-    by_type = pro.population_by_category(
-        transactions, "TYPE", ("AMOUNT", "PAYMENTS", "TRANSFERS"), "AMOUNT"
+    per_encounter = pro.children_per_parent(encounters, "Id", claims, ENCOUNTER, TYPE_COLUMNS)
+    n_parents = c("n_parents")
+    children = _figures(
+        pro.children_summary(per_encounter),
+        Figure(17, "encounters with no claim", c("n_without"), n_parents),
+        Figure(18, "encounters with exactly one claim", c("n_with_one"), n_parents),
+        Figure(19, "most claims on one encounter", c("most_children")),
+        *[
+            Figure(
+                20 + i,
+                f"encounters whose claims carry more than one {column}",
+                c(f"n_{column}_mixes"),
+                n_parents,
+            )
+            for i, column in enumerate(TYPE_COLUMNS)
+        ],
     )
-    n, all_rows = c("n_rows"), transactions.agg(F.count(F.lit(1))).scalar()
-    typed = F.concat(
-        F.lit("claim transactions typed "), F.coalesce("TYPE", F.lit(pro.NULL_LABEL))
+
+    n_rows, kind = c("n_rows"), c("TYPE")
+    payment, transfer = kind == "PAYMENT", kind == "TRANSFEROUT"
+    label = F.coalesce(kind, F.lit(pro.NULL_LABEL))
+    types = _figures(
+        pro.population_by_category(
+            transactions, "TYPE", ("AMOUNT", "PAYMENTS", "TRANSFERS"), "AMOUNT"
+        ),
+        Figure(22, F.concat(F.lit("claim transactions typed "), label), n_rows, n_transactions),
+        Figure(
+            23, "PAYMENT transactions with an AMOUNT", c("with_AMOUNT"), n_rows, when=payment
+        ),
+        Figure(
+            24, "PAYMENT transactions with PAYMENTS", c("with_PAYMENTS"), n_rows, when=payment
+        ),
+        Figure(
+            25, "TRANSFEROUT transactions with an AMOUNT", c("with_AMOUNT"), n_rows, when=transfer
+        ),
+        Figure(
+            26,
+            "TRANSFEROUT transactions with TRANSFERS",
+            c("with_TRANSFERS"),
+            n_rows,
+            when=transfer,
+        ),
+        Figure(
+            29,
+            "CHARGE transactions, AMOUNT summed",
+            n_rows,
+            amount=c("amount_total"),
+            when=kind == "CHARGE",
+        ),
     )
-    parts.append(_figures(by_type, [(22, typed, n, all_rows, None)]))
-    for kind, sort, columns in (
-        ("PAYMENT", 23, ("AMOUNT", "PAYMENTS")),
-        ("TRANSFEROUT", 25, ("AMOUNT", "TRANSFERS")),
-    ):
-        texts = [f"{kind} transactions with an AMOUNT", f"{kind} transactions with {columns[1]}"]
-        parts.append(
-            _figures(
-                by_type.where(c("TYPE") == kind),
-                [
-                    (sort + i, texts[i], c(f"with_{column}"), n, None)
-                    for i, column in enumerate(columns)
-                ],
-            )
-        )
-    charges = by_type.where(c("TYPE") == "CHARGE")
-    charged = (29, "CHARGE transactions, AMOUNT summed", n, None, c("amount_total"))
-    parts.append(_figures(charges, [charged]))
 
     sentinel = claims.agg(
         F.count(F.lit(1)).alias("n_rows"),
         count_where(c("PRIMARYPATIENTINSURANCEID") == "0").alias("n"),
     )
     text = "claims whose PRIMARYPATIENTINSURANCEID is the self-pay sentinel 0"
-    parts.append(_figures(sentinel, [(27, text, c("n"), c("n_rows"), None)]))
-
-    paid_by = pro.reference_profile(
-        encounters, {"payer": ("PAYER", "payers")}, {"payers": (payers, "Id")}
-    ).select((c("n_set") - c("n_unresolved")).alias("n_resolved"))
     billed = pro.totals(encounters, {"billed": c("TOTAL_CLAIM_COST")})
-    n_encounters = billed.select("n_rows").scalar()
-    text = "encounters whose PAYER is missing or does not resolve"
-    parts.append(
-        _figures(paid_by, [(28, text, n_encounters - c("n_resolved"), n_encounters, None)])
-    )
-    text = "encounters, TOTAL_CLAIM_COST summed"
-    parts.append(_figures(billed, [(30, text, c("n_rows"), None, c("amount"))]))
+    parts = [
+        _key_figures(claims, "Id", 1, "claims"),
+        _key_figures(transactions, "ID", 4, "claim transactions"),
+        _reference_figures(references, n_encounters),
+        children,
+        types,
+        _figures(sentinel, Figure(27, text, c("n"), n_rows)),
+        _figures(
+            billed, Figure(30, "encounters, TOTAL_CLAIM_COST summed", n_rows, amount=c("amount"))
+        ),
+    ]
     return union_all(parts).orderBy("sort", "figure").select("figure", "n", "of_n", "amount")
 
 
@@ -211,23 +234,15 @@ def profile_payer_transitions(transitions: DataFrame, dim_payer: DataFrame) -> D
         total(dual).alias("n_dual"),
         total(dual & has_second).alias("n_dual_second"),
     )
-    n_all = c("n_all")
+    n_all, n_dual = c("n_all"), c("n_dual")
     fixed = _figures(
         one_row,
-        [
-            (1, "coverage spans", n_all, None, None),
-            (2, "spans whose primary payer does not resolve", c("lost_primary"), n_all, None),
-            (3, "spans whose secondary payer does not resolve", c("lost_secondary"), n_all, None),
-            (4, "spans with a secondary payer", c("n_second"), n_all, None),
-            (6, "spans whose primary payer is dual eligible", c("n_dual"), n_all, None),
-            (
-                7,
-                "dual eligible spans with a secondary payer",
-                c("n_dual_second"),
-                c("n_dual"),
-                None,
-            ),
-        ],
+        Figure(1, "coverage spans", n_all),
+        Figure(2, "spans whose primary payer does not resolve", c("lost_primary"), n_all),
+        Figure(3, "spans whose secondary payer does not resolve", c("lost_secondary"), n_all),
+        Figure(4, "spans with a secondary payer", c("n_second"), n_all),
+        Figure(6, "spans whose primary payer is dual eligible", n_dual, n_all),
+        Figure(7, "dual eligible spans with a secondary payer", c("n_dual_second"), n_dual),
     )
     by_class = (
         spans.where(has_second)
@@ -242,7 +257,7 @@ def profile_payer_transitions(transitions: DataFrame, dim_payer: DataFrame) -> D
         F.lit(" secondary"),
     )
     with_second = one_row.select("n_second").scalar()
-    varying = _figures(by_class, [(5, text, c("uses"), with_second, None)])
+    varying = _figures(by_class, Figure(5, text, c("uses"), with_second))
     return (
         fixed.unionByName(varying)
         .orderBy("sort", F.asc_nulls_last("figure"))

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from wardstar.functions.scalars import completed_years, count_where
 from wardstar.operators import profiling as pro
+from wardstar.operators.keys import union_all
 from wardstar.operators.privacy import protected_cohort, published_periods
-from wardstar.operators.quality import to_long, union_all
+from wardstar.operators.quality import to_long
 
 MONEY = "decimal(38,2)"
 

@@ -1,8 +1,8 @@
 """The bespoke rules: each returns the rows that break it, none when it holds.
 
 Every rule takes a table lookup (name to DataFrame). ``ROW_RULES`` look at one
-row of one table, so a summary counts all of them in the same scan as the
-not-null rules of that table; ``SET_RULES`` compare rows or tables.
+row of one table, so a summary counts all of them in one scan of that table;
+``SET_RULES`` compare rows or tables.
 """
 
 from __future__ import annotations
@@ -314,49 +314,91 @@ def rule_rows(name: str, tables: Tables) -> DataFrame:
     return broken_rows(rules[name], tables) if name in rules else SET_RULES[name](tables)
 
 
-def not_null_rules(tables: Tables) -> DataFrame:
-    return quality.union_all(
-        [quality.not_null(t, tables(t), columns) for t, columns in rule_map.NOT_NULL.items()]
-    )
+def _generic(kind: str, table: str, column: str) -> str:
+    return f"{kind}.{table}.{column}"
 
 
-def unique_rules(tables: Tables) -> DataFrame:
-    return quality.union_all(
-        [
-            quality.unique(t, tables(t), column)
-            for t, columns in rule_map.UNIQUE.items()
-            for column in columns
-        ]
-    )
+def not_null_parts(tables: Tables) -> list[DataFrame]:
+    return [
+        quality.nulls(tables(t), {_generic("not_null", t, c): c for c in columns})
+        for t, columns in rule_map.NOT_NULL.items()
+    ]
 
 
-def relationship_rules(tables: Tables) -> DataFrame:
-    return quality.union_all(
-        [
-            quality.relationships(child, tables(child), key, tables(parent), parent_key)
-            for child, key, parent, parent_key in rule_map.RELATIONSHIPS
-        ]
-    )
+def unique_parts(tables: Tables) -> list[DataFrame]:
+    scans = [
+        (tables(t), {_generic("unique", t, c): c for c in columns})
+        for t, columns in rule_map.UNIQUE.items()
+    ]
+    return [quality.repeats(scans)]
 
 
-def accepted_value_rules(tables: Tables) -> DataFrame:
-    return quality.union_all(
-        [
-            quality.accepted_values(t, tables(t), columns)
-            for t, columns in rule_map.ACCEPTED_VALUES.items()
-        ]
+def relationship_parts(tables: Tables) -> list[DataFrame]:
+    children: dict[str, dict[str, tuple[str, str]]] = {}
+    parents: dict[str, tuple[DataFrame, str]] = {}
+    for child, key, parent, parent_key in rule_map.RELATIONSHIPS:
+        name = _generic("relationships", child, key)
+        children.setdefault(child, {})[name] = (key, parent)
+        parents.setdefault(parent, (tables(parent), parent_key))
+    return [quality.orphans([(tables(c), refs) for c, refs in children.items()], parents)]
+
+
+def accepted_value_parts(tables: Tables) -> list[DataFrame]:
+    found = [
+        quality.outsiders(
+            tables(t),
+            {_generic("accepted_values", t, c): (c, values) for c, values in columns.items()},
+        )
+        for t, columns in rule_map.ACCEPTED_VALUES.items()
+    ]
+    return [quality.distinct_outsiders(quality.union_all(found))]
+
+
+GENERIC_PARTS: dict[str, Callable[[Tables], list[DataFrame]]] = {
+    "not_null": not_null_parts,
+    "unique": unique_parts,
+    "relationships": relationship_parts,
+    "accepted_values": accepted_value_parts,
+}
+
+
+def generic_rules() -> dict[str, list[tuple[str, str]]]:
+    """Table and column of every generic rule, by kind."""
+    return {
+        "not_null": [(t, c) for t, columns in rule_map.NOT_NULL.items() for c in columns],
+        "unique": [(t, c) for t, columns in rule_map.UNIQUE.items() for c in columns],
+        "relationships": [(child, key) for child, key, _, _ in rule_map.RELATIONSHIPS],
+        "accepted_values": [
+            (t, c) for t, columns in rule_map.ACCEPTED_VALUES.items() for c in columns
+        ],
+    }
+
+
+def generic_failures(spark: SparkSession, tables: Tables, kind: str) -> DataFrame:
+    """Every generic rule of one kind with its failures."""
+    names = [_generic(kind, t, c) for t, c in generic_rules()[kind]]
+    counts = quality.tally(spark, names, GENERIC_PARTS[kind](tables))
+    parts = F.split("name", r"\.")
+    return counts.select(
+        parts[1].alias("table_name"), parts[2].alias("column_name"), parts[0].alias("rule"),
+        "violations",
     )
 
 
-def _one_scan_counts(tables: Tables) -> DataFrame:
-    """Not-null and single-row rules of each table, counted in one scan of it."""
-    rules = row_rules()
-    parts = []
-    for table, columns in rule_map.NOT_NULL.items():
-        conditions = {f"not_null.{table}.{c}": F.col(c).isNull() for c in columns}
-        conditions |= {n: r.condition for n, r in rules.items() if r.table == table}
-        parts.append(quality.failures_in_one_pass(tables(table), conditions))
-    return quality.union_all(parts)
+def bespoke_parts(tables: Tables) -> list[DataFrame]:
+    """(name, n) rows of the bespoke rules; one scan per table for row rules."""
+    by_table: dict[str, dict[str, Column]] = {}
+    for name, rule in row_rules().items():
+        by_table.setdefault(rule.table, {})[name] = rule.condition
+    parts = [quality.failures(tables(t), conditions) for t, conditions in by_table.items()]
+    one = F.lit(1).cast("bigint").alias("n")
+    parts += [
+        rule(tables).select(F.lit(name).alias("name"), one) for name, rule in SET_RULES.items()
+    ]
+    return parts
+
+
+COLUMN_RULE = "patient_dimension_excludes_name_place_and_date_columns"
 
 
 def rule_summary(
@@ -365,24 +407,15 @@ def rule_summary(
     tolerated: dict[str, tuple[int, int]] = TOLERATED,
 ) -> DataFrame:
     """Every rule with its violations and its status."""
-    generic = quality.union_all(
-        [unique_rules(tables), relationship_rules(tables), accepted_value_rules(tables)]
-    ).select(F.concat_ws(".", "rule", "table_name", "column_name").alias("name"), "violations")
-    counted = [
-        rule(tables)
-        .agg(F.count(F.lit(1)).alias("violations"))
-        .select(F.lit(name).alias("name"), "violations")
-        for name, rule in SET_RULES.items()
-    ]
+    names = [_generic(kind, t, c) for kind, pairs in generic_rules().items() for t, c in pairs]
+    names += [*row_rules(), *SET_RULES, COLUMN_RULE]
+    parts = [part for make in GENERIC_PARTS.values() for part in make(tables)]
+    parts += bespoke_parts(tables)
     columns = forbidden_columns(spark, tables("dim_patient"))
-    counted.append(
-        columns.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit("patient_dimension_excludes_name_place_and_date_columns").alias("name"),
-            "violations",
-        )
+    parts.append(
+        columns.select(F.lit(COLUMN_RULE).alias("name"), F.lit(1).cast("bigint").alias("n"))
     )
-    counts = quality.union_all([_one_scan_counts(tables), generic, *counted])
-    return with_status(counts, tolerated)
+    return with_status(quality.tally(spark, names, parts), tolerated)
 
 
 def with_status(counts: DataFrame, tolerated: dict[str, tuple[int, int]]) -> DataFrame:

@@ -8,6 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardstar.operators.privacy import age_guard
 from wardstar.plans import dimensions, facts
 from wardstar.plans.staging import stage
 from wardstar.sources.order_feeds import order_feeds
@@ -37,17 +38,24 @@ MODELS: dict[str, Model] = {
     "dim_date": Model(dimensions.dim_date, ("stg_encounters",)),
     "dim_encounter_type": Model(dimensions.dim_encounter_type, ("stg_encounters",)),
     "dim_organization": Model(dimensions.dim_organization, ("stg_organizations",)),
-    "dim_patient": Model(
-        dimensions.dim_patient, ("stg_patients", "stg_encounters", "stg_conditions")
-    ),
+    "dim_patient": Model(dimensions.dim_patient, ("stg_patients", "patient_last_seen")),
     "dim_payer": Model(dimensions.dim_payer, ("stg_payers",)),
     "dim_provider": Model(dimensions.dim_provider, ("stg_providers",)),
     "fct_condition": Model(
-        facts.fct_condition, ("stg_conditions", "stg_patients", "stg_encounters", "dim_patient")
+        facts.fct_condition, ("stg_conditions", "stg_encounters", "age_guard")
     ),
     "fct_encounter": Model(
-        facts.fct_encounter, ("stg_encounters", "stg_patients", "stg_conditions", "dim_patient")
+        facts.fct_encounter, ("stg_encounters", "stg_conditions", "age_guard")
+    ),
+}
+
+# Small tables, one row per patient, that several readers share. Written, their
+# size is known, so the facts broadcast them only while they are small.
+SHARED: dict[str, Model] = {
+    "patient_last_seen": Model(
+        dimensions.patient_last_seen, ("stg_patients", "stg_encounters", "stg_conditions")
     ),
+    "age_guard": Model(age_guard, ("stg_patients", "dim_patient")),
 }
 
 
@@ -65,7 +73,7 @@ class Star:
         self._written: dict[str, DataFrame] = {}
 
     def lazy(self, name: str) -> DataFrame:
-        model = MODELS[name]
+        model = MODELS.get(name) or SHARED[name]
         return model.compute(*[self._input(i) for i in model.inputs])
 
     def _input(self, name: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstar.sources.feeds import LazyFeeds
+from wardstar.sources.tables import spread
 
 
 def order_feeds(spark: SparkSession, sf_dir: str) -> LazyFeeds:
@@ -80,7 +81,7 @@ def _utc_text(seconds: str) -> str:
 
 def _encounters(table) -> DataFrame:
     return (
-        table("orders")
+        spread(table("orders"), "o_orderkey")
         .selectExpr(
             "*",
             "o_orderkey * 7919 % 86400 as start_second",
@@ -126,7 +127,8 @@ def _lines(table) -> DataFrame:
     heads = table("orders").selectExpr(
         "o_orderkey", "o_custkey", "cast(o_orderdate as date) as order_day"
     )
-    return table("lineitem").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = spread(table("lineitem"), "l_orderkey", "l_partkey")
+    return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def _conditions(table) -> DataFrame:

@@ -21,6 +21,19 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="wardstar-")
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """A scan with fewer pieces than cores, dealt out to all cores by key.
+
+    One row group, or one CSV file with quoted line breaks, is one task however
+    large it is, and so would be every step up to the first shuffle. Choose keys
+    few rows share. A scan that already has a piece per core is returned as it
+    is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    pieces = rows.rdd.getNumPartitions()
+    return rows.repartition(cores, *keys) if pieces < cores else rows
+
+
 class TableFolder:
     """Full-refresh tables, each a Parquet folder below one path."""
 
