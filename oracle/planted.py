@@ -27,23 +27,19 @@ def unprotected(tables: Callable[[str], DataFrame]) -> Callable[[str], DataFrame
     births = patients.select("patient_id", "birth_date")
 
     def with_age(name: str, at: str) -> DataFrame:
-        age = completed_years(F.col("birth_date"), F.expr(at))
         fact = tables(name)
-        return (
-            fact.join(births, "patient_id")
-            .withColumn("patient_age_years", age)
-            .select(*fact.columns)
-        )
+        age = F.expr(completed_years("birth_date", at))
+        shown = fact.join(births, "patient_id").withColumn("patient_age_years", age)
+        return shown.select(*fact.columns)
 
     def dim_patient() -> DataFrame:
-        birth, death = F.col("birth_date"), F.col("death_date")
         dim = tables("dim_patient")
-        shown = patients.select(
+        shown = patients.selectExpr(
             "patient_id",
-            F.year(birth).cast("bigint").alias("birth_year"),
-            F.year(death).cast("bigint").alias("death_year"),
-            completed_years(birth, death).alias("age_at_death_years"),
-            F.substring("zip_code", 1, 3).alias("zip3"),
+            "cast(year(birth_date) as bigint) as birth_year",
+            "cast(year(death_date) as bigint) as death_year",
+            f"{completed_years('birth_date', 'death_date')} as age_at_death_years",
+            "substr(zip_code, 1, 3) as zip3",
         )
         replaced = ("birth_year", "death_year", "age_at_death_years", "zip3")
         return dim.drop(*replaced).join(shown, "patient_id").select(*dim.columns)

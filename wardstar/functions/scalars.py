@@ -1,13 +1,14 @@
 """Scalar expressions shared by the models, rules and reports.
 
-All of them are plain Column expressions, so Catalyst can push, prune and
-compile them; none reads the clock or the session time zone.
+Each takes SQL expressions as text and returns one, for ``selectExpr``,
+``where`` or ``spark.sql``. Text keeps building a plan of hundreds of rules
+cheap, and Catalyst sees plain built-in functions. None reads the clock or the
+session time zone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable
 
 from wardstar.functions.fixed import (
     OTHER_PAYER_CLASS,
@@ -18,17 +19,33 @@ from wardstar.functions.fixed import (
 )
 
 
-def day(moment: Column) -> Column:
+def text(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal(value: str | int | bool | None) -> str:
+    if value is None:
+        return "null"
+    return text(value) if isinstance(value, str) else str(value).lower()
+
+
+def listed(values: Iterable[str | int]) -> str:
+    """Literals for an IN list."""
+    return ", ".join(literal(v) for v in values)
+
+
+def day(moment: str) -> str:
     """Calendar day of a zone-free timestamp."""
-    return moment.cast("date")
+    return f"cast({moment} as date)"
 
 
-def date_key(date: Column) -> Column:
+def date_key(date: str) -> str:
     """YYYYMMDD as an integer."""
-    return F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)
+    return f"(year({date}) * 10000 + month({date}) * 100 + dayofmonth({date}))"
 
 
-def completed_years(start: Column, end: Column) -> Column:
+def completed_years(start: str, end: str) -> str:
     """Whole years passed from start to end, negative when end is earlier.
 
     The difference of two YYYYMMDD numbers holds the years in its ten-thousands
@@ -36,88 +53,77 @@ def completed_years(start: Column, end: Column) -> Column:
     down is the age. months_between rounds 29 February up and timestampdiff
     truncates towards zero; both differ from this.
     """
-    return F.floor((date_key(end) - date_key(start)) / 10000)
-
-
-def whole_div(value: Column, divisor: int) -> Column:
-    """Integer division truncating towards zero."""
-    return F.call_function("div", value, F.lit(divisor).cast("bigint"))
+    return f"floor(({date_key(end)} - {date_key(start)}) / 10000)"
 
 
-def _second_of_day(moment: Column) -> Column:
-    return F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+def _second_of_day(moment: str) -> str:
+    return f"(hour({moment}) * 3600 + minute({moment}) * 60 + second({moment}))"
 
 
-def elapsed_seconds(start: Column, stop: Column) -> Column:
+def elapsed_seconds(start: str, stop: str) -> str:
     """Seconds between two zone-free timestamps, fractions cut off first."""
-    days = F.datediff(day(stop), day(start)).cast("bigint")
-    return days * 86400 + (_second_of_day(stop) - _second_of_day(start))
+    days = f"datediff({day(stop)}, {day(start)})"
+    return f"({days} * 86400L + {_second_of_day(stop)} - {_second_of_day(start)})"
 
 
-def whole_minutes(start: Column, stop: Column) -> Column:
+def whole_minutes(start: str, stop: str) -> str:
     """Completed minutes of elapsed time."""
-    return whole_div(elapsed_seconds(start, stop), 60)
+    return f"({elapsed_seconds(start, stop)} div 60)"
 
 
-def days_between(start: Column, end: Column) -> Column:
+def days_between(start: str, end: str) -> str:
     """Midnights from start to end."""
-    return F.datediff(end, start).cast("bigint")
+    return f"cast(datediff({end}, {start}) as bigint)"
 
 
-def plus_years(date: Column, years: Column | int) -> Column:
+def plus_years(date: str, years: str | int) -> str:
     """The same day in another year; 29 February becomes the 28th."""
-    months = F.lit(years) * 12 if isinstance(years, int) else years * 12
-    return F.add_months(date, months.cast("int"))
+    return f"add_months({date}, cast(12 * ({years}) as int))"
 
 
-def trailing_tag(label: Column) -> Column:
+def trailing_tag(label: str) -> str:
     """Text of a closing parenthetical, null without one.
 
     The anchor is the very end of the text: a final newline is not skipped.
     """
-    return F.nullif(F.regexp_extract(label, r"\(([^()]+)\)\z", 1), F.lit(""))
+    return rf"nullif(regexp_extract({label}, r'\(([^()]+)\)\z', 1), '')"
 
 
-def collapse_whitespace(text: Column) -> Column:
+def collapse_whitespace(value: str) -> str:
     """Runs of whitespace become one space, none is left at the ends."""
-    return F.trim(F.regexp_replace(text, "[\t\n\f\r ]+", " "))
+    return rf"trim(regexp_replace({value}, r'[\t\n\f\r ]+', ' '))"
 
 
-def zip_prefix(zip_code: Column) -> Column:
+def zip_prefix(zip_code: str) -> str:
     """First three characters, or 000 for a restricted prefix."""
-    prefix = F.substring(zip_code, 1, 3)
-    return F.when(prefix.isin(*RESTRICTED_ZIP3), F.lit("000")).otherwise(prefix)
+    prefix = f"substr({zip_code}, 1, 3)"
+    return f"if({prefix} in ({listed(RESTRICTED_ZIP3)}), '000', {prefix})"
 
 
-def is_zip_prefix(text: Column) -> Column:
+def is_zip_prefix(value: str) -> str:
     """True for exactly three digits."""
-    return text.rlike(r"\A[0-9]{3}\z")
+    return rf"({value} rlike r'\A[0-9]{{3}}\z')"
 
 
-def payer_class(name: Column) -> Column:
+def payer_class(name: str) -> str:
     """Financial class of a payer name."""
-    named = F.create_map(*[F.lit(x) for pair in PAYER_CLASSES.items() for x in pair])
-    return F.coalesce(F.try_element_at(named, name), F.lit(OTHER_PAYER_CLASS))
+    named = listed(x for pair in PAYER_CLASSES.items() for x in pair)
+    return f"coalesce(try_element_at(map({named}), {name}), {text(OTHER_PAYER_CLASS)})"
 
 
-def payer_rollup(financial_class: Column) -> Column:
+def payer_rollup(financial_class: str) -> str:
     """Category of a financial class: the public programs become one."""
-    public = financial_class.isin(*PUBLIC_PAYER_CLASSES)
-    return F.when(public, F.lit("public")).otherwise(financial_class)
+    public = f"{financial_class} in ({listed(PUBLIC_PAYER_CLASSES)})"
+    return f"if({public}, 'public', {financial_class})"
 
 
-def is_protected_age(age: Column) -> Column:
-    return age >= PROTECTED_AGE
+def is_protected_age(age: str) -> str:
+    return f"({age} >= {PROTECTED_AGE})"
 
 
-def unless_protected(age: Column, value: Column) -> Column:
+def unless_protected(age: str, value: str) -> str:
     """value where the age is known and below the protected category.
 
     Fails closed: an unknown age withholds the value as well.
     """
-    return F.when(age < PROTECTED_AGE, value)
-
-
-def count_where(condition: Column) -> Column:
-    """Rows for which the condition is true; null counts as false."""
-    return F.count(F.when(condition, F.lit(1)))
+    return f"if({age} < {PROTECTED_AGE}, {value}, null)"

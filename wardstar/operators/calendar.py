@@ -3,39 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wardstar.functions.scalars import date_key, day
 
 
 def daily_series(rows: DataFrame, moment: str) -> DataFrame:
     """Every day from the first to the last moment, both included."""
-    bounds = rows.agg(
-        day(F.min(moment)).alias("first_day"), day(F.max(moment)).alias("last_day")
+    first, last = day(f"min({moment})"), day(f"max({moment})")
+    return rows.selectExpr(f"sequence({first}, {last}, interval 1 day) as days").selectExpr(
+        "explode(days) as calendar_date"
     )
-    days = F.sequence("first_day", "last_day", F.expr("interval 1 day"))
-    return bounds.select(F.explode(days).alias("calendar_date"))
 
 
 def calendar(days: DataFrame) -> DataFrame:
     """Calendar attributes of each ``calendar_date``; weeks are ISO weeks."""
-    date = F.col("calendar_date")
-    iso_year = F.extract(F.lit("YEAROFWEEK"), date).cast("bigint")
-    iso_week = F.weekofyear(date).cast("bigint")
-    weekday = (F.weekday(date) + 1).cast("bigint")
-    return days.select(
-        date_key(date).alias("date_id"),
-        date,
-        F.year(date).cast("bigint").alias("calendar_year"),
-        F.quarter(date).cast("bigint").alias("calendar_quarter"),
-        F.month(date).cast("bigint").alias("calendar_month"),
-        F.date_format(date, "MMMM").alias("month_name"),
-        F.date_format(date, "yyyy-MM").alias("year_month"),
-        F.dayofmonth(date).cast("bigint").alias("day_of_month"),
-        weekday.alias("day_of_week"),
-        F.date_format(date, "EEEE").alias("day_name"),
-        iso_year.alias("iso_year"),
-        iso_week.alias("iso_week"),
-        (iso_year * 100 + iso_week).alias("iso_year_week"),
-        (weekday >= 6).alias("is_weekend"),
+    return (
+        days.selectExpr(
+            "calendar_date",
+            "cast(extract(yearofweek from calendar_date) as bigint) as iso_year",
+            "cast(weekofyear(calendar_date) as bigint) as iso_week",
+            "cast(weekday(calendar_date) + 1 as bigint) as day_of_week",
+        )
+        .selectExpr(
+            f"{date_key('calendar_date')} as date_id",
+            "calendar_date",
+            "cast(year(calendar_date) as bigint) as calendar_year",
+            "cast(quarter(calendar_date) as bigint) as calendar_quarter",
+            "cast(month(calendar_date) as bigint) as calendar_month",
+            "date_format(calendar_date, 'MMMM') as month_name",
+            "date_format(calendar_date, 'yyyy-MM') as year_month",
+            "cast(dayofmonth(calendar_date) as bigint) as day_of_month",
+            "day_of_week",
+            "date_format(calendar_date, 'EEEE') as day_name",
+            "iso_year",
+            "iso_week",
+            "iso_year * 100 + iso_week as iso_year_week",
+            "day_of_week >= 6 as is_weekend",
+        )
     )

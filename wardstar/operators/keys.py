@@ -11,23 +11,26 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.functions.scalars import count_where
+from wardstar.functions.scalars import listed, literal
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """Rows of all frames, which have the same columns in the same order."""
+    return reduce(DataFrame.union, frames)
+
+
+def values(spark: SparkSession, rows: Sequence[Sequence], columns: str) -> DataFrame:
+    """A small frame of literals; ``columns`` as in ``name, n``."""
+    lines = ", ".join(f"({listed(row)})" for row in rows)
+    return spark.sql(f"select * from values {lines} as t({columns})")
 
 
 def repeated_keys(rows: DataFrame, *keys: str, count_as: str = "rows_in_group") -> DataFrame:
     """Key combinations on more than one row, nulls forming a group."""
-    return (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(count_as))
-        .where(F.col(count_as) > 1)
-    )
+    return rows.groupBy(*keys).agg(F.expr(f"count(*) as {count_as}")).where(f"{count_as} > 1")
 
 
 def rows_without_match(rows: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
@@ -39,8 +42,8 @@ def grain_difference(staged: DataFrame, fact: DataFrame, *keys: str) -> DataFram
     """Rows on one side only, labelled with the side that lacks them."""
     missing = rows_without_match(staged, fact, *keys)
     extra = rows_without_match(fact, staged, *keys)
-    return missing.withColumn("problem", F.lit("missing from fact")).unionByName(
-        extra.withColumn("problem", F.lit("not in staging"))
+    return missing.selectExpr("*", "'missing from fact' as problem").union(
+        extra.selectExpr("*", "'not in staging' as problem")
     )
 
 
@@ -61,63 +64,53 @@ def count_references(
     """
     number = {parent: i for i, parent in enumerate(parents)}
     slots: dict[str, list[str]] = {parent: [] for parent in parents}
-    tagged = []
+
+    def use(parent: str, slot: int, column: str) -> str:
+        return f"struct({number[parent]}, {slot}, cast(`{column}` as string))"
+
+    def tagged(rows: DataFrame, uses: list[str]) -> DataFrame:
+        return rows.selectExpr(f"inline(array({', '.join(uses)})) as (parent, slot, key)")
+
+    parts = []
     for rows, references in scans:
         uses = []
         for name, (column, parent) in references.items():
-            uses.append(_use(number[parent], len(slots[parent]), column))
+            uses.append(use(parent, len(slots[parent]), column))
             slots[parent].append(name)
-        tagged.append(rows.select(F.inline(F.array(*uses))))
-    for parent, (rows, key) in parents.items():
-        tagged.append(rows.select(F.inline(F.array(_use(number[parent], -1, key)))))
+        parts.append(tagged(rows, uses))
+    parts += [tagged(rows, [use(parent, -1, key)]) for parent, (rows, key) in parents.items()]
 
     width = max(len(names) for names in slots.values())
     per_key = (
-        union_all(tagged)
-        .where(F.col("key").isNotNull())
+        union_all(parts)
+        .where("key is not null")
         .groupBy("parent", "key")
         .agg(
-            F.max(F.col("slot") < 0).alias("found"),
-            *[count_where(F.col("slot") == i).alias(f"n{i}") for i in range(width)],
+            F.expr("max(slot < 0) as found"),
+            *[F.expr(f"count_if(slot = {i}) as n{i}") for i in range(width)],
         )
     )
     sums = []
     for i in range(width):
-        lost = F.when(~F.col("found"), F.col(f"n{i}"))
-        sums += [F.sum(f"n{i}").alias(f"set{i}"), F.sum(lost).alias(f"lost{i}")]
-    names = F.array(
-        *[
-            F.array(*[F.lit(n) for n in slots[p] + [None] * (width - len(slots[p]))])
-            for p in parents
+        sums += [
+            F.expr(f"sum(n{i}) as set{i}"),
+            F.expr(f"coalesce(sum(if(found, 0, n{i})), 0) as lost{i}"),
         ]
+    names = ", ".join(
+        "array("
+        + ", ".join(literal(n) for n in slots[p] + [None] * (width - len(slots[p])))
+        + ")"
+        for p in parents
     )
-    by_slot = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    names[F.col("parent")][i].alias("reference"),
-                    F.col(f"set{i}").alias("n_set"),
-                    F.coalesce(f"lost{i}", F.lit(0)).alias("n_unresolved"),
-                )
-                for i in range(width)
-            ]
-        )
-    )
-    counted = per_key.groupBy("parent").agg(*sums).select(by_slot)
-    every = scans[0][0].sparkSession.createDataFrame(
-        [(n, 0, 0) for names in slots.values() for n in names],
-        "reference string, n_set long, n_unresolved long",
-    )
+    by_slot = ", ".join(f"names[parent][{i}], set{i}, lost{i}" for i in range(width))
+    every = [(name, 0, 0) for found in slots.values() for name in found]
     return (
-        every.unionByName(counted.where(F.col("reference").isNotNull()))
+        per_key.groupBy("parent")
+        .agg(*sums)
+        .selectExpr("*", f"array({names}) as names")
+        .selectExpr(f"stack({width}, {by_slot}) as (reference, n_set, n_unresolved)")
+        .where("reference is not null")
+        .union(values(scans[0][0].sparkSession, every, "reference, n_set, n_unresolved"))
         .groupBy("reference")
-        .agg(F.sum("n_set").alias("n_set"), F.sum("n_unresolved").alias("n_unresolved"))
-    )
-
-
-def _use(parent: int, slot: int, column: str):
-    return F.struct(
-        F.lit(parent).alias("parent"),
-        F.lit(slot).alias("slot"),
-        F.col(column).cast("string").alias("key"),
+        .agg(F.expr("sum(n_set) as n_set"), F.expr("sum(n_unresolved) as n_unresolved"))
     )

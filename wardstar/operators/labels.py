@@ -17,20 +17,14 @@ def canonical_label(
     a few partial results instead of as one big sorted group. Row order has no
     influence. A null label sorts last.
     """
-    spellings = rows.groupBy(code, label).agg(F.count(F.lit(1)).alias("uses"))
-    best = F.min(
-        F.struct(
-            (-F.col("uses")).alias("rank"),
-            F.col(label).isNull().alias("blank"),
-            F.col(label).alias("label"),
-        )
-    )
     return (
-        spellings.groupBy(code)
+        rows.groupBy(code, label)
+        .agg(F.expr("count(*) as uses"))
+        .groupBy(code)
         .agg(
-            best.alias("best"),
-            F.count(F.lit(1)).alias(spellings_as),
-            F.sum("uses").alias(rows_as),
+            F.expr(f"min(struct(-uses, {label} is null, {label} as label)) as best"),
+            F.expr(f"count(*) as {spellings_as}"),
+            F.expr(f"sum(uses) as {rows_as}"),
         )
-        .select(code, F.col("best.label").alias(label), spellings_as, rows_as)
+        .selectExpr(code, f"best.label as {label}", spellings_as, rows_as)
     )

@@ -2,34 +2,32 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardstar.functions.scalars import completed_years, day
+from wardstar.operators.keys import union_all
 
 # Every date the star publishes about a patient: table, its date expressions.
 # A table that publishes another date belongs in this registry.
 PUBLISHED_DATES: dict[str, tuple[str, ...]] = {
     "stg_patients": ("death_date",),
-    "stg_encounters": ("cast(started_at as date)", "cast(stopped_at as date)"),
+    "stg_encounters": (day("started_at"), day("stopped_at")),
     "stg_conditions": ("started_date", "stopped_date"),
 }
 
 
 def published_dates(tables: dict[str, DataFrame]) -> DataFrame:
     """Each published date as one row (patient_id, published_date)."""
-    parts = [
-        tables[name].select(
-            "patient_id",
-            F.explode(F.array_compact(F.array(*[F.expr(d) for d in dates]))).alias(
-                "published_date"
-            ),
-        )
-        for name, dates in PUBLISHED_DATES.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(
+        [
+            tables[name].selectExpr(
+                "patient_id",
+                f"explode(array_compact(array({', '.join(dates)}))) as published_date",
+            )
+            for name, dates in PUBLISHED_DATES.items()
+        ]
+    )
 
 
 def last_seen(tables: dict[str, DataFrame]) -> DataFrame:
@@ -40,18 +38,17 @@ def last_seen(tables: dict[str, DataFrame]) -> DataFrame:
     the shuffle, so one patient holding most rows costs one row per task.
     """
 
-    def latest(dates: tuple[str, ...]) -> Column:
-        columns = [F.expr(d) for d in dates]
-        return F.greatest(*columns) if len(columns) > 1 else columns[0]
+    def latest(dates: tuple[str, ...]) -> str:
+        return f"greatest({', '.join(dates)})" if len(dates) > 1 else dates[0]
 
     parts = [
-        tables[name].select("patient_id", latest(dates).alias("published_date"))
+        tables[name].selectExpr("patient_id", f"{latest(dates)} as published_date")
         for name, dates in PUBLISHED_DATES.items()
     ]
     return (
-        reduce(DataFrame.unionByName, parts)
+        union_all(parts)
         .groupBy("patient_id")
-        .agg(F.max("published_date").alias("last_published_date"))
+        .agg(F.expr("max(published_date) as last_published_date"))
     )
 
 
@@ -61,12 +58,13 @@ def attained_age(patients: DataFrame, seen: DataFrame) -> DataFrame:
     A patient without a date counts as alive until the last date of the data.
     ``seen`` is read twice, so pass it as a written table.
     """
-    data_end = seen.agg(F.max("last_published_date")).scalar()
-    until = F.coalesce(F.col("last_published_date"), data_end)
+    data_end = seen.agg(F.expr("max(last_published_date)")).scalar()
+    until = "coalesce(last_published_date, data_end)"
     return (
         patients.join(seen, "patient_id", "left")
-        .withColumn("max_attained_age", completed_years(F.col("birth_date"), until))
-        .drop("last_published_date")
+        .withColumn("data_end", data_end)
+        .withColumn("max_attained_age", F.expr(completed_years("birth_date", until)))
+        .drop("last_published_date", "data_end")
     )
 
 
@@ -75,16 +73,21 @@ def protected_cohort(dim_patient: DataFrame) -> DataFrame:
     return dim_patient.where("is_age_90_or_older").select("patient_id")
 
 
+def flagged_cohort(dim_patient: DataFrame) -> DataFrame:
+    """The cohort with a flag to tell a match of a left join by."""
+    return protected_cohort(dim_patient).selectExpr("patient_id", "true as is_protected")
+
+
 def age_guard(patients: DataFrame, dim_patient: DataFrame) -> DataFrame:
     """Birth date per patient, null for a protected one.
 
     Facts take their age from this one lookup, so they are joined to patients
     once and never see the birth date of a protected patient.
     """
-    cohort = protected_cohort(dim_patient).withColumn("is_protected", F.lit(True))
-    return patients.join(cohort, "patient_id", "left").select(
-        "patient_id",
-        F.when(F.col("is_protected").isNull(), F.col("birth_date")).alias("open_birth_date"),
+    return (
+        patients.select("patient_id", "birth_date")
+        .join(flagged_cohort(dim_patient), "patient_id", "left")
+        .selectExpr("patient_id", "if(is_protected is null, birth_date, null) as open_birth_date")
     )
 
 
@@ -93,17 +96,18 @@ def published_periods(fct_encounter: DataFrame, fct_condition: DataFrame) -> Dat
 
     The age on a fact belongs to the first of its dates.
     """
-    encounters = fct_encounter.select(
+    return fct_encounter.selectExpr(
         "patient_id",
-        day(F.col("started_at")).alias("from_date"),
-        day(F.col("stopped_at")).alias("to_date"),
+        f"{day('started_at')} as from_date",
+        f"{day('stopped_at')} as to_date",
         "patient_age_years",
+    ).union(
+        fct_condition.select("patient_id", "started_date", "stopped_date", "patient_age_years")
     )
-    conditions = fct_condition.select(
-        "patient_id",
-        F.col("started_date").alias("from_date"),
-        F.col("stopped_date").alias("to_date"),
-        "patient_age_years",
-    )
-    return encounters.unionByName(conditions)
 
+
+def latest_published(periods: DataFrame) -> DataFrame:
+    """Latest date either fact publishes about each patient."""
+    return periods.groupBy("patient_id").agg(
+        F.expr("max(greatest(from_date, to_date)) as latest_date")
+    )

@@ -8,29 +8,35 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.functions.scalars import count_where
+from wardstar.functions.scalars import text
 from wardstar.operators.keys import count_references
 
 NULL_LABEL = "(null)"
+MONEY = "decimal(18,2)"
+MONEY_SUM = "decimal(38,2)"
+
+
+def money_sum(amount: str) -> str:
+    """Money added up exactly, at a width no total outgrows."""
+    return f"cast(sum(cast({amount} as {MONEY})) as {MONEY_SUM})"
 
 
 def key_profile(rows: DataFrame, key: str) -> DataFrame:
     """One row: n_rows, n_distinct, n_null of a key column."""
-    uses = rows.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    return uses.agg(
-        _sum0(F.col("n")).alias("n_rows"),
-        F.count("key").alias("n_distinct"),
-        _sum0(F.when(F.col("key").isNull(), F.col("n"))).alias("n_null"),
+    return (
+        rows.groupBy(F.expr(f"`{key}` as key"))
+        .agg(F.expr("count(*) as n"))
+        .agg(
+            F.expr("coalesce(sum(n), 0) as n_rows"),
+            F.expr("count(key) as n_distinct"),
+            F.expr("coalesce(sum(if(key is null, n, 0)), 0) as n_null"),
+        )
     )
 
 
-def _sum0(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
-
-
 def reference_profile(
     rows: DataFrame,
     references: Mapping[str, tuple[str, str]],
@@ -54,39 +60,32 @@ def children_per_parent(
     value of its own. Mixing is found by comparing the smallest with the largest
     value, which merges across tasks and needs no distinct set.
     """
-    labels = {c: F.coalesce(F.col(c), F.lit(NULL_LABEL)) for c in categories}
     extremes = []
-    for c, label in labels.items():
-        extremes += [F.min(label).alias(f"{c}_low"), F.max(label).alias(f"{c}_high")]
+    for c in categories:
+        label = f"coalesce(`{c}`, {text(NULL_LABEL)})"
+        extremes += [f"min({label}) as {c}_low", f"max({label}) as {c}_high"]
     per_key = (
-        children.where(F.col(child_key).isNotNull())
-        .groupBy(F.col(child_key).alias("parent"))
-        .agg(F.count(F.lit(1)).alias("n_children"), *extremes)
+        children.where(f"`{child_key}` is not null")
+        .groupBy(F.expr(f"`{child_key}` as parent"))
+        .agg(F.expr("count(*) as n"), *[F.expr(e) for e in extremes])
     )
-    keys = parents.select(F.col(parent_key).alias("parent")).distinct()
-    return keys.join(per_key, "parent", "left").select(
+    keys = parents.selectExpr(f"`{parent_key}` as parent").distinct()
+    return keys.join(per_key, "parent", "left").selectExpr(
         "parent",
-        F.coalesce("n_children", F.lit(0)).alias("n_children"),
-        *[
-            F.coalesce(F.col(f"{c}_low") != F.col(f"{c}_high"), F.lit(False)).alias(f"{c}_mixes")
-            for c in categories
-        ],
+        "coalesce(n, 0) as n_children",
+        *[f"coalesce({c}_low != {c}_high, false) as {c}_mixes" for c in categories],
     )
 
 
 def children_summary(per_parent: DataFrame) -> DataFrame:
     """One row: parents, those without a child, with one, and the most."""
-    n = F.col("n_children")
+    mixes = [c for c in per_parent.columns if c.endswith("_mixes")]
     return per_parent.agg(
-        F.count(F.lit(1)).alias("n_parents"),
-        count_where(n == 0).alias("n_without"),
-        count_where(n == 1).alias("n_with_one"),
-        F.max(n).alias("most_children"),
-        *[
-            count_where(F.col(c)).alias(f"n_{c}")
-            for c in per_parent.columns
-            if c.endswith("_mixes")
-        ],
+        F.expr("count(*) as n_parents"),
+        F.expr("count_if(n_children = 0) as n_without"),
+        F.expr("count_if(n_children = 1) as n_with_one"),
+        F.expr("max(n_children) as most_children"),
+        *[F.expr(f"count_if({c}) as n_{c}") for c in mixes],
     )
 
 
@@ -95,42 +94,26 @@ def population_by_category(
 ) -> DataFrame:
     """Per category: rows, rows filling each column, and one amount summed."""
     return rows.groupBy(category).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count(c).alias(f"with_{c}") for c in columns],
-        F.sum(F.col(amount).cast("decimal(18,2)")).cast("decimal(38,2)").alias("amount_total"),
+        F.expr("count(*) as n_rows"),
+        *[F.expr(f"count(`{c}`) as with_{c}") for c in columns],
+        F.expr(f"{money_sum(amount)} as amount_total"),
     )
 
 
-def totals(rows: DataFrame, amounts: Mapping[str, Column]) -> DataFrame:
+def totals(rows: DataFrame, amounts: Mapping[str, str]) -> DataFrame:
     """Rows and money sums of one feed: (measure, n_rows, amount)."""
-    one_row = rows.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[
-            F.sum(v.cast("decimal(18,2)")).cast("decimal(38,2)").alias(f"a{i}")
-            for i, v in enumerate(amounts.values())
-        ],
-    )
-    return one_row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("measure"),
-                        F.col("n_rows"),
-                        F.col(f"a{i}").alias("amount"),
-                    )
-                    for i, name in enumerate(amounts)
-                ]
-            )
-        )
+    sums = [F.expr(f"{money_sum(a)} as a{i}") for i, a in enumerate(amounts.values())]
+    lines = ", ".join(f"{text(name)}, n_rows, a{i}" for i, name in enumerate(amounts))
+    return rows.agg(F.expr("count(*) as n_rows"), *sums).selectExpr(
+        f"stack({len(amounts)}, {lines}) as (measure, n_rows, amount)"
     )
 
 
 def reconciliation(left: DataFrame, right: DataFrame, left_as: str, right_as: str) -> DataFrame:
     """Two ``totals`` side by side per measure, with their difference."""
-    a = left.select("measure", F.col("amount").alias(left_as))
-    b = right.select("measure", F.col("amount").alias(right_as))
-    gap = F.coalesce(left_as, F.lit(0)) - F.coalesce(right_as, F.lit(0))
-    return a.join(b, "measure", "full_outer").withColumn(
-        "difference", gap.cast("decimal(38,2)")
+    a = left.selectExpr("measure", f"amount as {left_as}")
+    b = right.selectExpr("measure", f"amount as {right_as}")
+    gap = f"coalesce({left_as}, 0) - coalesce({right_as}, 0)"
+    return a.join(b, "measure", "full_outer").selectExpr(
+        "*", f"cast({gap} as {MONEY_SUM}) as difference"
     )

@@ -2,38 +2,36 @@
 
 A set of rules of one kind is answered together: every table contributes only
 its failures, already reduced per task, and one grouping adds them up per rule.
+Conditions are SQL text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.operators.keys import count_references, union_all
+from wardstar.functions.scalars import listed, text
+from wardstar.operators.keys import count_references, union_all, values
 
 
-def failures(rows: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+def failures(rows: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
     """One row (name, n) per condition a row meets.
 
     Rows meeting none are filtered out first. Where all conditions are null
     checks the filter reaches the Parquet scan, which then skips every row
     group whose statistics show no nulls.
     """
-    met = [F.when(c, F.lit(name)) for name, c in conditions.items()]
-    return (
-        rows.where(reduce(or_, conditions.values()))
-        .select(F.explode(F.array_compact(F.array(*met))).alias("name"))
-        .select("name", F.lit(1).cast("bigint").alias("n"))
+    met = ", ".join(f"if({c}, {text(name)}, null)" for name, c in conditions.items())
+    return rows.where(" or ".join(f"({c})" for c in conditions.values())).selectExpr(
+        f"explode(array_compact(array({met}))) as name", "1L as n"
     )
 
 
 def nulls(rows: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """(name, n) for every null; ``names`` maps a rule name to its column."""
-    return failures(rows, {name: F.col(c).isNull() for name, c in names.items()})
+    return failures(rows, {name: f"`{c}` is null" for name, c in names.items()})
 
 
 def repeats(scans: Sequence[tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
@@ -41,38 +39,30 @@ def repeats(scans: Sequence[tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
 
     All columns of all tables share one grouping by rule and value.
     """
-    names = [name for _, columns in scans for name in columns]
+    names: list[str] = []
     parts = []
     for rows, columns in scans:
-        values = [
-            F.struct(
-                F.lit(names.index(name)).alias("rule"), F.col(c).cast("string").alias("value")
-            )
-            for name, c in columns.items()
-        ]
-        parts.append(rows.select(F.inline(F.array(*values))))
+        keyed = []
+        for name, column in columns.items():
+            keyed.append(f"struct({len(names)}, cast(`{column}` as string))")
+            names.append(name)
+        parts.append(rows.selectExpr(f"inline(array({', '.join(keyed)})) as (rule, value)"))
     return (
         union_all(parts)
-        .where(F.col("value").isNotNull())
+        .where("value is not null")
         .groupBy("rule", "value")
-        .agg(F.count(F.lit(1)).alias("uses"))
-        .where(F.col("uses") > 1)
-        .select(_name_of("rule", names).alias("name"), F.lit(1).cast("bigint").alias("n"))
+        .agg(F.expr("count(*) as uses"))
+        .where("uses > 1")
+        .selectExpr(f"array({listed(names)})[rule] as name", "1L as n")
     )
 
 
-def _name_of(index: str, names: Sequence[str]) -> Column:
-    return F.array(*[F.lit(n) for n in names])[F.col(index)]
-
-
 def orphans(
     scans: Sequence[tuple[DataFrame, Mapping[str, tuple[str, str]]]],
     parents: Mapping[str, tuple[DataFrame, str]],
 ) -> DataFrame:
     """(name, n) with the child rows no parent resolves."""
-    return count_references(scans, parents).select(
-        F.col("reference").alias("name"), F.col("n_unresolved").alias("n")
-    )
+    return count_references(scans, parents).selectExpr("reference as name", "n_unresolved as n")
 
 
 def outsiders(rows: DataFrame, accepted: Mapping[str, tuple[str, Sequence]]) -> DataFrame:
@@ -80,49 +70,39 @@ def outsiders(rows: DataFrame, accepted: Mapping[str, tuple[str, Sequence]]) ->
 
     ``accepted`` maps a rule name to (column, values).
     """
-
-    def outside(column: str, values: Sequence) -> Column:
-        return F.col(column).isNotNull() & ~F.col(column).isin(*values)
-
-    found = [
-        F.when(
-            outside(column, values),
-            F.struct(F.lit(name).alias("name"), F.col(column).cast("string").alias("value")),
-        )
-        for name, (column, values) in accepted.items()
-    ]
-    any_outside = reduce(or_, [outside(c, values) for c, values in accepted.values()])
-    return rows.where(any_outside).select(F.inline(F.array_compact(F.array(*found))))
+    outside = {n: f"`{c}` not in ({listed(allowed)})" for n, (c, allowed) in accepted.items()}
+    found = ", ".join(
+        f"if({outside[n]}, struct({text(n)}, cast(`{c}` as string)), null)"
+        for n, (c, _) in accepted.items()
+    )
+    return rows.where(" or ".join(outside.values())).selectExpr(
+        f"inline(array_compact(array({found}))) as (name, value)"
+    )
 
 
 def distinct_outsiders(found: DataFrame) -> DataFrame:
     """(name, n) once per distinct value."""
-    return found.distinct().select("name", F.lit(1).cast("bigint").alias("n"))
+    return found.distinct().selectExpr("name", "1L as n")
 
 
 def tally(spark: SparkSession, names: Sequence[str], parts: Sequence[DataFrame]) -> DataFrame:
     """(name, violations) of every rule, zero included, from (name, n) rows."""
-    zeros = spark.createDataFrame([(n, 0) for n in names], "name string, n long")
-    return (
-        union_all([zeros, *parts])
-        .groupBy("name")
-        .agg(F.sum("n").cast("bigint").alias("violations"))
-    )
+    zeros = values(spark, [(n, 0) for n in names], "name, n")
+    return union_all([*parts, zeros]).groupBy("name").agg(F.expr("sum(n) as violations"))
 
 
-def status(violations: Column, warn_if: Column, error_if: Column) -> Column:
+def status(violations: str, warn_if: str, error_if: str) -> str:
     """pass, warn or error: more violations than a threshold trip it."""
     return (
-        F.when(violations > error_if, "error")
-        .when(violations > warn_if, "warn")
-        .otherwise("pass")
+        f"case when {violations} > {error_if} then 'error' "
+        f"when {violations} > {warn_if} then 'warn' else 'pass' end"
     )
 
 
 def to_long(one_row: DataFrame, labels: Sequence[str], *, key_as: str, value_as: str) -> DataFrame:
     """A one-row frame turned into one row per column, in column order."""
-    pairs = [
-        F.struct(F.lit(label).alias(key_as), F.col(f"`{column}`").alias(value_as))
+    pairs = ", ".join(
+        f"{text(label)}, `{column}`"
         for label, column in zip(labels, one_row.columns, strict=True)
-    ]
-    return one_row.select(F.inline(F.array(*pairs)))
+    )
+    return one_row.selectExpr(f"stack({len(labels)}, {pairs}) as ({key_as}, {value_as})")

@@ -31,12 +31,12 @@ def dim_condition(stg_conditions: DataFrame) -> DataFrame:
         rows_as="condition_count",
     )
     patients = stg_conditions.groupBy("condition_code").agg(
-        F.count_distinct("patient_id").alias("patient_count")
+        F.expr("count(distinct patient_id) as patient_count")
     )
-    return labels.join(patients, "condition_code").select(
+    return labels.join(patients, "condition_code").selectExpr(
         "condition_code",
         "condition_description",
-        trailing_tag(F.col("condition_description")).alias("source_semantic_tag"),
+        f"{trailing_tag('condition_description')} as source_semantic_tag",
         "source_spelling_count",
         "condition_count",
         "patient_count",
@@ -60,9 +60,9 @@ def dim_date(stg_encounters: DataFrame) -> DataFrame:
 
 
 def dim_organization(stg_organizations: DataFrame) -> DataFrame:
-    return stg_organizations.select(
+    return stg_organizations.selectExpr(
         "organization_id",
-        collapse_whitespace(F.col("organization_name")).alias("organization_name"),
+        f"{collapse_whitespace('organization_name')} as organization_name",
         "street_address",
         "city",
         "state",
@@ -70,46 +70,43 @@ def dim_organization(stg_organizations: DataFrame) -> DataFrame:
         "latitude",
         "longitude",
         "phone",
-        F.col("utilization").alias("source_reported_utilization"),
+        "utilization as source_reported_utilization",
     )
 
 
 def dim_provider(stg_providers: DataFrame) -> DataFrame:
     """Clinicians; their address is their organization's and stays there."""
-    return stg_providers.select(
+    return stg_providers.selectExpr(
         "provider_id",
         "organization_id",
         "provider_name",
         "gender",
         "specialty",
-        F.col("utilization").alias("source_reported_utilization"),
+        "utilization as source_reported_utilization",
     )
 
 
 def dim_payer(stg_payers: DataFrame) -> DataFrame:
     """Payers with a financial class, and the category derived from that class."""
-    financial_class = F.col("payer_financial_class")
-    return stg_payers.withColumn(
-        "payer_financial_class", payer_class(F.col("payer_name"))
-    ).select(
+    lifetime = (
+        "amount_covered",
+        "amount_uncovered",
+        "revenue",
+        "covered_encounters",
+        "uncovered_encounters",
+        "unique_customers",
+        "member_months",
+    )
+    return stg_payers.selectExpr(
+        "*", f"{payer_class('payer_name')} as payer_financial_class"
+    ).selectExpr(
         "payer_id",
         "payer_name",
-        financial_class,
-        payer_rollup(financial_class).alias("payer_category"),
-        (financial_class == "self_pay").alias("is_self_pay"),
+        "payer_financial_class",
+        f"{payer_rollup('payer_financial_class')} as payer_category",
+        "payer_financial_class = 'self_pay' as is_self_pay",
         "headquarters_state",
-        *[
-            F.col(name).alias(f"lifetime_{name}")
-            for name in (
-                "amount_covered",
-                "amount_uncovered",
-                "revenue",
-                "covered_encounters",
-                "uncovered_encounters",
-                "unique_customers",
-                "member_months",
-            )
-        ],
+        *[f"{name} as lifetime_{name}" for name in lifetime],
         "quality_of_life_score_avg",
     )
 
@@ -133,24 +130,26 @@ def dim_patient(stg_patients: DataFrame, patient_last_seen: DataFrame) -> DataFr
     A patient any published date puts over 89 loses both years and joins one
     category; the age at death is capped at that category.
     """
-    age = F.col("max_attained_age")
-    birth, death = F.col("birth_date"), F.col("death_date")
-    age_at_death = completed_years(birth, death)
-    return attained_age(stg_patients, patient_last_seen).select(
-        "patient_id",
-        unless_protected(age, F.year(birth)).cast("bigint").alias("birth_year"),
-        unless_protected(age, F.year(death)).cast("bigint").alias("death_year"),
-        death.isNotNull().alias("is_deceased"),
-        is_protected_age(age).alias("is_age_90_or_older"),
-        F.when(age_at_death.isNotNull(), F.least(age_at_death, F.lit(PROTECTED_AGE)))
-        .cast("bigint")
-        .alias("age_at_death_years"),
-        "gender",
-        "race",
-        "ethnicity",
-        "marital_status",
-        "state",
-        zip_prefix(F.col("zip_code")).alias("zip3"),
-        F.col("healthcare_expenses").alias("lifetime_healthcare_expenses"),
-        F.col("healthcare_coverage").alias("lifetime_healthcare_coverage"),
+    age = "max_attained_age"
+    at_death = completed_years("birth_date", "death_date")
+    return (
+        attained_age(stg_patients, patient_last_seen)
+        .selectExpr("*", f"{at_death} as exact_age_at_death")
+        .selectExpr(
+            "patient_id",
+            f"cast({unless_protected(age, 'year(birth_date)')} as bigint) as birth_year",
+            f"cast({unless_protected(age, 'year(death_date)')} as bigint) as death_year",
+            "death_date is not null as is_deceased",
+            f"{is_protected_age(age)} as is_age_90_or_older",
+            f"""if(exact_age_at_death is null, null, least(exact_age_at_death, {PROTECTED_AGE}))
+              as age_at_death_years""",
+            "gender",
+            "race",
+            "ethnicity",
+            "marital_status",
+            "state",
+            f"{zip_prefix('zip_code')} as zip3",
+            "healthcare_expenses as lifetime_healthcare_expenses",
+            "healthcare_coverage as lifetime_healthcare_coverage",
+        )
     )

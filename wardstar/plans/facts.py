@@ -23,35 +23,36 @@ def fct_encounter(
     protection arrive in one lookup, so the encounters move twice at most: once
     by encounter and once by patient.
     """
-    started, stopped = F.col("started_at"), F.col("stopped_at")
     per_encounter = stg_conditions.groupBy("encounter_id").agg(
-        F.count(F.lit(1)).alias("condition_count")
+        F.expr("count(*) as recorded_conditions")
     )
-    joined = stg_encounters.join(per_encounter, "encounter_id", "left").join(
-        age_guard, "patient_id"
-    )
-    stay = days_between(day(started), day(stopped))
-    return joined.select(
-        "encounter_id",
-        date_key(started).alias("date_id"),
-        "patient_id",
-        "organization_id",
-        "provider_id",
-        "payer_id",
-        "encounter_code",
-        "encounter_class",
-        "reason_code",
-        "reason_description",
-        "started_at",
-        "stopped_at",
-        whole_minutes(started, stopped).alias("duration_minutes"),
-        F.when(F.col("encounter_class") == "inpatient", stay).alias("length_of_stay_days"),
-        completed_years(F.col("open_birth_date"), day(started)).alias("patient_age_years"),
-        F.coalesce("condition_count", F.lit(0)).alias("condition_count"),
-        "base_encounter_cost",
-        "total_claim_cost",
-        "payer_coverage",
-        (F.col("total_claim_cost") - F.col("payer_coverage")).alias("uncovered_amount"),
+    started = day("started_at")
+    stay = days_between(started, day("stopped_at"))
+    return (
+        stg_encounters.join(per_encounter, "encounter_id", "left")
+        .join(age_guard, "patient_id")
+        .selectExpr(
+            "encounter_id",
+            f"{date_key(started)} as date_id",
+            "patient_id",
+            "organization_id",
+            "provider_id",
+            "payer_id",
+            "encounter_code",
+            "encounter_class",
+            "reason_code",
+            "reason_description",
+            "started_at",
+            "stopped_at",
+            f"{whole_minutes('started_at', 'stopped_at')} as duration_minutes",
+            f"if(encounter_class = 'inpatient', {stay}, null) as length_of_stay_days",
+            f"{completed_years('open_birth_date', started)} as patient_age_years",
+            "coalesce(recorded_conditions, 0) as condition_count",
+            "base_encounter_cost",
+            "total_claim_cost",
+            "payer_coverage",
+            "total_claim_cost - payer_coverage as uncovered_amount",
+        )
     )
 
 
@@ -59,23 +60,23 @@ def fct_condition(
     stg_conditions: DataFrame, stg_encounters: DataFrame, age_guard: DataFrame
 ) -> DataFrame:
     """One row per condition recorded for a patient at an encounter."""
-    started, stopped = F.col("started_date"), F.col("stopped_date")
-    encounter_days = stg_encounters.select(
-        "encounter_id", day(F.col("started_at")).alias("encounter_day")
-    )
-    joined = stg_conditions.join(encounter_days, "encounter_id").join(
-        age_guard, "patient_id"
+    encounter_days = stg_encounters.selectExpr(
+        "encounter_id", f"{day('started_at')} as encounter_day"
     )
-    return joined.select(
-        "patient_id",
-        "encounter_id",
-        "condition_code",
-        date_key(started).alias("start_date_id"),
-        date_key(stopped).alias("stop_date_id"),
-        "started_date",
-        "stopped_date",
-        days_between(started, stopped).alias("duration_days"),
-        stopped.isNull().alias("is_open"),
-        days_between(F.col("encounter_day"), started).alias("days_from_encounter_start"),
-        completed_years(F.col("open_birth_date"), started).alias("patient_age_years"),
+    return (
+        stg_conditions.join(encounter_days, "encounter_id")
+        .join(age_guard, "patient_id")
+        .selectExpr(
+            "patient_id",
+            "encounter_id",
+            "condition_code",
+            f"{date_key('started_date')} as start_date_id",
+            f"{date_key('stopped_date')} as stop_date_id",
+            "started_date",
+            "stopped_date",
+            f"{days_between('started_date', 'stopped_date')} as duration_days",
+            "stopped_date is null as is_open",
+            f"{days_between('encounter_day', 'started_date')} as days_from_encounter_start",
+            f"{completed_years('open_birth_date', 'started_date')} as patient_age_years",
+        )
     )

@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.functions.scalars import count_where
+from wardstar.functions.scalars import text
 from wardstar.operators import profiling as pro
 from wardstar.operators.keys import count_references, union_all
 
@@ -20,42 +20,34 @@ TYPE_COLUMNS = ("HEALTHCARECLAIMTYPEID1", "HEALTHCARECLAIMTYPEID2")
 
 
 class Figure(NamedTuple):
-    """One line of a profile; with ``when``, only for rows that meet it."""
+    """One line of a profile, in SQL; with ``when``, only for rows that meet it."""
 
     sort: int
-    text: str | Column
-    n: Column
-    of_n: Column | None = None
-    amount: Column | None = None
-    when: Column | None = None
+    figure: str
+    n: str
+    of_n: str = "null"
+    amount: str = "null"
+    when: str = "true"
 
 
 def _figures(rows: DataFrame, *figures: Figure) -> DataFrame:
     """Figures (sort, figure, n, of_n, amount) of every row, in long form."""
-
-    def typed(value: Column | None, kind: str) -> Column:
-        return (F.lit(None) if value is None else value).cast(kind)
-
-    def line(f: Figure) -> Column:
-        row = F.struct(
-            F.lit(f.sort).alias("sort"),
-            (F.lit(f.text) if isinstance(f.text, str) else f.text).alias("figure"),
-            typed(f.n, "bigint").alias("n"),
-            typed(f.of_n, "bigint").alias("of_n"),
-            typed(f.amount, "decimal(38,2)").alias("amount"),
-        )
-        return row if f.when is None else F.when(f.when, row)
-
-    return rows.select(F.inline(F.array_compact(F.array(*[line(f) for f in figures]))))
+    lines = ", ".join(
+        f"if({f.when}, struct({f.sort}, {f.figure}, cast({f.n} as bigint), "
+        f"cast({f.of_n} as bigint), cast({f.amount} as {pro.MONEY_SUM})), null)"
+        for f in figures
+    )
+    return rows.selectExpr(
+        f"inline(array_compact(array({lines}))) as (sort, figure, n, of_n, amount)"
+    )
 
 
 def _key_figures(feed: DataFrame, key: str, first: int, plural: str) -> DataFrame:
-    n_rows = F.col("n_rows")
     return _figures(
         pro.key_profile(feed, key),
-        Figure(first, plural, n_rows),
-        Figure(first + 1, f"{plural} with a distinct {key}", F.col("n_distinct"), n_rows),
-        Figure(first + 2, f"{plural} with a null {key}", F.col("n_null"), n_rows),
+        Figure(first, text(plural), "n_rows"),
+        Figure(first + 1, text(f"{plural} with a distinct {key}"), "n_distinct", "n_rows"),
+        Figure(first + 2, text(f"{plural} with a null {key}"), "n_null", "n_rows"),
     )
 
 
@@ -79,7 +71,6 @@ PAYER_FIGURE = 28
 
 def _reference_figures(found: DataFrame, n_encounters: Column) -> DataFrame:
     """One figure per reference; a missing payer counts as one that is lost."""
-    lost, used = F.col("n_unresolved"), F.col("n_set")
     figures = []
     for plural, references in (
         ("claims", CLAIM_REFERENCES),
@@ -87,19 +78,19 @@ def _reference_figures(found: DataFrame, n_encounters: Column) -> DataFrame:
     ):
         for sort, (column, parent) in references.items():
             suffix = " to an encounter" if parent == "encounters" else ""
-            text = f"{plural} whose {column} does not resolve{suffix}"
-            mine = F.col("reference") == str(sort)
-            figures.append(Figure(sort, text, lost, used, when=mine))
+            label = text(f"{plural} whose {column} does not resolve{suffix}")
+            mine = f"reference = '{sort}'"
+            figures.append(Figure(sort, label, "n_unresolved", "n_set", when=mine))
     figures.append(
         Figure(
             PAYER_FIGURE,
-            "encounters whose PAYER is missing or does not resolve",
-            n_encounters - (used - lost),
-            n_encounters,
-            when=F.col("reference") == str(PAYER_FIGURE),
+            text("encounters whose PAYER is missing or does not resolve"),
+            "n_encounters - (n_set - n_unresolved)",
+            "n_encounters",
+            when=f"reference = '{PAYER_FIGURE}'",
         )
     )
-    return _figures(found, *figures)
+    return _figures(found.withColumn("n_encounters", n_encounters), *figures)
 
 
 def profile_claims(
@@ -115,8 +106,6 @@ def profile_claims(
     All references of the three feeds are resolved in one grouping by key, and
     each further subject takes one grouping of its feed.
     """
-    c = F.col
-
     def named(references: dict[int, tuple[str, str]]) -> dict[str, tuple[str, str]]:
         return {str(sort): reference for sort, reference in references.items()}
 
@@ -134,76 +123,66 @@ def profile_claims(
             "payers": (payers, "Id"),
         },
     )
-    n_encounters = encounters.agg(F.count(F.lit(1))).scalar()
-    n_transactions = transactions.agg(F.count(F.lit(1))).scalar()
+    n_encounters = encounters.agg(F.expr("count(*)")).scalar()
+    n_transactions = transactions.agg(F.expr("count(*)")).scalar()
 
     per_encounter = pro.children_per_parent(encounters, "Id", claims, ENCOUNTER, TYPE_COLUMNS)
-    n_parents = c("n_parents")
     children = _figures(
         pro.children_summary(per_encounter),
-        Figure(17, "encounters with no claim", c("n_without"), n_parents),
-        Figure(18, "encounters with exactly one claim", c("n_with_one"), n_parents),
-        Figure(19, "most claims on one encounter", c("most_children")),
+        Figure(17, text("encounters with no claim"), "n_without", "n_parents"),
+        Figure(18, text("encounters with exactly one claim"), "n_with_one", "n_parents"),
+        Figure(19, text("most claims on one encounter"), "most_children"),
         *[
             Figure(
                 20 + i,
-                f"encounters whose claims carry more than one {column}",
-                c(f"n_{column}_mixes"),
-                n_parents,
+                text(f"encounters whose claims carry more than one {column}"),
+                f"n_{column}_mixes",
+                "n_parents",
             )
             for i, column in enumerate(TYPE_COLUMNS)
         ],
     )
 
-    n_rows, kind = c("n_rows"), c("TYPE")
-    payment, transfer = kind == "PAYMENT", kind == "TRANSFEROUT"
-    label = F.coalesce(kind, F.lit(pro.NULL_LABEL))
+    by_type = pro.population_by_category(
+        transactions, "TYPE", ("AMOUNT", "PAYMENTS", "TRANSFERS"), "AMOUNT"
+    )
+    label = f"concat('claim transactions typed ', coalesce(TYPE, {text(pro.NULL_LABEL)}))"
+
+    def filled(sort: int, kind: str, words: str, column: str) -> Figure:
+        figure = text(f"{kind} transactions with {words}")
+        return Figure(sort, figure, f"with_{column}", "n_rows", when=f"TYPE = '{kind}'")
+
     types = _figures(
-        pro.population_by_category(
-            transactions, "TYPE", ("AMOUNT", "PAYMENTS", "TRANSFERS"), "AMOUNT"
-        ),
-        Figure(22, F.concat(F.lit("claim transactions typed "), label), n_rows, n_transactions),
-        Figure(
-            23, "PAYMENT transactions with an AMOUNT", c("with_AMOUNT"), n_rows, when=payment
-        ),
-        Figure(
-            24, "PAYMENT transactions with PAYMENTS", c("with_PAYMENTS"), n_rows, when=payment
-        ),
-        Figure(
-            25, "TRANSFEROUT transactions with an AMOUNT", c("with_AMOUNT"), n_rows, when=transfer
-        ),
-        Figure(
-            26,
-            "TRANSFEROUT transactions with TRANSFERS",
-            c("with_TRANSFERS"),
-            n_rows,
-            when=transfer,
-        ),
+        by_type.withColumn("n_transactions", n_transactions),
+        Figure(22, label, "n_rows", "n_transactions"),
+        filled(23, "PAYMENT", "an AMOUNT", "AMOUNT"),
+        filled(24, "PAYMENT", "PAYMENTS", "PAYMENTS"),
+        filled(25, "TRANSFEROUT", "an AMOUNT", "AMOUNT"),
+        filled(26, "TRANSFEROUT", "TRANSFERS", "TRANSFERS"),
         Figure(
             29,
-            "CHARGE transactions, AMOUNT summed",
-            n_rows,
-            amount=c("amount_total"),
-            when=kind == "CHARGE",
+            text("CHARGE transactions, AMOUNT summed"),
+            "n_rows",
+            amount="amount_total",
+            when="TYPE = 'CHARGE'",
         ),
     )
 
     sentinel = claims.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        count_where(c("PRIMARYPATIENTINSURANCEID") == "0").alias("n"),
+        F.expr("count(*) as n_rows"),
+        F.expr("count_if(PRIMARYPATIENTINSURANCEID = '0') as n_sentinel"),
     )
-    text = "claims whose PRIMARYPATIENTINSURANCEID is the self-pay sentinel 0"
-    billed = pro.totals(encounters, {"billed": c("TOTAL_CLAIM_COST")})
+    sentinel_text = "claims whose PRIMARYPATIENTINSURANCEID is the self-pay sentinel 0"
+    billed = pro.totals(encounters, {"billed": "TOTAL_CLAIM_COST"})
+    billed_text = "encounters, TOTAL_CLAIM_COST summed"
     parts = [
         _key_figures(claims, "Id", 1, "claims"),
         _key_figures(transactions, "ID", 4, "claim transactions"),
         _reference_figures(references, n_encounters),
         children,
         types,
-        _figures(sentinel, Figure(27, text, c("n"), n_rows)),
-        _figures(
-            billed, Figure(30, "encounters, TOTAL_CLAIM_COST summed", n_rows, amount=c("amount"))
-        ),
+        _figures(sentinel, Figure(27, text(sentinel_text), "n_sentinel", "n_rows")),
+        _figures(billed, Figure(30, text(billed_text), "n_rows", amount="amount")),
     ]
     return union_all(parts).orderBy("sort", "figure").select("figure", "n", "of_n", "amount")
 
@@ -214,52 +193,44 @@ def profile_payer_transitions(transitions: DataFrame, dim_payer: DataFrame) -> D
     Spans are counted per pair of payers before the payers are looked up, in
     their two roles; every figure is then a sum over those few pairs.
     """
-    c = F.col
-    pairs = transitions.groupBy("PAYER", "SECONDARY_PAYER").agg(F.count(F.lit(1)).alias("uses"))
+    pairs = transitions.groupBy("PAYER", "SECONDARY_PAYER").agg(F.expr("count(*) as uses"))
     classes = dim_payer.select("payer_id", "payer_financial_class")
     first = classes.toDF("PAYER", "primary_class")
     second = classes.toDF("SECONDARY_PAYER", "secondary_class")
     spans = pairs.join(first, "PAYER", "left").join(second, "SECONDARY_PAYER", "left")
 
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, c("uses"))), F.lit(0))
+    def total(condition: str, name: str) -> Column:
+        return F.expr(f"coalesce(sum(if({condition}, uses, 0)), 0) as {name}")
 
-    has_second = c("SECONDARY_PAYER").isNotNull()
-    dual = c("primary_class") == "dual_eligible"
+    has_second, dual = "SECONDARY_PAYER is not null", "primary_class = 'dual_eligible'"
     one_row = spans.agg(
-        total(F.lit(True)).alias("n_all"),
-        total(c("primary_class").isNull()).alias("lost_primary"),
-        total(has_second & c("secondary_class").isNull()).alias("lost_secondary"),
-        total(has_second).alias("n_second"),
-        total(dual).alias("n_dual"),
-        total(dual & has_second).alias("n_dual_second"),
+        total("true", "n_all"),
+        total("primary_class is null", "lost_primary"),
+        total(f"{has_second} and secondary_class is null", "lost_secondary"),
+        total(has_second, "n_second"),
+        total(dual, "n_dual"),
+        total(f"{dual} and {has_second}", "n_dual_second"),
     )
-    n_all, n_dual = c("n_all"), c("n_dual")
     fixed = _figures(
         one_row,
-        Figure(1, "coverage spans", n_all),
-        Figure(2, "spans whose primary payer does not resolve", c("lost_primary"), n_all),
-        Figure(3, "spans whose secondary payer does not resolve", c("lost_secondary"), n_all),
-        Figure(4, "spans with a secondary payer", c("n_second"), n_all),
-        Figure(6, "spans whose primary payer is dual eligible", n_dual, n_all),
-        Figure(7, "dual eligible spans with a secondary payer", c("n_dual_second"), n_dual),
+        Figure(1, text("coverage spans"), "n_all"),
+        Figure(2, text("spans whose primary payer does not resolve"), "lost_primary", "n_all"),
+        Figure(3, text("spans whose secondary payer does not resolve"), "lost_secondary", "n_all"),
+        Figure(4, text("spans with a secondary payer"), "n_second", "n_all"),
+        Figure(6, text("spans whose primary payer is dual eligible"), "n_dual", "n_all"),
+        Figure(7, text("dual eligible spans with a secondary payer"), "n_dual_second", "n_dual"),
     )
     by_class = (
         spans.where(has_second)
         .groupBy("primary_class", "secondary_class")
-        .agg(F.sum("uses").alias("uses"))
-    )
-    text = F.concat(
-        F.lit("spans with a secondary payer, "),
-        c("primary_class"),
-        F.lit(" primary and "),
-        c("secondary_class"),
-        F.lit(" secondary"),
+        .agg(F.expr("sum(uses) as uses"))
+        .withColumn("n_second", one_row.select("n_second").scalar())
     )
-    with_second = one_row.select("n_second").scalar()
-    varying = _figures(by_class, Figure(5, text, c("uses"), with_second))
+    label = """concat('spans with a secondary payer, ', primary_class, ' primary and ',
+        secondary_class, ' secondary')"""
+    varying = _figures(by_class, Figure(5, label, "uses", "n_second"))
     return (
-        fixed.unionByName(varying)
+        fixed.union(varying)
         .orderBy("sort", F.asc_nulls_last("figure"))
         .select("figure", "n", "of_n")
     )

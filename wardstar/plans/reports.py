@@ -7,52 +7,50 @@ two facts are only ever combined by their shared dimensions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.functions.scalars import completed_years, count_where
+from wardstar.functions.scalars import completed_years
 from wardstar.operators import profiling as pro
 from wardstar.operators.keys import union_all
 from wardstar.operators.privacy import protected_cohort, published_periods
 from wardstar.operators.quality import to_long
 
-MONEY = "decimal(38,2)"
 
+def _summed(rows: DataFrame, keys: tuple[str, ...], *sums: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(*[F.expr(s) for s in sums])
 
-def _n() -> Column:
-    return F.count(F.lit(1))
 
-
-def _money(column: str) -> Column:
-    return F.sum(column).cast(MONEY)
+def _money(column: str) -> str:
+    return f"cast(sum({column}) as {pro.MONEY_SUM}) as {column}"
 
 
 def payer_mix(fct_encounter: DataFrame, dim_payer: DataFrame) -> DataFrame:
     """Encounters and money by payer category and financial class."""
-    by_payer = fct_encounter.groupBy("payer_id").agg(
-        _n().alias("encounters"),
-        F.sum("total_claim_cost").alias("billed"),
-        F.sum("payer_coverage").alias("covered"),
-        F.sum("uncovered_amount").alias("uncovered"),
+    by_payer = _summed(
+        fct_encounter,
+        ("payer_id",),
+        "count(*) as encounters",
+        "sum(total_claim_cost) as billed",
+        "sum(payer_coverage) as covered",
+        "sum(uncovered_amount) as uncovered",
     )
     classes = dim_payer.select("payer_id", "payer_category", "payer_financial_class")
-    return (
-        by_payer.join(classes, "payer_id", "left")
-        .groupBy("payer_category", "payer_financial_class")
-        .agg(
-            F.sum("encounters").alias("encounters"),
-            _money("billed").alias("billed"),
-            _money("covered").alias("covered"),
-            _money("uncovered").alias("uncovered"),
-        )
+    return _summed(
+        by_payer.join(classes, "payer_id", "left"),
+        ("payer_category", "payer_financial_class"),
+        "sum(encounters) as encounters",
+        _money("billed"),
+        _money("covered"),
+        _money("uncovered"),
     )
 
 
 def money(fct_encounter: DataFrame, stg_encounters: DataFrame) -> DataFrame:
     """Billed, covered and uncovered on the fact against staging."""
-    billed, covered = F.col("total_claim_cost"), F.col("payer_coverage")
-    on_fact = {"billed": billed, "covered": covered, "uncovered": F.col("uncovered_amount")}
-    in_staging = {"billed": billed, "covered": covered, "uncovered": billed - covered}
+    shared = {"billed": "total_claim_cost", "covered": "payer_coverage"}
+    on_fact = {**shared, "uncovered": "uncovered_amount"}
+    in_staging = {**shared, "uncovered": "total_claim_cost - payer_coverage"}
     return pro.reconciliation(
         pro.totals(fct_encounter, on_fact),
         pro.totals(stg_encounters, in_staging),
@@ -62,23 +60,24 @@ def money(fct_encounter: DataFrame, stg_encounters: DataFrame) -> DataFrame:
 
 
 def class_mix(fct_encounter: DataFrame) -> DataFrame:
-    return fct_encounter.groupBy("encounter_class").agg(_n().alias("encounters"))
+    return _summed(fct_encounter, ("encounter_class",), "count(*) as encounters")
 
 
 def condition_tags(fct_condition: DataFrame, dim_condition: DataFrame) -> DataFrame:
     """Conditions and codes by the tag of their label."""
-    by_code = fct_condition.groupBy("condition_code").agg(_n().alias("conditions"))
+    by_code = _summed(fct_condition, ("condition_code",), "count(*) as conditions")
     tags = dim_condition.select("condition_code", "source_semantic_tag")
-    return (
-        by_code.join(tags, "condition_code")
-        .groupBy("source_semantic_tag")
-        .agg(_n().alias("codes"), F.sum("conditions").alias("conditions"))
+    return _summed(
+        by_code.join(tags, "condition_code"),
+        ("source_semantic_tag",),
+        "count(*) as codes",
+        "sum(conditions) as conditions",
     )
 
 
 def top_conditions(fct_condition: DataFrame, dim_condition: DataFrame, k: int = 10) -> DataFrame:
     """The k codes on most rows, ties by code."""
-    by_code = fct_condition.groupBy("condition_code").agg(_n().alias("conditions"))
+    by_code = _summed(fct_condition, ("condition_code",), "count(*) as conditions")
     labels = dim_condition.select("condition_code", "condition_description")
     return (
         by_code.join(labels, "condition_code")
@@ -95,27 +94,28 @@ def drill_across(
     days = dim_date.select("date_id", attribute)
 
     def counted(fact: DataFrame, key: str, name: str) -> DataFrame:
-        per_day = fact.groupBy(F.col(key).alias("date_id")).agg(_n().alias("n"))
-        return per_day.join(days, "date_id").groupBy(attribute).agg(F.sum("n").alias(name))
+        per_day = _summed(fact, (key,), "count(*) as n").withColumnRenamed(key, "date_id")
+        return _summed(per_day.join(days, "date_id"), (attribute,), f"sum(n) as {name}")
 
     encounters = counted(fct_encounter, "date_id", "encounters")
     conditions = counted(fct_condition, "start_date_id", "conditions")
-    return encounters.join(conditions, attribute, "full_outer").select(
+    return encounters.join(conditions, attribute, "full_outer").selectExpr(
         attribute,
-        F.coalesce("encounters", F.lit(0)).alias("encounters"),
-        F.coalesce("conditions", F.lit(0)).alias("conditions"),
+        "coalesce(encounters, 0) as encounters",
+        "coalesce(conditions, 0) as conditions",
     )
 
 
 def iso_week(fct_encounter: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Encounters and billing per ISO week, keyed on year and week together."""
-    per_day = fct_encounter.groupBy("date_id").agg(
-        _n().alias("encounters"), F.sum("total_claim_cost").alias("billed")
+    per_day = _summed(
+        fct_encounter, ("date_id",), "count(*) as encounters", "sum(total_claim_cost) as billed"
     )
-    return (
-        per_day.join(dim_date.select("date_id", "iso_year_week"), "date_id")
-        .groupBy("iso_year_week")
-        .agg(F.sum("encounters").alias("encounters"), _money("billed").alias("billed"))
+    return _summed(
+        per_day.join(dim_date.select("date_id", "iso_year_week"), "date_id"),
+        ("iso_year_week",),
+        "sum(encounters) as encounters",
+        _money("billed"),
     )
 
 
@@ -125,44 +125,42 @@ def utilization_gap(
     """Reported utilization of the directories against counted encounters."""
 
     def gap(directory: DataFrame, key: str, name: str) -> DataFrame:
-        used = fct_encounter.groupBy(key).agg(_n().alias("used"))
-        counted = F.coalesce("used", F.lit(0))
-        reported = F.col("source_reported_utilization").cast("bigint")
-        return directory.join(used, key, "left").select(
-            F.lit(name).alias("directory"),
-            F.col(key).alias("member_id"),
-            reported.alias("reported"),
-            counted.alias("counted"),
-            (reported - counted).alias("gap"),
+        used = _summed(fct_encounter, (key,), "count(*) as used")
+        return (
+            directory.join(used, key, "left")
+            .selectExpr(
+                f"'{name}' as directory",
+                f"{key} as member_id",
+                "cast(source_reported_utilization as bigint) as reported",
+                "coalesce(used, 0) as counted",
+            )
+            .selectExpr("*", "reported - counted as gap")
         )
 
-    return gap(dim_organization, "organization_id", "organization").unionByName(
+    return gap(dim_organization, "organization_id", "organization").union(
         gap(dim_provider, "provider_id", "provider")
     )
 
 
 def code_ambiguity(fct_encounter: DataFrame, dim_encounter_type: DataFrame) -> DataFrame:
     """Encounter codes in more than one class or with more than one spelling."""
-    per_class = fct_encounter.groupBy("encounter_code", "encounter_class").agg(_n().alias("n"))
-    classes = per_class.groupBy("encounter_code").agg(
-        F.count("encounter_class").alias("class_count")
-    )
+    pairs = fct_encounter.select("encounter_code", "encounter_class").distinct()
+    classes = _summed(pairs, ("encounter_code",), "count(encounter_class) as class_count")
     return (
-        dim_encounter_type.select("encounter_code", "encounter_description", "source_spelling_count")
+        dim_encounter_type.drop("encounter_count")
         .join(classes, "encounter_code")
-        .where((F.col("class_count") > 1) | (F.col("source_spelling_count") > 1))
+        .where("class_count > 1 or source_spelling_count > 1")
     )
 
 
 def provider_coverage(fct_encounter: DataFrame, dim_provider: DataFrame) -> DataFrame:
     """Providers per specialty, and how many an encounter refers to."""
-    used = (
-        fct_encounter.select("provider_id").distinct().withColumn("is_used", F.lit(True))
-    )
-    return (
-        dim_provider.join(used, "provider_id", "left")
-        .groupBy("specialty")
-        .agg(_n().alias("providers"), F.count("is_used").alias("referenced_providers"))
+    used = fct_encounter.select("provider_id").distinct().selectExpr("*", "true as is_used")
+    return _summed(
+        dim_provider.join(used, "provider_id", "left"),
+        ("specialty",),
+        "count(*) as providers",
+        "count(is_used) as referenced_providers",
     )
 
 
@@ -170,35 +168,24 @@ def suppression(
     dim_patient: DataFrame, fct_encounter: DataFrame, fct_condition: DataFrame
 ) -> DataFrame:
     """Protected patients, and ages published and withheld on the facts."""
+
+    def figures(rows: DataFrame, counts: dict[str, str]) -> DataFrame:
+        one_row = rows.agg(*[F.expr(f"{c} as n{i}") for i, c in enumerate(counts.values())])
+        return to_long(one_row, list(counts), key_as="figure", value_as="n")
+
     parts = [
-        to_long(
-            dim_patient.agg(
-                _n().alias("patients"),
-                count_where(F.col("is_age_90_or_older")).alias("protected"),
-            ),
-            ["patients", "protected patients"],
-            key_as="figure",
-            value_as="n",
+        figures(
+            dim_patient,
+            {"patients": "count(*)", "protected patients": "count_if(is_age_90_or_older)"},
         )
     ]
     for label, fact in (("encounters", fct_encounter), ("conditions", fct_condition)):
-        age = F.col("patient_age_years")
-        parts.append(
-            to_long(
-                fact.agg(
-                    F.count(age).alias("shown"),
-                    count_where(age.isNull()).alias("withheld"),
-                    F.max(age).alias("highest"),
-                ),
-                [
-                    f"{label} with an age",
-                    f"{label} with the age withheld",
-                    f"highest age on {label}",
-                ],
-                key_as="figure",
-                value_as="n",
-            )
-        )
+        counts = {
+            f"{label} with an age": "count(patient_age_years)",
+            f"{label} with the age withheld": "count_if(patient_age_years is null)",
+            f"highest age on {label}": "max(patient_age_years)",
+        }
+        parts.append(figures(fact, counts))
     return union_all(parts)
 
 
@@ -206,21 +193,19 @@ def residual_span(
     dim_patient: DataFrame, fct_encounter: DataFrame, fct_condition: DataFrame
 ) -> DataFrame:
     """Protected patients whose published dates alone span more than 89 years."""
-    spans = (
-        published_periods(fct_encounter, fct_condition)
-        .groupBy("patient_id")
-        .agg(
-            F.min(F.least("from_date", "to_date")).alias("first_date"),
-            F.max(F.greatest("from_date", "to_date")).alias("last_date"),
-        )
+    spans = _summed(
+        published_periods(fct_encounter, fct_condition),
+        ("patient_id",),
+        "min(least(from_date, to_date)) as first_date",
+        "max(greatest(from_date, to_date)) as last_date",
     )
-    years = completed_years(F.col("first_date"), F.col("last_date"))
     return (
         protected_cohort(dim_patient)
         .join(spans, "patient_id", "left")
+        .selectExpr(f"{completed_years('first_date', 'last_date')} as years")
         .agg(
-            _n().alias("protected_patients"),
-            count_where(years > 89).alias("spanning_over_89"),
-            F.max(years).alias("longest_span_years"),
+            F.expr("count(*) as protected_patients"),
+            F.expr("count_if(years > 89) as spanning_over_89"),
+            F.expr("max(years) as longest_span_years"),
         )
     )

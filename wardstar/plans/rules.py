@@ -10,8 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from wardstar.functions.fixed import (
     FORBIDDEN_PATIENT_COLUMNS,
@@ -22,72 +21,72 @@ from wardstar.functions.scalars import (
     completed_years,
     day,
     days_between,
+    is_protected_age,
     is_zip_prefix,
+    listed,
     plus_years,
+    text,
 )
 from wardstar.operators import quality
-from wardstar.operators.keys import grain_difference, repeated_keys
-from wardstar.operators.privacy import protected_cohort, published_periods
+from wardstar.operators.keys import grain_difference, repeated_keys, union_all
+from wardstar.operators.privacy import flagged_cohort, latest_published, published_periods
 from wardstar.plans import rule_map
 
 Tables = Callable[[str], DataFrame]
 
 
 class RowRule(NamedTuple):
-    """Rows of one table for which a condition is true."""
+    """Rows of one table for which a condition, in SQL, is true."""
 
     table: str
     columns: tuple[str, ...]
-    condition: Column
+    condition: str
 
 
-def row_rules() -> dict[str, RowRule]:
-    """Rules about a single row, by name."""
-    c = F.col
-    inpatient, has_stay = c("encounter_class") == "inpatient", c("length_of_stay_days").isNotNull()
-    year_after_start = plus_years(day(c("started_at")), 1)
-    return {
-        "condition_stop_not_before_start": RowRule(
-            "stg_conditions",
-            ("patient_id", "encounter_id", "condition_code", "started_date", "stopped_date"),
-            c("stopped_date") < c("started_date"),
-        ),
-        "encounter_stop_not_before_start": RowRule(
-            "stg_encounters",
-            ("encounter_id", "started_at", "stopped_at"),
-            c("stopped_at") < c("started_at"),
-        ),
-        "patient_death_not_before_birth": RowRule(
-            "stg_patients",
-            ("patient_id", "birth_date", "death_date"),
-            c("death_date") < c("birth_date"),
-        ),
-        "encounter_payer_coverage_within_claim_cost": RowRule(
-            "stg_encounters",
-            ("encounter_id", "total_claim_cost", "payer_coverage"),
-            c("payer_coverage") > c("total_claim_cost"),
-        ),
-        "uncovered_amount_not_negative": RowRule(
-            "fct_encounter",
-            ("encounter_id", "total_claim_cost", "payer_coverage", "uncovered_amount"),
-            c("uncovered_amount") < 0,
-        ),
-        "encounter_reason_is_coded_and_labeled": RowRule(
-            "stg_encounters",
-            ("encounter_id", "reason_code", "reason_description"),
-            c("reason_code").isNull() != c("reason_description").isNull(),
-        ),
-        "length_of_stay_is_inpatient_only": RowRule(
-            "fct_encounter",
-            ("encounter_id", "encounter_class", "length_of_stay_days"),
-            ~inpatient.eqNullSafe(has_stay),
-        ),
-        "inpatient_length_of_stay_is_plausible": RowRule(
-            "fct_encounter",
-            ("encounter_id", "patient_id", "started_at", "stopped_at", "length_of_stay_days"),
-            has_stay & (day(c("stopped_at")) > year_after_start),
-        ),
-    }
+_ENCOUNTER_DAY, _DISCHARGE_DAY = day("started_at"), day("stopped_at")
+
+ROW_RULES: dict[str, RowRule] = {
+    "condition_stop_not_before_start": RowRule(
+        "stg_conditions",
+        ("patient_id", "encounter_id", "condition_code", "started_date", "stopped_date"),
+        "stopped_date < started_date",
+    ),
+    "encounter_stop_not_before_start": RowRule(
+        "stg_encounters",
+        ("encounter_id", "started_at", "stopped_at"),
+        "stopped_at < started_at",
+    ),
+    "patient_death_not_before_birth": RowRule(
+        "stg_patients",
+        ("patient_id", "birth_date", "death_date"),
+        "death_date < birth_date",
+    ),
+    "encounter_payer_coverage_within_claim_cost": RowRule(
+        "stg_encounters",
+        ("encounter_id", "total_claim_cost", "payer_coverage"),
+        "payer_coverage > total_claim_cost",
+    ),
+    "uncovered_amount_not_negative": RowRule(
+        "fct_encounter",
+        ("encounter_id", "total_claim_cost", "payer_coverage", "uncovered_amount"),
+        "uncovered_amount < 0",
+    ),
+    "encounter_reason_is_coded_and_labeled": RowRule(
+        "stg_encounters",
+        ("encounter_id", "reason_code", "reason_description"),
+        "isnull(reason_code) != isnull(reason_description)",
+    ),
+    "length_of_stay_is_inpatient_only": RowRule(
+        "fct_encounter",
+        ("encounter_id", "encounter_class", "length_of_stay_days"),
+        "not ((encounter_class = 'inpatient') <=> isnotnull(length_of_stay_days))",
+    ),
+    "inpatient_length_of_stay_is_plausible": RowRule(
+        "fct_encounter",
+        ("encounter_id", "patient_id", "started_at", "stopped_at", "length_of_stay_days"),
+        f"isnotnull(length_of_stay_days) and {_DISCHARGE_DAY} > {plus_years(_ENCOUNTER_DAY, 1)}",
+    ),
+}
 
 
 def broken_rows(rule: RowRule, tables: Tables) -> DataFrame:
@@ -115,17 +114,17 @@ def encounter_fact_matches_staging_grain(tables: Tables) -> DataFrame:
 
 def condition_patient_matches_encounter_patient(tables: Tables) -> DataFrame:
     """Condition rows filed under another patient than their encounter."""
-    seen = tables("fct_encounter").select(
-        "encounter_id", F.col("patient_id").alias("encounter_patient_id")
+    seen = tables("fct_encounter").selectExpr(
+        "encounter_id", "patient_id as encounter_patient_id"
     )
     return (
         tables("fct_condition")
         .join(seen, "encounter_id")
-        .where(F.col("patient_id") != F.col("encounter_patient_id"))
-        .select(
+        .where("patient_id != encounter_patient_id")
+        .selectExpr(
             "encounter_id",
             "condition_code",
-            F.col("patient_id").alias("condition_patient_id"),
+            "patient_id as condition_patient_id",
             "encounter_patient_id",
         )
     )
@@ -133,21 +132,19 @@ def condition_patient_matches_encounter_patient(tables: Tables) -> DataFrame:
 
 def encounter_start_not_after_patient_death(tables: Tables) -> DataFrame:
     deaths = (
-        tables("stg_patients")
-        .where(F.col("death_date").isNotNull())
-        .select("patient_id", "death_date")
+        tables("stg_patients").where("death_date is not null").select("patient_id", "death_date")
     )
     return (
         tables("fct_encounter")
-        .select("encounter_id", "patient_id", day(F.col("started_at")).alias("encounter_date"))
+        .selectExpr("encounter_id", "patient_id", f"{_ENCOUNTER_DAY} as encounter_date")
         .join(deaths, "patient_id")
-        .where(F.col("encounter_date") > F.col("death_date"))
-        .select(
+        .where("encounter_date > death_date")
+        .selectExpr(
             "encounter_id",
             "patient_id",
             "encounter_date",
             "death_date",
-            days_between(F.col("death_date"), F.col("encounter_date")).alias("days_after_death"),
+            f"{days_between('death_date', 'encounter_date')} as days_after_death",
         )
     )
 
@@ -160,16 +157,10 @@ def forbidden_columns(spark: SparkSession, published: DataFrame) -> DataFrame:
 
 def patient_zip3_is_a_permitted_prefix(tables: Tables) -> DataFrame:
     """Published prefixes of the wrong shape, and restricted ones."""
-    zip3 = F.col("zip3")
-    problems = F.array_compact(
-        F.array(
-            F.when(~is_zip_prefix(zip3), F.lit("not a three-digit prefix")),
-            F.when(zip3.isin(*RESTRICTED_ZIP3), F.lit("restricted prefix published")),
-        )
-    )
-    return tables("dim_patient").select(
-        "patient_id", "zip3", F.explode(problems).alias("violation")
-    )
+    problems = f"""explode(array_compact(array(
+        if(not {is_zip_prefix('zip3')}, 'not a three-digit prefix', null),
+        if(zip3 in ({listed(RESTRICTED_ZIP3)}), 'restricted prefix published', null))))"""
+    return tables("dim_patient").selectExpr("patient_id", "zip3", f"{problems} as violation")
 
 
 def safe_harbor_age_over_89_is_suppressed(tables: Tables) -> DataFrame:
@@ -180,57 +171,50 @@ def safe_harbor_age_over_89_is_suppressed(tables: Tables) -> DataFrame:
     few patients any date puts over 89 beside a published birth year; only
     their rows are then looked at date by date.
     """
-    patients, dim = tables("stg_patients"), tables("dim_patient")
+    dim = tables("dim_patient")
     facts = {name: tables(name) for name in ("fct_encounter", "fct_condition")}
-    has_year = F.col("birth_year").isNotNull() | F.col("death_year").isNotNull()
-    on_dimension = F.array_compact(
-        F.array(
-            F.when(
-                F.col("is_age_90_or_older") & has_year,
-                F.lit("year element retained for an over-89 patient"),
-            ),
-            F.when(
-                F.col("age_at_death_years") > PROTECTED_AGE,
-                F.lit("age_at_death_years above the aggregated category"),
-            ),
-        )
-    )
-    parts = [dim.select("patient_id", F.explode(on_dimension).alias("violation"))]
-
-    with_year = dim.where(F.col("birth_year").isNotNull()).select("patient_id").join(
-        patients.select("patient_id", "birth_date", "death_date"), "patient_id"
+    on_dimension = f"""explode(array_compact(array(
+        if(is_age_90_or_older and (isnotnull(birth_year) or isnotnull(death_year)),
+          'year element retained for an over-89 patient', null),
+        if(age_at_death_years > {PROTECTED_AGE},
+          'age_at_death_years above the aggregated category', null))))"""
+    parts = [dim.selectExpr("patient_id", f"{on_dimension} as violation")]
+
+    def is_over(date: str) -> str:
+        return is_protected_age(completed_years("birth_date", date))
+
+    with_year = (
+        dim.where("birth_year is not null")
+        .select("patient_id")
+        .join(tables("stg_patients").select("patient_id", "birth_date", "death_date"), "patient_id")
     )
     periods = published_periods(facts["fct_encounter"], facts["fct_condition"])
-    latest = periods.groupBy("patient_id").agg(
-        F.max(F.greatest("from_date", "to_date")).alias("latest_date")
+    suspects = (
+        with_year.join(latest_published(periods), "patient_id", "left")
+        .where(is_over("greatest(latest_date, death_date)"))
+        .select("patient_id", "birth_date", "death_date")
     )
-    over = completed_years(
-        F.col("birth_date"), F.greatest("latest_date", "death_date")
-    ) >= PROTECTED_AGE
-    suspects = with_year.join(latest, "patient_id", "left").where(over).drop("latest_date")
-    dates = periods.select(
+    at_events = suspects.join(
+        periods.selectExpr(
+            "patient_id",
+            "explode(array_compact(array(from_date, to_date))) as published_date",
+        ),
         "patient_id",
-        F.explode(F.array_compact(F.array("from_date", "to_date"))).alias("published_date"),
     )
-    at_events = suspects.join(dates, "patient_id")
-    at_death = suspects.select("*", F.col("death_date").alias("published_date"))
+    at_death = suspects.selectExpr("*", "death_date as published_date")
     parts.append(
-        at_events.unionByName(at_death)
-        .where(completed_years(F.col("birth_date"), F.col("published_date")) >= PROTECTED_AGE)
-        .select(
-            "patient_id", F.lit("a published date puts this patient over 89").alias("violation")
-        )
+        at_events.union(at_death)
+        .where(is_over("published_date"))
+        .selectExpr("patient_id", "'a published date puts this patient over 89' as violation")
     )
     for name, label in (("fct_encounter", "encounter"), ("fct_condition", "condition")):
+        violation = f"'patient_age_years over 89 on the {label} fact' as violation"
         parts.append(
             facts[name]
-            .where(F.col("patient_age_years") >= PROTECTED_AGE)
-            .select(
-                "patient_id",
-                F.lit(f"patient_age_years over 89 on the {label} fact").alias("violation"),
-            )
+            .where(is_protected_age("patient_age_years"))
+            .selectExpr("patient_id", violation)
         )
-    return quality.union_all(parts)
+    return union_all(parts)
 
 
 def fact_age_and_date_do_not_imply_over_89(tables: Tables) -> DataFrame:
@@ -240,47 +224,32 @@ def fact_age_and_date_do_not_imply_over_89(tables: Tables) -> DataFrame:
     latest date. Uses published columns only, never the cohort.
     """
     periods = published_periods(tables("fct_encounter"), tables("fct_condition"))
-    latest = periods.groupBy("patient_id").agg(
-        F.max(F.greatest("from_date", "to_date")).alias("latest_date")
-    )
-    latest_birth = plus_years(F.col("anchor_date"), -F.col("anchor_age"))
+    latest_birth = plus_years("anchor_date", "-anchor_age")
     return (
-        periods.where(F.col("patient_age_years").isNotNull())
-        .select(
-            "patient_id",
-            F.col("patient_age_years").alias("anchor_age"),
-            F.col("from_date").alias("anchor_date"),
+        periods.where("patient_age_years is not null")
+        .selectExpr(
+            "patient_id", "patient_age_years as anchor_age", "from_date as anchor_date"
         )
-        .join(latest, "patient_id")
-        .withColumn("implied_age", completed_years(latest_birth, F.col("latest_date")))
-        .where(F.col("implied_age") >= PROTECTED_AGE)
-        .select("patient_id", "anchor_age", "anchor_date", "latest_date", "implied_age")
+        .join(latest_published(periods), "patient_id")
+        .selectExpr("*", f"{completed_years(latest_birth, 'latest_date')} as implied_age")
+        .where(is_protected_age("implied_age"))
     )
 
 
 def fact_age_is_withheld_for_the_protected_cohort(tables: Tables) -> DataFrame:
     """Fact rows with an age on a protected patient, or none on another."""
-    rows = quality.union_all(
-        [
-            tables("fct_encounter").select(
-                F.lit("fct_encounter").alias("fact"),
-                F.col("encounter_id").alias("row_key"),
-                "patient_id",
-                "patient_age_years",
-            ),
-            tables("fct_condition").select(
-                F.lit("fct_condition").alias("fact"),
-                F.concat("patient_id", F.lit("|"), "condition_code").alias("row_key"),
-                "patient_id",
-                "patient_age_years",
-            ),
-        ]
+
+    def rows(fact: str, key: str) -> DataFrame:
+        return tables(fact).selectExpr(
+            f"'{fact}' as fact", f"{key} as row_key", "patient_id", "patient_age_years"
+        )
+
+    both = rows("fct_encounter", "encounter_id").union(
+        rows("fct_condition", "concat(patient_id, '|', condition_code)")
     )
-    cohort = protected_cohort(tables("dim_patient")).withColumn("is_protected", F.lit(True))
-    protected, withheld = F.col("is_protected").isNotNull(), F.col("patient_age_years").isNull()
     return (
-        rows.join(cohort, "patient_id", "left")
-        .where(protected != withheld)
+        both.join(flagged_cohort(tables("dim_patient")), "patient_id", "left")
+        .where("isnotnull(is_protected) != isnull(patient_age_years)")
         .select("fact", "row_key", "patient_id", "patient_age_years")
     )
 
@@ -310,8 +279,9 @@ TOLERATED: dict[str, tuple[int, int]] = {
 
 def rule_rows(name: str, tables: Tables) -> DataFrame:
     """The violating rows of one bespoke rule."""
-    rules = row_rules()
-    return broken_rows(rules[name], tables) if name in rules else SET_RULES[name](tables)
+    if name in ROW_RULES:
+        return broken_rows(ROW_RULES[name], tables)
+    return SET_RULES[name](tables)
 
 
 def _generic(kind: str, table: str, column: str) -> str:
@@ -351,7 +321,7 @@ def accepted_value_parts(tables: Tables) -> list[DataFrame]:
         )
         for t, columns in rule_map.ACCEPTED_VALUES.items()
     ]
-    return [quality.distinct_outsiders(quality.union_all(found))]
+    return [quality.distinct_outsiders(union_all(found))]
 
 
 GENERIC_PARTS: dict[str, Callable[[Tables], list[DataFrame]]] = {
@@ -378,22 +348,23 @@ def generic_failures(spark: SparkSession, tables: Tables, kind: str) -> DataFram
     """Every generic rule of one kind with its failures."""
     names = [_generic(kind, t, c) for t, c in generic_rules()[kind]]
     counts = quality.tally(spark, names, GENERIC_PARTS[kind](tables))
-    parts = F.split("name", r"\.")
-    return counts.select(
-        parts[1].alias("table_name"), parts[2].alias("column_name"), parts[0].alias("rule"),
+    return counts.selectExpr(
+        "split_part(name, '.', 2) as table_name",
+        "split_part(name, '.', 3) as column_name",
+        "split_part(name, '.', 1) as rule",
         "violations",
     )
 
 
 def bespoke_parts(tables: Tables) -> list[DataFrame]:
     """(name, n) rows of the bespoke rules; one scan per table for row rules."""
-    by_table: dict[str, dict[str, Column]] = {}
-    for name, rule in row_rules().items():
+    by_table: dict[str, dict[str, str]] = {}
+    for name, rule in ROW_RULES.items():
         by_table.setdefault(rule.table, {})[name] = rule.condition
     parts = [quality.failures(tables(t), conditions) for t, conditions in by_table.items()]
-    one = F.lit(1).cast("bigint").alias("n")
     parts += [
-        rule(tables).select(F.lit(name).alias("name"), one) for name, rule in SET_RULES.items()
+        rule(tables).selectExpr(f"{text(name)} as name", "1L as n")
+        for name, rule in SET_RULES.items()
     ]
     return parts
 
@@ -408,27 +379,24 @@ def rule_summary(
 ) -> DataFrame:
     """Every rule with its violations and its status."""
     names = [_generic(kind, t, c) for kind, pairs in generic_rules().items() for t, c in pairs]
-    names += [*row_rules(), *SET_RULES, COLUMN_RULE]
+    names += [*ROW_RULES, *SET_RULES, COLUMN_RULE]
     parts = [part for make in GENERIC_PARTS.values() for part in make(tables)]
     parts += bespoke_parts(tables)
     columns = forbidden_columns(spark, tables("dim_patient"))
-    parts.append(
-        columns.select(F.lit(COLUMN_RULE).alias("name"), F.lit(1).cast("bigint").alias("n"))
-    )
+    parts.append(columns.selectExpr(f"{text(COLUMN_RULE)} as name", "1L as n"))
     return with_status(quality.tally(spark, names, parts), tolerated)
 
 
 def with_status(counts: DataFrame, tolerated: dict[str, tuple[int, int]]) -> DataFrame:
     """Counts with thresholds and pass, warn or error."""
-    warn_if = error_if = F.lit(0).cast("bigint")
-    for name, (warn, error) in tolerated.items():
-        warn_if = F.when(F.col("name") == name, F.lit(warn)).otherwise(warn_if)
-        error_if = F.when(F.col("name") == name, F.lit(error)).otherwise(error_if)
-    return counts.select(
-        F.col("name").alias("rule"),
-        "violations",
-        warn_if.cast("bigint").alias("warn_if"),
-        error_if.cast("bigint").alias("error_if"),
-        quality.status(F.col("violations"), warn_if, error_if).alias("status"),
-    )
 
+    def limit(position: int) -> str:
+        known = "".join(f"when {text(n)} then {t[position]}L " for n, t in tolerated.items())
+        return f"case name {known}else 0L end" if known else "0L"
+
+    return counts.selectExpr(
+        "name as rule",
+        "violations",
+        f"{limit(0)} as warn_if",
+        f"{limit(1)} as error_if",
+    ).selectExpr("*", f"{quality.status('violations', 'warn_if', 'error_if')} as status")

@@ -8,7 +8,6 @@ scan never reads them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 TEXT = "string"
 DAY = "date"
@@ -123,6 +122,6 @@ STAGED_COLUMNS: dict[str, tuple[tuple[str, str, str], ...]] = {
 
 def stage(feed: str, rows: DataFrame) -> DataFrame:
     """The typed staging table of one raw feed."""
-    return rows.select(
-        *[F.col(source).cast(kind).alias(name) for source, name, kind in STAGED_COLUMNS[feed]]
+    return rows.selectExpr(
+        *[f"cast(`{source}` as {kind}) as {name}" for source, name, kind in STAGED_COLUMNS[feed]]
     )
