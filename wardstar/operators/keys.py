@@ -1,9 +1,7 @@
 """Key checks: repeated grains, missing rows, references without a parent.
 
-Keys are counted or made distinct before they are shuffled wherever the answer
-allows it, so a key holding a large share of the rows travels as one row per
-task. Where rows themselves must be returned, only the row side of the anti
-join carries repeats, which adaptive execution splits when it is skewed.
+Keys are counted before they are shuffled, so a key holding a large share of
+the rows travels as one row per task.
 """
 
 from __future__ import annotations
@@ -33,18 +31,47 @@ def repeated_keys(rows: DataFrame, *keys: str, count_as: str = "rows_in_group")
     return rows.groupBy(*keys).agg(F.expr(f"count(*) as {count_as}")).where(f"{count_as} > 1")
 
 
-def rows_without_match(rows: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
-    """Keys of the rows that ``other`` lacks, once per row; null never matches."""
-    return rows.select(*keys).join(other.select(*keys).distinct(), list(keys), "left_anti")
-
-
 def grain_difference(staged: DataFrame, fact: DataFrame, *keys: str) -> DataFrame:
-    """Rows on one side only, labelled with the side that lacks them."""
-    missing = rows_without_match(staged, fact, *keys)
-    extra = rows_without_match(fact, staged, *keys)
-    return missing.selectExpr("*", "'missing from fact' as problem").union(
-        extra.selectExpr("*", "'not in staging' as problem")
+    """Rows on one side only, labelled with the side that lacks them.
+
+    Both sides are counted per key in one grouping, so a repeated key is added
+    up before the shuffle; a key found on one side only comes back once per row.
+    A null matches nothing.
+    """
+    unmatched = " or ".join(f"{k} is null" for k in keys)
+    sides = f"""stack(2,
+        'missing from fact', if({unmatched} or n_fact = 0, n_staged, 0L),
+        'not in staging', if({unmatched} or n_staged = 0, n_fact, 0L)) as (problem, n)"""
+    one_sided = (
+        staged.selectExpr(*keys, "true as is_staged")
+        .union(fact.selectExpr(*keys, "false as is_staged"))
+        .groupBy(*keys)
+        .agg(
+            F.expr("count_if(is_staged) as n_staged"),
+            F.expr("count_if(not is_staged) as n_fact"),
+        )
+        .where(f"n_staged = 0 or n_fact = 0 or {unmatched}")
+        .selectExpr(*keys, sides)
+        .where("n > 0")
     )
+    return repeat_rows(one_sided, "n")
+
+
+REPEAT_CHUNK = 100_000
+
+
+def repeat_rows(rows: DataFrame, count: str) -> DataFrame:
+    """Every row as many times as its count, which is dropped.
+
+    A large count is cut into chunks that are dealt out by a shuffle of their
+    own, so no task writes or holds more than a chunk of one row at a time.
+    """
+    kept = [c for c in rows.columns if c != count]
+    chunks = rows.selectExpr(
+        "*", f"explode(sequence(0L, ({count} - 1) div {REPEAT_CHUNK})) as chunk"
+    ).repartition(*kept, "chunk")
+    size = f"cast(least({count} - chunk * {REPEAT_CHUNK}, {REPEAT_CHUNK}) as int)"
+    return chunks.selectExpr(*kept, f"explode(array_repeat(0, {size})) as copy").drop("copy")
 
 
 def count_references(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,14 @@ SHARED: dict[str, Model] = {
     "age_guard": Model(age_guard, ("stg_patients", "dim_patient")),
 }
 
+BUILD_STEPS = (
+    tuple(name for name in MODELS if name.startswith("stg_")),
+    ("patient_last_seen", *[n for n in MODELS if n.startswith("dim_") and n != "dim_patient"]),
+    ("dim_patient",),
+    ("age_guard",),
+    tuple(name for name in MODELS if name.startswith("fct_")),
+)
+
 
 class Star:
     """Tables of the star, written to Parquet when another table reads them.
@@ -93,8 +102,15 @@ class Star:
             self._written[name] = self.folder.write(name, self.feeds[feed])
         return self._written[name]
 
-    def build(self) -> dict[str, DataFrame]:
-        """Write every table not written yet and return all of them."""
+    def build(self, threads: int = 4) -> dict[str, DataFrame]:
+        """Write every table not written yet and return all of them.
+
+        Tables of one step do not read each other and are written side by side,
+        so a small dimension does not leave the cluster idle.
+        """
+        with ThreadPoolExecutor(threads) as pool:
+            for step in BUILD_STEPS:
+                list(pool.map(self.table, step))
         return {name: self.table(name) for name in MODELS}
 
 

@@ -111,4 +111,11 @@ class LazyFeeds(Mapping):
 
 def write_feed(rows: DataFrame, path: str) -> None:
     """Write rows as the CSV text ``read_feed`` reads."""
-    rows.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    rows.write.mode("overwrite").csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
