@@ -11,6 +11,7 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardstar.functions.fixed import (
     FORBIDDEN_PATIENT_COLUMNS,
@@ -28,7 +29,7 @@ from wardstar.functions.scalars import (
     text,
 )
 from wardstar.operators import quality
-from wardstar.operators.keys import grain_difference, repeated_keys, union_all
+from wardstar.operators.keys import grain_difference, repeat_rows, repeated_keys, union_all
 from wardstar.operators.privacy import flagged_cohort, latest_published, published_periods
 from wardstar.plans import rule_map
 
@@ -167,9 +168,9 @@ def safe_harbor_age_over_89_is_suppressed(tables: Tables) -> DataFrame:
     """The ways a published age or year still shows an age over 89.
 
     The dimension is read once for its two conditions and each fact once for
-    its age. The date clause first finds, from one latest date per patient, the
-    few patients any date puts over 89 beside a published birth year; only
-    their rows are then looked at date by date.
+    its age. For the date clause the facts are first counted per patient and
+    day, of which a patient has no more than the calendar, so the join by
+    patient meets no oversized group however many rows one patient holds.
     """
     dim = tables("dim_patient")
     facts = {name: tables(name) for name in ("fct_encounter", "fct_condition")}
@@ -188,23 +189,21 @@ def safe_harbor_age_over_89_is_suppressed(tables: Tables) -> DataFrame:
         .select("patient_id")
         .join(tables("stg_patients").select("patient_id", "birth_date", "death_date"), "patient_id")
     )
-    periods = published_periods(facts["fct_encounter"], facts["fct_condition"])
-    suspects = (
-        with_year.join(latest_published(periods), "patient_id", "left")
-        .where(is_over("greatest(latest_date, death_date)"))
-        .select("patient_id", "birth_date", "death_date")
-    )
-    at_events = suspects.join(
-        periods.selectExpr(
+    days = (
+        published_periods(facts["fct_encounter"], facts["fct_condition"])
+        .selectExpr(
             "patient_id",
             "explode(array_compact(array(from_date, to_date))) as published_date",
-        ),
-        "patient_id",
+        )
+        .groupBy("patient_id", "published_date")
+        .agg(F.expr("count(*) as n"))
     )
-    at_death = suspects.selectExpr("*", "death_date as published_date")
+    at_events = with_year.join(days, "patient_id").where(is_over("published_date"))
+    at_death = with_year.where(is_over("death_date"))
+    by_date = repeat_rows(at_events.select("patient_id", "published_date", "n"), "n")
     parts.append(
-        at_events.union(at_death)
-        .where(is_over("published_date"))
+        by_date.select("patient_id")
+        .union(at_death.select("patient_id"))
         .selectExpr("patient_id", "'a published date puts this patient over 89' as violation")
     )
     for name, label in (("fct_encounter", "encounter"), ("fct_condition", "condition")):
@@ -221,19 +220,26 @@ def fact_age_and_date_do_not_imply_over_89(tables: Tables) -> DataFrame:
     """Published ages that, with the patient's latest published date, show over 89.
 
     An age at a date bounds the birth from above; the bound is an age at the
-    latest date. Uses published columns only, never the cohort.
+    latest date. Uses published columns only, never the cohort. Ages are counted
+    per patient and day before the join, for the reason given above.
     """
     periods = published_periods(tables("fct_encounter"), tables("fct_condition"))
-    latest_birth = plus_years("anchor_date", "-anchor_age")
-    return (
+    anchors = (
         periods.where("patient_age_years is not null")
-        .selectExpr(
-            "patient_id", "patient_age_years as anchor_age", "from_date as anchor_date"
+        .groupBy(
+            "patient_id",
+            F.expr("patient_age_years as anchor_age"),
+            F.expr("from_date as anchor_date"),
         )
-        .join(latest_published(periods), "patient_id")
+        .agg(F.expr("count(*) as n"))
+    )
+    latest_birth = plus_years("anchor_date", "-anchor_age")
+    implied = (
+        anchors.join(latest_published(periods), "patient_id")
         .selectExpr("*", f"{completed_years(latest_birth, 'latest_date')} as implied_age")
         .where(is_protected_age("implied_age"))
     )
+    return repeat_rows(implied, "n")
 
 
 def fact_age_is_withheld_for_the_protected_cohort(tables: Tables) -> DataFrame:
