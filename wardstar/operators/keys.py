@@ -93,10 +93,10 @@ def count_references(
     slots: dict[str, list[str]] = {parent: [] for parent in parents}
 
     def use(parent: str, slot: int, column: str) -> str:
-        return f"struct({number[parent]}, {slot}, cast(`{column}` as string))"
+        return f"{number[parent]}, {slot}, cast(`{column}` as string)"
 
     def tagged(rows: DataFrame, uses: list[str]) -> DataFrame:
-        return rows.selectExpr(f"inline(array({', '.join(uses)})) as (parent, slot, key)")
+        return rows.selectExpr(f"stack({len(uses)}, {', '.join(uses)}) as (parent, slot, key)")
 
     parts = []
     for rows, references in scans:

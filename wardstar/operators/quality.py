@@ -44,9 +44,10 @@ def repeats(scans: Sequence[tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
     for rows, columns in scans:
         keyed = []
         for name, column in columns.items():
-            keyed.append(f"struct({len(names)}, cast(`{column}` as string))")
+            keyed.append(f"{len(names)}, cast(`{column}` as string)")
             names.append(name)
-        parts.append(rows.selectExpr(f"inline(array({', '.join(keyed)})) as (rule, value)"))
+        stacked = f"stack({len(keyed)}, {', '.join(keyed)}) as (rule, value)"
+        parts.append(rows.selectExpr(stacked))
     return (
         union_all(parts)
         .where("value is not null")

@@ -22,16 +22,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """A scan of a few pieces, dealt out to all cores by key.
+    """A scan of fewer pieces than cores, dealt out to all cores by key.
 
     One row group, or one CSV file with quoted line breaks, is one task however
     large it is, and so would be every step up to the first shuffle. Choose keys
-    few rows share. A scan that keeps a quarter of the cores busy is returned as
-    it is, so data of many files never moves for this.
+    few rows share. A scan with a piece per core is returned as it is, so what
+    moves here is less than one split per core.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     pieces = rows.rdd.getNumPartitions()
-    return rows.repartition(cores, *keys) if pieces * 4 <= cores else rows
+    return rows.repartition(cores, *keys) if pieces < cores else rows
 
 
 class TableFolder:
