@@ -135,12 +135,7 @@ def star(spark):
 
 @pytest.fixture(scope="session")
 def tables(star):
-    def lookup(name: str):
-        if name.startswith("feed_"):
-            return star.feeds[name.removeprefix("feed_")]
-        return star.table(name)
-
-    return lookup
+    return star.table
 
 
 def by(rows, *keys):

@@ -12,6 +12,7 @@ from wardstar.operators.privacy import last_seen, published_dates
 from wardstar.plans import dimensions
 from wardstar.plans.staging import stage
 from wardstar.plans.star import MODELS, Star
+from wardstar.sources.feeds import csv_feeds, write_feed
 
 
 def test_fifteen_tables():
@@ -160,5 +161,14 @@ def test_row_order_changes_nothing(spark, star, name):
     assert sorted(map(str, again.lazy(name).collect())) == expected
 
 
+def test_star_from_csv_files(spark, star, tmp_path):
+    for feed, rows in star.feeds.items():
+        write_feed(rows, f"{tmp_path}/in/{feed}.csv")
+    again = Star(spark, csv_feeds(spark, f"{tmp_path}/in"), f"{tmp_path}/out")
+    for name, rows in again.build().items():
+        assert rows.schema == star.table(name).schema
+        assert sorted(map(str, rows.collect())) == sorted(map(str, star.table(name).collect()))
+
+
 def test_tables_are_written_once(star):
     assert star.table("dim_patient") is star.table("dim_patient")

@@ -83,14 +83,12 @@ class Star:
 
     def lazy(self, name: str) -> DataFrame:
         model = MODELS.get(name) or SHARED[name]
-        return model.compute(*[self._input(i) for i in model.inputs])
+        return model.compute(*[self.table(i) for i in model.inputs])
 
-    def _input(self, name: str) -> DataFrame:
+    def table(self, name: str) -> DataFrame:
+        """A written table, or with ``feed_<name>`` the raw feed as it is."""
         if name.startswith("feed_"):
             return self.feeds[name.removeprefix("feed_")]
-        return self.table(name)
-
-    def table(self, name: str) -> DataFrame:
         if name not in self._written:
             self._written[name] = self.folder.write(name, self.lazy(name))
         return self._written[name]

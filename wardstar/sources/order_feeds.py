@@ -10,6 +10,8 @@ one payer and one code hold about a third of the rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +19,27 @@ from wardstar.sources.feeds import LazyFeeds
 from wardstar.sources.tables import spread
 
 
-def order_feeds(spark: SparkSession, sf_dir: str) -> LazyFeeds:
-    """The nine raw feeds over the Parquet tables in ``sf_dir``."""
+# Keys that deal a table out evenly; the others are small directories.
+_EVEN_KEYS = {
+    "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey", "l_partkey"),
+    "events": ("event_id",),
+}
+
+
+def order_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
+    """The Parquet tables in ``sf_dir`` by name, on all cores."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(rows, *_EVEN_KEYS[name]) if name in _EVEN_KEYS else rows
+
+    return table
+
 
+def order_feeds(spark: SparkSession, sf_dir: str) -> LazyFeeds:
+    """The nine raw feeds over the Parquet tables in ``sf_dir``."""
+    table = order_tables(spark, sf_dir)
     return LazyFeeds(lambda feed: _BUILDERS[feed](table))
 
 
@@ -81,7 +98,7 @@ def _utc_text(seconds: str) -> str:
 
 def _encounters(table) -> DataFrame:
     return (
-        spread(table("orders"), "o_orderkey")
+        table("orders")
         .selectExpr(
             "*",
             "o_orderkey * 7919 % 86400 as start_second",
@@ -127,8 +144,7 @@ def _lines(table) -> DataFrame:
     heads = table("orders").selectExpr(
         "o_orderkey", "o_custkey", "cast(o_orderdate as date) as order_day"
     )
-    lines = spread(table("lineitem"), "l_orderkey", "l_partkey")
-    return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+    return table("lineitem").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def _conditions(table) -> DataFrame:
