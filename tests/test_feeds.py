@@ -78,6 +78,18 @@ def test_staging_covers_every_feed_column():
     }
 
 
+def test_bad_text_is_an_error(spark, tmp_path):
+    rows = conditions(spark, tmp_path, "p1,e1,2020-13-01,,A,d\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        stage("conditions", rows).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            stage("conditions", rows)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_unknown_feed(spark, tmp_path):
     with pytest.raises(KeyError):
         csv_feeds(spark, str(tmp_path))["allergies"]

@@ -122,6 +122,8 @@ STAGED_COLUMNS: dict[str, tuple[tuple[str, str, str], ...]] = {
 
 def stage(feed: str, rows: DataFrame) -> DataFrame:
     """The typed staging table of one raw feed."""
+    if rows.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("set spark.sql.ansi.enabled: without it bad text becomes null")
     return rows.selectExpr(
         *[f"cast(`{source}` as {kind}) as {name}" for source, name, kind in STAGED_COLUMNS[feed]]
     )

@@ -119,7 +119,8 @@ def star_over_orders(spark: SparkSession, sf_dir: str) -> Star:
     """The star over the order tables in ``sf_dir``, one per Spark application.
 
     Its tables lie in the shared folder under the application's id, so another
-    run never reads them.
+    run never reads them. Within one application they are not refreshed when the
+    files in ``sf_dir`` change.
     """
     application = spark.sparkContext.applicationId
     key = (application, sf_dir)
