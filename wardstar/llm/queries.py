@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
-from wardstar.llm import packing, sharding, token_files
+from wardstar.llm import packing, sharding, token_files, warc
 
 QUERIES = {
     "op1_sharding": sharding.query,
     "op3_token_files": token_files.query,
     "op5_packing": packing.query,
+    "op9_warc": warc.query,
+}
+ORACLES: dict[str, str] = {
+    # Twenty bytes are 32 base32 digits of five bits.
+    "op9_warc": """
+        WITH hashed AS (
+            SELECT page_id, coalesce(html, '') AS payload, list_aggregate(
+                [lpad(bin(('0x' || d)::INT), 4, '0')
+                    FOR d IN string_split(sha1(coalesce(html, '')), '')],
+                'string_agg', '') AS bits
+            FROM pages
+        ), largest AS (
+            SELECT payload, max(page_id) AS page_id FROM hashed GROUP BY payload
+        )
+        SELECT h.page_id, strlen(h.payload)::BIGINT AS payload_bytes, list_aggregate(
+                [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    1 + ('0b' || substr(bits, 1 + 5 * k, 5))::INT, 1) FOR k IN range(32)],
+                'string_agg', '') AS payload_digest,
+            CASE WHEN h.page_id = l.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN h.page_id <> l.page_id THEN l.page_id END AS refers_to
+        FROM hashed h JOIN largest l ON h.payload = l.payload
+    """
 }
-ORACLES: dict[str, str] = {}
