@@ -43,10 +43,10 @@ class Words:
     ``first[d + 1]``.
     """
 
-    def __init__(self, documents: list[bytes], lower: bool):
+    def __init__(self, documents: list[bytes], lower: bool, space: np.ndarray = SPACE):
         raw = np.frombuffer(b"\n".join(documents), np.uint8)
         self.data = LOWER[raw] if lower else raw
-        space = SPACE[self.data]
+        space = space[self.data]
         edge = np.diff(np.concatenate(([True], space, [True])).view(np.int8))
         self.starts = np.flatnonzero(edge == -1)
         self.ends = np.flatnonzero(edge == 1)
@@ -73,6 +73,16 @@ class Words:
             i = j
         return mix(out)
 
+    def prefixes(self, n: int) -> np.ndarray:
+        """A hash of the first ``n`` bytes of each word; 0 for words not longer than that."""
+        longer = np.flatnonzero(self.ends - self.starts > n)
+        total = np.full(len(longer), n, np.uint64)
+        for k in range(n):
+            total += BYTE[self.data[self.starts[longer] + k]] * _UP[k + 1]
+        out = np.zeros(len(self.starts), np.uint64)
+        out[longer] = mix(total)
+        return out
+
     def __len__(self) -> int:
         return len(self.first) - 1
 
@@ -93,3 +103,8 @@ def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
         factor = factor * BASE % (1 << 64)
         total += hashes[k : k + size] * np.uint64(factor)
     return mix(total)
+
+
+#: White space and every ASCII character that is no letter, digit or apostrophe.
+MARKED = SPACE.copy()
+MARKED[[b for b in range(128) if not chr(b).isalnum() and chr(b) != "'"]] = True
