@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wardstar.llm import packing, sharding, token_files, toxicity, warc
+from wardstar.llm import packing, sharding, syncmers, token_files, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.query,
     "op3_token_files": token_files.query,
     "op5_packing": packing.query,
+    "op6_fingerprints": syncmers.query,
     "op7_toxicity": toxicity.query,
     "op9_warc": warc.query,
 }
