@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from wardstar.llm import packing, sharding, syncmers, token_files, toxicity, warc
+from wardstar.llm import minhash, packing, sharding, syncmers, token_files, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.query,
+    "op2_near_dedup": minhash.query,
     "op3_token_files": token_files.query,
     "op5_packing": packing.query,
     "op6_fingerprints": syncmers.query,
