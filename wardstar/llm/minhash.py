@@ -29,8 +29,12 @@ COORDINATES, BAND_ROWS = 128, 4
 BANDS = COORDINATES // BAND_ROWS
 #: Of the lowest bits of two sketches' coordinates, a pair at 0.75 differs in 16 on
 #: average with deviation 3.7; pairs that differ in more than this are no links.
-MOST_BITS = 38
-ROUNDS = 6
+MOST_BITS = 35
+#: Rounds in which a class meets the best of its buckets' representatives, before
+#: every pair that may still be a link is compared.
+ROUNDS = 3
+#: Classes outside the largest components, and members, that one cell compares.
+BLOCK, MEMBERS = 64, 512
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BAND_SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 
@@ -178,81 +182,170 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def shared_sizes(held: DataFrame) -> DataFrame:
+    """node, n (set size) and shared (shingles that another class of ``held`` has too).
+
+    A link lies in the shared shingles, so a class with few of them has none, and
+    two classes overlap at most in the smaller number of shared ones.
+    """
+    schema = pa.schema([("node", pa.int64()), ("shingle", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in texts(batches):
+            words = Words(found, True)
+            ids = batch.column("doc_id").to_numpy()
+            sets = [
+                shingle_set(words.hashes[first:last])
+                for first, last in zip(words.first[:-1], words.first[1:], strict=True)
+            ]
+            nodes = np.repeat(ids, [len(s) for s in sets])
+            yield emit(schema, node=nodes, shingle=np.concatenate(sets).view(np.int64))
+
+    rows = held.mapInArrow(run, "node long, shingle long")
+    own = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+    own = own.where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return own
+
+
+def may_link(x: str, y: str) -> F.Column:
+    """Whether sizes, shared shingles and low bits of two classes allow a link."""
+    return (
+        F.expr(f"7 * least({x}.shared, {y}.shared) >= 3 * ({x}.n + {y}.n)")
+        & F.expr(f"4 * least({x}.n, {y}.n) >= 3 * greatest({x}.n, {y}.n)")
+        & (_differing(x, y) <= MOST_BITS)
+    )
+
+
+def _differing(x: str, y: str) -> F.Column:
+    return F.expr(
+        f"bit_count({x}.bits0 ^ {y}.bits0) + bit_count({x}.bits1 ^ {y}.bits1)"
+    )
+
+
 def link_classes(reps: DataFrame, docs: DataFrame) -> DataFrame:
     """node and component of the classes (doc_id, n, bands, bits) with candidates.
 
-    A class without candidates is missing from the result.
+    A class without candidates may be missing from the result.
     """
-    members = reps.select(
-        F.col("doc_id").alias("node"), "n", "bits0", "bits1", F.explode("bands").alias("band")
-    )
+    members = reps.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
     # Counts move, not members: a bucket of many classes is a row for each task.
-    several = members.groupBy("band").agg(
-        F.min("node").alias("rep"), F.count(F.lit(1)).alias("size")
-    )
-    several = several.where("size > 1")
-    buckets = cut(members.join(several.select("band", "rep"), "band"), "buckets")
-    nodes = cut(buckets.groupBy("node").agg(F.first("n").alias("n"), F.min("rep").alias("rep")), "nodes")
-    held = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    several = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    buckets = cut(members.join(several.select("band"), "band"), "buckets")
+    nodes = buckets.select(F.col("node").alias("doc_id")).distinct()
+    held = docs.join(nodes, "doc_id", "left_semi")
     held = cut(held.groupBy("doc_id").agg(F.min("text").alias("text")), "candidates")
-    first = nodes.where("rep <> node").select(F.col("node").alias("b"), F.col("rep").alias("a"))
-    links = cut(verified(first, held), "links")
-    labels = nodes.select("node", F.col("node").alias("component"))
-    labels = _relabelled(labels, links)
-    total = nodes.count()
+    own = shared_sizes(held)
+    sizes = reps.join(nodes, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sizes = sizes.withColumnRenamed("doc_id", "node").join(own, "node", "left")
+    sizes = sizes.withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
+    # A link covers three quarters of either set.
+    one = F.struct("node", "n", "shared", "bits0", "bits1").alias("one")
+    sizes = cut(sizes.where("4 * shared >= 3 * n").select("node", one), "sizes")
+    buckets = cut(buckets.join(sizes, "node"), "buckets")
+    labels = sizes.select("node", F.col("node").alias("component"))
+    total = sizes.count()
     for turn in range(ROUNDS + 1):
         named = buckets.join(labels, "node")
-        by_component = named.groupBy("band", "component").agg(
-            F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("pick")
-        )
-        open_bands = by_component.groupBy("band").agg(
-            F.min(F.struct("component", "pick")).alias("low"),
-            F.max(F.struct("component", "pick")).alias("high"),
+        pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("turn"), "one")).alias("pick")
+        parts = named.groupBy("band", "component").agg(F.count(F.lit(1)).alias("m"), pick)
+        open_bands = parts.groupBy("band").agg(
+            F.max(F.struct("m", "component", "pick")).alias("main"),
             ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"),
         )
-        open_bands = cut(open_bands.where("low.component <> high.component"), "open-buckets")
+        open_bands = cut(open_bands.where("pairs > 0"), "open-buckets")
         pending = open_bands.agg(F.sum("pairs")).first()[0] or 0
         if not pending:
             break
-        unsettled = named.join(open_bands, "band")
-        exhaustive = pending <= 4 * total or turn == ROUNDS
-        if exhaustive:
-            pairs = _all_between(unsettled)
+        last = pending <= BLOCK * total or turn == ROUNDS
+        if last:
+            links = links_in_blocks(named, open_bands, held)
         else:
-            low, high = (
-                F.when(
-                    F.col("component") != F.col(f"{end}.component"), F.col(f"{end}.pick.node")
-                )
-                for end in ("low", "high")
-            )
-            pairs = unsettled.select(
-                F.col("node").alias("x"), F.explode(F.array(low, high)).alias("y")
-            ).where("y is not null")
-            pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        links = cut(verified(pairs.distinct(), held), "links")
+            links = verified(_best_of_mains(named, open_bands), held)
+        links = cut(links, "links")
         labels = _relabelled(labels, links)
-        if exhaustive:
+        if last:
             break
     return labels
 
 
-def _all_between(unsettled: DataFrame) -> DataFrame:
-    """Every pair of a bucket from different components that its sketches allow.
+def _pair(x: str, y: str) -> list[F.Column]:
+    nodes = (F.col(f"{x}.node"), F.col(f"{y}.node"))
+    return [F.least(*nodes).alias("a"), F.greatest(*nodes).alias("b")]
+
+
+def _best_of_mains(named: DataFrame, open_bands: DataFrame) -> DataFrame:
+    """For each class outside the largest component of a bucket, one pair.
+
+    Of the representatives that the largest components of its buckets show this
+    round, the one whose sketch is nearest.
+    """
+    outside = named.join(open_bands.select("band", "main"), "band")
+    outside = outside.where("component <> main.component").select(
+        "node", "one", F.col("main.pick.one").alias("other")
+    )
+    outside = outside.where(may_link("one", "other"))
+    nearest = F.min(F.struct(_differing("one", "other").alias("bits"), "other", "one"))
+    outside = outside.groupBy("node").agg(nearest.alias("nearest"))
+    return outside.select(*_pair("nearest.one", "nearest.other"))
+
+
+def links_in_blocks(named: DataFrame, open_bands: DataFrame, held: DataFrame) -> DataFrame:
+    """Every link between components that an open bucket holds.
 
-    Set sizes within three quarters of each other and close low bits are necessary
-    for a link, up to the error stated at MOST_BITS.
+    For each largest component the classes beside it in some bucket are a query set,
+    dealt to blocks, and all classes of those buckets are dealt to chunks; a task
+    compares one block with one chunk and returns links only. So no group is met
+    whole in a task, and no pair is a row.
     """
-    x = unsettled.select("band", *[F.col(c).alias(f"x_{c}") for c in ("node", "component", "n", "bits0", "bits1")])
-    y = unsettled.select("band", *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "n", "bits0", "bits1")])
-    bits = F.expr("bit_count(x_bits0 ^ y_bits0) + bit_count(x_bits1 ^ y_bits1)")
-    joined = x.join(
-        y,
-        (x["band"] == y["band"])
-        & F.expr("x_node < y_node and x_component <> y_component")
-        & F.expr("4 * least(x_n, y_n) >= 3 * greatest(x_n, y_n)")
-        & (bits <= MOST_BITS),
+    mains = open_bands.select("band", F.col("main.component").alias("main"))
+    rows = named.join(mains, "band").select("main", "node", "one", "component").distinct()
+    rows = rows.join(held.withColumnRenamed("doc_id", "node"), "node")
+    rows = cut(rows, "unsettled")
+    sizes = rows.groupBy("main").agg(
+        F.ceil(F.count_if(F.col("component") != F.col("main")) / BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("chunks"),
     )
-    return joined.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
+    rows = rows.join(sizes, "main")
+    names = ["main", "block", "chunk", "node", "component", "text"]
+    numbers = ["n"]
+    kept = [*names, *[F.col(f"one.{c}").alias(c) for c in numbers]]
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    every = {c: F.explode(F.sequence(F.lit(0), F.col(f"{c}s") - 1)) for c in ("block", "chunk")}
+    queries = rows.where("component <> main").withColumn("block", block)
+    queries = queries.withColumn("chunk", every["chunk"]).select(*kept)
+    members = rows.withColumn("chunk", chunk).withColumn("block", every["block"]).select(*kept)
+    members = members.toDF(*members.columns)  # columns of their own, beside the queries'
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if left.num_rows:
+            columns = [
+                {c: t.column(c).to_numpy() for c in ("node", "component", *numbers)}
+                for t in (left, right)
+            ]
+            sets = [
+                [shingle_set(Words([(t or "").encode()], True).hashes) for t in x.column("text").to_pylist()]
+                for x in (left, right)
+            ]
+            known, place = np.unique(np.concatenate(sets[0]), return_inverse=True)
+            held = np.zeros((left.num_rows, len(known)), np.uint8)
+            held[np.repeat(np.arange(left.num_rows), [len(s) for s in sets[0]]), place] = 1
+            x, y = columns
+            for k, own in enumerate(sets[1]):
+                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                both = held[:, at[known[at] == own]].sum(axis=1, dtype=np.int64)
+                link = 100 * both >= 75 * (x["n"] + len(own) - both)
+                for i in np.flatnonzero(link & (x["component"] != y["component"][k])):
+                    found.append((int(x["node"][i]), int(y["node"][k])))
+        return pa.table({
+            "a": pa.array([min(p) for p in found], pa.int64()),
+            "b": pa.array([max(p) for p in found], pa.int64()),
+        })
+
+    cell = ["main", "block", "chunk"]
+    cells = queries.groupBy(*cell).cogroup(members.groupBy(*cell))
+    return cells.applyInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
