@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardstar.llm import minhash, packing, sharding, syncmers, token_files, toxicity, warc
+from wardstar.llm import decontamination, minhash, packing, sharding, syncmers, token_files, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_fingerprints": syncmers.query,
     "op7_toxicity": toxicity.query,
     "op9_warc": warc.query,
+    "op10_decontamination": decontamination.query,
 }
 ORACLES: dict[str, str] = {
     # Twenty bytes are 32 base32 digits of five bits.
