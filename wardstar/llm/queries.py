@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardstar.llm import decontamination, minhash, packing, sharding, syncmers, token_files, toxicity, warc
+from wardstar.llm import decontamination, minhash, packing, sharding, substrings, syncmers, token_files, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_packing": packing.query,
     "op6_fingerprints": syncmers.query,
     "op7_toxicity": toxicity.query,
+    "op8_substring_dedup": substrings.query,
     "op9_warc": warc.query,
     "op10_decontamination": decontamination.query,
 }
