@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wardstar.llm import decontamination, minhash, packing, sharding, substrings, syncmers, token_files, toxicity, warc
+from wardstar.llm import decontamination, language_model, minhash, packing, sharding, substrings, syncmers, token_files, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.query,
     "op2_near_dedup": minhash.query,
     "op3_token_files": token_files.query,
+    "op4_language_model": language_model.query,
     "op5_packing": packing.query,
     "op6_fingerprints": syncmers.query,
     "op7_toxicity": toxicity.query,
