@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -32,11 +33,18 @@ def cut(rows: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back.
 
     Cuts the lineage: what is read more than once is computed once, and a lost
-    executor costs no recomputation of what was written before.
+    executor costs no recomputation of what was written before. Spark deletes the
+    shuffle files of a finished step once the driver has collected its plan as
+    garbage, which a driver with free memory may not do for long; so ask for it.
     """
-    path = work_folder(rows.sparkSession, name)
+    spark = rows.sparkSession
+    path = work_folder(spark, name)
     rows.write.option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    schema = rows.schema
+    del rows
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -10,23 +10,25 @@ words, and streams its pieces through it to find every occurrence.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from wardstar.llm.common import cut, emit, partitions, table, texts
-from wardstar.llm.words import Words, mix, ngrams
+from wardstar.llm.words import BASE, INVERSE, Words, mix, ngrams, powers
 
-WINDOW, ANCHOR = 20, 8
+WINDOW, ANCHOR = 20, 5
 #: Shards for each shuffle partition, so an automaton stays far below a task's memory.
 SHARDS = 4
 #: Code points a word may be written as in an automaton.
-CODES = [*range(0x100, 0xD800), *range(0xE000, 0x110000)]
+CODES = np.array([*range(0x100, 0xD800), *range(0xE000, 0x110000)], "<u4")
+#: Pieces that a task remembers to have sent with their words.
+REMEMBERED = 200_000
 
 
 def window_anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -35,16 +37,30 @@ def window_anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if count <= 0:
         return (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))
     grams = ngrams(words.hashes, ANCHOR)
-    ranked = mix(grams)
-    span = WINDOW - ANCHOR + 1
-    least = np.lib.stride_tricks.sliding_window_view(ranked, span).argmin(axis=1)
+    # The low bits of the rank are the place, so the least rank tells where it is.
+    low = np.uint64(0xFFFF)
+    least = (mix(grams) & ~low) | (np.arange(len(grams), dtype=np.uint64) & low)
+    span, width = WINDOW - ANCHOR + 1, 1
+    while 2 * width <= span:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    least = np.minimum(least[:count], least[span - width : span - width + count])
     at = np.arange(count)
+    anchor = at + (((least & low).astype(np.int64) - at) & 0xFFFF)
     owner = words.documents()
     inside = owner[at] == owner[at + WINDOW - 1]
-    at, anchor = at[inside], (at + least)[inside]
+    at, anchor = at[inside], anchor[inside]
     return at, anchor, grams[anchor]
 
 
+def _digests(hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A hash of the words low up to high for each pair."""
+    up, down = powers(BASE, len(hashes) + 1), powers(INVERSE, len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(mix(hashes) * up[:-1], out=sums[1:])
+    return mix((sums[high] - sums[low]) * down[low] + (high - low).astype(np.uint64))
+
+
 def _anchor_rows(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("_key", pa.int64()), ("anchors", pa.list_(pa.int64()))])
 
@@ -63,122 +79,175 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
 
 
 def _piece_rows(docs: DataFrame) -> DataFrame:
-    """Pieces of the documents (_key, _order, text, anchors that occur again)."""
+    """Pieces of the documents (_key, _order, text, anchors that occur again).
+
+    The words of a piece come with the first two of its occurrences in a task and
+    with any that is earlier than all before, so a shard learns whether the piece
+    recurs and where first, however often a task met it.
+    """
     schema = pa.schema([
         ("_key", pa.int64()), ("_order", pa.int64()), ("anchor", pa.int64()),
-        ("place", pa.int64()), ("windows", pa.int32()), ("digest", pa.binary()),
+        ("digest", pa.int64()), ("place", pa.int64()), ("windows", pa.int32()),
         ("words", pa.binary()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[tuple[int, int], list] = {}
         for batch, found in texts(batches):
             words = Words(found, False)
             at, places, hashes = window_anchors(words)
-            owner = words.documents()
-            rows: dict[str, list] = {n: [] for n in schema.names}
-            keys, orders = batch.column("_key").to_pylist(), batch.column("_order").to_pylist()
+            owner = words.documents()[at] if len(at) else at
+            hashes = hashes.view(np.int64)
             again = [np.array(a, np.int64) for a in batch.column("anchors").to_pylist()]
-            data = words.data
             cuts = np.searchsorted(at, words.first)
+            kept = np.zeros(len(at), bool)
             for d, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                kept = np.flatnonzero(np.isin(hashes[a:b].view(np.int64), again[d])) + a
-                if not len(kept):
-                    continue
-                new = np.flatnonzero((np.diff(places[kept]) != 0) | (np.diff(kept) != 1)) + 1
-                for run in np.split(kept, new):
-                    low, high = int(at[run[0]]), int(at[run[-1]]) + WINDOW
-                    text = data[words.starts[low] : words.ends[high - 1]].tobytes()
-                    text = b" ".join(text.split())
-                    rows["_key"].append(keys[d])
-                    rows["_order"].append(orders[d])
-                    rows["anchor"].append(int(hashes[run[0]].view(np.int64)))
-                    rows["place"].append(low - int(words.first[d]))
-                    rows["windows"].append(len(run))
-                    rows["digest"].append(xxhash.xxh3_128_digest(text))
-                    rows["words"].append(text)
-            if rows["_key"]:
-                yield emit(schema, **rows)
+                kept[a:b] = np.isin(hashes[a:b], again[d])
+            chosen = np.flatnonzero(kept)
+            if not len(chosen):
+                continue
+            new = (np.diff(places[chosen]) != 0) | (np.diff(chosen) != 1)
+            new |= np.diff(owner[chosen]) != 0
+            starts = np.concatenate(([0], np.flatnonzero(new) + 1))
+            sizes = np.diff(np.concatenate((starts, [len(chosen)])))
+            first = chosen[starts]
+            low, high = at[first], at[first] + sizes + WINDOW - 1
+            digest = _digests(words.hashes, low, high).view(np.int64)
+            doc = owner[first]
+            order = batch.column("_order").to_numpy()[doc]
+            place = low - words.first[doc]
+            spans = zip(
+                digest.tolist(), hashes[first].tolist(), order.tolist(), place.tolist(),
+                words.starts[low].tolist(), words.ends[high - 1].tolist(), strict=True,
+            )
+            data, sent = words.data, []
+            for piece, anchor, o, p, begin, end in spans:
+                if len(met) > REMEMBERED:
+                    met.clear()
+                seen = met.get((anchor, piece))
+                if seen is None:
+                    seen = met[anchor, piece] = [0, (o, p)]
+                if seen[0] < 2 or (o, p) < seen[1]:
+                    seen[0] += 1
+                    seen[1] = min(seen[1], (o, p))
+                    sent.append(b" ".join(data[begin:end].tobytes().split()))
+                else:
+                    sent.append(None)
+            yield emit(
+                schema, _key=batch.column("_key").to_numpy()[doc], _order=order,
+                anchor=hashes[first], digest=digest, place=place, windows=sizes, words=sent,
+            )
 
     return docs.select("_key", "_order", "text", "anchors").mapInArrow(
         run,
-        "_key long, _order long, anchor long, place long, windows int, digest binary, "
-        "words binary",
+        "_key long, _order long, anchor long, digest long, place long, windows int, words binary",
     )
 
 
+class Shard:
+    """All pieces of some anchors: their words, and every window with its first place."""
+
+    def __init__(self, pieces: list[bytes], order: np.ndarray, place: np.ndarray):
+        self.words = Words(pieces, False)
+        counts = self.words.counts()
+        codes = np.unique(self.words.hashes, return_inverse=True)[1]
+        # One character for a word; two where a shard has more words than characters.
+        wide = 1 if not len(codes) or codes.max() < len(CODES) else 2
+        self.wide = wide
+        spelled = CODES[codes[:, None] // len(CODES) ** np.arange(wide - 1, -1, -1) % len(CODES)]
+        self.text = spelled.astype("<u4").tobytes().decode("utf-32-le")
+        owner = self.words.documents()
+        at = np.arange(max(0, len(codes) - WINDOW + 1))
+        self.at = at[owner[at] == owner[at + WINDOW - 1]]
+        self.owner = owner[self.at]
+        self.offset = self.at - self.words.first[self.owner]
+        self.order, self.place = order[self.owner], place[self.owner] + self.offset
+        self.counts = counts
+
+    def recurring(self) -> tuple[list[str], np.ndarray]:
+        """The confirmed windows as patterns, and for each the (order, place) it starts first."""
+        kind = np.unique(ngrams(self.words.hashes, WINDOW)[self.at], return_inverse=True)[1]
+        ranked = np.lexsort((self.place, self.order, kind))
+        kind, order, place = kind[ranked], self.order[ranked], self.place[ranked]
+        head = np.flatnonzero(np.diff(kind, prepend=-1))
+        # A place sent twice is one occurrence.
+        moved = (np.diff(order) != 0) | (np.diff(place) != 0)
+        moved = np.concatenate(([0], moved & (np.diff(kind) == 0)))
+        recurs = np.add.reduceat(moved, head) > 0 if len(head) else np.empty(0, bool)
+        chosen = head[recurs]
+        step = WINDOW * self.wide
+        starts = (self.at[ranked[chosen]] * self.wide).tolist()
+        return (
+            [self.text[s : s + step] for s in starts],
+            np.stack((order[chosen], place[chosen]), axis=1),
+        )
+
+    def before(self) -> list[np.ndarray]:
+        """For each piece the offsets of its windows that start earlier elsewhere."""
+        import ahocorasick
+
+        patterns, first = self.recurring()
+        out = [np.empty(0, np.int64)] * len(self.counts)
+        if not patterns:
+            return out
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for k, pattern in enumerate(patterns):
+            automaton.add_word(pattern, k)
+        automaton.make_automaton()
+        hits = itertools.chain.from_iterable(automaton.iter(self.text))
+        hits = np.fromiter(hits, np.int64).reshape(-1, 2)
+        start = hits[:, 0] + 1 - WINDOW * self.wide
+        aligned = start % self.wide == 0
+        start, earliest = start[aligned] // self.wide, first[hits[aligned, 1]]
+        # A pattern may also lie across two pieces, where there is no window.
+        window = np.minimum(np.searchsorted(self.at, start), len(self.at) - 1)
+        inside = self.at[window] == start
+        window, earliest = window[inside], earliest[inside]
+        order, place = self.order[window], self.place[window]
+        late = (earliest[:, 0] < order) | ((earliest[:, 0] == order) & (earliest[:, 1] < place))
+        window = np.sort(window[late])
+        cuts = np.searchsorted(self.owner[window], np.arange(len(self.counts) + 1))
+        return [self.offset[window[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def _first_windows(pieces: DataFrame) -> DataFrame:
-    """digest, first occurrence of each distinct piece, and its windows that came before.
+    """anchor, digest, first occurrence of each piece, and its windows that came before.
 
-    ``pieces`` has anchor, digest, words, first (order, place) and n, with all
-    pieces of an anchor in one partition. A window recurs if it occurs twice in all.
+    ``pieces`` has anchor, digest, order, place and words, with all pieces of an
+    anchor in one partition; a piece may come several times.
     """
     schema = pa.schema([
-        ("digest", pa.binary()), ("first_order", pa.int64()), ("first_place", pa.int64()),
-        ("before", pa.list_(pa.int32())),
+        ("anchor", pa.int64()), ("digest", pa.int64()), ("first_order", pa.int64()),
+        ("first_place", pa.int64()), ("before", pa.list_(pa.int32())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        codes: dict[bytes, int] = {}
-        rows: list[tuple[bytes, tuple[int, int], int, list[int]]] = []
+        columns: dict[str, list] = {c: [] for c in ("anchor", "digest", "_order", "place")}
+        words: list[bytes] = []
         for batch in batches:
-            for row in batch.to_pylist():
-                phrase = [codes.setdefault(w, len(codes)) for w in row["words"].split(b" ")]
-                rows.append((row["digest"], (row["order"], row["place"]), row["n"], phrase))
-        if not rows:
+            for c, parts in columns.items():
+                parts.append(batch.column(c).to_numpy())
+            words += batch.column("words").to_pylist()
+        if not words:
             return
-        # One character for a word; two where a shard has more words than characters.
-        wide = 1 if len(codes) <= len(CODES) else 2
-        size = len(CODES)
-
-        def spelled(phrase: list[int]) -> str:
-            if wide == 1:
-                return "".join([chr(CODES[c]) for c in phrase])
-            return "".join([chr(CODES[c // size]) + chr(CODES[c % size]) for c in phrase])
-
-        first: dict[str, tuple[int, int]] = {}
-        recurs: set[str] = set()
-        written = [spelled(r[3]) for r in rows]
-        step = WINDOW * wide
-        for (_, (order, place), n, _), text in zip(rows, written, strict=True):
-            for k in range(0, len(text) - step + 1, wide):
-                window, here = text[k : k + step], (order, place + k // wide)
-                known = first.setdefault(window, here)
-                if known is not here:
-                    recurs.add(window)
-                    if here < known:
-                        first[window] = here
-                elif n > 1:
-                    recurs.add(window)
-        automaton = ahocorasick.Automaton()
-        for window in recurs:
-            automaton.add_word(window, first[window])
-        out: list[tuple] = []
-        if len(automaton):
-            automaton.make_automaton()
-        for (digest, (order, place), _, _), text in zip(rows, written, strict=True):
-            before = []
-            for end, earliest in automaton.iter(text) if len(automaton) else ():
-                k, odd = divmod(end + 1 - step, wide)
-                if not odd and earliest < (order, place + k):
-                    before.append(k)
-            out.append((digest, order, place, before))
-            if len(out) == 10_000:
-                yield _rows(schema, out)
-                out = []
-        if out:
-            yield _rows(schema, out)
+        anchor, digest, order, place = (np.concatenate(p) for p in columns.values())
+        before = Shard(words, order, place).before()
+        # Of the times a piece came, the earliest is its first occurrence.
+        ranked = np.lexsort((place, order, digest, anchor))
+        new = np.diff(digest[ranked], prepend=digest[ranked[0]] - 1) != 0
+        new |= np.diff(anchor[ranked], prepend=anchor[ranked[0]] - 1) != 0
+        chosen = ranked[new]
+        yield emit(
+            schema, anchor=anchor[chosen], digest=digest[chosen], first_order=order[chosen],
+            first_place=place[chosen], before=[before[k] for k in chosen.tolist()],
+        )
 
     return pieces.mapInArrow(
-        run, "digest binary, first_order long, first_place long, before array<int>"
+        run,
+        "anchor long, digest long, first_order long, first_place long, before array<int>",
     )
 
 
-def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
-    return emit(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without the words of windows that also start earlier.
 
@@ -196,7 +265,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         "_key": F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"),
         "_order": F.coalesce("doc_id", F.lit(-(2**63)).cast("long")),
     })
-    spread = cut(_anchor_rows(rows).dropDuplicates(["_key"]), "anchors")
+    spread = cut(_anchor_rows(rows), "anchors")
     each = spread.select("_key", F.explode("anchors").alias("anchor"))
     # Counted before they move, so an anchor of many documents is a row for each task.
     again = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -204,15 +273,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     lists = each.join(again, "anchor").groupBy("_key").agg(F.collect_set("anchor").alias("anchors"))
     searched = rows.select("_key", "_order", "text").join(lists, "_key")
     pieces = cut(_piece_rows(searched), "pieces")
-    distinct = pieces.groupBy("anchor", "digest", "words").agg(
-        F.min(F.struct("_order", "place")).alias("first"), F.count(F.lit(1)).alias("n")
-    )
-    distinct = distinct.select(
-        "anchor", "digest", "words", F.col("first._order").alias("order"), "first.place", "n"
+    sent = pieces.where("words is not null")
+    shards = sent.select("anchor", "digest", "_order", "place", "words").repartition(
+        SHARDS * partitions(spark), "anchor"
     )
-    shards = distinct.repartition(SHARDS * partitions(spark), "anchor").drop("anchor")
     firsts = cut(_first_windows(shards), "first-windows")
-    found = pieces.drop("words", "anchor").join(firsts, "digest")
+    found = pieces.drop("words").join(firsts, ["anchor", "digest"])
     is_first = (F.col("_order") == F.col("first_order")) & (F.col("place") == F.col("first_place"))
     found = found.where(~is_first | (F.size("before") > 0)).select(
         "_key",

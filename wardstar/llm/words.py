@@ -18,13 +18,14 @@ LOWER[0x41:0x5B] += 32
 REACH = 1 << 20
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
+    """The powers 0 up to n of a base, modulo 2^64."""
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.cumprod(out)
 
 
-_UP, _DOWN = _powers(BASE, REACH + 1), _powers(INVERSE, REACH + 1)
+_UP, _DOWN = powers(BASE, REACH + 1), powers(INVERSE, REACH + 1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -64,7 +65,7 @@ class Words:
             j = max(i + 1, int(np.searchsorted(self.ends, base + REACH, "right")))
             n = int(self.ends[j - 1] - base)
             up, down = (_UP, _DOWN) if n <= REACH else (
-                _powers(BASE, n + 1), _powers(INVERSE, n + 1)
+                powers(BASE, n + 1), powers(INVERSE, n + 1)
             )
             sums = np.zeros(n + 1, np.uint64)
             np.cumsum(BYTE[self.data[base : base + n]] * up[:n], out=sums[1:])
