@@ -25,7 +25,10 @@ from wardstar.llm.words import BASE, INVERSE, Words, mix, ngrams, powers
 WINDOW, ANCHOR = 20, 5
 #: Shards for each shuffle partition, so an automaton stays far below a task's memory.
 SHARDS = 4
-#: Code points a word may be written as in an automaton.
+#: Words that an automaton reads as one character. A window is WINDOW / UNIT of them,
+#: and a text is read once for each place within a unit that it may begin at.
+UNIT = 5
+#: Code points a unit may be written as in an automaton.
 CODES = np.array([*range(0x100, 0xD800), *range(0xE000, 0x110000)], "<u4")
 #: Pieces that a task remembers to have sent with their words.
 REMEMBERED = 200_000
@@ -150,14 +153,18 @@ class Shard:
     def __init__(self, pieces: list[bytes], order: np.ndarray, place: np.ndarray):
         self.words = Words(pieces, False)
         counts = self.words.counts()
-        codes = np.unique(self.words.hashes, return_inverse=True)[1]
-        # One character for a word; two where a shard has more words than characters.
+        units = ngrams(self.words.hashes, UNIT)
+        places = [np.arange(phase, len(units), UNIT) for phase in range(UNIT)]
+        self.read = np.concatenate(places)  # the place of each unit as it is read
+        self.written = np.argsort(self.read)
+        codes = np.unique(units[self.read], return_inverse=True)[1]
+        # One character for a unit; two where a shard has more units than characters.
         wide = 1 if not len(codes) or codes.max() < len(CODES) else 2
         self.wide = wide
         spelled = CODES[codes[:, None] // len(CODES) ** np.arange(wide - 1, -1, -1) % len(CODES)]
         self.text = spelled.astype("<u4").tobytes().decode("utf-32-le")
         owner = self.words.documents()
-        at = np.arange(max(0, len(codes) - WINDOW + 1))
+        at = np.arange(max(0, len(owner) - WINDOW + 1))
         self.at = at[owner[at] == owner[at + WINDOW - 1]]
         self.owner = owner[self.at]
         self.offset = self.at - self.words.first[self.owner]
@@ -175,8 +182,8 @@ class Shard:
         moved = np.concatenate(([0], moved & (np.diff(kind) == 0)))
         recurs = np.add.reduceat(moved, head) > 0 if len(head) else np.empty(0, bool)
         chosen = head[recurs]
-        step = WINDOW * self.wide
-        starts = (self.at[ranked[chosen]] * self.wide).tolist()
+        step = WINDOW // UNIT * self.wide
+        starts = (self.written[self.at[ranked[chosen]]] * self.wide).tolist()
         return (
             [self.text[s : s + step] for s in starts],
             np.stack((order[chosen], place[chosen]), axis=1),
@@ -196,12 +203,14 @@ class Shard:
         automaton.make_automaton()
         hits = itertools.chain.from_iterable(automaton.iter(self.text))
         hits = np.fromiter(hits, np.int64).reshape(-1, 2)
-        start = hits[:, 0] + 1 - WINDOW * self.wide
+        units = WINDOW // UNIT
+        start = hits[:, 0] + 1 - units * self.wide
         aligned = start % self.wide == 0
         start, earliest = start[aligned] // self.wide, first[hits[aligned, 1]]
-        # A pattern may also lie across two pieces, where there is no window.
-        window = np.minimum(np.searchsorted(self.at, start), len(self.at) - 1)
-        inside = self.at[window] == start
+        # A match may also lie across two readings or two pieces; that is no window.
+        at = self.read[start]
+        window = np.minimum(np.searchsorted(self.at, at), len(self.at) - 1)
+        inside = (self.at[window] == at) & (self.read[start + units - 1] == at + WINDOW - UNIT)
         window, earliest = window[inside], earliest[inside]
         order, place = self.order[window], self.place[window]
         late = (earliest[:, 0] < order) | ((earliest[:, 0] == order) & (earliest[:, 1] < place))
