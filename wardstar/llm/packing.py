@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import emit, firsts, in_order, positions, table, texts
+from wardstar.llm.common import cut, emit, firsts, in_order, positions, table, texts
 from wardstar.llm.tokens import default_path, encoder
 
 
@@ -155,7 +155,8 @@ def pack(
 
     ids = ", ids binary" if with_ids else ""
     cutting = "doc_id long, piece int, start long, length long, ids_crc32 long" + ids
-    rows = docs.select("doc_id", "text").mapInArrow(pieces, cutting)
+    # Written before it is sorted: sorting reads its input twice, once for samples.
+    rows = cut(docs.select("doc_id", "text").mapInArrow(pieces, cutting), "pieces")
     rows = in_order(
         rows, F.col("length").desc(), "doc_id", "piece", "ids_crc32", name="pieces"
     )
