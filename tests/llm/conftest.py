@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi".split()
+
+
+def phrase(seed: int, n: int) -> str:
+    """Words that repeat nowhere else, from a small generator."""
+    return " ".join(f"{WORDS[(seed * 7 + k * k) % 16]}{seed}x{k}" for k in range(n))
+
+
+@pytest.fixture(scope="session")
+def rows():
+    shared = phrase(99, 60)
+    base = phrase(3, 80)
+    near = base.replace("3x40", "3y40")
+    return [
+        (1, phrase(1, 50) + " " + shared, "en", "a", 1),
+        (2, shared + "\n " + phrase(2, 30), "en", "a", 1),
+        (3, base, "en", "a", 1),
+        (4, near, "en", "a", 1),
+        (5, base, "en", None, 1),
+        (6, None, None, "a", None),
+        (7, "", "en", "a", 0),
+        (8, " \t\n", "en", "a", 3),
+        (9, "Two words", "en", "a", 9),
+        (10, phrase(10, 3000), "en", "a", 1),
+        (11, " ".join(["again and"] * 60), "en", "a", 1),
+        (None, phrase(12, 40), "en", "a", 1),
+        (13, base, "en", "a", 1),
+        (13, base, "en", "a", 1),
+        (14, "漢字 é 😀 " * 9, "zz", "a", 1),
+    ]
+
+
+@pytest.fixture(scope="session")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
