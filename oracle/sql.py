@@ -428,14 +428,17 @@ UNION ALL SELECT patient_id, 'a published date puts this patient over 89' FROM (
 JOIN stg_patients s USING (patient_id) JOIN {patient} d USING (patient_id)
 WHERE d.birth_year IS NOT NULL AND {_age('s.birth_date', 'published_date')} >= 90""",
         "fact_age_and_date_do_not_imply_over_89": f"""
-SELECT patient_id, anchor_age, anchor_date, latest_date, {_age(bound, 'latest_date')}
-  AS implied_age
-FROM (SELECT patient_id, patient_age_years AS anchor_age, CAST(started_at AS DATE) AS anchor_date
-    FROM {encounter}
-  UNION ALL SELECT patient_id, patient_age_years, started_date FROM {condition})
-JOIN (SELECT patient_id, max(published_date) AS latest_date FROM {dates} GROUP BY 1)
-  USING (patient_id)
-WHERE anchor_age IS NOT NULL AND implied_age >= 90""",
+SELECT * FROM (
+  SELECT patient_id, anchor_age, anchor_date, latest_date, {_age(bound, 'latest_date')}
+    AS implied_age
+  FROM (SELECT patient_id, patient_age_years AS anchor_age,
+      CAST(started_at AS DATE) AS anchor_date
+    FROM {encounter} WHERE patient_age_years IS NOT NULL
+    UNION ALL SELECT patient_id, patient_age_years, started_date FROM {condition}
+    WHERE patient_age_years IS NOT NULL)
+  JOIN (SELECT patient_id, max(published_date) AS latest_date FROM {dates} GROUP BY 1)
+    USING (patient_id)) implied
+WHERE implied.implied_age >= 90""",
         "fact_age_is_withheld_for_the_protected_cohort": f"""
 SELECT * FROM (
   SELECT 'fct_encounter' AS fact, encounter_id AS row_key, patient_id, patient_age_years
@@ -732,7 +735,7 @@ SELECT year_month, count(*) FILTER (kind = 'e') AS encounters,
   count(*) FILTER (kind = 'c') AS conditions
 FROM (SELECT date_id, 'e' AS kind FROM fct_encounter
   UNION ALL SELECT start_date_id, 'c' FROM fct_condition)
-JOIN dim_date USING (date_id) GROUP BY ALL""",
+LEFT JOIN dim_date USING (date_id) GROUP BY ALL""",
         "report_iso_week": f"""
 SELECT iso_year_week, count(*) AS encounters, CAST(sum(total_claim_cost) AS {wide}) AS billed
 FROM fct_encounter JOIN dim_date USING (date_id) GROUP BY ALL""",

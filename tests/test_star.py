@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import decimal
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import CONDITIONS, DAY, ENCOUNTERS, by, clinical_feeds, frame, patient
@@ -9,9 +10,9 @@ from conftest import CONDITIONS, DAY, ENCOUNTERS, by, clinical_feeds, frame, pat
 from wardstar.operators.calendar import calendar
 from wardstar.operators.labels import canonical_label
 from wardstar.operators.privacy import last_seen, published_dates
-from wardstar.plans import dimensions
+from wardstar.plans import dimensions, reports
 from wardstar.plans.staging import stage
-from wardstar.plans.star import MODELS, Star
+from wardstar.plans.star import MODELS, Star, _files_digest
 from wardstar.sources.feeds import csv_feeds, write_feed
 
 
@@ -172,3 +173,26 @@ def test_star_from_csv_files(spark, star, tmp_path):
 
 def test_tables_are_written_once(star):
     assert star.table("dim_patient") is star.table("dim_patient")
+
+
+def test_four_threads_write_a_table_once(spark, tmp_path):
+    star = Star(spark, clinical_feeds(spark), str(tmp_path))
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(star.table, ["stg_conditions"] * 4))
+    assert len({id(f) for f in found}) == 1
+    assert found[0].count() == len(list(star.feeds["conditions"].collect()))
+
+
+def test_changed_input_gives_another_star(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
+    before = _files_digest(spark, str(tmp_path))
+    spark.range(4).write.mode("append").parquet(str(tmp_path / "t.parquet"))
+    assert _files_digest(spark, str(tmp_path)) != before
+
+
+def test_drill_across_keeps_every_fact(spark):
+    encounters = spark.createDataFrame([("E1", 20200101), ("E2", None)], "encounter_id string, date_id int")
+    conditions = spark.createDataFrame([("C1", 20200101), ("C2", 19990101)], "k string, start_date_id int")
+    days = spark.createDataFrame([(20200101, "2020-01")], "date_id int, year_month string")
+    got = reports.drill_across(encounters, conditions, days, "year_month").collect()
+    assert {tuple(r) for r in got} == {("2020-01", 1, 1), (None, 1, 1)}

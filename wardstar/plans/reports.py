@@ -90,19 +90,29 @@ def top_conditions(fct_condition: DataFrame, dim_condition: DataFrame, k: int =
 def drill_across(
     fct_encounter: DataFrame, fct_condition: DataFrame, dim_date: DataFrame, attribute: str
 ) -> DataFrame:
-    """Encounters and conditions by one attribute of the shared calendar."""
-    days = dim_date.select("date_id", attribute)
-
-    def counted(fact: DataFrame, key: str, name: str) -> DataFrame:
-        per_day = _summed(fact, (key,), "count(*) as n").withColumnRenamed(key, "date_id")
-        return _summed(per_day.join(days, "date_id"), (attribute,), f"sum(n) as {name}")
-
-    encounters = counted(fct_encounter, "date_id", "encounters")
-    conditions = counted(fct_condition, "start_date_id", "conditions")
-    return encounters.join(conditions, attribute, "full_outer").selectExpr(
-        attribute,
-        "coalesce(encounters, 0) as encounters",
-        "coalesce(conditions, 0) as conditions",
+    """Encounters and conditions by one attribute of the shared calendar.
+
+    The calendar covers encounter starts; facts dated outside it, or not at all, are
+    counted under a null attribute, so both columns add up to their facts.
+    """
+
+    def counted(fact: DataFrame, key: str, encounters: str, conditions: str) -> DataFrame:
+        return _summed(
+            fact.withColumn("day", F.col(key)),
+            ("day",),
+            f"{encounters} as encounters",
+            f"{conditions} as conditions",
+        )
+
+    per_day = counted(fct_encounter, "date_id", "count(*)", "0L").unionByName(
+        counted(fct_condition, "start_date_id", "0L", "count(*)")
+    )
+    days = dim_date.select(F.col("date_id").alias("day"), attribute)
+    return _summed(
+        per_day.join(days, "day", "left"),
+        (attribute,),
+        "sum(encounters) as encounters",
+        "sum(conditions) as conditions",
     )
 
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardstar.operators.privacy import age_guard
 from wardstar.plans import dimensions, facts
@@ -80,6 +83,8 @@ class Star:
         self.feeds = feeds
         self.folder = TableFolder(spark, folder)
         self._written: dict[str, DataFrame] = {}
+        self._locks: defaultdict[str, Lock] = defaultdict(Lock)
+        self._guard = Lock()
 
     def lazy(self, name: str) -> DataFrame:
         model = MODELS.get(name) or SHARED[name]
@@ -89,16 +94,20 @@ class Star:
         """A written table, or with ``feed_<name>`` the raw feed as it is."""
         if name.startswith("feed_"):
             return self.feeds[name.removeprefix("feed_")]
-        if name not in self._written:
-            self._written[name] = self.folder.write(name, self.lazy(name))
-        return self._written[name]
+        return self._once(name, lambda: self.lazy(name))
 
     def feed_table(self, feed: str) -> DataFrame:
         """A raw feed written once, for profiles that read it several times."""
-        name = f"feed_{feed}"
-        if name not in self._written:
-            self._written[name] = self.folder.write(name, self.feeds[feed])
-        return self._written[name]
+        return self._once(f"feed_{feed}", lambda: self.feeds[feed])
+
+    def _once(self, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+        """Write a table unless another thread has; inputs are locked after their users."""
+        with self._guard:
+            lock = self._locks[name]
+        with lock:
+            if name not in self._written:
+                self._written[name] = self.folder.write(name, rows())
+            return self._written[name]
 
     def build(self, threads: int = 4) -> dict[str, DataFrame]:
         """Write every table not written yet and return all of them.
@@ -112,20 +121,29 @@ class Star:
         return {name: self.table(name) for name in MODELS}
 
 
-_STARS: dict[tuple[str, str], Star] = {}
+_STARS: dict[tuple[str, str, str], Star] = {}
+_STARS_LOCK = Lock()
+
+
+def _files_digest(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of all files in a folder, as one number; reads no content."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    each = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    row = files.agg(F.sum(each).alias("digest"), F.count(F.lit(1)).alias("n")).first()
+    return f"{row['n']}:{row['digest']}"
 
 
 def star_over_orders(spark: SparkSession, sf_dir: str) -> Star:
-    """The star over the order tables in ``sf_dir``, one per Spark application.
+    """The star over the order tables in ``sf_dir``, one per Spark application and input.
 
-    Its tables lie in the shared folder under the application's id, so another
-    run never reads them. Within one application they are not refreshed when the
-    files in ``sf_dir`` change.
+    Its tables lie in the shared folder under the application's id, so another run
+    never reads them. Once the files in ``sf_dir`` change, a new star is written.
     """
     application = spark.sparkContext.applicationId
-    key = (application, sf_dir)
-    if key not in _STARS:
-        digest = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
-        folder = f"{shared_folder(spark)}/wardstar/{application}/{digest}"
-        _STARS[key] = Star(spark, order_feeds(spark, sf_dir), folder)
-    return _STARS[key]
+    key = (application, sf_dir, _files_digest(spark, sf_dir))
+    with _STARS_LOCK:
+        if key not in _STARS:
+            digest = hashlib.sha256(repr(key[1:]).encode()).hexdigest()[:12]
+            folder = f"{shared_folder(spark)}/wardstar/{application}/{digest}"
+            _STARS[key] = Star(spark, order_feeds(spark, sf_dir), folder)
+        return _STARS[key]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The columns read from each raw feed. A feed may carry more;
 # those are never parsed.
@@ -73,7 +74,9 @@ def read_feed(
     missing = [c for c in FEED_COLUMNS[feed] if c not in rows.columns]
     if missing:
         raise ValueError(f"feed {feed} at {path} lacks the columns {missing}")
-    return rows.select(*FEED_COLUMNS[feed])
+    rows = rows.select(*FEED_COLUMNS[feed])
+    # A file with line breaks inside fields is read by one task; what follows is not.
+    return rows.repartition(F.xxhash64(*rows.columns)) if multi_line else rows
 
 
 def csv_feeds(

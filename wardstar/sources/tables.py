@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="wardstar-")
 
@@ -42,16 +44,16 @@ class TableFolder:
         self.path = path.rstrip("/")
 
     def write(self, name: str, rows: DataFrame) -> DataFrame:
-        """Replace the table and return it read back.
+        """Write the table to a new folder of its own and return it read back.
 
-        Reading back cuts the lineage and gives the planner true file sizes, so
-        it broadcasts a side only when the written bytes are under the limit.
+        A reader of an earlier one goes on undisturbed, and a write that fails
+        replaces nothing. Reading back cuts the lineage and gives the planner true
+        file sizes, so it broadcasts a side only when the written bytes are under
+        the limit.
         """
-        rows.write.mode("overwrite").parquet(f"{self.path}/{name}")
-        return self.read(name)
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        path = f"{self.path}/{name}/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.parquet(path)
 
 
 def preview_json(rows: DataFrame, limit: int = 50) -> DataFrame:
