@@ -75,23 +75,18 @@ class Block(NamedTuple):
         return keys, is_word, kept, held
 
 
-BLOCK_FIELDS = "doc_ids array<long>, folds binary, sizes binary, words binary, tokens binary"
+BLOCK_FIELDS = "doc_ids array<long>, folds binary, sizes binary, words binary, tokens binary, judges boolean"
 
 
 def _blocks(docs: DataFrame, fold: Column) -> DataFrame:
     schema = pa.schema([
         ("doc_ids", pa.list_(pa.int64())), ("folds", pa.binary()), ("sizes", pa.binary()),
-        ("words", pa.binary()), ("tokens", pa.binary()),
+        ("words", pa.binary()), ("tokens", pa.binary()), ("judges", pa.bool_()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list = []
-        folds: list = []
-        sizes: list = []
-        parts: list[np.ndarray] = []
-        held = 0
-
-        def flush() -> pa.RecordBatch:
+        def flush(judges: bool, held: list) -> pa.RecordBatch:
+            ids, folds, sizes, parts, _ = held
             words, tokens = np.unique(np.concatenate(parts), return_inverse=True)
             return emit(
                 schema,
@@ -100,21 +95,34 @@ def _blocks(docs: DataFrame, fold: Column) -> DataFrame:
                 sizes=[_pack(np.array(sizes, np.int64))],
                 words=[words.tobytes()],
                 tokens=[_pack(tokens.astype(np.uint32))],
+                judges=[judges],
             )
 
+        # Documents that judge the mixture have blocks of their own, so learning it
+        # moves no others. Each: doc_ids, folds, sizes, token hashes, bytes.
+        open_blocks: dict[bool, list] = {j: [[], [], [], [], 0] for j in (False, True)}
         for batch, found in texts(batches):
             words = Words(found, True)
             ends = words.first[1:]
-            parts.append(np.insert(words.hashes, ends, END))
-            ids += batch.column("doc_id").to_pylist()
-            folds += batch.column("fold").to_pylist()
-            sizes += (words.counts() + 1).tolist()
-            held += len(words.data)
-            if held >= BLOCK_BYTES:
-                yield flush()
-                ids, folds, sizes, parts, held = [], [], [], [], 0
-        if ids:
-            yield flush()
+            tokens = np.insert(words.hashes, ends, END)
+            sizes = words.counts() + 1
+            fold = batch.column("fold").to_numpy()
+            doc_ids = batch.column("doc_id").to_pylist()
+            for judges, held in open_blocks.items():
+                chosen = (fold == HELD) == judges
+                if not chosen.any():
+                    continue
+                held[0] += [doc_ids[k] for k in np.flatnonzero(chosen)]
+                held[1] += fold[chosen].tolist()
+                held[2] += sizes[chosen].tolist()
+                held[3].append(tokens[np.repeat(chosen, sizes)])
+                held[4] += int((np.diff(words.places))[chosen].sum())
+                if held[4] >= BLOCK_BYTES:
+                    yield flush(judges, held)
+                    open_blocks[judges] = [[], [], [], [], 0]
+        for judges, held in open_blocks.items():
+            if held[0]:
+                yield flush(judges, held)
 
     rows = docs.select("doc_id", "text", fold.alias("fold")).mapInArrow(run, BLOCK_FIELDS)
     return cut(rows.withColumn("block", F.monotonically_increasing_id()), "blocks")
@@ -135,6 +143,7 @@ def _counts(blocks: DataFrame) -> DataFrame:
     asked = pa.schema([
         ("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()),
         ("is_word", pa.binary()), ("kept", pa.binary()), ("held", pa.binary()),
+        ("judges", pa.bool_()),
     ])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,11 +158,12 @@ def _counts(blocks: DataFrame) -> DataFrame:
                         yield emit(
                             asked, part=[p], block=[row["block"]], keys=[keys[a:b].tobytes()],
                             is_word=[_pack(is_word)], kept=[_pack(kept)], held=[_pack(held)],
+                            judges=[row["judges"]],
                         )
 
     answered = pa.schema([
         ("part", pa.int32()), ("block", pa.int64()), ("kept", pa.binary()),
-        ("held", pa.binary()), ("vocabulary", pa.int64()),
+        ("held", pa.binary()), ("vocabulary", pa.int64()), ("judges", pa.bool_()),
     ])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,15 +188,18 @@ def _counts(blocks: DataFrame) -> DataFrame:
             kept, held = (_pack(t[here].astype(np.int64)) for t in totals)
             yield emit(
                 answered, part=[r["part"]], block=[r["block"]], kept=[kept], held=[held],
-                vocabulary=[vocabulary],
+                vocabulary=[vocabulary], judges=[r["judges"]],
             )
             vocabulary = 0
 
     requests = blocks.mapInArrow(
-        ask, "part int, block long, keys binary, is_word binary, kept binary, held binary"
+        ask,
+        "part int, block long, keys binary, is_word binary, kept binary, held binary, "
+        "judges boolean"
     )
     answers = requests.repartition(parts, "part").mapInArrow(
-        answer, "part int, block long, kept binary, held binary, vocabulary long"
+        answer,
+        "part int, block long, kept binary, held binary, vocabulary long, judges boolean",
     )
     return cut(answers, "corpus-counts")
 
@@ -205,6 +218,7 @@ def _with_counts(
     blocks: DataFrame, counts: DataFrame, use: Callable, schema: str
 ) -> DataFrame:
     """``use`` of every counted block; blocks and their answers meet in one partition."""
+    blocks = blocks.drop("judges")
     fields = blocks.columns
     left = blocks.select(*fields, F.lit(-1).alias("part"), *[
         F.lit(None).cast("binary").alias(c) for c in ("kept", "held")
@@ -328,7 +342,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         return emit(cell, bucket=found[:, 0], pair=found[:, 1], word=found[:, 2], n=n)
 
     # The grid bounds what the driver gets, whatever the corpus.
-    cells = _with_counts(blocks, counts, judged, "bucket long, pair long, word long, n long")
+    own = [rows.where("judges") for rows in (blocks, counts)]
+    cells = _with_counts(*own, judged, "bucket long, pair long, word long, n long")
     cells = cells.groupBy("bucket", "pair", "word").agg(F.sum("n").alias("n")).collect()
     mixture = learn_mixture([tuple(r) for r in cells])
     scored = pa.schema([
