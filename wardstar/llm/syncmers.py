@@ -17,7 +17,6 @@ K, S = 4, 2
 #: Anchors a fingerprint keeps; a text with fewer keeps all.
 SIZE = 64
 SPACES = r"[\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def let(value: Column, body) -> Column:
@@ -31,48 +30,63 @@ def anchors(text: Column, k: int = K, s: int = S, size: int = SIZE) -> Column:
     A text without an anchor, such as one of fewer than ``k`` words, is one anchor
     as a whole, and one without words has none. Of an anchor that occurs again the first place counts.
     """
-    lower = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    words = F.filter(F.split(lower, SPACES), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACES), "")
     hashes = F.transform(words, lambda w: F.xxhash64(w))
 
-    def run(h: Column, i: Column, n: int) -> Column:
-        return F.xxhash64(*[F.get(h, i + j) for j in range(n)])
+    def after(values: Column, n: int) -> Column:
+        return F.slice(values, n + 1, F.size(values))
+
+    def joined(values: Column, offsets: list[int]) -> Column:
+        """For each place a hash of the values there and at the offsets."""
+        out = values
+        for n in offsets:
+            out = F.zip_with(out, after(values, n), lambda a, b: F.xxhash64(a, b))
+        return out
 
     def closed(inner: Column, i: Column) -> Column:
-        last = k - s
-        edge = F.least(F.get(inner, i), F.get(inner, i + last))
-        between = [F.get(inner, i + j) for j in range(1, last)]
-        return F.lit(True) if not between else edge <= F.array_min(F.array(*between))
-
-    def least(found: Column) -> Column:
-        ranked = F.sort_array(F.array_distinct(F.transform(found, lambda a: a["hash"])))
-        near = let(
-            F.element_at(F.slice(ranked, 1, size), -1),
-            lambda most: F.array_sort(F.filter(found, lambda a: a["hash"] <= most)),
-        )
-        return let(
-            near,
-            lambda n: F.filter(
-                n, lambda a, i: (i == 0) | (F.get(n, i - 1)["hash"] != a["hash"])
-            ),
-        )
+        """Whether no run in between is less than both runs at the edges of place i."""
+        first, last = F.get(inner, i), F.get(inner, i + (k - s))
+        between = [F.get(inner, i + j) for j in range(1, k - s)]
+        if not between:
+            return F.lit(True)
+        least = between[0] if len(between) == 1 else F.least(*between)
+        return (first <= least) | (last <= least)
 
     def chosen(h: Column) -> Column:
-        inner = F.transform(F.sequence(F.lit(0), F.size(h) - s), lambda i: run(h, i, s))
-        places = let(
-            inner,
-            lambda m: F.filter(F.sequence(F.lit(0), F.size(h) - k), lambda i: closed(m, i)),
-        )
-        found = F.transform(
-            places, lambda i: F.struct(run(h, i, k).alias("hash"), i.alias("place"))
+        places = F.size(h) - k + 1
+        # Runs of s words at these offsets make up a run of k words.
+        offsets = sorted({*range(s, k - s, s), k - s} - {0})
+        found = let(
+            joined(h, list(range(1, s))),
+            lambda inner: F.transform(
+                F.slice(joined(inner, offsets), 1, places),
+                lambda run, i: F.when(closed(inner, i), run),
+            ),
         )
         short = F.array(F.struct(F.xxhash64(h).alias("hash"), F.lit(0).alias("place")))
         return (
-            F.when(F.size(h) >= k, let(found, lambda f: F.when(F.size(f) > 0, least(f)).otherwise(short)))
+            F.when(F.size(h) >= k, let(found, lambda f: least_of(f, short)))
             .when(F.size(h) > 0, short)
             .otherwise(F.filter(short, lambda a: F.lit(False)))
         )
 
+    def least_of(found: Column, short: Column) -> Column:
+        """The least ``size`` hashes with their first places; null is no anchor."""
+        ranked = F.slice(F.sort_array(F.array_distinct(F.array_compact(found))), 1, size)
+        return let(
+            ranked,
+            lambda r: F.when(
+                F.size(r) > 0,
+                F.transform(
+                    r,
+                    lambda run: F.struct(
+                        run.alias("hash"),
+                        (F.array_position(found, run) - 1).cast("int").alias("place"),
+                    ),
+                ),
+            ).otherwise(short),
+        )
+
     return let(hashes, chosen)
 
 
