@@ -143,23 +143,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     The edited text ends, in place of its last quarter of code points, with as many
     of the next document's by doc_id (rows of one doc_id by a hash of the text,
     null first; after the last comes the first). A null text is empty. Returns
-    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited
-    and near_next; an empty table gives no rows.
+    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
+    near_next and next_doc_id; an empty table gives no rows.
     """
     text = F.coalesce("text", F.lit(""))
+    n_chars = F.char_length("text").cast("long")
+    # Both joins take these three columns, so that one exchange of the texts serves both.
     rows = docs.select(
         "doc_id",
         text.alias("text"),
-        F.char_length(text).cast("long").alias("n_chars"),
         F.xxhash64(F.col("doc_id").isNull(), "doc_id", text).alias("key"),
     )
-    placed = rows.join(with_next(rows), "key")
+    placed = rows.join(with_next(rows.withColumn("n_chars", n_chars)), "key")
     following = placed.dropDuplicates(["key"]).select(
         F.col("before").alias("key"),
+        F.col("doc_id").alias("next_doc_id"),
         F.expr("left(text, wanted)").alias("tail"),
         anchors(F.col("text")).alias("next_anchors"),
     )
-    both = rows.join(following, "key")
+    both = rows.join(following, "key").withColumn("n_chars", n_chars)
     cut_at = (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")
     both = both.withColumn(
         "edited", F.concat(F.left("text", cut_at), F.col("tail"))
@@ -171,6 +173,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         anchors(F.col("text")).alias("own"),
         anchors(F.col("edited")).alias("other"),
         "next_anchors",
+        "next_doc_id",
     )
     return both.select(
         "doc_id",
@@ -180,6 +183,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         fingerprint(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"),
         likeness(F.col("own"), F.col("next_anchors")).alias("near_next"),
+        "next_doc_id",
     )
 
 
