@@ -12,6 +12,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -238,10 +239,51 @@ def test_fingerprints(docs, rows, empty):
     edited = (text[: len(text) - n] + following[:n]).encode()
     assert by[1]["edited_sha256"] == hashlib.sha256(edited).hexdigest()
     assert by[3]["fingerprint"] == by[5]["fingerprint"] == by[13]["fingerprint"]
+    assert by[1]["next_doc_id"] == rows[1][0]
     assert by[10]["near_edited"] > 0.4 > by[10]["near_next"]
     assert by[7]["fingerprint"] == "" and by[9]["fingerprint"] != ""
 
 
+def closed_syncmers(text: str, k: int = 4, s: int = 2, size: int = 64) -> list[tuple[int, int]]:
+    """Anchors by the definition, with the hash functions of Spark."""
+
+    def hashed(values: list[int]) -> int:
+        seed = 42
+        for v in values:
+            seed = xxhash.xxh64_intdigest(v.to_bytes(8, "little"), seed)
+        return seed
+
+    def signed(v: int) -> int:
+        return v - (1 << 64) if v >> 63 else v
+
+    words = [xxhash.xxh64_intdigest(w.encode(), 42) for w in text.lower().split()]
+    first: dict[int, int] = {}
+    for i in range(len(words) - k + 1):
+        inner = [hashed(words[j : j + s]) for j in range(i, i + k - s + 1)]
+        order = [signed(x) for x in inner]
+        if min(order) in (order[0], order[-1]):
+            first.setdefault(signed(hashed([inner[0], inner[k - s]])), i)
+    return sorted(first.items())[:size]
+
+
+def test_anchors_are_closed_syncmers(spark):
+    rng = random.Random(7)
+    texts = [
+        " ".join(rng.choice("ab cde F gh ij".split()) + str(rng.randint(0, m)) for _ in range(n))
+        for n, m in ((4, 3), (9, 0), (40, 1), (400, 9), (3000, 2))
+    ]
+    found = spark.createDataFrame([(t,) for t in texts], "text string").select(
+        "text", syncmers.anchors(F.col("text")).alias("found")
+    )
+    compared = 0
+    for row in found.collect():
+        expected = closed_syncmers(row["text"])
+        if expected:
+            assert [tuple(a) for a in row["found"]] == expected
+            compared += 1
+    assert compared >= 4
+
+
 def test_maximal_segments():
     def brute(x, a, b):
         spans = [(i, j, sum(x[i:j])) for i in range(a, b) for j in range(i + 1, b + 1)]
