@@ -284,6 +284,55 @@ def test_anchors_are_closed_syncmers(spark):
     assert compared >= 4
 
 
+def test_fingerprints_hold_every_anchor_and_match_by_place(spark):
+    """Texts far over 64 anchors, anchors that recur, and a passage that moved."""
+    rng = random.Random(11)
+    passage = phrase(21, 300)
+    texts = {
+        1: phrase(22, 2000) + " " + passage,
+        2: passage + " " + phrase(23, 1500),
+        3: "to be or not to be that is " * 90 + phrase(24, 50),
+        4: "to be or not to be that is " * 30,
+        5: " ".join(rng.choice("abc") for _ in range(700)),
+        6: " ".join(rng.choice("abc") for _ in range(400)),
+        7: "two words",
+        8: "",
+        9: "same " * 333,
+    }
+
+    def every(text):
+        # The definition for one place at a time: each run of four words on its own.
+        words = text.split()
+        runs = [" ".join(words[i : i + 4]) for i in range(max(0, len(words) - 3))]
+        found = [(closed_syncmers(run), i) for i, run in enumerate(runs)]
+        return [(f[0][0], i) for f, i in found if f]
+
+    def link_counts(found):
+        return Counter((a[0], b[0], b[1] - a[1]) for a, b in itertools.pairwise(found))
+
+    def share(a, b):
+        a, b = link_counts(a), link_counts(b)
+        return sum((a & b).values()) / max(1, sum((a | b).values()))
+
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in syncmers.fingerprints(table).collect()}
+    found = {k: every(t) for k, t in texts.items()}
+    for k, row in got.items():
+        # Before the row comes the text that this row is next to.
+        follower = texts[k % 9 + 1]
+        n = len(texts[k]) // 4
+        edited = texts[k][: len(texts[k]) - n] + follower[:n]
+        if not found[k]:
+            continue
+        printed = [f"{v & (1 << 64) - 1:X}:{i}" for v, i in found[k]]
+        assert row["fingerprint"].split() == printed
+        assert row["near_edited"] == pytest.approx(share(found[k], every(edited)))
+        if found[k % 9 + 1]:
+            assert row["near_next"] == pytest.approx(share(found[k], found[k % 9 + 1]))
+    assert len(found[1]) > 1000 and len(found[9]) == 330
+    assert got[1]["near_next"] > 0.05 and got[8]["near_next"] == 0
+
+
 def test_maximal_segments():
     def brute(x, a, b):
         spans = [(i, j, sum(x[i:j])) for i in range(a, b) for j in range(i + 1, b + 1)]

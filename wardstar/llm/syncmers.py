@@ -2,8 +2,10 @@
 
 A run of K words is an anchor if the least of its inner runs of S words lies at
 either edge. Whether it is depends on nothing around it, so an edit elsewhere
-leaves the anchor, and anchors keep their places. A fingerprint holds the anchors
-with the least hashes, each with its place in words.
+leaves the anchor, and anchors keep their places. A fingerprint holds every anchor
+of the text as often as it occurs, each with its place in words, so it grows with
+the text. Two texts are compared by position: anchors match where the neighbouring
+anchor matches too at the same difference of places.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from wardstar.llm.common import ROW_BITS, in_order, table
 
 K, S = 4, 2
-#: Anchors a fingerprint keeps; a text with fewer keeps all.
+#: Anchors of a sketch, for callers that want a text's least anchors only.
 SIZE = 64
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -24,11 +26,13 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def anchors(text: Column, k: int = K, s: int = S, size: int = SIZE) -> Column:
-    """The least anchors of a text as an array of (hash, place), sorted by hash.
+def anchors(text: Column, k: int = K, s: int = S, size: int | None = SIZE) -> Column:
+    """The anchors of a text as an array of (hash, place).
 
-    A text without an anchor, such as one of fewer than ``k`` words, is one anchor
-    as a whole, and one without words has none. Of an anchor that occurs again the first place counts.
+    Without a ``size`` every occurrence of every anchor, by place; else that many
+    least hashes, sorted, each with its first place. A text without an anchor, such
+    as one of fewer than ``k`` words, is one anchor as a whole, and one without words
+    has none.
     """
     words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACES), "")
     hashes = F.transform(words, lambda w: F.xxhash64(w))
@@ -65,11 +69,17 @@ def anchors(text: Column, k: int = K, s: int = S, size: int = SIZE) -> Column:
         )
         short = F.array(F.struct(F.xxhash64(h).alias("hash"), F.lit(0).alias("place")))
         return (
-            F.when(F.size(h) >= k, let(found, lambda f: least_of(f, short)))
+            F.when(F.size(h) >= k, let(found, lambda f: (least_of if size else all_of)(f, short)))
             .when(F.size(h) > 0, short)
             .otherwise(F.filter(short, lambda a: F.lit(False)))
         )
 
+    def all_of(found: Column, short: Column) -> Column:
+        """Every hash with its place; null is no anchor."""
+        placed = F.transform(found, lambda run, i: F.struct(run.alias("hash"), i.alias("place")))
+        kept = F.filter(placed, lambda a: a["hash"].isNotNull())
+        return let(kept, lambda r: F.when(F.size(r) > 0, r).otherwise(short))
+
     def least_of(found: Column, short: Column) -> Column:
         """The least ``size`` hashes with their first places; null is no anchor."""
         ranked = F.slice(F.sort_array(F.array_distinct(F.array_compact(found))), 1, size)
@@ -97,16 +107,64 @@ def fingerprint(found: Column) -> Column:
     )
 
 
-def likeness(a: Column, b: Column, size: int = SIZE) -> Column:
-    """Of the least anchors of both together, the share that both hold (0 to 1).
+def numbered(values: Column) -> Column:
+    """Hashes that are all different: of equal ones each later one is hashed with its number."""
+
+    def apart(ordered: Column) -> Column:
+        # The place where a run of equal values begins is the greatest beginning so far,
+        # found over twice as many places in each round.
+        begins = F.transform(
+            ordered,
+            lambda v, i: F.when(v == F.get(ordered, i - 1), F.lit(0)).otherwise(i),
+        )
+        widths = F.filter(F.array(*[F.lit(1 << n) for n in range(31)]), lambda w: w < F.size(ordered))
+        begins = F.aggregate(
+            widths,
+            begins,
+            lambda found, w: F.transform(found, lambda v, i: F.greatest(v, F.get(found, i - w))),
+        )
+        return F.zip_with(
+            ordered,
+            F.transform(begins, lambda v, i: i - v),
+            lambda v, n: F.when(n > 0, F.xxhash64(v, n)).otherwise(v),
+        )
+
+    return F.when(F.size(F.array_distinct(values)) == F.size(values), values).otherwise(
+        let(F.sort_array(values), apart)
+    )
 
-    An estimate of the likeness of all anchors; 1 where neither has any.
+
+def links(found: Column) -> Column:
+    """A hash of each two neighbouring anchors and the difference of their places.
+
+    Equal ones are numbered. A single anchor is a link of its own.
     """
-    hashes = [F.transform(x, lambda p: p["hash"]) for x in (a, b)]
-    union = F.slice(F.sort_array(F.array_union(*hashes)), 1, size)
-    both = let(union, lambda u: F.array_intersect(u, F.array_intersect(*hashes)))
-    return F.when(F.size(F.array_union(*hashes)) == 0, F.lit(1.0)).otherwise(
-        F.size(both) / F.size(union)
+
+    def linked(f: Column) -> Column:
+        pairs = F.zip_with(
+            F.slice(f, 1, F.greatest(F.size(f) - 1, F.lit(0))),
+            F.slice(f, 2, F.size(f)),
+            lambda a, b: F.xxhash64(a["hash"], b["hash"], b["place"] - a["place"]),
+        )
+        return F.when(F.size(f) > 1, let(pairs, numbered)).otherwise(
+            F.transform(f, lambda a: a["hash"])
+        )
+
+    return let(found, linked)
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Of the links of both texts together, the share that both hold (0 to 1).
+
+    A link is in both where two neighbouring anchors of one text are neighbours in
+    the other at the same distance, so both matches have one difference of places.
+    Counted with repetitions over all links; 1 where neither text has any.
+    """
+    return let(
+        F.size(F.array_intersect(a, b)),
+        lambda both: F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(
+            both / (F.size(a) + F.size(b) - both)
+        ),
     )
 
 
@@ -142,7 +200,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text ends, in place of its last quarter of code points, with as many
     of the next document's by doc_id (rows of one doc_id by a hash of the text,
-    null first; after the last comes the first). A null text is empty. Returns
+    null first; after the last comes the first). A null text is empty. Fingerprints
+    hold every anchor, and near_edited and near_next count all links. Returns
     doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next and next_doc_id; an empty table gives no rows.
     """
@@ -159,7 +218,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.col("before").alias("key"),
         F.col("doc_id").alias("next_doc_id"),
         F.expr("left(text, wanted)").alias("tail"),
-        anchors(F.col("text")).alias("next_anchors"),
+        links(anchors(F.col("text"), size=None)).alias("next_links"),
     )
     both = rows.join(following, "key").withColumn("n_chars", n_chars)
     cut_at = (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")
@@ -170,19 +229,30 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        anchors(F.col("text")).alias("own"),
-        anchors(F.col("edited")).alias("other"),
-        "next_anchors",
+        anchors(F.col("text"), size=None).alias("own"),
+        anchors(F.col("edited"), size=None).alias("other"),
+        "next_links",
         "next_doc_id",
     )
-    return both.select(
+    both = both.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         fingerprint(F.col("own")).alias("fingerprint"),
         fingerprint(F.col("other")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next_anchors")).alias("near_next"),
+        links(F.col("own")).alias("own_links"),
+        links(F.col("other")).alias("other_links"),
+        "next_links",
+        "next_doc_id",
+    )
+    return both.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        likeness(F.col("own_links"), F.col("other_links")).alias("near_edited"),
+        likeness(F.col("own_links"), F.col("next_links")).alias("near_next"),
         "next_doc_id",
     )
 
