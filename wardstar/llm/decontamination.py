@@ -3,9 +3,10 @@
 A random walk over a window's words repeats a word or moves on by a hashed bit of
 the word and the step. Windows within a small edit distance fall into step, so
 their walks agree in most places; bit sampling takes some places of a walk as a
-key. Several walks and samples, begun at every few words of an item, make it all
-but certain that a window near an item meets one of its keys. Every meeting is
-then confirmed by the edit distance of the item to the best part of the window.
+key. Several walks and samples, begun at every few words of a long item, make it all
+but certain that a window near it meets one of its keys; a short item, which has too
+few places to begin a walk, is met for certain by the runs of words that no allowed
+edits can break all. Every meeting is then confirmed by the edit distance of the item to the best part of the window.
 """
 
 from __future__ import annotations
@@ -24,10 +25,11 @@ from wardstar.llm.words import MARKED, Words, mix, ngrams
 #: Steps of a walk, places sampled from it, and walks with samples of their own.
 #: A walk of 14 steps spans about 7 words, of which half the steps count; an item is
 #: met if any walk begun at one of its words stays clear of edits in those places.
-#: Of items of 14 to 59 words with a fifth edited, the tests miss none.
+#: The fewer words, the fewer such beginnings, so shorter items do not rely on walks.
 STEPS, SAMPLED, WALKS = 14, 7, 6
-#: Items of fewer words are met by a run of words that the edits must leave whole.
-SHORT = 10
+#: Items of fewer words are met by a run of words that the edits must leave whole:
+#: k edits leave at most k + 1 runs, so the longest is met whichever words they hit.
+SHORT = 30
 #: Edits allowed as a share of an item's words.
 EDITS = 0.2
 #: Words of items that one pass over the documents looks for.
