@@ -5,7 +5,9 @@ anchor, so equal windows have equal anchors. Windows whose anchor occurs once ar
 settled. The others are cut into pieces (neighbouring windows with one anchor),
 equal pieces are counted together, and a shard holds all pieces of its anchors: it
 confirms which windows recur, compiles them into an Aho-Corasick automaton over
-words, and streams its pieces through it to find every occurrence.
+words, and streams its pieces through it to find every occurrence. Where an anchor
+is frequent, each of its windows is a piece of its own and the pieces are dealt by
+their digest too, which equal windows share, so no shard gets all of them.
 """
 
 from __future__ import annotations
@@ -25,6 +27,10 @@ from wardstar.llm.words import BASE, INVERSE, Words, mix, ngrams, powers
 WINDOW, ANCHOR = 20, 5
 #: Shards for each shuffle partition, so an automaton stays far below a task's memory.
 SHARDS = 4
+#: An anchor that occurs more often is dealt to several parts, one for each PART times.
+HOT, PART = 1000, 250
+#: Pieces from which on a task compiles what it has into an automaton of its own.
+SHARD_PIECES = 100_000
 #: Words that an automaton reads as one character. A window is WINDOW / UNIT of them,
 #: and a text is read once for each place within a unit that it may begin at.
 UNIT = 5
@@ -82,7 +88,7 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
 
 
 def _piece_rows(docs: DataFrame) -> DataFrame:
-    """Pieces of the documents (_key, _order, text, anchors that occur again).
+    """Pieces of the documents (_key, _order, text, anchors that occur again, their parts).
 
     The words of a piece come with the first two of its occurrences in a task and
     with any that is earlier than all before, so a shard learns whether the piece
@@ -90,8 +96,8 @@ def _piece_rows(docs: DataFrame) -> DataFrame:
     """
     schema = pa.schema([
         ("_key", pa.int64()), ("_order", pa.int64()), ("anchor", pa.int64()),
-        ("digest", pa.int64()), ("place", pa.int64()), ("windows", pa.int32()),
-        ("words", pa.binary()),
+        ("part", pa.int32()), ("digest", pa.int64()), ("place", pa.int64()),
+        ("windows", pa.int32()), ("words", pa.binary()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,20 +108,29 @@ def _piece_rows(docs: DataFrame) -> DataFrame:
             owner = words.documents()[at] if len(at) else at
             hashes = hashes.view(np.int64)
             again = [np.array(a, np.int64) for a in batch.column("anchors").to_pylist()]
+            dealt = [np.array(p, np.int64) for p in batch.column("parts").to_pylist()]
             cuts = np.searchsorted(at, words.first)
-            kept = np.zeros(len(at), bool)
+            # Parts of the anchor of each window; none where it occurs once.
+            parts = np.zeros(len(at), np.int64)
             for d, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                kept[a:b] = np.isin(hashes[a:b], again[d])
-            chosen = np.flatnonzero(kept)
+                ranked = np.argsort(again[d])
+                own = again[d][ranked]
+                to = np.minimum(np.searchsorted(own, hashes[a:b]), len(own) - 1)
+                parts[a:b] = np.where(own[to] == hashes[a:b], dealt[d][ranked][to], 0)
+            chosen = np.flatnonzero(parts)
             if not len(chosen):
                 continue
             new = (np.diff(places[chosen]) != 0) | (np.diff(chosen) != 1)
             new |= np.diff(owner[chosen]) != 0
+            # Windows of an anchor in parts stand alone.
+            new |= parts[chosen[1:]] > 1
             starts = np.concatenate(([0], np.flatnonzero(new) + 1))
             sizes = np.diff(np.concatenate((starts, [len(chosen)])))
             first = chosen[starts]
             low, high = at[first], at[first] + sizes + WINDOW - 1
-            digest = _digests(words.hashes, low, high).view(np.int64)
+            digest = _digests(words.hashes, low, high)
+            part = (digest % parts[first].astype(np.uint64)).astype(np.int32)
+            digest = digest.view(np.int64)
             doc = owner[first]
             order = batch.column("_order").to_numpy()[doc]
             place = low - words.first[doc]
@@ -138,12 +153,14 @@ def _piece_rows(docs: DataFrame) -> DataFrame:
                     sent.append(None)
             yield emit(
                 schema, _key=batch.column("_key").to_numpy()[doc], _order=order,
-                anchor=hashes[first], digest=digest, place=place, windows=sizes, words=sent,
+                anchor=hashes[first], part=part, digest=digest, place=place, windows=sizes,
+                words=sent,
             )
 
-    return docs.select("_key", "_order", "text", "anchors").mapInArrow(
+    return docs.select("_key", "_order", "text", "anchors", "parts").mapInArrow(
         run,
-        "_key long, _order long, anchor long, digest long, place long, windows int, words binary",
+        "_key long, _order long, anchor long, part int, digest long, place long, windows int, "
+        "words binary",
     )
 
 
@@ -219,11 +236,35 @@ class Shard:
         return [self.offset[window[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by (anchor, part) in tables that hold all rows of theirs."""
+    held: list[pa.RecordBatch] = []
+    size, enough = 0, SHARD_PIECES
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size < enough:
+            continue
+        rows = pa.Table.from_batches(held)
+        anchor, part = (rows.column(c).to_numpy() for c in ("anchor", "part"))
+        # More rows of the last part may follow.
+        stop = int(((anchor == anchor[-1]) & (part == part[-1])).argmax())
+        if stop:
+            yield rows.slice(0, stop)
+            held = rows.slice(stop).to_batches()
+            size -= stop
+        enough = max(SHARD_PIECES, 2 * size)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _first_windows(pieces: DataFrame) -> DataFrame:
     """anchor, digest, first occurrence of each piece, and its windows that came before.
 
-    ``pieces`` has anchor, digest, order, place and words, with all pieces of an
-    anchor in one partition; a piece may come several times.
+    ``pieces`` has anchor, part, digest, order, place and words, with all pieces of
+    an anchor and part in one partition, next to each other; a piece may come
+    several times.
     """
     schema = pa.schema([
         ("anchor", pa.int64()), ("digest", pa.int64()), ("first_order", pa.int64()),
@@ -231,25 +272,20 @@ def _first_windows(pieces: DataFrame) -> DataFrame:
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns: dict[str, list] = {c: [] for c in ("anchor", "digest", "_order", "place")}
-        words: list[bytes] = []
-        for batch in batches:
-            for c, parts in columns.items():
-                parts.append(batch.column(c).to_numpy())
-            words += batch.column("words").to_pylist()
-        if not words:
-            return
-        anchor, digest, order, place = (np.concatenate(p) for p in columns.values())
-        before = Shard(words, order, place).before()
-        # Of the times a piece came, the earliest is its first occurrence.
-        ranked = np.lexsort((place, order, digest, anchor))
-        new = np.diff(digest[ranked], prepend=digest[ranked[0]] - 1) != 0
-        new |= np.diff(anchor[ranked], prepend=anchor[ranked[0]] - 1) != 0
-        chosen = ranked[new]
-        yield emit(
-            schema, anchor=anchor[chosen], digest=digest[chosen], first_order=order[chosen],
-            first_place=place[chosen], before=[before[k] for k in chosen.tolist()],
-        )
+        for rows in _groups(batches):
+            names = ("anchor", "digest", "_order", "place")
+            anchor, digest, order, place = (rows.column(c).to_numpy() for c in names)
+            words = rows.column("words").to_pylist()
+            before = Shard(words, order, place).before()
+            # Of the times a piece came, the earliest is its first occurrence.
+            ranked = np.lexsort((place, order, digest, anchor))
+            new = np.diff(digest[ranked], prepend=digest[ranked[0]] - 1) != 0
+            new |= np.diff(anchor[ranked], prepend=anchor[ranked[0]] - 1) != 0
+            chosen = ranked[new]
+            yield emit(
+                schema, anchor=anchor[chosen], digest=digest[chosen], first_order=order[chosen],
+                first_place=place[chosen], before=[before[k] for k in chosen.tolist()],
+            )
 
     return pieces.mapInArrow(
         run,
@@ -278,16 +314,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     each = spread.select("_key", F.explode("anchors").alias("anchor"))
     # Counted before they move, so an anchor of many documents is a row for each task.
     again = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = cut(again.select("anchor"), "recurring-anchors")
-    lists = each.join(again, "anchor").groupBy("_key").agg(F.collect_set("anchor").alias("anchors"))
+    parts = F.when(F.col("n") > HOT, F.ceil(F.col("n") / PART)).otherwise(1).cast("int")
+    again = cut(again.select("anchor", parts.alias("parts")), "recurring-anchors")
+    lists = each.join(again, "anchor").groupBy("_key")
+    lists = lists.agg(F.collect_set(F.struct("anchor", "parts")).alias("found")).select(
+        "_key", F.col("found.anchor").alias("anchors"), F.col("found.parts").alias("parts")
+    )
     searched = rows.select("_key", "_order", "text").join(lists, "_key")
     pieces = cut(_piece_rows(searched), "pieces")
     sent = pieces.where("words is not null")
-    shards = sent.select("anchor", "digest", "_order", "place", "words").repartition(
-        SHARDS * partitions(spark), "anchor"
+    shards = sent.select("anchor", "part", "digest", "_order", "place", "words").repartition(
+        SHARDS * partitions(spark), "anchor", "part"
     )
-    firsts = cut(_first_windows(shards), "first-windows")
-    found = pieces.drop("words").join(firsts, ["anchor", "digest"])
+    firsts = cut(_first_windows(shards.sortWithinPartitions("anchor", "part")), "first-windows")
+    found = pieces.drop("words", "part").join(firsts, ["anchor", "digest"])
     is_first = (F.col("_order") == F.col("first_order")) & (F.col("place") == F.col("first_place"))
     found = found.where(~is_first | (F.size("before") > 0)).select(
         "_key",
