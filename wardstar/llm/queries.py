@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from wardstar.llm import decontamination, language_model, minhash, packing, sharding, substrings, syncmers, token_files, toxicity, warc
+from wardstar.llm import (
+    bpe,
+    decontamination,
+    language_model,
+    minhash,
+    packing,
+    sharding,
+    substrings,
+    syncmers,
+    token_files,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_sharding": sharding.query,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_substring_dedup": substrings.query,
     "op9_warc": warc.query,
     "op10_decontamination": decontamination.query,
+    "op12_bpe": bpe.query,
 }
 ORACLES: dict[str, str] = {
     # Twenty bytes are 32 base32 digits of five bits.
