@@ -8,6 +8,7 @@ from wardstar.llm import (
     language_model,
     minhash,
     packing,
+    prefix_trie,
     sharding,
     substrings,
     syncmers,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_warc": warc.query,
     "op10_decontamination": decontamination.query,
     "op12_bpe": bpe.query,
+    "op13_prefix_trie": prefix_trie.query,
 }
 ORACLES: dict[str, str] = {
     # Twenty bytes are 32 base32 digits of five bits.
@@ -48,5 +50,57 @@ ORACLES: dict[str, str] = {
             CASE WHEN h.page_id = l.page_id THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN h.page_id <> l.page_id THEN l.page_id END AS refers_to
         FROM hashed h JOIN largest l ON h.payload = l.payload
-    """
+    """,
+    # The remainder comes from the CRC-32 of the number's digits, bit by bit.
+    "op13_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id, strlen(coalesce(text, '')) AS bytes, length(coalesce(text, '')) AS chars,
+                sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '')
+                    || coalesce(text, '')) AS digest, turn
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS i
+            FROM turns
+        ), convs AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS family, xor(4294967295, list_reduce(
+                flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]
+                    FOR c IN string_split(conv_id::VARCHAR, '')]),
+                lambda a, x: CASE WHEN x >= 0 THEN xor(a, x::BIGINT)
+                    WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END,
+                4294967295::BIGINT)) % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns)
+        ), parts AS (
+            SELECT c.conv_id, n.i, n.digest, n.chars FROM convs c JOIN numbered n
+                ON n.conv_id = c.family AND n.i < c.h
+            UNION ALL
+            SELECT c.conv_id, n.i, n.digest, n.chars FROM convs c JOIN numbered n
+                ON n.conv_id = c.conv_id AND n.i >= c.h
+        ), listed AS (
+            SELECT conv_id, list(digest ORDER BY i) AS digests, list(chars ORDER BY i) AS chars
+            FROM parts GROUP BY conv_id
+        ), prefixes AS (
+            SELECT conv_id, d, array_to_string(digests[1:d], ' ') AS node, chars[d] AS chars,
+                array_to_string(digests[1:d - 1], ' ') AS parent, d = len(digests) AS ends
+            FROM (SELECT *, unnest(range(1, len(digests) + 1)) AS d FROM listed)
+            UNION ALL
+            SELECT c.conv_id, 0, '', 0, NULL, l.conv_id IS NULL
+            FROM convs c LEFT JOIN listed l ON l.conv_id = c.conv_id
+        ), nodes AS (
+            SELECT d, node, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+                (count(*) - 1) * min(chars) AS saved,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                    FILTER (ends), '')) AS ends_sha256
+            FROM prefixes GROUP BY d, node
+        ), counted AS (
+            SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.d = n.d + 1 AND c.parent = n.node) AS n_children
+            FROM nodes n
+        ), below AS (
+            SELECT p.d, p.node, count(*) FILTER (c.n_children = 0) AS n_leaves, sum(c.saved) AS saved_tokens
+            FROM counted c JOIN prefixes p ON p.conv_id = c.conv_id AND p.d <= c.d GROUP BY p.d, p.node
+        )
+        SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+            b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+        FROM counted n JOIN below b ON b.d = n.d AND b.node = n.node
+            LEFT JOIN nodes p ON p.d = n.d - 1 AND p.node = n.parent
+    """,
 }
