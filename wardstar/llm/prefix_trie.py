@@ -37,6 +37,8 @@ FAMILY, SHARED = 100, 6
 #: Conversations that end at a node are listed in stretches of 2^9 numbers.
 STRETCH_BITS = 9
 NODE = ["start", "q1", "q2"]
+#: What follows one prefix is dealt out to so many parts.
+SALTS = 32
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
 
@@ -106,8 +108,9 @@ def segments(steps: DataFrame, block: int = BLOCK) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.min("conv").alias("m")),
         "trie-blocks",
     )
-    siblings = grouped.groupBy(*NODE).agg(F.count(F.lit(1)).alias("siblings"))
-    told = grouped.join(siblings, NODE)
+    salted = _salted(grouped, "steps")
+    siblings = _followers(salted, "siblings").select(*NODE, "siblings", F.explode("salts").alias("salt"))
+    told = salted.join(siblings, [*NODE, "salt"]).drop("salt")
     alone = told.where("siblings = 1").drop("siblings")
     cut_up = told.where("siblings > 1").select(
         "n", "m", "q1", "q2", "steps", F.col("start").alias("top"), F.posexplode("steps").alias("k", "step")
@@ -134,6 +137,24 @@ def segments(steps: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
+def _salted(rows: DataFrame, *columns: str) -> DataFrame:
+    """A part number for each row, so that what follows a common prefix is not one group."""
+    return rows.withColumn("salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)))
+
+
+def _followers(salted: DataFrame, name: str) -> DataFrame:
+    """By node, how many rows follow it and the parts they are in.
+
+    Counted by part first, so that no step meets more than ``SALTS`` rows of a node.
+    """
+    return (
+        salted.groupBy(*NODE, "salt")
+        .agg(F.count(F.lit(1)).alias("k"))
+        .groupBy(*NODE)
+        .agg(F.sum("k").alias(name), F.collect_list("salt").alias("salts"))
+    )
+
+
 def _at_end(columns: list[str]) -> list:
     """The columns of a table by node, renamed so that they meet segments at their end."""
     return [F.col(a).alias(b) for a, b in zip(NODE, ("stop", "e1", "e2"), strict=True)] + columns
@@ -141,13 +162,16 @@ def _at_end(columns: list[str]) -> list:
 
 def linked(found: DataFrame, top: int) -> DataFrame:
     """Segments with the children of their last node and the name of the node before them."""
-    children = found.groupBy(*NODE).agg(F.count(F.lit(1)).alias("n_children"))
+    salted = _salted(found, "e1", "e2")
+    children = cut(_followers(salted, "n_children"), "trie-children")
     before = found.select(
         F.col("stop").alias("start"), F.col("e1").alias("q1"), F.col("e2").alias("q2"), F.col("m").alias("parent")
     )
+    parents = children.join(before, NODE, "left").select(*NODE, "parent", F.explode("salts").alias("salt"))
     return cut(
-        found.join(children.select(*_at_end(["n_children"])), ["stop", "e1", "e2"], "left")
-        .join(before, NODE, "left")
+        salted.join(children.select(*_at_end(["n_children"])), ["stop", "e1", "e2"], "left")
+        .join(parents, [*NODE, "salt"], "left")
+        .drop("salt")
         .withColumn("n_children", F.coalesce("n_children", F.lit(0)))
         .withColumn("parent", F.coalesce("parent", F.lit(top)))
         .withColumn("leaves", F.expr("if(n_children = 0, 1L, 0L)"))
