@@ -29,3 +29,9 @@ def write_file(folder: str, name: str, data: bytes) -> str:
     with system.open_output_stream(place) as out:
         out.write(data)
     return path
+
+
+def remove_folder(path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    system, place = opened(path)
+    system.delete_dir(place)

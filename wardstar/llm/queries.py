@@ -8,6 +8,7 @@ from wardstar.llm import (
     language_model,
     minhash,
     packing,
+    phrases,
     prefix_trie,
     sharding,
     substrings,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_substring_dedup": substrings.query,
     "op9_warc": warc.query,
     "op10_decontamination": decontamination.query,
+    "op11_collocations": phrases.query,
     "op12_bpe": bpe.query,
     "op13_prefix_trie": prefix_trie.query,
 }
@@ -51,6 +53,47 @@ ORACLES: dict[str, str] = {
             CASE WHEN h.page_id <> l.page_id THEN l.page_id END AS refers_to
         FROM hashed h JOIN largest l ON h.payload = l.payload
     """,
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), lists AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), counts AS (
+            SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+            FROM (
+                SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+                FROM lists, (SELECT unnest([1, 2, 3, 4]) AS size)
+            ) GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 30
+        ), cuts AS (
+            SELECT c.lang, c.size, c.phrase, c.f, k, l.f AS l, r.f AS r,
+                (2000000::HUGEINT * c.f // (l.f + r.f))::BIGINT AS score
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+            JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+            JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+        ), lowest AS (
+            SELECT * FROM cuts
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inside AS (
+            SELECT lang, array_to_string(w[i:j], ' ') AS phrase, max(f) AS longer
+            FROM (
+                SELECT *, unnest(range(i + 1, size + 1)) AS j
+                FROM (SELECT *, unnest(range(1, size)) AS i FROM candidates)
+            ) WHERE j - i + 1 < size GROUP BY ALL
+        )
+        SELECT lang, row_number() OVER (
+                PARTITION BY lang ORDER BY score DESC, c.f DESC, c.phrase) AS rank,
+            c.phrase, c.f AS a, l, r, n, score
+        FROM lowest c LEFT JOIN inside USING (lang, phrase) JOIN totals USING (lang)
+        WHERE longer IS NULL OR 100 * longer < 80 * c.f
+        QUALIFY rank <= 2000
+    """,
     # The remainder comes from the CRC-32 of the number's digits, bit by bit.
     "op13_prefix_trie": """
         WITH turns AS (
