@@ -34,14 +34,17 @@ from wardstar.llm.words import SPACE, Words, mix
 #: A phrase is a candidate from this many occurrences on.
 LEAST = 30
 LONGEST = 4
-#: Parts of the corpus, scanned in turn.
-SHARDS = 3
+#: Parts of the corpus, scanned in turn. More parts let phrases start earlier, but
+#: move the counts so far once more for each.
+SHARDS = 2
 #: The bytes of each table of frequent phrases are 2^BITS.
 BITS = 23
 #: Bytes of text counted in one step.
 STEP = 4 << 20
 #: Phrases reported for each language.
 TOP = 2000
+#: Each language is ranked in so many parts first.
+SALTS = 32
 #: A candidate inside a longer phrase goes if that has so many percent of its count.
 INSIDE = 80
 NEVER = 255
@@ -269,11 +272,13 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, shards: in
     left = scored(found.drop("lang", "word")).join(inside_longer(found), KEYS, "left")
     left = left.where(f"longer is null or 100BD * longer < {INSIDE}BD * a").drop("longer")
     by_score = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    of_part = Window.partitionBy("lang", "salt").orderBy(F.desc("score"), F.desc("a"))
+    salt = F.pmod(F.xxhash64(*KEYS), F.lit(SALTS))
     # Ties at the end stay in until the texts of the phrases are known.
-    first = cut(
-        left.join(words.drop("word"), "w1").withColumn("place", F.rank().over(by_score)).where(F.col("place") <= top),
-        "phrase-first",
-    )
+    ranked = left.join(words.drop("word"), "w1").withColumn("salt", salt)
+    for window in (of_part, by_score):
+        ranked = ranked.withColumn("place", F.rank().over(window)).where(F.col("place") <= top)
+    first = cut(ranked.drop("salt", "place"), "phrase-first")
     spelled = (
         first.select(*KEYS, F.posexplode(F.array(*KEYS)).alias("at", "key"))
         .where("key != 0")
