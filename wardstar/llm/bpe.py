@@ -248,7 +248,7 @@ def frequent_words(counts: DataFrame, limit: int) -> list[bytes]:
         least = row["rank"]
     if least is None:
         return []
-    return sorted(bytes(r.word) for r in ranked.where(F.col("rank") >= least).select("word").collect())
+    return sorted(ranked.where(F.col("rank") >= least).select("word").toArrow()["word"].to_pylist())
 
 
 def fitted(docs: DataFrame, path: str, limit: int = LEXICON) -> dict[str, str]:
