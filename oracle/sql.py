@@ -266,10 +266,10 @@ WHERE published_date IS NOT NULL"""
 
 TABLES["attained"] = f"""
 SELECT p.*, {_age('birth_date', 'until')} AS attained_age FROM (
-  SELECT p.*, coalesce(
-    (SELECT max(published_date) FROM published_dates d WHERE d.patient_id = p.patient_id),
-    (SELECT max(published_date) FROM published_dates)) AS until
-  FROM stg_patients p) p"""
+  SELECT p.*, coalesce(seen.latest, all_seen.latest) AS until FROM stg_patients p
+  LEFT JOIN (SELECT patient_id, max(published_date) AS latest FROM published_dates GROUP BY 1) seen
+    ON seen.patient_id = p.patient_id
+  CROSS JOIN (SELECT max(published_date) AS latest FROM published_dates) all_seen) p"""
 
 TABLES["dim_patient"] = f"""
 SELECT patient_id,
@@ -326,6 +326,14 @@ SELECT f.* REPLACE ({_age('birth_date', 'started_date')} AS patient_age_years)
 FROM fct_condition f JOIN stg_patients s ON s.patient_id = f.patient_id"""
 
 
+# Tables that one statement reads in several places.
+READ_OFTEN = {
+    "stg_patients", "stg_encounters", "stg_conditions", "published_dates", "attained",
+    "dim_patient", "protected_cohort", "fct_encounter", "fct_condition",
+    "open_patient", "open_encounter", "open_condition",
+}
+
+
 def with_tables(select: str) -> str:
     """The statement with the tables it names, and theirs, as a WITH prefix."""
     needed: set[str] = set()
@@ -337,7 +345,11 @@ def with_tables(select: str) -> str:
                 visit(TABLES[name])
 
     visit(select)
-    parts = [f"{name} AS (\n{body}\n)" for name, body in TABLES.items() if name in needed]
+    parts = [
+        f"{name} AS {'MATERIALIZED ' if name in READ_OFTEN else ''}(\n{body}\n)"
+        for name, body in TABLES.items()
+        if name in needed
+    ]
     return f"WITH {', '.join(parts)}\n{select}" if parts else select
 
 
@@ -367,7 +379,6 @@ def _checks(patient: str, encounter: str, condition: str) -> dict[str, str]:
     dates = f"""(SELECT patient_id, unnest([CAST(started_at AS DATE), CAST(stopped_at AS DATE)])
         AS published_date FROM {encounter}
       UNION ALL SELECT patient_id, unnest([started_date, stopped_date]) FROM {condition})"""
-    bound = "anchor_date - to_years(CAST(anchor_age AS INTEGER))"
     return {
         "condition_grain_is_unique": repeated("stg_conditions"),
         "condition_fact_grain_is_unique": repeated(condition),
@@ -427,18 +438,30 @@ UNION ALL SELECT patient_id, 'a published date puts this patient over 89' FROM (
   SELECT * FROM {dates} UNION ALL SELECT patient_id, death_date FROM stg_patients)
 JOIN stg_patients s USING (patient_id) JOIN {patient} d USING (patient_id)
 WHERE d.birth_year IS NOT NULL AND {_age('s.birth_date', 'published_date')} >= 90""",
+        # Dates as numbers YYYYMMDD; the bound's 29 February is the 28th in a common year.
         "fact_age_and_date_do_not_imply_over_89": f"""
-SELECT * FROM (
-  SELECT patient_id, anchor_age, anchor_date, latest_date, {_age(bound, 'latest_date')}
-    AS implied_age
-  FROM (SELECT patient_id, patient_age_years AS anchor_age,
-      CAST(started_at AS DATE) AS anchor_date
-    FROM {encounter} WHERE patient_age_years IS NOT NULL
-    UNION ALL SELECT patient_id, patient_age_years, started_date FROM {condition}
-    WHERE patient_age_years IS NOT NULL)
-  JOIN (SELECT patient_id, max(published_date) AS latest_date FROM {dates} GROUP BY 1)
-    USING (patient_id)) implied
-WHERE implied.implied_age >= 90""",
+SELECT patient_id, anchor_age, anchor_date, latest_date, implied_age FROM (
+  WITH rows AS MATERIALIZED (
+    SELECT patient_id, patient_age_years AS anchor_age, CAST(started_at AS DATE) AS anchor_date,
+      CAST(stopped_at AS DATE) AS other_date FROM {encounter}
+    UNION ALL SELECT patient_id, patient_age_years, started_date, stopped_date FROM {condition}
+  ), latest AS MATERIALIZED (
+    SELECT patient_id, max(greatest(anchor_date, other_date)) AS latest_date FROM rows GROUP BY 1
+  ), bounds AS MATERIALIZED (
+    SELECT patient_id, anchor_age, anchor_date, year(anchor_date) - anchor_age AS y,
+      month(anchor_date) * 100 + day(anchor_date) AS md
+    FROM rows WHERE anchor_age IS NOT NULL
+  ), keyed AS MATERIALIZED (
+    SELECT patient_id, anchor_age, anchor_date, y * 10000 + md
+      - CASE WHEN md = 229 AND (y % 4 <> 0 OR (y % 100 = 0 AND y % 400 <> 0)) THEN 1 ELSE 0 END
+      AS born FROM bounds
+  ), aged AS MATERIALIZED (
+    SELECT k.*, latest_date,
+      (year(latest_date) * 10000 + month(latest_date) * 100 + day(latest_date) - born) // 10000
+        AS implied_age
+    FROM keyed k JOIN latest l ON l.patient_id = k.patient_id
+  )
+  SELECT * FROM aged WHERE implied_age >= 90)""",
         "fact_age_is_withheld_for_the_protected_cohort": f"""
 SELECT * FROM (
   SELECT 'fct_encounter' AS fact, encounter_id AS row_key, patient_id, patient_age_years

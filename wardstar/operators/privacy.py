@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.functions.scalars import completed_years, day
+from wardstar.functions.scalars import completed_years, day, plus_years
 from wardstar.operators.keys import union_all
 
 # Every date the star publishes about a patient: table, its date expressions.
@@ -92,22 +92,54 @@ def age_guard(patients: DataFrame, dim_patient: DataFrame) -> DataFrame:
 
 
 def published_periods(fct_encounter: DataFrame, fct_condition: DataFrame) -> DataFrame:
-    """One row per fact row: patient, first and last date it publishes, age.
+    """One row per fact row: fact, patient, first and last date it publishes, age.
 
     The age on a fact belongs to the first of its dates.
     """
     return fct_encounter.selectExpr(
+        "'fct_encounter' as fact",
         "patient_id",
         f"{day('started_at')} as from_date",
         f"{day('stopped_at')} as to_date",
         "patient_age_years",
     ).union(
-        fct_condition.select("patient_id", "started_date", "stopped_date", "patient_age_years")
+        fct_condition.selectExpr(
+            "'fct_condition' as fact",
+            "patient_id",
+            "started_date",
+            "stopped_date",
+            "patient_age_years",
+        )
     )
 
 
-def latest_published(periods: DataFrame) -> DataFrame:
-    """Latest date either fact publishes about each patient."""
+#: The earliest birth that an age at a fact's first date leaves possible is not
+#: before this day; the earlier it is, the older the patient at any later date.
+BIRTH_BOUND = plus_years("from_date", "-patient_age_years")
+
+
+def patient_marks(periods: DataFrame) -> DataFrame:
+    """One row per patient of the facts: what bounds every date rule about them.
+
+    The latest published date, the latest encounter start, the earliest birth bound,
+    and rows with and without an age. A rule about ages grows with the date, so the
+    patients that can break it are known from these bounds, before any fact row
+    moves. All of them are partial aggregates: a patient with most rows costs one
+    row per task.
+    """
     return periods.groupBy("patient_id").agg(
-        F.expr("max(greatest(from_date, to_date)) as latest_date")
+        F.expr("max(greatest(from_date, to_date)) as latest_date"),
+        F.expr("max(if(fact = 'fct_encounter', from_date, null)) as latest_encounter"),
+        F.expr(f"min({BIRTH_BOUND}) as birth_bound"),
+        F.expr("count(patient_age_years) as n_with_age"),
+        F.expr("count_if(patient_age_years is null) as n_without_age"),
     )
+
+
+def periods_of(periods: DataFrame, patients: DataFrame) -> DataFrame:
+    """The periods of some patients, counted: equal ones are one row with ``n``.
+
+    Only rows of these patients reach the grouping.
+    """
+    kept = periods.join(patients.select("patient_id").distinct(), "patient_id", "left_semi")
+    return kept.groupBy(*periods.columns).agg(F.expr("count(*) as n"))

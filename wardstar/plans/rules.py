@@ -30,7 +30,13 @@ from wardstar.functions.scalars import (
 )
 from wardstar.operators import quality
 from wardstar.operators.keys import grain_difference, repeat_rows, repeated_keys, union_all
-from wardstar.operators.privacy import flagged_cohort, latest_published, published_periods
+from wardstar.operators.privacy import (
+    BIRTH_BOUND,
+    flagged_cohort,
+    patient_marks,
+    periods_of,
+    published_periods,
+)
 from wardstar.plans import rule_map
 
 Tables = Callable[[str], DataFrame]
@@ -164,82 +170,130 @@ def patient_zip3_is_a_permitted_prefix(tables: Tables) -> DataFrame:
     return tables("dim_patient").selectExpr("patient_id", "zip3", f"{problems} as violation")
 
 
-def safe_harbor_age_over_89_is_suppressed(tables: Tables) -> DataFrame:
-    """The ways a published age or year still shows an age over 89.
+#: The texts of the violations of an age over 89.
+YEAR_RETAINED = "year element retained for an over-89 patient"
+AGE_AT_DEATH_ABOVE = "age_at_death_years above the aggregated category"
+DATE_OVER_89 = "a published date puts this patient over 89"
+FACT_AGE_OVER_89 = {
+    "fct_encounter": "patient_age_years over 89 on the encounter fact",
+    "fct_condition": "patient_age_years over 89 on the condition fact",
+}
+#: Conditions on one row of the dimension, by their text.
+DIMENSION_OVER_89 = {
+    YEAR_RETAINED: "is_age_90_or_older and (isnotnull(birth_year) or isnotnull(death_year))",
+    AGE_AT_DEATH_ABOVE: f"age_at_death_years > {PROTECTED_AGE}",
+}
 
-    The dimension is read once for its two conditions and each fact once for
-    its age. For the date clause the facts are first counted per patient and
-    day, of which a patient has no more than the calendar, so the join by
-    patient meets no oversized group however many rows one patient holds.
-    """
-    dim = tables("dim_patient")
-    facts = {name: tables(name) for name in ("fct_encounter", "fct_condition")}
-    on_dimension = f"""explode(array_compact(array(
-        if(is_age_90_or_older and (isnotnull(birth_year) or isnotnull(death_year)),
-          'year element retained for an over-89 patient', null),
-        if(age_at_death_years > {PROTECTED_AGE},
-          'age_at_death_years above the aggregated category', null))))"""
-    parts = [dim.selectExpr("patient_id", f"{on_dimension} as violation")]
-
-    def is_over(date: str) -> str:
-        return is_protected_age(completed_years("birth_date", date))
-
-    with_year = (
-        dim.where("birth_year is not null")
+
+def is_over_89(date: str) -> str:
+    return is_protected_age(completed_years("birth_date", date))
+
+
+def periods(tables: Tables) -> DataFrame:
+    return published_periods(tables("fct_encounter"), tables("fct_condition"))
+
+
+def with_published_year(tables: Tables) -> DataFrame:
+    """Patients whose birth year is published, with their dates of birth and death."""
+    return (
+        tables("dim_patient")
+        .where("birth_year is not null")
         .select("patient_id")
         .join(tables("stg_patients").select("patient_id", "birth_date", "death_date"), "patient_id")
     )
-    days = (
-        published_periods(facts["fct_encounter"], facts["fct_condition"])
-        .selectExpr(
-            "patient_id",
-            "explode(array_compact(array(from_date, to_date))) as published_date",
+
+
+def over_89_candidates(known: DataFrame, marks: DataFrame) -> DataFrame:
+    """Of the patients of ``with_published_year``, those whose latest date is over 89."""
+    return known.join(marks.select("patient_id", "latest_date"), "patient_id").where(
+        is_over_89("latest_date")
+    )
+
+
+def dates_over_89(known: DataFrame, counted: DataFrame) -> DataFrame:
+    """(patient_id, n): published dates at which the patient is over 89, per patient and day."""
+    return (
+        counted.selectExpr(
+            "patient_id", "explode(array_compact(array(from_date, to_date))) as published_date", "n"
         )
         .groupBy("patient_id", "published_date")
-        .agg(F.expr("count(*) as n"))
+        .agg(F.expr("sum(n) as n"))
+        .join(known, "patient_id")
+        .where(is_over_89("published_date"))
+        .select("patient_id", "n")
     )
-    at_events = with_year.join(days, "patient_id").where(is_over("published_date"))
-    at_death = with_year.where(is_over("death_date"))
-    by_date = repeat_rows(at_events.select("patient_id", "published_date", "n"), "n")
+
+
+def safe_harbor_age_over_89_is_suppressed(tables: Tables) -> DataFrame:
+    """The ways a published age or year still shows an age over 89.
+
+    Age grows with the date, so only patients over 89 at their latest published date
+    can break the clause on dates; only their fact rows are grouped by day.
+    """
+    problems = ", ".join(f"if({c}, {text(v)}, null)" for v, c in DIMENSION_OVER_89.items())
+    parts = [
+        tables("dim_patient").selectExpr(
+            "patient_id", f"explode(array_compact(array({problems}))) as violation"
+        )
+    ]
+    known, rows = with_published_year(tables), periods(tables)
+    candidates = over_89_candidates(known, patient_marks(rows))
+    by_date = repeat_rows(dates_over_89(known, periods_of(rows, candidates)), "n")
     parts.append(
-        by_date.select("patient_id")
-        .union(at_death.select("patient_id"))
-        .selectExpr("patient_id", "'a published date puts this patient over 89' as violation")
+        by_date.union(known.where(is_over_89("death_date")).select("patient_id")).selectExpr(
+            "patient_id", f"{text(DATE_OVER_89)} as violation"
+        )
     )
-    for name, label in (("fct_encounter", "encounter"), ("fct_condition", "condition")):
-        violation = f"'patient_age_years over 89 on the {label} fact' as violation"
+    for name, violation in FACT_AGE_OVER_89.items():
         parts.append(
-            facts[name]
+            tables(name)
             .where(is_protected_age("patient_age_years"))
-            .selectExpr("patient_id", violation)
+            .selectExpr("patient_id", f"{text(violation)} as violation")
         )
     return union_all(parts)
 
 
-def fact_age_and_date_do_not_imply_over_89(tables: Tables) -> DataFrame:
-    """Published ages that, with the patient's latest published date, show over 89.
+_IMPLIED = is_protected_age(completed_years("birth_bound", "latest_date"))
 
-    An age at a date bounds the birth from above; the bound is an age at the
-    latest date. Uses published columns only, never the cohort. Ages are counted
-    per patient and day before the join, for the reason given above.
-    """
-    periods = published_periods(tables("fct_encounter"), tables("fct_condition"))
+
+def implied_candidates(marks: DataFrame) -> DataFrame:
+    """Patients whose earliest birth bound puts them over 89 at their latest date."""
+    return marks.where(_IMPLIED)
+
+
+def implied_ages(counted: DataFrame, marks: DataFrame) -> DataFrame:
+    """Published ages, counted, that imply an age over 89 at the patient's latest date."""
     anchors = (
-        periods.where("patient_age_years is not null")
-        .groupBy(
+        counted.where("patient_age_years is not null")
+        .groupBy("patient_id", "patient_age_years", "from_date")
+        .agg(F.expr("sum(n) as n"))
+        .withColumn("birth_bound", F.expr(BIRTH_BOUND))
+    )
+    return (
+        anchors.join(marks.select("patient_id", "latest_date"), "patient_id")
+        .where(_IMPLIED)
+        .selectExpr(
             "patient_id",
-            F.expr("patient_age_years as anchor_age"),
-            F.expr("from_date as anchor_date"),
+            "patient_age_years as anchor_age",
+            "from_date as anchor_date",
+            "n",
+            "latest_date",
+            f"{completed_years('birth_bound', 'latest_date')} as implied_age",
         )
-        .agg(F.expr("count(*) as n"))
     )
-    latest_birth = plus_years("anchor_date", "-anchor_age")
-    implied = (
-        anchors.join(latest_published(periods), "patient_id")
-        .selectExpr("*", f"{completed_years(latest_birth, 'latest_date')} as implied_age")
-        .where(is_protected_age("implied_age"))
-    )
-    return repeat_rows(implied, "n")
+
+
+def fact_age_and_date_do_not_imply_over_89(tables: Tables) -> DataFrame:
+    """Published ages that, with the patient's latest published date, show over 89.
+
+    An age at a date bounds the birth from above; the bound is an age at the
+    latest date. Uses published columns only, never the cohort. The earliest bound of
+    a patient decides whether any of their rows can break the rule.
+    """
+    rows = periods(tables)
+    marks = patient_marks(rows)
+    counted = periods_of(rows, implied_candidates(marks))
+    return repeat_rows(implied_ages(counted, marks), "n")
 
 
 def fact_age_is_withheld_for_the_protected_cohort(tables: Tables) -> DataFrame:
