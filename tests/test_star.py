@@ -12,7 +12,7 @@ from wardstar.operators.labels import canonical_label
 from wardstar.operators.privacy import last_seen, published_dates
 from wardstar.plans import dimensions, reports
 from wardstar.plans.staging import stage
-from wardstar.plans.star import MODELS, Star, _files_digest
+from wardstar.plans.star import MODELS, Star, files_digest
 from wardstar.sources.feeds import csv_feeds, write_feed
 
 
@@ -185,9 +185,9 @@ def test_four_threads_write_a_table_once(spark, tmp_path):
 
 def test_changed_input_gives_another_star(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
-    before = _files_digest(spark, str(tmp_path))
+    before = files_digest(spark, str(tmp_path))
     spark.range(4).write.mode("append").parquet(str(tmp_path / "t.parquet"))
-    assert _files_digest(spark, str(tmp_path)) != before
+    assert files_digest(spark, str(tmp_path)) != before
 
 
 def test_drill_across_keeps_every_fact(spark):

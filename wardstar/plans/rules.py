@@ -8,7 +8,7 @@ row of one table, so a summary counts all of them in one scan of that table;
 from __future__ import annotations
 
 from collections.abc import Callable
-from typing import NamedTuple
+from typing import TYPE_CHECKING, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +39,9 @@ from wardstar.operators.privacy import (
 )
 from wardstar.plans import rule_map
 
+if TYPE_CHECKING:
+    from wardstar.plans.evidence import Evidence
+
 Tables = Callable[[str], DataFrame]
 
 
@@ -137,14 +140,15 @@ def condition_patient_matches_encounter_patient(tables: Tables) -> DataFrame:
     )
 
 
+def death_dates(tables: Tables) -> DataFrame:
+    return tables("stg_patients").where("death_date is not null").select("patient_id", "death_date")
+
+
 def encounter_start_not_after_patient_death(tables: Tables) -> DataFrame:
-    deaths = (
-        tables("stg_patients").where("death_date is not null").select("patient_id", "death_date")
-    )
     return (
         tables("fct_encounter")
         .selectExpr("encounter_id", "patient_id", f"{_ENCOUNTER_DAY} as encounter_date")
-        .join(deaths, "patient_id")
+        .join(death_dates(tables), "patient_id")
         .where("encounter_date > death_date")
         .selectExpr(
             "encounter_id",
@@ -344,20 +348,21 @@ def rule_rows(name: str, tables: Tables) -> DataFrame:
     return SET_RULES[name](tables)
 
 
-def _generic(kind: str, table: str, column: str) -> str:
+def generic_name(kind: str, table: str, column: str) -> str:
+    """The name of a generic rule in a summary."""
     return f"{kind}.{table}.{column}"
 
 
 def not_null_parts(tables: Tables) -> list[DataFrame]:
     return [
-        quality.nulls(tables(t), {_generic("not_null", t, c): c for c in columns})
+        quality.nulls(tables(t), {generic_name("not_null", t, c): c for c in columns})
         for t, columns in rule_map.NOT_NULL.items()
     ]
 
 
 def unique_parts(tables: Tables) -> list[DataFrame]:
     scans = [
-        (tables(t), {_generic("unique", t, c): c for c in columns})
+        (tables(t), {generic_name("unique", t, c): c for c in columns})
         for t, columns in rule_map.UNIQUE.items()
     ]
     return [quality.repeats(scans)]
@@ -367,7 +372,7 @@ def relationship_parts(tables: Tables) -> list[DataFrame]:
     children: dict[str, dict[str, tuple[str, str]]] = {}
     parents: dict[str, tuple[DataFrame, str]] = {}
     for child, key, parent, parent_key in rule_map.RELATIONSHIPS:
-        name = _generic("relationships", child, key)
+        name = generic_name("relationships", child, key)
         children.setdefault(child, {})[name] = (key, parent)
         parents.setdefault(parent, (tables(parent), parent_key))
     return [quality.orphans([(tables(c), refs) for c, refs in children.items()], parents)]
@@ -377,7 +382,7 @@ def accepted_value_parts(tables: Tables) -> list[DataFrame]:
     found = [
         quality.outsiders(
             tables(t),
-            {_generic("accepted_values", t, c): (c, values) for c, values in columns.items()},
+            {generic_name("accepted_values", t, c): (c, values) for c, values in columns.items()},
         )
         for t, columns in rule_map.ACCEPTED_VALUES.items()
     ]
@@ -404,10 +409,16 @@ def generic_rules() -> dict[str, list[tuple[str, str]]]:
     }
 
 
-def generic_failures(spark: SparkSession, tables: Tables, kind: str) -> DataFrame:
-    """Every generic rule of one kind with its failures."""
-    names = [_generic(kind, t, c) for t, c in generic_rules()[kind]]
-    counts = quality.tally(spark, names, GENERIC_PARTS[kind](tables))
+def generic_failures(
+    spark: SparkSession, tables: Tables, kind: str, evidence: Evidence | None = None
+) -> DataFrame:
+    """Every generic rule of one kind with its failures.
+
+    With the evidence of a build the tables are not read again for them.
+    """
+    names = [generic_name(kind, t, c) for t, c in generic_rules()[kind]]
+    parts = evidence.counts(spark, tables, kind) if evidence else GENERIC_PARTS[kind](tables)
+    counts = quality.tally(spark, names, parts)
     return counts.selectExpr(
         "split_part(name, '.', 2) as table_name",
         "split_part(name, '.', 3) as column_name",
@@ -436,12 +447,20 @@ def rule_summary(
     spark: SparkSession,
     tables: Tables,
     tolerated: dict[str, tuple[int, int]] = TOLERATED,
+    evidence: Evidence | None = None,
 ) -> DataFrame:
-    """Every rule with its violations and its status."""
-    names = [_generic(kind, t, c) for kind, pairs in generic_rules().items() for t, c in pairs]
+    """Every rule with its violations and its status.
+
+    Without evidence every rule reads its tables; with the evidence of a build, which
+    holds for exactly these tables, most are answered from figures it left.
+    """
+    names = [generic_name(kind, t, c) for kind, pairs in generic_rules().items() for t, c in pairs]
     names += [*ROW_RULES, *SET_RULES, COLUMN_RULE]
-    parts = [part for make in GENERIC_PARTS.values() for part in make(tables)]
-    parts += bespoke_parts(tables)
+    if evidence:
+        parts = evidence.counts(spark, tables)
+    else:
+        parts = [part for make in GENERIC_PARTS.values() for part in make(tables)]
+        parts += bespoke_parts(tables)
     columns = forbidden_columns(spark, tables("dim_patient"))
     parts.append(columns.selectExpr(f"{text(COLUMN_RULE)} as name", "1L as n"))
     return with_status(quality.tally(spark, names, parts), tolerated)
@@ -460,3 +479,19 @@ def with_status(counts: DataFrame, tolerated: dict[str, tuple[int, int]]) -> Dat
         f"{limit(0)} as warn_if",
         f"{limit(1)} as error_if",
     ).selectExpr("*", f"{quality.status('violations', 'warn_if', 'error_if')} as status")
+
+
+class RulesBroken(Exception):
+    """Rules with status ``error``; ``rules`` has their names and violations."""
+
+    def __init__(self, broken: dict[str, int]):
+        super().__init__(", ".join(f"{name}: {n}" for name, n in broken.items()))
+        self.rules = broken
+
+
+def gate(summary: DataFrame) -> DataFrame:
+    """The summary, if no rule in it has status ``error``."""
+    broken = summary.where("status = 'error'").orderBy("rule").select("rule", "violations")
+    if found := {r.rule: r.violations for r in broken.collect()}:
+        raise RulesBroken(found)
+    return summary

@@ -9,14 +9,17 @@ from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.operators.privacy import age_guard
-from wardstar.plans import dimensions, facts
+from wardstar.operators.ledger import key_ledger
+from wardstar.operators.privacy import age_guard, patient_marks, published_periods
+from wardstar.plans import dimensions, facts, rules
+from wardstar.plans.evidence import USES, Evidence, observed, suspects
 from wardstar.plans.staging import stage
+from wardstar.sources.files import SharedFiles
 from wardstar.sources.order_feeds import order_feeds
-from wardstar.sources.tables import TableFolder, shared_folder
+from wardstar.sources.tables import Manifest, TableFolder, shared_folder
 
 
 class Model(NamedTuple):
@@ -53,14 +56,29 @@ MODELS: dict[str, Model] = {
     ),
 }
 
-# Small tables, one row per patient, that several readers share. Written, their
-# size is known, so the facts broadcast them only while they are small.
+_ALL = tuple(MODELS)
+
+
+def _lookup(frames: tuple[DataFrame, ...]) -> Callable[[str], DataFrame]:
+    return dict(zip(_ALL, frames, strict=True)).__getitem__
+
+
+# Tables that several readers share. Written, their size is known, so a side is
+# broadcast only while it is small. The last three are what the rules are answered from.
 SHARED: dict[str, Model] = {
     "patient_last_seen": Model(
         dimensions.patient_last_seen, ("stg_patients", "stg_encounters", "stg_conditions")
     ),
     "age_guard": Model(age_guard, ("stg_patients", "dim_patient")),
+    "key_ledger": Model(lambda *frames: key_ledger(_lookup(frames), USES), _ALL),
+    "patient_marks": Model(
+        lambda *facts_: patient_marks(published_periods(*facts_)), ("fct_encounter", "fct_condition")
+    ),
+    "suspect_periods": Model(
+        lambda marks, *frames: suspects(marks, _lookup(frames)), ("patient_marks", *_ALL)
+    ),
 }
+EVIDENCE = ("key_ledger", "patient_marks", "suspect_periods")
 
 BUILD_STEPS = (
     tuple(name for name in MODELS if name.startswith("stg_")),
@@ -85,6 +103,7 @@ class Star:
         self._written: dict[str, DataFrame] = {}
         self._locks: defaultdict[str, Lock] = defaultdict(Lock)
         self._guard = Lock()
+        self.figures: dict[str, int] = {}
 
     def lazy(self, name: str) -> DataFrame:
         model = MODELS.get(name) or SHARED[name]
@@ -94,7 +113,7 @@ class Star:
         """A written table, or with ``feed_<name>`` the raw feed as it is."""
         if name.startswith("feed_"):
             return self.feeds[name.removeprefix("feed_")]
-        return self._once(name, lambda: self.lazy(name))
+        return self._model_table(name)
 
     def feed_table(self, feed: str) -> DataFrame:
         """A raw feed written once, for profiles that read it several times."""
@@ -109,6 +128,33 @@ class Star:
                 self._written[name] = self.folder.write(name, rows())
             return self._written[name]
 
+    def _noting(self, name: str, rows: DataFrame, notes: list) -> DataFrame:
+        """The rows, with the figures the rules ask of them observed as they pass."""
+        figures = observed(name)
+        if not figures:
+            return rows
+        note = Observation()
+        notes.append((note, list(figures)))
+        aggregates = [F.expr(f).alias(f"f{i}") for i, f in enumerate(figures.values())]
+        return rows.observe(note, *aggregates)
+
+    def _model_table(self, name: str) -> DataFrame:
+        """Write a model once and keep the figures that were observed meanwhile."""
+        notes: list[tuple[Observation, list[str]]] = []
+
+        def rows() -> DataFrame:
+            model = MODELS.get(name) or SHARED[name]
+            inputs = [
+                self._noting(i, self.table(i), notes) if i.startswith("feed_") else self.table(i)
+                for i in model.inputs
+            ]
+            return self._noting(name, model.compute(*inputs), notes)
+
+        written = self._once(name, rows)
+        for note, figures in notes:
+            self.figures.update((f, note.get[f"f{i}"]) for i, f in enumerate(figures))
+        return written
+
     def build(self, threads: int = 4) -> dict[str, DataFrame]:
         """Write every table not written yet and return all of them.
 
@@ -120,17 +166,52 @@ class Star:
                 list(pool.map(self.table, step))
         return {name: self.table(name) for name in MODELS}
 
+    def evidence(self) -> Evidence:
+        """What the rules are answered from, after a build of every table."""
+        self.build()
+        return Evidence(self.figures, *[self.table(name) for name in EVIDENCE])
+
+    def release(
+        self, tolerated: dict[str, tuple[int, int]] = rules.TOLERATED, keep: int = 2
+    ) -> Manifest:
+        """Build, check, and publish the fifteen tables and their rule summary as one version.
+
+        Raises ``rules.RulesBroken`` and publishes nothing where a rule has status
+        ``error``; earlier versions stay as they are.
+        """
+        evidence = self.evidence()
+        summary = rules.rule_summary(self.folder.spark, self.table, tolerated, evidence)
+        rules.gate(self.folder.write("rule_summary", summary))
+        return self.folder.publish(
+            [*MODELS, *EVIDENCE, "rule_summary"], {"figures": self.figures}, keep
+        )
+
+
+class PublishedStar:
+    """The tables of one published version, as any process reads them."""
+
+    def __init__(self, spark: SparkSession, folder: str, version: int | None = None):
+        self.folder = TableFolder(spark, folder)
+        manifest = self.folder.manifest(version)
+        if manifest is None:
+            raise FileNotFoundError(f"no version is published in {folder}")
+        self.manifest = manifest
+
+    def table(self, name: str) -> DataFrame:
+        return self.folder.read(self.manifest.tables[name])
+
+    def evidence(self) -> Evidence:
+        return Evidence(self.manifest.notes["figures"], *[self.table(name) for name in EVIDENCE])
+
 
 _STARS: dict[tuple[str, str, str], Star] = {}
 _STARS_LOCK = Lock()
 
 
-def _files_digest(spark: SparkSession, folder: str) -> str:
-    """Names, sizes and times of all files in a folder, as one number; reads no content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    each = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
-    row = files.agg(F.sum(each).alias("digest"), F.count(F.lit(1)).alias("n")).first()
-    return f"{row['n']}:{row['digest']}"
+def files_digest(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of all files in a folder; the driver lists them, no job runs."""
+    listed = sorted(SharedFiles(spark, folder).all_files(folder))
+    return hashlib.sha256(repr(listed).encode()).hexdigest()
 
 
 def star_over_orders(spark: SparkSession, sf_dir: str) -> Star:
@@ -140,7 +221,7 @@ def star_over_orders(spark: SparkSession, sf_dir: str) -> Star:
     never reads them. Once the files in ``sf_dir`` change, a new star is written.
     """
     application = spark.sparkContext.applicationId
-    key = (application, sf_dir, _files_digest(spark, sf_dir))
+    key = (application, sf_dir, files_digest(spark, sf_dir))
     with _STARS_LOCK:
         if key not in _STARS:
             digest = hashlib.sha256(repr(key[1:]).encode()).hexdigest()[:12]

@@ -1,14 +1,19 @@
-"""Parquet tables in one shared folder, previews, and column catalogs."""
+"""Parquet tables in one shared folder, published in versions, and previews."""
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardstar.sources.files import SharedFiles
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
@@ -36,12 +41,26 @@ def spread(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(cores, *keys) if pieces < cores else rows
 
 
+class Manifest(NamedTuple):
+    """One published set of tables: their folders, and notes kept with them."""
+
+    version: int
+    tables: dict[str, str]
+    notes: dict
+
+
 class TableFolder:
-    """Full-refresh tables, each a Parquet folder below one path."""
+    """Full-refresh tables, each a Parquet folder below one path, published as sets.
+
+    A table lies in a new folder for every write. A set of them becomes visible by
+    one new file, the manifest of the next version, so a reader that opens a version
+    sees tables of one build only, also during a refresh.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.written: dict[str, str] = {}
 
     def write(self, name: str, rows: DataFrame) -> DataFrame:
         """Write the table to a new folder of its own and return it read back.
@@ -51,9 +70,54 @@ class TableFolder:
         file sizes, so it broadcasts a side only when the written bytes are under
         the limit.
         """
-        path = f"{self.path}/{name}/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return self.spark.read.parquet(path)
+        place = f"{name}/{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/{place}")
+        self.written[name] = place
+        return self.read(place)
+
+    def read(self, place: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{place}")
+
+    def versions(self) -> list[int]:
+        """Published versions that are kept, oldest first."""
+        names = self._files().names(f"{self.path}/manifests")
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def manifest(self, version: int | None = None) -> Manifest | None:
+        """A published version, by default the latest; nothing before the first."""
+        found = self.versions() if version is None else [version]
+        if not found:
+            return None
+        return Manifest(**json.loads(self._files().read(self._manifest(found[-1]))))
+
+    def publish(self, names: Iterable[str], notes: dict, keep: int = 2) -> Manifest:
+        """Make the last written tables of these names the next version.
+
+        Versions before the last ``keep`` go, with the tables no kept version names.
+        Keep two at least: a reader of the one before may still be at work.
+        """
+        files = self._files()
+        tables = {name: self.written[name] for name in names}
+        version = max(self.versions(), default=0) + 1
+        while True:
+            manifest = Manifest(version, tables, notes)
+            if files.write_once(self._manifest(version), json.dumps(manifest._asdict())):
+                break
+            version += 1
+        retired = [self.manifest(v) for v in self.versions()[:-keep]]
+        kept = {p for v in self.versions()[-keep:] for p in self.manifest(v).tables.values()}
+        for old in retired:
+            # The manifest first: what it names must not be found once it is gone.
+            files.delete(self._manifest(old.version))
+            for place in set(old.tables.values()) - kept:
+                files.delete(f"{self.path}/{place}")
+        return manifest
+
+    def _manifest(self, version: int) -> str:
+        return f"{self.path}/manifests/{version:08d}.json"
+
+    def _files(self) -> SharedFiles:
+        return SharedFiles(self.spark, self.path)
 
 
 def preview_json(rows: DataFrame, limit: int = 50) -> DataFrame:
