@@ -748,10 +748,10 @@ FROM fct_encounter LEFT JOIN dim_payer USING (payer_id) GROUP BY ALL""",
 SELECT encounter_class, count(*) AS encounters FROM fct_encounter GROUP BY ALL""",
         "report_condition_tags": """
 SELECT source_semantic_tag, count(DISTINCT condition_code) AS codes, count(*) AS conditions
-FROM fct_condition JOIN dim_condition USING (condition_code) GROUP BY ALL""",
+FROM fct_condition LEFT JOIN dim_condition USING (condition_code) GROUP BY ALL""",
         "report_top_conditions": """
 SELECT condition_code, condition_description, count(*) AS conditions
-FROM fct_condition JOIN dim_condition USING (condition_code) GROUP BY ALL
+FROM fct_condition LEFT JOIN dim_condition USING (condition_code) GROUP BY ALL
 ORDER BY conditions DESC, condition_code LIMIT 10""",
         "report_drill_across": """
 SELECT year_month, count(*) FILTER (kind = 'e') AS encounters,
@@ -759,16 +759,22 @@ SELECT year_month, count(*) FILTER (kind = 'e') AS encounters,
 FROM (SELECT date_id, 'e' AS kind FROM fct_encounter
   UNION ALL SELECT start_date_id, 'c' FROM fct_condition)
 LEFT JOIN dim_date USING (date_id) GROUP BY ALL""",
+        "report_drill_across_patients": """
+SELECT race, count(*) FILTER (kind = 'e') AS encounters,
+  count(*) FILTER (kind = 'c') AS conditions
+FROM (SELECT patient_id, 'e' AS kind FROM fct_encounter
+  UNION ALL SELECT patient_id, 'c' FROM fct_condition)
+LEFT JOIN dim_patient USING (patient_id) GROUP BY ALL""",
         "report_iso_week": f"""
 SELECT iso_year_week, count(*) AS encounters, CAST(sum(total_claim_cost) AS {wide}) AS billed
-FROM fct_encounter JOIN dim_date USING (date_id) GROUP BY ALL""",
+FROM fct_encounter LEFT JOIN dim_date USING (date_id) GROUP BY ALL""",
         "report_utilization_gap": gap("organization", "organization_id", "dim_organization")
         + " UNION ALL "
         + gap("provider", "provider_id", "dim_provider"),
         "report_code_ambiguity": """
 SELECT encounter_code, encounter_description, source_spelling_count,
   count(DISTINCT encounter_class) AS class_count
-FROM fct_encounter JOIN dim_encounter_type USING (encounter_code) GROUP BY ALL
+FROM fct_encounter LEFT JOIN dim_encounter_type USING (encounter_code) GROUP BY ALL
 HAVING class_count > 1 OR source_spelling_count > 1""",
         "report_provider_coverage": """
 SELECT specialty, count(*) AS providers,

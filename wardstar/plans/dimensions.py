@@ -17,23 +17,22 @@ from wardstar.functions.scalars import (
     zip_prefix,
 )
 from wardstar.operators.calendar import calendar, daily_series
-from wardstar.operators.labels import canonical_label
+from wardstar.operators.labels import canonical_label, label_and_members
 from wardstar.operators.privacy import attained_age, last_seen
 
 
 def dim_condition(stg_conditions: DataFrame) -> DataFrame:
     """One row per condition code."""
-    labels = canonical_label(
+    labels = label_and_members(
         stg_conditions,
         "condition_code",
         "condition_description",
+        "patient_id",
         spellings_as="source_spelling_count",
         rows_as="condition_count",
+        members_as="patient_count",
     )
-    patients = stg_conditions.groupBy("condition_code").agg(
-        F.expr("count(distinct patient_id) as patient_count")
-    )
-    return labels.join(patients, "condition_code").selectExpr(
+    return labels.selectExpr(
         "condition_code",
         "condition_description",
         f"{trailing_tag('condition_description')} as source_semantic_tag",

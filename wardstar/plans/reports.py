@@ -68,9 +68,9 @@ def condition_tags(fct_condition: DataFrame, dim_condition: DataFrame) -> DataFr
     by_code = _summed(fct_condition, ("condition_code",), "count(*) as conditions")
     tags = dim_condition.select("condition_code", "source_semantic_tag")
     return _summed(
-        by_code.join(tags, "condition_code"),
+        by_code.join(tags, "condition_code", "left"),
         ("source_semantic_tag",),
-        "count(*) as codes",
+        "count(condition_code) as codes",
         "sum(conditions) as conditions",
     )
 
@@ -80,49 +80,72 @@ def top_conditions(fct_condition: DataFrame, dim_condition: DataFrame, k: int =
     by_code = _summed(fct_condition, ("condition_code",), "count(*) as conditions")
     labels = dim_condition.select("condition_code", "condition_description")
     return (
-        by_code.join(labels, "condition_code")
+        by_code.join(labels, "condition_code", "left")
         .select("condition_code", "condition_description", "conditions")
         .orderBy(F.desc("conditions"), "condition_code")
         .limit(k)
     )
 
 
-def drill_across(
-    fct_encounter: DataFrame, fct_condition: DataFrame, dim_date: DataFrame, attribute: str
+def _across(
+    fct_encounter: DataFrame,
+    fct_condition: DataFrame,
+    keys: tuple[str, str],
+    dimension: DataFrame,
+    dimension_key: str,
+    attribute: str,
 ) -> DataFrame:
-    """Encounters and conditions by one attribute of the shared calendar.
+    """Encounters and conditions by an attribute of a dimension both facts refer to.
 
-    The calendar covers encounter starts; facts dated outside it, or not at all, are
-    counted under a null attribute, so both columns add up to their facts.
+    Each fact is counted by its own key first, and the counts meet in one column, so
+    no fact row is ever joined to a row of the other. Rows whose key the dimension
+    lacks, or that have none, are counted under a null attribute, so both columns add
+    up to their facts.
     """
 
     def counted(fact: DataFrame, key: str, encounters: str, conditions: str) -> DataFrame:
         return _summed(
-            fact.withColumn("day", F.col(key)),
-            ("day",),
+            fact.withColumn("member", F.col(key)),
+            ("member",),
             f"{encounters} as encounters",
             f"{conditions} as conditions",
         )
 
-    per_day = counted(fct_encounter, "date_id", "count(*)", "0L").unionByName(
-        counted(fct_condition, "start_date_id", "0L", "count(*)")
+    per_member = counted(fct_encounter, keys[0], "count(*)", "0L").unionByName(
+        counted(fct_condition, keys[1], "0L", "count(*)")
     )
-    days = dim_date.select(F.col("date_id").alias("day"), attribute)
+    members = dimension.select(F.col(dimension_key).alias("member"), attribute)
     return _summed(
-        per_day.join(days, "day", "left"),
+        per_member.join(members, "member", "left"),
         (attribute,),
         "sum(encounters) as encounters",
         "sum(conditions) as conditions",
     )
 
 
+def drill_across(
+    fct_encounter: DataFrame, fct_condition: DataFrame, dim_date: DataFrame, attribute: str
+) -> DataFrame:
+    """Both facts by one attribute of the calendar, which covers encounter starts."""
+    keys = ("date_id", "start_date_id")
+    return _across(fct_encounter, fct_condition, keys, dim_date, "date_id", attribute)
+
+
+def drill_across_patients(
+    fct_encounter: DataFrame, fct_condition: DataFrame, dim_patient: DataFrame, attribute: str
+) -> DataFrame:
+    """Both facts by one attribute of the patient."""
+    keys = ("patient_id", "patient_id")
+    return _across(fct_encounter, fct_condition, keys, dim_patient, "patient_id", attribute)
+
+
 def iso_week(fct_encounter: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Encounters and billing per ISO week, keyed on year and week together."""
     per_day = _summed(
         fct_encounter, ("date_id",), "count(*) as encounters", "sum(total_claim_cost) as billed"
     )
     return _summed(
-        per_day.join(dim_date.select("date_id", "iso_year_week"), "date_id"),
+        per_day.join(dim_date.select("date_id", "iso_year_week"), "date_id", "left"),
         ("iso_year_week",),
         "sum(encounters) as encounters",
         _money("billed"),
@@ -157,9 +180,9 @@ def code_ambiguity(fct_encounter: DataFrame, dim_encounter_type: DataFrame) -> D
     pairs = fct_encounter.select("encounter_code", "encounter_class").distinct()
     classes = _summed(pairs, ("encounter_code",), "count(encounter_class) as class_count")
     return (
-        dim_encounter_type.drop("encounter_count")
-        .join(classes, "encounter_code")
+        classes.join(dim_encounter_type.drop("encounter_count"), "encounter_code", "left")
         .where("class_count > 1 or source_spelling_count > 1")
+        .select(*[c for c in dim_encounter_type.columns if c != "encounter_count"], "class_count")
     )
 
 
