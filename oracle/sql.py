@@ -850,6 +850,41 @@ FROM (SELECT (SELECT sum(CAST(o_totalprice AS {MONEY})) FROM orders) AS a,
     }
 
 
+def _landed() -> dict[str, str]:
+    """Each feed with one text column full of quotes, commas and line breaks."""
+
+    def awkward(column: str) -> str:
+        return f"""'"' || {column} || ', "quoted",' || chr(10) || 'line two, ' || {column} || '"" '"""
+
+    staged = {
+        "conditions": "condition_description",
+        "encounters": "reason_description",
+        "organizations": "organization_name",
+        "patients": "street_address",
+        "payers": "street_address",
+        "providers": "specialty",
+    }
+    found = {
+        f"landing_{feed}": f"SELECT * REPLACE ({awkward(c)} AS {c}) FROM stg_{feed}"
+        for feed, c in staged.items()
+    }
+    found["landing_claims"] = f"""
+SELECT claim_id, patient AS patient_id, provider AS provider_id,
+  referring AS referring_provider_id, supervising AS supervising_provider_id,
+  encounter AS encounter_id, insurance AS primary_insurance_id,
+  {awkward('type1')} AS claim_type_1, type2 AS claim_type_2 FROM feed_claims"""
+    found["landing_claims_transactions"] = f"""
+SELECT transaction_id, claim_id, patient AS patient_id, provider AS provider_id,
+  supervising AS supervising_provider_id, encounter AS encounter_id,
+  {awkward('kind')} AS transaction_type, CASE WHEN kind = 'CHARGE' THEN money END AS amount,
+  CASE WHEN kind = 'PAYMENT' THEN money END AS payments,
+  CASE WHEN kind IN ('TRANSFERIN', 'TRANSFEROUT') THEN money END AS transfers
+FROM feed_transactions"""
+    found["landing_payer_transitions"] = f"""
+SELECT payer AS payer_id, {awkward('second_payer')} AS secondary_payer_id FROM feed_transitions"""
+    return found
+
+
 def all_queries(thresholds: dict[str, tuple[int, int]]) -> dict[str, str]:
     """One statement per registered query."""
     models = [n for n in TABLES if n.startswith(("stg_", "dim_", "fct_"))]
@@ -876,5 +911,5 @@ def all_queries(thresholds: dict[str, tuple[int, int]]) -> dict[str, str]:
     found["preview_json"] = f"""
 SELECT CAST(to_json({{figure: figure, n: n, of_n: of_n}}) AS VARCHAR) AS line
 FROM ({_SPANS}) LIMIT 50"""
-    found |= _reports() | _table_profiles()
+    found |= _reports() | _table_profiles() | _landed()
     return {name: with_tables(select) for name, select in found.items()}

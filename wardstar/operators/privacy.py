@@ -2,19 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardstar.functions.scalars import completed_years, day, plus_years
 from wardstar.operators.keys import union_all
 
-# Every date the star publishes about a patient: table, its date expressions.
-# A table that publishes another date belongs in this registry.
-PUBLISHED_DATES: dict[str, tuple[str, ...]] = {
-    "stg_patients": ("death_date",),
-    "stg_encounters": (day("started_at"), day("stopped_at")),
-    "stg_conditions": ("started_date", "stopped_date"),
-}
+class Publication(NamedTuple):
+    """One place that publishes dates about a patient, and perhaps ages at them.
+
+    ``dates`` are SQL over the staged table and, where there is a ``fact``, over the
+    fact as well, first date first. ``label`` and ``row_key`` name the fact and its
+    rows in what the rules report.
+    """
+
+    staged: str
+    dates: tuple[str, ...]
+    fact: str | None = None
+    label: str = ""
+    row_key: str = ""
+
+
+# Every date and age the star publishes about a patient. The cohort, the
+# bounds and all rules on ages follow this list; a table that publishes another belongs here.
+PUBLICATIONS: tuple[Publication, ...] = (
+    Publication("stg_patients", ("death_date",)),
+    Publication(
+        "stg_encounters",
+        (day("started_at"), day("stopped_at")),
+        "fct_encounter",
+        "encounter",
+        "encounter_id",
+    ),
+    Publication(
+        "stg_conditions",
+        ("started_date", "stopped_date"),
+        "fct_condition",
+        "condition",
+        "concat(patient_id, '|', condition_code)",
+    ),
+)
+PUBLISHED_DATES: dict[str, tuple[str, ...]] = {p.staged: p.dates for p in PUBLICATIONS}
+#: The facts that publish an age, as ``patient_age_years`` at their first date.
+AGED_FACTS: tuple[Publication, ...] = tuple(p for p in PUBLICATIONS if p.fact)
 
 
 def published_dates(tables: dict[str, DataFrame]) -> DataFrame:
@@ -91,25 +124,22 @@ def age_guard(patients: DataFrame, dim_patient: DataFrame) -> DataFrame:
     )
 
 
-def published_periods(fct_encounter: DataFrame, fct_condition: DataFrame) -> DataFrame:
+def published_periods(tables: Callable[[str], DataFrame]) -> DataFrame:
     """One row per fact row: fact, patient, first and last date it publishes, age.
 
     The age on a fact belongs to the first of its dates.
     """
-    return fct_encounter.selectExpr(
-        "'fct_encounter' as fact",
-        "patient_id",
-        f"{day('started_at')} as from_date",
-        f"{day('stopped_at')} as to_date",
-        "patient_age_years",
-    ).union(
-        fct_condition.selectExpr(
-            "'fct_condition' as fact",
-            "patient_id",
-            "started_date",
-            "stopped_date",
-            "patient_age_years",
-        )
+    return union_all(
+        [
+            tables(p.fact).selectExpr(
+                f"'{p.fact}' as fact",
+                "patient_id",
+                f"{p.dates[0]} as from_date",
+                f"{p.dates[-1]} as to_date",
+                "patient_age_years",
+            )
+            for p in AGED_FACTS
+        ]
     )
 
 

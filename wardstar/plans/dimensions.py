@@ -18,7 +18,7 @@ from wardstar.functions.scalars import (
 )
 from wardstar.operators.calendar import calendar, daily_series
 from wardstar.operators.labels import canonical_label, label_and_members
-from wardstar.operators.privacy import attained_age, last_seen
+from wardstar.operators.privacy import attained_age
 
 
 def dim_condition(stg_conditions: DataFrame) -> DataFrame:
@@ -110,19 +110,6 @@ def dim_payer(stg_payers: DataFrame) -> DataFrame:
     )
 
 
-def patient_last_seen(
-    stg_patients: DataFrame, stg_encounters: DataFrame, stg_conditions: DataFrame
-) -> DataFrame:
-    """Latest date the star publishes about each patient."""
-    return last_seen(
-        {
-            "stg_patients": stg_patients,
-            "stg_encounters": stg_encounters,
-            "stg_conditions": stg_conditions,
-        }
-    )
-
-
 def dim_patient(stg_patients: DataFrame, patient_last_seen: DataFrame) -> DataFrame:
     """Patients without names, full dates or fine geography.
 

@@ -227,7 +227,9 @@ def residual_span(
 ) -> DataFrame:
     """Protected patients whose published dates alone span more than 89 years."""
     spans = _summed(
-        published_periods(fct_encounter, fct_condition),
+        published_periods(
+            {"fct_encounter": fct_encounter, "fct_condition": fct_condition}.__getitem__
+        ),
         ("patient_id",),
         "min(least(from_date, to_date)) as first_date",
         "max(greatest(from_date, to_date)) as last_date",

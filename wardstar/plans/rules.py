@@ -31,6 +31,7 @@ from wardstar.functions.scalars import (
 from wardstar.operators import quality
 from wardstar.operators.keys import grain_difference, repeat_rows, repeated_keys, union_all
 from wardstar.operators.privacy import (
+    AGED_FACTS,
     BIRTH_BOUND,
     flagged_cohort,
     patient_marks,
@@ -179,8 +180,7 @@ YEAR_RETAINED = "year element retained for an over-89 patient"
 AGE_AT_DEATH_ABOVE = "age_at_death_years above the aggregated category"
 DATE_OVER_89 = "a published date puts this patient over 89"
 FACT_AGE_OVER_89 = {
-    "fct_encounter": "patient_age_years over 89 on the encounter fact",
-    "fct_condition": "patient_age_years over 89 on the condition fact",
+    p.fact: f"patient_age_years over 89 on the {p.label} fact" for p in AGED_FACTS
 }
 #: Conditions on one row of the dimension, by their text.
 DIMENSION_OVER_89 = {
@@ -194,7 +194,7 @@ def is_over_89(date: str) -> str:
 
 
 def periods(tables: Tables) -> DataFrame:
-    return published_periods(tables("fct_encounter"), tables("fct_condition"))
+    return published_periods(tables)
 
 
 def with_published_year(tables: Tables) -> DataFrame:
@@ -303,13 +303,13 @@ def fact_age_and_date_do_not_imply_over_89(tables: Tables) -> DataFrame:
 def fact_age_is_withheld_for_the_protected_cohort(tables: Tables) -> DataFrame:
     """Fact rows with an age on a protected patient, or none on another."""
 
-    def rows(fact: str, key: str) -> DataFrame:
-        return tables(fact).selectExpr(
-            f"'{fact}' as fact", f"{key} as row_key", "patient_id", "patient_age_years"
-        )
-
-    both = rows("fct_encounter", "encounter_id").union(
-        rows("fct_condition", "concat(patient_id, '|', condition_code)")
+    both = union_all(
+        [
+            tables(p.fact).selectExpr(
+                f"'{p.fact}' as fact", f"{p.row_key} as row_key", "patient_id", "patient_age_years"
+            )
+            for p in AGED_FACTS
+        ]
     )
     return (
         both.join(flagged_cohort(tables("dim_patient")), "patient_id", "left")

@@ -16,6 +16,9 @@ MONEY = "decimal(18,2)"
 REAL = "double"
 COUNT = "int"
 
+#: By feed: source column, name, type.
+Contracts = dict[str, tuple[tuple[str, str, str], ...]]
+
 # Feed column, staged column, type.
 STAGED_COLUMNS: dict[str, tuple[tuple[str, str, str], ...]] = {
     "patients": (
@@ -119,11 +122,47 @@ STAGED_COLUMNS: dict[str, tuple[tuple[str, str, str], ...]] = {
     ),
 }
 
+# The feeds no table is built from, read by profiles as they are.
+PROFILED_COLUMNS: dict[str, tuple[tuple[str, str, str], ...]] = {
+    "claims": (
+        ("Id", "claim_id", TEXT),
+        ("PATIENTID", "patient_id", TEXT),
+        ("PROVIDERID", "provider_id", TEXT),
+        ("REFERRINGPROVIDERID", "referring_provider_id", TEXT),
+        ("SUPERVISINGPROVIDERID", "supervising_provider_id", TEXT),
+        ("APPOINTMENTID", "encounter_id", TEXT),
+        ("PRIMARYPATIENTINSURANCEID", "primary_insurance_id", TEXT),
+        ("HEALTHCARECLAIMTYPEID1", "claim_type_1", TEXT),
+        ("HEALTHCARECLAIMTYPEID2", "claim_type_2", TEXT),
+    ),
+    "claims_transactions": (
+        ("ID", "transaction_id", TEXT),
+        ("CLAIMID", "claim_id", TEXT),
+        ("PATIENTID", "patient_id", TEXT),
+        ("PROVIDERID", "provider_id", TEXT),
+        ("SUPERVISINGPROVIDERID", "supervising_provider_id", TEXT),
+        ("APPOINTMENTID", "encounter_id", TEXT),
+        ("TYPE", "transaction_type", TEXT),
+        ("AMOUNT", "amount", MONEY),
+        ("PAYMENTS", "payments", MONEY),
+        ("TRANSFERS", "transfers", MONEY),
+    ),
+    "payer_transitions": (
+        ("PAYER", "payer_id", TEXT),
+        ("SECONDARY_PAYER", "secondary_payer_id", TEXT),
+    ),
+}
+
+
+def typed(feed: str, rows: DataFrame) -> DataFrame:
+    """Any of the nine feeds under its typed contract."""
+    return stage(feed, rows, STAGED_COLUMNS | PROFILED_COLUMNS)
+
 
-def stage(feed: str, rows: DataFrame) -> DataFrame:
+def stage(feed: str, rows: DataFrame, contracts: Contracts = STAGED_COLUMNS) -> DataFrame:
     """The typed staging table of one raw feed."""
     if rows.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
         raise ValueError("set spark.sql.ansi.enabled: without it bad text becomes null")
     return rows.selectExpr(
-        *[f"cast(`{source}` as {kind}) as {name}" for source, name, kind in STAGED_COLUMNS[feed]]
+        *[f"cast(`{source}` as {kind}) as {name}" for source, name, kind in contracts[feed]]
     )

@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardstar.operators.ledger import key_ledger
-from wardstar.operators.privacy import age_guard, patient_marks, published_periods
+from wardstar.operators.privacy import (
+    AGED_FACTS,
+    PUBLISHED_DATES,
+    age_guard,
+    last_seen,
+    patient_marks,
+    published_periods,
+)
 from wardstar.plans import dimensions, facts, rules
 from wardstar.plans.evidence import USES, Evidence, observed, suspects
 from wardstar.plans.staging import stage
@@ -57,6 +64,7 @@ MODELS: dict[str, Model] = {
 }
 
 _ALL = tuple(MODELS)
+_FACTS = tuple(p.fact for p in AGED_FACTS)
 
 
 def _lookup(frames: tuple[DataFrame, ...]) -> Callable[[str], DataFrame]:
@@ -67,12 +75,12 @@ def _lookup(frames: tuple[DataFrame, ...]) -> Callable[[str], DataFrame]:
 # broadcast only while it is small. The last three are what the rules are answered from.
 SHARED: dict[str, Model] = {
     "patient_last_seen": Model(
-        dimensions.patient_last_seen, ("stg_patients", "stg_encounters", "stg_conditions")
+        lambda *rows: last_seen(dict(zip(PUBLISHED_DATES, rows))), tuple(PUBLISHED_DATES)
     ),
     "age_guard": Model(age_guard, ("stg_patients", "dim_patient")),
     "key_ledger": Model(lambda *frames: key_ledger(_lookup(frames), USES), _ALL),
     "patient_marks": Model(
-        lambda *facts_: patient_marks(published_periods(*facts_)), ("fct_encounter", "fct_condition")
+        lambda *rows: patient_marks(published_periods(dict(zip(_FACTS, rows)).__getitem__)), _FACTS
     ),
     "suspect_periods": Model(
         lambda marks, *frames: suspects(marks, _lookup(frames)), ("patient_marks", *_ALL)
@@ -100,6 +108,8 @@ class Star:
     def __init__(self, spark: SparkSession, feeds: Mapping[str, DataFrame], folder: str):
         self.feeds = feeds
         self.folder = TableFolder(spark, folder)
+        # Helpers that hold birth dates or raw rows lie apart from what is published.
+        self.work = TableFolder(spark, f"{self.folder.path}-work")
         self._written: dict[str, DataFrame] = {}
         self._locks: defaultdict[str, Lock] = defaultdict(Lock)
         self._guard = Lock()
@@ -125,7 +135,8 @@ class Star:
             lock = self._locks[name]
         with lock:
             if name not in self._written:
-                self._written[name] = self.folder.write(name, rows())
+                place = self.folder if name in MODELS or name in EVIDENCE else self.work
+                self._written[name] = place.write(name, rows())
             return self._written[name]
 
     def _noting(self, name: str, rows: DataFrame, notes: list) -> DataFrame:
