@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -219,3 +220,14 @@ def test_reports(star):
     assert (gap["organization"].reported, gap["organization"].counted) == (7, 10)
     top = reports.top_conditions(t("fct_condition"), t("dim_condition"), 2).collect()
     assert [r.condition_code for r in top] == ["B", "C"]
+
+
+def test_each_feed_is_read_once(spark, feeds):
+    """One line of a feed's scan per feed, and one grouping of all keys."""
+    found = profiles.profile_claims(**feeds)
+    plan = found._jdf.queryExecution().toString()
+    initial = plan[plan.index("== Physical Plan ==") :]
+    initial = initial[initial.index("== Initial Plan ==") :] if "== Initial Plan ==" in initial else initial
+    assert len(re.findall(r"(?:LocalTableScan|Scan ExistingRDD|FileScan)", initial)) == len(feeds)
+    assert "Subquery" not in initial and "Join" not in initial
+    assert initial.count("hashpartitioning(domain") == initial.count("Exchange hashpartitioning")

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstar.functions.scalars import text
 from wardstar.operators import profiling as pro
-from wardstar.operators.keys import count_references, union_all
+from wardstar.operators.keys import union_all
 
 ENCOUNTER = "APPOINTMENTID"
 TYPE_COLUMNS = ("HEALTHCARECLAIMTYPEID1", "HEALTHCARECLAIMTYPEID2")
@@ -42,55 +42,206 @@ def _figures(rows: DataFrame, *figures: Figure) -> DataFrame:
     )
 
 
-def _key_figures(feed: DataFrame, key: str, first: int, plural: str) -> DataFrame:
-    return _figures(
-        pro.key_profile(feed, key),
-        Figure(first, text(plural), "n_rows"),
-        Figure(first + 1, text(f"{plural} with a distinct {key}"), "n_distinct", "n_rows"),
-        Figure(first + 2, text(f"{plural} with a null {key}"), "n_null", "n_rows"),
+# The figures of the claim profile that count keys, by what they ask.
+CLAIMS, TRANSACTIONS = "claims", "claim transactions"
+REFERENCES: dict[int, tuple[str, str, str]] = {
+    7: (CLAIMS, "PATIENTID", "patients"),
+    8: (CLAIMS, "PROVIDERID", "providers"),
+    9: (CLAIMS, "REFERRINGPROVIDERID", "providers"),
+    10: (CLAIMS, "SUPERVISINGPROVIDERID", "providers"),
+    11: (CLAIMS, ENCOUNTER, "encounters"),
+    12: (TRANSACTIONS, "PATIENTID", "patients"),
+    13: (TRANSACTIONS, "PROVIDERID", "providers"),
+    14: (TRANSACTIONS, "SUPERVISINGPROVIDERID", "providers"),
+    15: (TRANSACTIONS, ENCOUNTER, "encounters"),
+    16: (TRANSACTIONS, "CLAIMID", "claims"),
+}
+SENTINEL_TEXT = "claims whose PRIMARYPATIENTINSURANCEID is the self-pay sentinel 0"
+PAYER_TEXT = "encounters whose PAYER is missing or does not resolve"
+BILLED_TEXT = "encounters, TOTAL_CLAIM_COST summed"
+FILLED = ("AMOUNT", "PAYMENTS", "TRANSFERS")
+PARENT_KEYS = {"patients": "Id", "providers": "Id", "encounters": "Id", CLAIMS: "Id", "payers": "Id"}
+
+#: Domains of the claim ledger; the last two hold no keys but categories.
+DOMAINS = ("patients", "providers", "encounters", CLAIMS, "payers", TRANSACTIONS, "sentinel", "types")
+SLOTS = 8
+
+
+class Tag(NamedTuple):
+    """One use of a feed's row in the ledger: its domain, slot and key, and what to add up."""
+
+    domain: str
+    slot: int | str
+    key: str
+    money: str = "null"
+    categories: tuple[str, str] = ("null", "null")
+
+
+def _reference_slots() -> dict[int, int]:
+    """The slot of each reference in its parent's domain; the parent's own key has 0."""
+    taken: dict[str, int] = {}
+    found = {}
+    for sort, (_, _, parent) in REFERENCES.items():
+        taken[parent] = found[sort] = taken.get(parent, 0) + 1
+    return found
+
+
+REFERENCE_SLOTS = _reference_slots()
+
+
+def _tags() -> dict[str, list[Tag]]:
+    """By feed, what every row of it adds to the ledger."""
+    found: dict[str, list[Tag]] = {feed: [Tag(feed, 0, key)] for feed, key in PARENT_KEYS.items()}
+    found[TRANSACTIONS] = [Tag(TRANSACTIONS, 0, "ID")]
+    for sort, (feed, column, parent) in REFERENCES.items():
+        mixing = (feed, parent) == (CLAIMS, "encounters")
+        # Hashes, because the least and greatest of numbers merge without a sort.
+        labels = tuple(f"xxhash64(coalesce(`{c}`, {text(pro.NULL_LABEL)}))" for c in TYPE_COLUMNS)
+        found[feed].append(
+            Tag(parent, REFERENCE_SLOTS[sort], column, categories=labels if mixing else ("null", "null"))
+        )
+    found["encounters"].append(Tag("payers", 1, "PAYER", money="TOTAL_CLAIM_COST"))
+    found[CLAIMS].append(Tag("sentinel", 0, "PRIMARYPATIENTINSURANCEID = '0'"))
+    # Which of its columns a transaction fills is one of eight slots, a bit for each.
+    bits = " + ".join(f"if(`{c}` is null, 0, {1 << i})" for i, c in enumerate(FILLED))
+    found[TRANSACTIONS].append(Tag("types", bits, "TYPE", money="AMOUNT"))
+    return found
+
+
+def _ledger(feeds: dict[str, DataFrame]) -> DataFrame:
+    """All six feeds in one grouping by (domain, key), each scanned once; null is a key too."""
+
+    def line(tag: Tag) -> str:
+        return (
+            f"{DOMAINS.index(tag.domain)}, {tag.slot}, "
+            f"cast({tag.key} as string), cast({tag.money} as {pro.MONEY}), "
+            + ", ".join(f"cast({c} as bigint)" for c in tag.categories)
+        )
+
+    columns = "domain, slot, key, money, first_type, second_type"
+    parts = [
+        feeds[feed].selectExpr(f"stack({len(tags)}, {', '.join(map(line, tags))}) as ({columns})")
+        for feed, tags in _tags().items()
+    ]
+    # One empty row for each domain of keys, so that an empty feed has its zeros.
+    none = ", ".join(f"{i}, -1, null, null, null, null" for i in range(len(DOMAINS) - 1))
+    spark = parts[0].sparkSession
+    empty = spark.range(1).selectExpr(f"stack({len(DOMAINS) - 1}, {none}) as ({columns})")
+    typed = empty.selectExpr(
+        "domain", "slot", "cast(key as string)", f"cast(money as {pro.MONEY})",
+        "cast(first_type as bigint)", "cast(second_type as bigint)",
+    )
+    return (
+        union_all([*parts, typed])
+        .groupBy("domain", "key")
+        .agg(
+            *[F.expr(f"count_if(slot = {i}) as n{i}") for i in range(SLOTS)],
+            F.expr(f"cast(sum(money) as {pro.MONEY_SUM}) as money"),
+            *[
+                F.expr(f"{side}({c}) as {c}_{side}")
+                for c in ("first_type", "second_type")
+                for side in ("min", "max")
+            ],
+        )
     )
 
 
-# Figure, column and parent of each reference profiled.
-CLAIM_REFERENCES = {
-    7: ("PATIENTID", "patients"),
-    8: ("PROVIDERID", "providers"),
-    9: ("REFERRINGPROVIDERID", "providers"),
-    10: ("SUPERVISINGPROVIDERID", "providers"),
-    11: (ENCOUNTER, "encounters"),
-}
-TRANSACTION_REFERENCES = {
-    12: ("PATIENTID", "patients"),
-    13: ("PROVIDERID", "providers"),
-    14: ("SUPERVISINGPROVIDERID", "providers"),
-    15: (ENCOUNTER, "encounters"),
-    16: ("CLAIMID", "claims"),
-}
-PAYER_FIGURE = 28
-
-
-def _reference_figures(found: DataFrame, n_encounters: Column) -> DataFrame:
-    """One figure per reference; a missing payer counts as one that is lost."""
-    figures = []
-    for plural, references in (
-        ("claims", CLAIM_REFERENCES),
-        ("claim transactions", TRANSACTION_REFERENCES),
-    ):
-        for sort, (column, parent) in references.items():
-            suffix = " to an encounter" if parent == "encounters" else ""
-            label = text(f"{plural} whose {column} does not resolve{suffix}")
-            mine = f"reference = '{sort}'"
-            figures.append(Figure(sort, label, "n_unresolved", "n_set", when=mine))
-    figures.append(
-        Figure(
-            PAYER_FIGURE,
-            text("encounters whose PAYER is missing or does not resolve"),
-            "n_encounters - (n_set - n_unresolved)",
-            "n_encounters",
-            when=f"reference = '{PAYER_FIGURE}'",
+class KeyedFigure(NamedTuple):
+    """A figure over the keys of a domain: its text and what each key adds, in SQL."""
+
+    sort: int
+    figure: str
+    n: str
+    of_n: str = "null"
+    merged_by: str = "sum"
+    amount: bool = False
+
+
+def _keyed_figures() -> dict[str, list[KeyedFigure]]:
+    found: dict[str, list[KeyedFigure]] = {domain: [] for domain in DOMAINS[:-1]}
+    for first, plural, key in ((1, CLAIMS, "Id"), (4, TRANSACTIONS, "ID")):
+        found[plural] += [
+            KeyedFigure(first, plural, "n0"),
+            KeyedFigure(
+                first + 1, f"{plural} with a distinct {key}", "if(key is not null and n0 > 0, 1, 0)", "n0"
+            ),
+            KeyedFigure(first + 2, f"{plural} with a null {key}", "if(key is null, n0, 0)", "n0"),
+        ]
+    for sort, (plural, column, parent) in REFERENCES.items():
+        mine = f"n{REFERENCE_SLOTS[sort]}"
+        suffix = " to an encounter" if parent == "encounters" else ""
+        found[parent].append(
+            KeyedFigure(
+                sort,
+                f"{plural} whose {column} does not resolve{suffix}",
+                f"if(key is not null and n0 = 0, {mine}, 0)",
+                f"if(key is not null, {mine}, 0)",
+            )
         )
+    claims = f"if(key is null, 0, n{REFERENCE_SLOTS[11]})"
+    parent = "if(n0 > 0, 1, 0)"
+    found["encounters"] += [
+        KeyedFigure(17, "encounters with no claim", f"if(n0 > 0 and {claims} = 0, 1, 0)", parent),
+        KeyedFigure(
+            18, "encounters with exactly one claim", f"if(n0 > 0 and {claims} = 1, 1, 0)", parent
+        ),
+        KeyedFigure(
+            19, "most claims on one encounter", f"if(n0 > 0, {claims}, null)", merged_by="max"
+        ),
+        *[
+            KeyedFigure(
+                20 + i,
+                f"encounters whose claims carry more than one {column}",
+                f"if(n0 > 0 and key is not null and {c}_min != {c}_max, 1, 0)",
+                parent,
+            )
+            for i, (column, c) in enumerate(zip(TYPE_COLUMNS, ("first_type", "second_type"), strict=True))
+        ],
+    ]
+    found["sentinel"].append(KeyedFigure(27, SENTINEL_TEXT, "if(key = 'true', n0, 0)", "n0"))
+    found["payers"] += [
+        KeyedFigure(28, PAYER_TEXT, "if(key is null or n0 = 0, n1, 0)", "n1"),
+        KeyedFigure(30, BILLED_TEXT, "n1", amount=True),
+    ]
+    return found
+
+
+KEYED_FIGURES = _keyed_figures()
+
+
+def _summed_domains(ledger: DataFrame) -> DataFrame:
+    """One row for each domain of keys, and for each type of transaction.
+
+    ``n<j>`` and ``of<j>`` belong to the j-th figure of the row's domain.
+    """
+    width = max(map(len, KEYED_FIGURES.values()))
+    numbered = {DOMAINS.index(domain): figures for domain, figures in KEYED_FIGURES.items()}
+    sums = []
+    for j in range(width):
+        there = {i: figures[j] for i, figures in numbered.items() if j < len(figures)}
+        for name, part in ((f"n{j}", "n"), (f"of{j}", "of_n")):
+            for merge in ("sum", "max"):
+                cases = "".join(
+                    f"when {i} then cast({getattr(f, part)} as bigint) "
+                    for i, f in there.items()
+                    if f.merged_by == merge and getattr(f, part) != "null"
+                )
+                value = f"case domain {cases}end" if cases else "cast(null as bigint)"
+                sums.append(f"{merge}({value}) as {name}_{merge}")
+    kept = [f"coalesce({n}{j}_sum, {n}{j}_max) as {n}{j}" for j in range(width) for n in ("n", "of")]
+    types = DOMAINS.index("types")
+    # All transactions of a type, then those that fill each column.
+    masks = [0, *(1 << i for i in range(len(FILLED)))]
+    totals = [" + ".join(f"n{slot}" for slot in range(SLOTS) if slot & m == m) for m in masks]
+    return (
+        ledger.groupBy("domain", F.expr(f"if(domain = {types}, key, null) as type"))
+        .agg(
+            *[F.expr(s) for s in sums],
+            F.expr(f"cast(sum(money) as {pro.MONEY_SUM}) as money"),
+            *[F.expr(f"sum({total}) as total{i}") for i, total in enumerate(totals)],
+        )
+        .selectExpr("domain", "type", "money", *kept, *[f"total{i}" for i in range(len(masks))])
     )
-    return _figures(found.withColumn("n_encounters", n_encounters), *figures)
 
 
 def profile_claims(
@@ -103,88 +254,45 @@ def profile_claims(
 ) -> DataFrame:
     """Thirty figures about claims and their transactions, from the raw feeds.
 
-    All references of the three feeds are resolved in one grouping by key, and
-    each further subject takes one grouping of its feed.
+    Every feed is read once: a row adds one line to a ledger for each key or category
+    it carries, and one grouping of all lines holds what every figure needs.
     """
-    def named(references: dict[int, tuple[str, str]]) -> dict[str, tuple[str, str]]:
-        return {str(sort): reference for sort, reference in references.items()}
-
-    references = count_references(
-        [
-            (claims, named(CLAIM_REFERENCES)),
-            (transactions, named(TRANSACTION_REFERENCES)),
-            (encounters, named({PAYER_FIGURE: ("PAYER", "payers")})),
-        ],
-        {
-            "patients": (patients, "Id"),
-            "providers": (providers, "Id"),
-            "encounters": (encounters, "Id"),
-            "claims": (claims, "Id"),
-            "payers": (payers, "Id"),
-        },
-    )
-    n_encounters = encounters.agg(F.expr("count(*)")).scalar()
-    n_transactions = transactions.agg(F.expr("count(*)")).scalar()
-
-    per_encounter = pro.children_per_parent(encounters, "Id", claims, ENCOUNTER, TYPE_COLUMNS)
-    children = _figures(
-        pro.children_summary(per_encounter),
-        Figure(17, text("encounters with no claim"), "n_without", "n_parents"),
-        Figure(18, text("encounters with exactly one claim"), "n_with_one", "n_parents"),
-        Figure(19, text("most claims on one encounter"), "most_children"),
-        *[
-            Figure(
-                20 + i,
-                text(f"encounters whose claims carry more than one {column}"),
-                f"n_{column}_mixes",
-                "n_parents",
-            )
-            for i, column in enumerate(TYPE_COLUMNS)
-        ],
-    )
-
-    by_type = pro.population_by_category(
-        transactions, "TYPE", ("AMOUNT", "PAYMENTS", "TRANSFERS"), "AMOUNT"
-    )
-    label = f"concat('claim transactions typed ', coalesce(TYPE, {text(pro.NULL_LABEL)}))"
+    feeds = {
+        CLAIMS: claims, TRANSACTIONS: transactions, "encounters": encounters,
+        "patients": patients, "providers": providers, "payers": payers,
+    }
+    sums = _summed_domains(_ledger(feeds))
+    keyed = [
+        Figure(
+            f.sort, text(f.figure), f"n{j}", f"of{j}", "money" if f.amount else "null",
+            when=f"domain = {DOMAINS.index(domain)}",
+        )
+        for domain, figures in KEYED_FIGURES.items()
+        for j, f in enumerate(figures)
+    ]
+    types = DOMAINS.index("types")
+    # Over the sums, a row for each type; a second read of them would read the feeds again.
+    n_transactions = F.sum("total0").over(Window.partitionBy("domain"))
+    label = f"concat('claim transactions typed ', coalesce(type, {text(pro.NULL_LABEL)}))"
 
     def filled(sort: int, kind: str, words: str, column: str) -> Figure:
         figure = text(f"{kind} transactions with {words}")
-        return Figure(sort, figure, f"with_{column}", "n_rows", when=f"TYPE = '{kind}'")
+        total = f"total{1 + FILLED.index(column)}"
+        return Figure(sort, figure, total, "total0", when=f"domain = {types} and type = '{kind}'")
 
-    types = _figures(
-        by_type.withColumn("n_transactions", n_transactions),
-        Figure(22, label, "n_rows", "n_transactions"),
+    by_type = [
+        Figure(22, label, "total0", "n_transactions", when=f"domain = {types}"),
         filled(23, "PAYMENT", "an AMOUNT", "AMOUNT"),
         filled(24, "PAYMENT", "PAYMENTS", "PAYMENTS"),
         filled(25, "TRANSFEROUT", "an AMOUNT", "AMOUNT"),
         filled(26, "TRANSFEROUT", "TRANSFERS", "TRANSFERS"),
         Figure(
-            29,
-            text("CHARGE transactions, AMOUNT summed"),
-            "n_rows",
-            amount="amount_total",
-            when="TYPE = 'CHARGE'",
+            29, text("CHARGE transactions, AMOUNT summed"), "total0", amount="money",
+            when=f"domain = {types} and type = 'CHARGE'",
         ),
-    )
-
-    sentinel = claims.agg(
-        F.expr("count(*) as n_rows"),
-        F.expr("count_if(PRIMARYPATIENTINSURANCEID = '0') as n_sentinel"),
-    )
-    sentinel_text = "claims whose PRIMARYPATIENTINSURANCEID is the self-pay sentinel 0"
-    billed = pro.totals(encounters, {"billed": "TOTAL_CLAIM_COST"})
-    billed_text = "encounters, TOTAL_CLAIM_COST summed"
-    parts = [
-        _key_figures(claims, "Id", 1, "claims"),
-        _key_figures(transactions, "ID", 4, "claim transactions"),
-        _reference_figures(references, n_encounters),
-        children,
-        types,
-        _figures(sentinel, Figure(27, text(sentinel_text), "n_sentinel", "n_rows")),
-        _figures(billed, Figure(30, text(billed_text), "n_rows", amount="amount")),
-    ]
-    return union_all(parts).orderBy("sort", "figure").select("figure", "n", "of_n", "amount")
+    ]
+    found = _figures(sums.withColumn("n_transactions", n_transactions), *keyed, *by_type)
+    return found.orderBy("sort", "figure").select("figure", "n", "of_n", "amount")
 
 
 def profile_payer_transitions(transitions: DataFrame, dim_payer: DataFrame) -> DataFrame:

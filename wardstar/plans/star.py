@@ -125,10 +125,6 @@ class Star:
             return self.feeds[name.removeprefix("feed_")]
         return self._model_table(name)
 
-    def feed_table(self, feed: str) -> DataFrame:
-        """A raw feed written once, for profiles that read it several times."""
-        return self._once(f"feed_{feed}", lambda: self.feeds[feed])
-
     def _once(self, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
         """Write a table unless another thread has; inputs are locked after their users."""
         with self._guard:
