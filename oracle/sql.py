@@ -908,6 +908,25 @@ def all_queries(thresholds: dict[str, tuple[int, int]]) -> dict[str, str]:
     found["check_summary"] = _summary(generic, checks, thresholds)
     found["profile_claims"] = _claim_figures()
     found["profile_payer_transitions"] = _SPANS
+    shape = """CASE WHEN zip_code IS NULL THEN NULL
+      WHEN length(zip_code) = 10 AND substr(zip_code, 6, 1) = '-'
+        AND try_cast(left(zip_code, 5) || right(zip_code, 4) AS INTEGER) >= 0 THEN 'ZIP+4'
+      WHEN regexp_full_match(zip_code, '[0-9]+') AND length(zip_code) IN (4, 5)
+        THEN CASE length(zip_code) WHEN 4 THEN 'four digits' ELSE 'five digits' END
+      ELSE 'other' END"""
+    found["profile_zip_shapes"] = " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, shape, count(*) AS n, "
+        f"shape IS NULL OR shape IN ('five digits'{more}) AS is_permitted "
+        f"FROM (SELECT {shape} AS shape FROM {table}) GROUP BY shape"
+        for table, more in (
+            ("stg_patients", ""),
+            ("stg_organizations", ", 'ZIP+4', 'four digits'"),
+            ("stg_providers", ", 'ZIP+4', 'four digits'"),
+        )
+    )
+    found["unexpected_patient_zips"] = (
+        f"SELECT * FROM stg_patients WHERE zip_code IS NOT NULL AND {shape} <> 'five digits'"
+    )
     found["preview_json"] = f"""
 SELECT CAST(to_json({{figure: figure, n: n, of_n: of_n}}) AS VARCHAR) AS line
 FROM ({_SPANS}) LIMIT 50"""

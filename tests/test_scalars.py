@@ -125,3 +125,15 @@ def test_strict_casts(spark):
 
 def test_text_literals_are_escaped(spark):
     assert value(spark, s.text("it's a \\ line")) == "it's a \\ line"
+
+
+@pytest.mark.parametrize(
+    ("value", "shape"),
+    [
+        ("02139", "five digits"), ("2139", "four digits"), ("02139-4307", "ZIP+4"), ("1A309", "other"),
+        ("", "other"), ("02139\n", "other"), ("021394307", "other"), (None, None),
+    ],
+)
+def test_zip_shapes(spark, value, shape):
+    rows = spark.createDataFrame([(value,)], "z string")
+    assert rows.selectExpr(f"{s.zip_shape('z')} as shape").first().shape == shape

@@ -105,6 +105,23 @@ def is_zip_prefix(value: str) -> str:
     return rf"({value} rlike r'\A[0-9]{{3}}\z')"
 
 
+# The shapes raw ZIP codes arrive in, by the pattern of the whole text.
+ZIP_SHAPES = {
+    "ZIP+4": r"[0-9]{5}-[0-9]{4}",
+    "five digits": r"[0-9]{5}",
+    "four digits": r"[0-9]{4}",
+}
+
+
+def zip_shape(value: str) -> str:
+    """Which shape a raw ZIP code has; null for none, ``other`` for any text else."""
+    known = "".join(
+        f"when {value} rlike r'\\A{pattern}\\z' then {text(shape)} "
+        for shape, pattern in ZIP_SHAPES.items()
+    )
+    return f"case when {value} is null then null {known}else 'other' end"
+
+
 def payer_class(name: str) -> str:
     """Financial class of a payer name."""
     named = listed(x for pair in PAYER_CLASSES.items() for x in pair)

@@ -6,12 +6,13 @@ of_n the rows it is a count of, amount a sum of money.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardstar.functions.scalars import text
+from wardstar.functions.scalars import listed, text, zip_shape
 from wardstar.operators import profiling as pro
 from wardstar.operators.keys import union_all
 
@@ -342,3 +343,34 @@ def profile_payer_transitions(transitions: DataFrame, dim_payer: DataFrame) -> D
         .orderBy("sort", F.asc_nulls_last("figure"))
         .select("figure", "n", "of_n")
     )
+
+
+#: The shapes each staged table's ZIP codes may have; null is always one.
+#: Patients' are cut to a prefix, so any but five digits would publish a wrong area.
+PERMITTED_ZIPS: dict[str, tuple[str, ...]] = {
+    "stg_patients": ("five digits",),
+    "stg_organizations": ("ZIP+4", "five digits", "four digits"),
+    "stg_providers": ("ZIP+4", "five digits", "four digits"),
+}
+
+
+def profile_zip_shapes(tables: Callable[[str], DataFrame]) -> DataFrame:
+    """(table_name, shape, n, is_permitted): the shapes of the staged ZIP codes."""
+    parts = []
+    for table, permitted in PERMITTED_ZIPS.items():
+        shapes = tables(table).selectExpr(f"{zip_shape('zip_code')} as shape").groupBy("shape")
+        parts.append(
+            shapes.agg(F.expr("count(*) as n")).selectExpr(
+                f"{text(table)} as table_name",
+                "shape",
+                "n",
+                f"shape is null or shape in ({listed(permitted)}) as is_permitted",
+            )
+        )
+    return union_all(parts)
+
+
+def unexpected_zips(tables: Callable[[str], DataFrame], table: str) -> DataFrame:
+    """Rows of a staged table whose ZIP code has a shape it may not have."""
+    shape = zip_shape("zip_code")
+    return tables(table).where(f"{shape} not in ({listed(PERMITTED_ZIPS[table])})")
