@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import cut, emit, table, texts, work_folder
+from wardstar.llm.common import cut, emit, spans, table, texts, work_folder
 from wardstar.llm.transducer import Transducer, compiled, mapped, save
 
 #: Words compiled into the transducer at most; all others are merged exactly.
@@ -116,12 +116,6 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The places ``start, start + 1, ...`` of each span, one span after the other."""
-    before = np.cumsum(lengths) - lengths
-    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
-
-
 def latin_pieces(documents: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The words of Latin texts, cut by table.
 

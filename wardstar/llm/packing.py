@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardstar.llm.common import cut, emit, firsts, in_order, positions, table, texts
-from wardstar.llm.tokens import default_path, encoder
+from wardstar.llm.tokens import ENCODED_BYTES, default_path, encoder
 
 
 class Capacity(NamedTuple):
@@ -136,9 +136,9 @@ def pack(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode_all
-        for batch, found in texts(batches):
+        for batch, found in texts(batches, ENCODED_BYTES):
             rows: dict[str, list] = {n: [] for n in schema.names}
-            all_ids = encode([t.decode() for t in found])
+            all_ids = encode(found)
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), all_ids, strict=True):
                 ids += end
                 first, start = len(ids) % most or most, 0

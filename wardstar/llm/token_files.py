@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wardstar.llm.common import cut, emit, table, texts, work_folder
 from wardstar.llm.files import opened, write_file
-from wardstar.llm.tokens import default_path, encoder
+from wardstar.llm.tokens import ENCODED_BYTES, default_path, encoder
 
 #: Fixed values of the seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -137,8 +137,8 @@ def write_token_files(
             )
 
         writer = FileWriter()
-        for batch, found in texts(batches):
-            ids = encode([t.decode() for t in found])
+        for batch, found in texts(batches, ENCODED_BYTES):
+            ids = encode(found)
             for doc_id, one in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
                 writer.add(doc_id, one + end)
             if writer.size >= file_bytes:

@@ -1,18 +1,31 @@
-"""Token ids of whole texts by a byte-level BPE file of the tokenizers library."""
+"""Token ids of whole texts by a byte-level BPE file of the tokenizers library.
+
+A byte-level BPE of this kind never joins a space that stands right before a visible
+character to what comes before it, nor a single line break between visible
+characters to either side. So texts are cut there, a slice of them at once; the
+distinct pieces are looked up or given to the library, and the ids of a text are those
+of its pieces, one after the other.
+"""
 
 from __future__ import annotations
 
 import functools
-import re
 
 import numpy as np
+import pyarrow as pa
+
+from wardstar.llm.common import spans
 
+#: Bytes of text encoded in one step.
+ENCODED_BYTES = 2 << 20
 #: Marks that often follow a word.
-MARKS = ".,;:!?"
-#: A space that does not stand right before a visible character. Everywhere else
-#: a byte-level BPE of this kind cuts a text before each space, so the ids of the
-#: parts between such cuts, one after the other, are the ids of the text.
-ODD_SPACE = re.compile(r" (?=[\s\x1c-\x1f\x85]|\Z)")
+MARKS = b".,;:!?"
+#: Bytes that are or begin a visible character: ASCII, and two-byte Latin letters. What
+#: is not among them is not cut at, which is always right.
+VISIBLE = np.zeros(256, bool)
+VISIBLE[0x21:0x7F] = True
+LATIN = np.zeros(256, bool)
+LATIN[0xC3:0xCA] = True
 
 
 def default_path() -> str:
@@ -21,14 +34,27 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_starts(data: np.ndarray) -> np.ndarray:
+    """Where a new piece begins: good spaces, and single line breaks with what follows."""
+    edge = np.concatenate(([0, 0], data, [0]))
+    begins = VISIBLE[edge] | LATIN[edge]
+    after = begins[3:]
+    # A visible character ends before a place: ASCII, or the second byte of a Latin one.
+    before = VISIBLE[edge[1:-2]] | LATIN[edge[:-3]]
+    breaks = (data == 0x0A) & before & after
+    starts = ((data == 0x20) & after) | breaks
+    starts[1:] |= breaks[:-1]
+    return starts
+
+
 class Encoder:
-    """Ids as little-endian 32-bit bytes, with a bounded memo by word.
+    """Ids as little-endian 32-bit bytes, with a bounded memo by piece.
 
-    The memo has two generations of ``size`` words; a word that is met again
-    moves to the newer one, so common words outlive the rare ones.
+    The memo has two generations of ``size`` pieces; a piece that is met again
+    moves to the newer one, so common pieces outlive the rare ones.
     """
 
-    def __init__(self, path: str, size: int = 700_000):
+    def __init__(self, path: str, size: int = 400_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -38,41 +64,48 @@ class Encoder:
         for piece, i in self.library.get_vocab().items():
             self.lengths[i] = len(piece)
         self.size = size
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.marks = dict(zip(MARKS, self._library(list(MARKS)), strict=True))
+        self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.marks = {m: self._library([chr(m)])[0] for m in MARKS}
 
     def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; the library is called for words not met before."""
-        cuts = [t.split(" ") for t in texts]
-        heads = self._library([c[0] for c in cuts])
-        found = [self._known(c) for c in cuts]
-        late = [i for i, ids in enumerate(found) if ids is None]
-        odd = [i for i in late if ODD_SPACE.search(texts[i])]
-        late = [i for i in late if i not in set(odd)]
-        if late:
-            new = set().union(*(cuts[i][1:] for i in late)).difference(self.memo)
-            if len(self.memo) + len(new) > self.size:
-                self.memo, self.older = {}, self.memo
-                new = set().union(*(cuts[i][1:] for i in late))
-            self._learn(new)
-            for i in late:
-                found[i] = self._known(cuts[i])
-        found = [h + ids if ids is not None else b"" for h, ids in zip(heads, found, strict=True)]
-        for i, whole in zip(odd, self._library([texts[i] for i in odd]), strict=True):
-            found[i] = whole
-        return found
-
-    def _known(self, cut: list[str]) -> bytes | None:
-        """The ids after the head if every word is in the memo, which holds no odd parts."""
+        return self.encode_all([text.encode()])[0]
+
+    def encode_all(self, documents: list[bytes]) -> list[bytes]:
+        """The ids of each text in UTF-8; the library is called for pieces not met before."""
+        sizes = np.array([len(d) for d in documents], np.int64)
+        edges = np.concatenate(([0], np.cumsum(sizes)))
+        if not edges[-1]:
+            return [b""] * len(documents)
+        text = b"\n ".join(documents)  # two bytes between texts, so no cut looks across
+        spread = np.frombuffer(text, np.uint8)
+        own = edges[:-1] + 2 * np.arange(len(documents))
+        inside = spans(own, sizes)
+        starts = piece_starts(spread)
+        starts[own[sizes > 0]] = True
+        # A place between texts starts nothing; the byte after a line break there is a space.
+        cuts = np.flatnonzero(starts[inside])
+        offsets = np.append(cuts, edges[-1])
+        pieces = pa.Array.from_buffers(
+            pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(documents))]
+        ).dictionary_encode()
+        ids = self._distinct(pieces.dictionary.to_pylist())
+        numbers = pieces.indices.to_numpy()
+        size = np.array([len(i) // 4 for i in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        length = size[numbers]
+        found = flat[spans((np.cumsum(size) - size)[numbers], length)].tobytes()
+        ends = np.concatenate(([0], np.cumsum(length)))[np.searchsorted(cuts, edges)] * 4
+        return [found[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+    def _distinct(self, pieces: list[bytes]) -> list[bytes]:
         memo = self.memo
-        try:
-            return b"".join([memo[w] for w in cut[1:]])
-        except KeyError:
-            return None
+        new = [p for p in pieces if p not in memo]
+        if len(memo) + len(new) > self.size:
+            self.memo, self.older = {}, memo
+            new = pieces
+        self._learn(new)
+        return [self.memo[p] for p in pieces]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [
@@ -80,29 +113,41 @@ class Encoder:
             for e in self.library.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
-    def _learn(self, words: set[str]) -> None:
-        for word in words.intersection(self.older):
-            self.memo[word] = self.older[word]
-        words = words.difference(self.memo)
+    def _learn(self, pieces: list[bytes]) -> None:
+        memo, older = self.memo, self.older
+        left = []
+        for piece in pieces:
+            if (known := older.get(piece)) is not None:
+                memo[piece] = known
+            else:
+                left.append(piece)
         # A mark right after a letter is a piece of its own.
-        marked = {w for w in words if w[-1] in self.marks and w[-2:-1].isalpha()}
-        bases = words.difference(marked).union(w[:-1] for w in marked).difference(self.memo)
-        self._encode_words(list(bases))
-        for word in marked:
-            self.memo[word] = self.memo[word[:-1]] + self.marks[word[-1]]
-
-    def _encode_words(self, words: list[str]) -> None:
-        """Encode the words, each after a space, as one text and cut its ids again."""
-        if not words:
+        marked = [p for p in left if p[-1] in MARKS and p[-2:-1].isalpha()]
+        bases = {p[:-1] for p in marked} | set(left).difference(marked)
+        bases = [b for b in bases if b not in memo]
+        after_space = [b for b in bases if b[0] == 0x20]
+        self._encode_joined(after_space, b"")
+        plain = [b for b in bases if 0x21 <= b[0] < 0x7F and 0x21 <= b[-1] < 0x7F]
+        self._encode_joined(plain, b"\n")
+        rest = set(bases).difference(after_space, plain)
+        for piece, ids in zip(rest, self._library([p.decode() for p in rest]), strict=True):
+            memo[piece] = ids
+        for piece in marked:
+            memo[piece] = memo[piece[:-1]] + self.marks[piece[-1]]
+
+    def _encode_joined(self, pieces: list[bytes], between: bytes) -> None:
+        """Encode the pieces as one text, cut at the places a text may be cut."""
+        if not pieces:
             return
-        ids = np.frombuffer(self._library([" " + " ".join(words)])[0], "<u4")
+        ids = np.frombuffer(self._library([between.join(pieces).decode()])[0], "<u4")
         ends = np.cumsum(self.lengths[ids])
-        sizes = np.array([len(w.encode()) + 1 for w in words])
-        cuts = np.searchsorted(ends, np.cumsum(sizes), "right") * 4
-        data, first = ids.tobytes(), 0
-        for word, last in zip(words, cuts.tolist(), strict=True):
-            self.memo[word] = data[first:last]
-            first = last
+        sizes = np.array([len(p) for p in pieces]) + len(between)
+        stops = np.cumsum(sizes) - len(between)
+        lasts = np.searchsorted(ends, stops, "right") * 4
+        firsts = np.searchsorted(ends, stops - sizes + len(between), "right") * 4
+        data = ids.tobytes()
+        for piece, a, b in zip(pieces, firsts.tolist(), lasts.tolist(), strict=True):
+            self.memo[piece] = data[a:b]
 
 
 @functools.lru_cache(maxsize=2)
