@@ -52,6 +52,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def dealt(rows: DataFrame, size: int, per_task: int = 1 << 26) -> DataFrame:
+    """A small table of work orders dealt to tasks by the bytes they ask to read.
+
+    The number is given, because adaptive execution sees only how small the orders
+    are and would give all of them to one task.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, -(-size // per_task)))
+
+
 def in_order(rows: DataFrame, *keys, name: str = "ordered") -> DataFrame:
     """The rows sorted over all partitions and written, with ``at``.
 

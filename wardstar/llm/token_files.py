@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import cut, emit, table, texts, work_folder
+from wardstar.llm.common import cut, dealt, emit, table, texts, work_folder
 from wardstar.llm.files import opened, write_file
 from wardstar.llm.tokens import ENCODED_BYTES, default_path, encoder
 
@@ -160,7 +160,8 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     """
     before = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("tokens").over(before), F.lit(0))
-    files = manifest.select("path", start.alias("start")).repartition("path")
+    size = manifest.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()["n"] * 4
+    files = dealt(manifest.select("path", start.alias("start")), size)
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

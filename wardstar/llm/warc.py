@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import cut, emit, table, work_folder
+from wardstar.llm.common import cut, dealt, emit, table, work_folder
 from wardstar.llm.files import opened, write_file
 
 MAGIC = b"\x1f\x8b\x08"
@@ -32,10 +32,20 @@ READ = 1 << 20
 
 
 class Record(NamedTuple):
+    """A record; header names in lower case."""
+
     headers: dict[str, str]
     payload: bytes
 
 
+class Damage(NamedTuple):
+    """Bytes between records, or at an end of an archive, that hold no whole record."""
+
+    path: str
+    start: int
+    stop: int
+
+
 def record_bytes(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
     """One gzip member. A revisit has no payload, only its digest and length."""
     block = HTTP if refers_to is not None else HTTP + payload
@@ -60,11 +70,15 @@ def record_bytes(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
 
 
 def parse_record(data: bytes) -> Record:
+    """Header lines may have names in any case and any white space after the colon."""
     head, _, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")[1:]
-    headers = dict(line.split(": ", 1) for line in lines)
-    block = rest[: int(headers["Content-Length"])]
-    return Record(headers, block.partition(b"\r\n\r\n")[2])
+    lines = (line.partition(":") for line in head.decode().split("\r\n")[1:])
+    headers = {name.strip().lower(): value.strip() for name, _, value in lines}
+    block = rest[: int(headers["content-length"])]
+    if len(block) < int(headers["content-length"]):
+        raise ValueError("the record is shorter than it says")
+    is_http = headers.get("content-type", "").lower().startswith("application/http")
+    return Record(headers, block.partition(b"\r\n\r\n")[2] if is_http else block)
 
 
 def payload_digest(payload: bytes) -> str:
@@ -159,29 +173,53 @@ class Member:
         return self.place - len(self.unpack.unused_data)
 
 
-def records(path: str, start: int, stop: int) -> Iterator[Record]:
+def _record_at(file, place: int, size: int) -> tuple[Record, int] | None:
+    """The record that starts at a place, and where it ends; nothing where none does."""
+    member = Member(file, place, size)
+    if place >= size or not member.is_record():
+        return None
+    try:
+        after = member.finish()
+        return parse_record(bytes(member.data)), after
+    except (zlib.error, ValueError, KeyError):
+        return None
+
+
+def records(path: str, start: int, stop: int) -> Iterator[Record | Damage]:
     """The records of an archive that start at ``start`` or later, before ``stop``.
 
-    Bytes that look like a member and are none, such as the magic inside packed
-    data or a damaged record, are passed over to the next magic.
+    From ``start`` on, what looks like a member and is none (the magic inside packed
+    data) is passed over to the next magic. Once one record is found, or from the
+    start of the archive, another must follow right behind until the archive ends;
+    bytes that hold none are a ``Damage``, told by the task that owns the record
+    before them.
     """
     system, name = opened(path)
     with system.open_input_file(name) as file:
         size = file.size()
         place, stop = start, min(stop, size)
+        expected = place == 0
         while place < stop:
-            member = Member(file, place, size)
-            if member.is_record():
-                try:
-                    after = member.finish()
-                    record = parse_record(bytes(member.data))
-                except (zlib.error, ValueError, KeyError):
-                    after = None
-                if after is not None:
-                    yield record
-                    place = after
-                    continue
-            place = _next_magic(file, place + 1, min(stop + len(MAGIC) - 1, size))
+            if found := _record_at(file, place, size):
+                yield found[0]
+                place, expected = found[1], True
+                continue
+            gap = place
+            place = _next_record(file, place + 1, size if expected else stop, size)
+            if expected:
+                yield Damage(path, gap, place)
+        if expected and stop <= place < size and not _record_at(file, place, size):
+            yield Damage(path, place, _next_record(file, place + 1, size, size))
+
+
+def _next_record(file, place: int, stop: int, size: int) -> int:
+    """The first place from ``place`` on, before ``stop``, where a whole record starts."""
+    while place < stop:
+        place = _next_magic(file, place, min(stop + len(MAGIC) - 1, size))
+        if place >= stop or _record_at(file, place, size):
+            break
+        place += 1
+    return min(place, stop)
 
 
 def _next_magic(file, place: int, stop: int) -> int:
@@ -196,58 +234,79 @@ def _next_magic(file, place: int, stop: int) -> int:
     return stop
 
 
-def read_archives(manifest: DataFrame, range_bytes: int = 1 << 22) -> DataFrame:
+def read_archives(
+    manifest: DataFrame, range_bytes: int = 1 << 22, report_damage: bool = False
+) -> DataFrame:
     """Every record of the archives in the manifest (path, bytes), read by byte ranges.
 
     Returns page_id, url, record_type, refers_to (a page_id), payload_bytes,
-    payload_digest and payload (null for a revisit). The digest and length of a
-    response are those of the bytes read, and must be the ones in its header.
+    payload_digest and payload (null for a revisit). A record identified otherwise has
+    no page_id. Length and digest of a response are those of the bytes read, and must
+    be the ones in its header, if it has any. Bytes that hold no whole record raise an
+    error; with ``report_damage`` they are a row of record_type ``damaged`` with the
+    archive and the first byte as url and their number as payload_bytes.
     """
-    ranges = manifest.select(
+    size = manifest.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
+    ranges = manifest.where("bytes > 0").select(
         "path",
         F.explode(F.expr(f"sequence(0L, bytes - 1, {range_bytes}L)")).alias("start"),
-    ).repartition("path", "start")
+    )
     schema = pa.schema([
         ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
         ("refers_to", pa.int64()), ("payload_bytes", pa.int64()),
         ("payload_digest", pa.string()), ("payload", pa.binary()),
     ])
 
-    def page(urn: str | None) -> int | None:
-        number = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-        return int(number) if number else None
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 found, held = [], 0
                 for r in records(row["path"], row["start"], row["start"] + range_bytes):
-                    h = r.headers
-                    kind, length = h["WARC-Type"], int(h["WARC-Payload-Length"])
-                    digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-                    payload = r.payload if kind == "response" else None
-                    if payload is not None and (
-                        len(payload) != length or payload_digest(payload) != digest
-                    ):
-                        raise ValueError(f"{h['WARC-Record-ID']}: the payload is damaged")
-                    found.append((
-                        page(h["WARC-Record-ID"]), h.get("WARC-Target-URI"), kind,
-                        page(h.get("WARC-Refers-To")), length, digest, payload,
-                    ))
-                    held += len(payload or b"")
+                    if isinstance(r, Damage):
+                        if not report_damage:
+                            raise ValueError(f"{r.path} holds no record at bytes {r.start} to {r.stop}")
+                        place = f"{r.path}@{r.start}"
+                        found.append((None, place, "damaged", None, r.stop - r.start, None, None))
+                        continue
+                    found.append(_row(r))
+                    held += len(r.payload)
                     if held > READ:
                         yield _rows(schema, found)
                         found, held = [], 0
                 if found:
                     yield _rows(schema, found)
 
-    return ranges.mapInArrow(
+    return dealt(ranges, size).mapInArrow(
         read,
         "page_id long, url string, record_type string, refers_to long, payload_bytes long, "
         "payload_digest string, payload binary",
     )
 
 
+def _page(urn: str | None) -> int | None:
+    """The page_id in a record's identifier, where it is one that this module writes."""
+    prefix, suffix = RECORD_ID.split("{}")
+    number = (urn or "").removeprefix(prefix).removesuffix(suffix)
+    return int(number) if number.removeprefix("-").isdigit() else None
+
+
+def _row(record: Record) -> tuple:
+    h = record.headers
+    kind, length = h["warc-type"], h.get("warc-payload-length")
+    digest = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    payload = None if kind == "revisit" else record.payload
+    if payload is not None:
+        read = payload_digest(payload)
+        is_base32 = digest and len(digest) == len(read)
+        if (length and len(payload) != int(length)) or (is_base32 and read != digest.upper()):
+            raise ValueError(f"{h.get('warc-record-id')}: the payload is damaged")
+        length, digest = len(payload), read
+    return (
+        _page(h.get("warc-record-id")), h.get("warc-target-uri"), kind,
+        _page(h.get("warc-refers-to")), int(length) if length is not None else None, digest, payload,
+    )
+
+
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return emit(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
 
