@@ -10,7 +10,6 @@ frames that hold them, and nothing else.
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -187,22 +186,9 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 def query(spark, sf_dir: str) -> DataFrame:
     manifest = write_token_files(table(spark, sf_dir, "documents"), default_path())
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
-        ("ids_crc32", pa.int64()),
-    ])
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column("ids").to_pylist()
-            yield emit(
-                schema,
-                doc_id=b.column("doc_id"),
-                start=b.column("start"),
-                n_tokens=[len(i) // 4 for i in ids],
-                ids_crc32=[zlib.crc32(i) for i in ids],
-            )
-
-    return read_token_files(manifest).mapInArrow(
-        digest, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    return read_token_files(manifest).select(
+        "doc_id",
+        "start",
+        F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
     )

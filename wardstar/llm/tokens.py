@@ -17,7 +17,7 @@ import pyarrow as pa
 from wardstar.llm.common import spans
 
 #: Bytes of text encoded in one step.
-ENCODED_BYTES = 2 << 20
+ENCODED_BYTES = 4 << 20
 #: Marks that often follow a word.
 MARKS = b".,;:!?"
 #: Bytes that are or begin a visible character: ASCII, and two-byte Latin letters. What
@@ -54,7 +54,7 @@ class Encoder:
     moves to the newer one, so common pieces outlive the rare ones.
     """
 
-    def __init__(self, path: str, size: int = 400_000):
+    def __init__(self, path: str, size: int = 300_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -77,21 +77,21 @@ class Encoder:
         edges = np.concatenate(([0], np.cumsum(sizes)))
         if not edges[-1]:
             return [b""] * len(documents)
-        text = b"\n ".join(documents)  # two bytes between texts, so no cut looks across
-        spread = np.frombuffer(text, np.uint8)
-        own = edges[:-1] + 2 * np.arange(len(documents))
-        inside = spans(own, sizes)
+        data = b"".join(documents)
+        spread = np.frombuffer(data, np.uint8)
         starts = piece_starts(spread)
-        starts[own[sizes > 0]] = True
-        # A place between texts starts nothing; the byte after a line break there is a space.
-        cuts = np.flatnonzero(starts[inside])
+        # A space that ends a text stands before nothing, whatever the next text begins with.
+        ends = edges[1:][sizes > 0] - 1
+        starts[ends] &= spread[ends] != 0x20
+        starts[edges[:-1][sizes > 0]] = True
+        cuts = np.flatnonzero(starts)
         offsets = np.append(cuts, edges[-1])
         pieces = pa.Array.from_buffers(
-            pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(documents))]
+            pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
         ).dictionary_encode()
         ids = self._distinct(pieces.dictionary.to_pylist())
         numbers = pieces.indices.to_numpy()
-        size = np.array([len(i) // 4 for i in ids], np.int64)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         length = size[numbers]
         found = flat[spans((np.cumsum(size) - size)[numbers], length)].tobytes()
@@ -99,13 +99,15 @@ class Encoder:
         return [found[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def _distinct(self, pieces: list[bytes]) -> list[bytes]:
-        memo = self.memo
-        new = [p for p in pieces if p not in memo]
-        if len(memo) + len(new) > self.size:
-            self.memo, self.older = {}, memo
-            new = pieces
+        found = list(map(self.memo.get, pieces))
+        new = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
+        if not new:
+            return found
+        if len(self.memo) + len(new) > self.size:
+            self.memo, self.older = {}, self.memo
         self._learn(new)
-        return [self.memo[p] for p in pieces]
+        memo = self.memo
+        return [memo[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [
