@@ -38,7 +38,7 @@ class FileWriter:
 
     def __init__(self, frame_bytes: int = 1 << 18):
         self.frame_bytes = frame_bytes
-        self.compress = zstandard.ZstdCompressor(level=3).compress
+        self.compress = zstandard.ZstdCompressor(level=1).compress
         self.parts: list[bytes] = []
         self.entries: list[tuple[int, int, int]] = []
         self.listed: list[tuple] = []
