@@ -175,10 +175,11 @@ class Shard:
         self.read = np.concatenate(places)  # the place of each unit as it is read
         self.written = np.argsort(self.read)
         codes = np.unique(units[self.read], return_inverse=True)[1]
-        # One character for a unit; two where a shard has more units than characters.
-        wide = 1 if not len(codes) or codes.max() < len(CODES) else 2
-        self.wide = wide
-        spelled = CODES[codes[:, None] // len(CODES) ** np.arange(wide - 1, -1, -1) % len(CODES)]
+        # A unit is two characters of a small alphabet: the states of an automaton list
+        # their arcs, and a list as long as the number of units would be searched for each.
+        base = max(2, int(np.ceil(np.sqrt(codes.max(initial=0) + 1))))
+        wide = self.wide = 2
+        spelled = CODES[np.stack((codes // base, codes % base), axis=1)]
         self.text = spelled.astype("<u4").tobytes().decode("utf-32-le")
         owner = self.words.documents()
         at = np.arange(max(0, len(owner) - WINDOW + 1))
