@@ -12,17 +12,16 @@ from wardstar.llm import substrings
 
 @pytest.mark.parametrize("line", [5, 12, 24])
 def test_frequent_line(spark, monkeypatch, line):
-    for name, value in (("HOT", 40), ("PART", 10), ("SHARD_PIECES", 50)):
-        monkeypatch.setattr(substrings, name, value, raising=False)
-    seen_by = []
-    first_windows = substrings._first_windows
+    """However many documents hold it, its passage is sent and compiled once."""
+    monkeypatch.setattr(substrings, "SHARD_PIECES", 50)
+    sent = []
+    matched = substrings._matched
 
-    def watched(pieces):
-        parts = pieces.groupBy(F.spark_partition_id().alias("task")).count().collect()
-        seen_by.extend(r["count"] for r in parts)
-        return first_windows(pieces)
+    def watched(passages):
+        sent.extend(passages.select("words").collect())
+        return matched(passages)
 
-    monkeypatch.setattr(substrings, "_first_windows", watched)
+    monkeypatch.setattr(substrings, "_matched", watched)
     rng = random.Random(line)
     common = [f"c{k}" for k in range(line)]
     texts = {}
@@ -47,4 +46,28 @@ def test_frequent_line(spark, monkeypatch, line):
         kept = [w for w, g in zip(words, gone, strict=True) if not g]
         assert got[doc]["n_removed"] == sum(gone)
         assert got[doc]["text"].split() == kept
-    assert max(seen_by) < sum(seen_by) / 3
+    found = [bytes(r.words).decode().split() for r in sent]
+    assert sum(common == w for w in found) <= 1
+    assert sum(w[:3] == common[:3] for w in found) < 20
+
+
+def test_only_matches_remove(spark, monkeypatch):
+    """With automata that hold nothing, nothing is removed, first or later."""
+    text = " ".join(f"w{k}" for k in range(50))
+    table = spark.createDataFrame([(1, text), (2, "x " + text), (3, text)], "doc_id long, text string")
+    full = {r.doc_id: r.n_removed for r in substrings.remove_repeats(table).collect()}
+    assert full == {1: 0, 2: 50, 3: 50}
+    passages = substrings._passage_rows
+    nothing = F.transform("new", lambda _: F.lit(False))
+    monkeypatch.setattr(substrings, "_passage_rows", lambda docs: passages(docs).withColumn("new", nothing))
+    assert {r.n_removed for r in substrings.remove_repeats(table).collect()} == {0}
+
+
+def test_columns_of_the_caller_stay(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    names = ["_key", "_order", "_lost", "place", "digest", "run", "k", "_row", "found"]
+    rows = [(1, text, *range(9)), (2, text, *range(10, 19))]
+    table = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    got = {r.doc_id: r for r in substrings.remove_repeats(table).collect()}
+    assert [got[2][n] for n in names] == [*range(10, 19)] and got[2].n_removed == 30
+    assert (got[1].text, got[2].text) == (text, "")

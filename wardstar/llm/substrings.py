@@ -2,12 +2,14 @@
 
 Of every window of WINDOW words the run of ANCHOR words with the least hash is its
 anchor, so equal windows have equal anchors. Windows whose anchor occurs once are
-settled. The others are cut into pieces (neighbouring windows with one anchor),
-equal pieces are counted together, and a shard holds all pieces of its anchors: it
-confirms which windows recur, compiles them into an Aho-Corasick automaton over
-words, and streams its pieces through it to find every occurrence. Where an anchor
-is frequent, each of its windows is a piece of its own and the pieces are dealt by
-their digest too, which equal windows share, so no shard gets all of them.
+settled. Neighbouring windows with one anchor are a piece; equal pieces are counted
+as one, and of the windows in different pieces the digests are counted, so it is
+known which windows recur and where each starts first, before any word moves.
+
+The passages of such windows are then sent, once for each different piece, to the
+shard of their anchor. A shard compiles the windows that start there first into an
+Aho-Corasick automaton over words and streams all its passages through it. What a
+match finds in a piece holds for each of its occurrences; only matches remove words.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from wardstar.llm.words import BASE, INVERSE, Words, mix, ngrams, powers
 WINDOW, ANCHOR = 20, 5
 #: Shards for each shuffle partition, so an automaton stays far below a task's memory.
 SHARDS = 4
-#: An anchor that occurs more often is dealt to several parts, one for each PART times.
-HOT, PART = 1000, 250
+#: Places of one document; a document's order times this, and a place, is a position.
+PLACES = 1 << 32
 #: Pieces from which on a task compiles what it has into an automaton of its own.
 SHARD_PIECES = 100_000
 #: Words that an automaton reads as one character. A window is WINDOW / UNIT of them,
@@ -36,8 +38,6 @@ SHARD_PIECES = 100_000
 UNIT = 5
 #: Code points a unit may be written as in an automaton.
 CODES = np.array([*range(0x100, 0xD800), *range(0xE000, 0x110000)], "<u4")
-#: Pieces that a task remembers to have sent with their words.
-REMEMBERED = 200_000
 
 
 def window_anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,97 +88,141 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
 
 
 def _piece_rows(docs: DataFrame) -> DataFrame:
-    """Pieces of the documents (_key, _order, text, anchors that occur again, their parts).
+    """Pieces of the documents (_key, _order, text, anchors that occur again).
 
-    The words of a piece come with the first two of its occurrences in a task and
-    with any that is earlier than all before, so a shard learns whether the piece
-    recurs and where first, however often a task met it.
+    A piece is known by its digest and has the digests of its windows, but no words.
     """
     schema = pa.schema([
-        ("_key", pa.int64()), ("_order", pa.int64()), ("anchor", pa.int64()),
-        ("part", pa.int32()), ("digest", pa.int64()), ("place", pa.int64()),
-        ("windows", pa.int32()), ("words", pa.binary()),
+        ("_key", pa.int64()), ("_order", pa.int64()), ("place", pa.int64()),
+        ("digest", pa.int64()), ("windows", pa.list_(pa.int64())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: dict[tuple[int, int], list] = {}
         for batch, found in texts(batches):
             words = Words(found, False)
             at, places, hashes = window_anchors(words)
             owner = words.documents()[at] if len(at) else at
             hashes = hashes.view(np.int64)
-            again = [np.array(a, np.int64) for a in batch.column("anchors").to_pylist()]
-            dealt = [np.array(p, np.int64) for p in batch.column("parts").to_pylist()]
+            again = [np.sort(np.array(a, np.int64)) for a in batch.column("anchors").to_pylist()]
             cuts = np.searchsorted(at, words.first)
-            # Parts of the anchor of each window; none where it occurs once.
-            parts = np.zeros(len(at), np.int64)
+            recurs = np.zeros(len(at), bool)
             for d, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                ranked = np.argsort(again[d])
-                own = again[d][ranked]
-                to = np.minimum(np.searchsorted(own, hashes[a:b]), len(own) - 1)
-                parts[a:b] = np.where(own[to] == hashes[a:b], dealt[d][ranked][to], 0)
-            chosen = np.flatnonzero(parts)
+                if len(again[d]):
+                    to = np.minimum(np.searchsorted(again[d], hashes[a:b]), len(again[d]) - 1)
+                    recurs[a:b] = again[d][to] == hashes[a:b]
+            chosen = np.flatnonzero(recurs)
             if not len(chosen):
                 continue
             new = (np.diff(places[chosen]) != 0) | (np.diff(chosen) != 1)
             new |= np.diff(owner[chosen]) != 0
-            # Windows of an anchor in parts stand alone.
-            new |= parts[chosen[1:]] > 1
             starts = np.concatenate(([0], np.flatnonzero(new) + 1))
             sizes = np.diff(np.concatenate((starts, [len(chosen)])))
             first = chosen[starts]
             low, high = at[first], at[first] + sizes + WINDOW - 1
-            digest = _digests(words.hashes, low, high)
-            part = (digest % parts[first].astype(np.uint64)).astype(np.int32)
-            digest = digest.view(np.int64)
+            windows = ngrams(words.hashes, WINDOW)[at[chosen]].view(np.int64)
+            offsets = np.concatenate((starts, [len(chosen)])).astype(np.int32)
             doc = owner[first]
-            order = batch.column("_order").to_numpy()[doc]
-            place = low - words.first[doc]
-            spans = zip(
-                digest.tolist(), hashes[first].tolist(), order.tolist(), place.tolist(),
-                words.starts[low].tolist(), words.ends[high - 1].tolist(), strict=True,
-            )
-            data, sent = words.data, []
-            for piece, anchor, o, p, begin, end in spans:
-                if len(met) > REMEMBERED:
-                    met.clear()
-                seen = met.get((anchor, piece))
-                if seen is None:
-                    seen = met[anchor, piece] = [0, (o, p)]
-                if seen[0] < 2 or (o, p) < seen[1]:
-                    seen[0] += 1
-                    seen[1] = min(seen[1], (o, p))
-                    sent.append(b" ".join(data[begin:end].tobytes().split()))
-                else:
-                    sent.append(None)
-            yield emit(
-                schema, _key=batch.column("_key").to_numpy()[doc], _order=order,
-                anchor=hashes[first], part=part, digest=digest, place=place, windows=sizes,
-                words=sent,
-            )
-
-    return docs.select("_key", "_order", "text", "anchors", "parts").mapInArrow(
-        run,
-        "_key long, _order long, anchor long, part int, digest long, place long, windows int, "
-        "words binary",
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(batch.column("_key").to_numpy()[doc]),
+                    pa.array(batch.column("_order").to_numpy()[doc]),
+                    pa.array(low - words.first[doc]),
+                    pa.array(_digests(words.hashes, low, high).view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(windows)),
+                ],
+                schema=schema,
+            )
+
+    return docs.select("_key", "_order", "text", "anchors").mapInArrow(
+        run, "_key long, _order long, place long, digest long, windows array<long>"
+    )
+
+
+def recurring_runs(pieces: DataFrame) -> DataFrame:
+    """Of different pieces, the runs of windows that stand in two places or more.
+
+    A row has the piece's digest and ``first`` position, the number ``k`` of the run's
+    first window there, ``run`` (equal for runs of equal words), its ``position``, and
+    for each window whether it starts there first. Positions are decimals, so
+    their least and greatest merge in a hash aggregate.
+    """
+    position = F.expr(f"cast(_order as decimal(20, 0)) * {PLACES}BD + place")
+    different = pieces.groupBy("digest", "windows").agg(
+        F.min(position).alias("first"), F.max(position).alias("last")
+    )
+    different = cut(different, "different-pieces")
+    each = different.select("digest", "first", "last", F.posexplode("windows").alias("k", "window"))
+    recurring = (
+        each.groupBy("window")
+        .agg(F.min(F.expr("first + k")).alias("starts"), F.max(F.expr("last + k")).alias("ends"))
+        .where("starts != ends")
+    )
+    held = F.sort_array(F.collect_list(F.struct("k", "window", F.expr("starts = first + k").alias("new"))))
+    return (
+        each.join(recurring.select("window", "starts"), "window")
+        .groupBy("digest", "first")
+        .agg(held.alias("held"))
+        .select("digest", "first", F.posexplode("held").alias("i", "h"))
+        # Numbers that follow each other differ from their index by the same.
+        .groupBy("digest", "first", (F.col("h.k") - F.col("i")).alias("gap"))
+        .agg(F.sort_array(F.collect_list("h")).alias("held"))
+        .select(
+            "digest",
+            "first",
+            F.col("held")[0]["k"].alias("k"),
+            F.xxhash64("held.window").alias("run"),
+            F.col("held.new").alias("new"),
+        )
+        .withColumn("position", F.expr("first + k"))
+    )
+
+
+def _passage_rows(docs: DataFrame) -> DataFrame:
+    """The words of different runs of recurring windows, where each stands first.
+
+    ``docs`` has _order, text, and what to send: the run, its place, and which of its
+    windows start there first.
+    """
+    schema = pa.schema([
+        ("anchor", pa.int64()), ("run", pa.int64()), ("_order", pa.int64()),
+        ("place", pa.int64()), ("words", pa.binary()), ("new", pa.list_(pa.bool_())),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in texts(batches):
+            words = Words(found, False)
+            at, _, hashes = window_anchors(words)
+            rows: list[tuple] = []
+            orders = batch.column("_order").to_pylist()
+            for d, sent in enumerate(batch.column("sent").to_pylist()):
+                for run in sent:
+                    low = int(words.first[d]) + run["place"]
+                    high = low + len(run["new"]) + WINDOW - 1
+                    text = words.data[words.starts[low] : words.ends[high - 1]].tobytes()
+                    anchor = int(hashes[np.searchsorted(at, low)].view(np.int64))
+                    rows.append((
+                        anchor, run["run"], orders[d], run["place"], b" ".join(text.split()), run["new"]
+                    ))
+            if rows:
+                yield emit(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
+
+    return docs.select("_order", "text", "sent").mapInArrow(
+        run, "anchor long, run long, _order long, place long, words binary, new array<boolean>"
     )
 
 
 class Shard:
-    """All pieces of some anchors: their words, and every window with its first place."""
+    """The passages of some anchors, and the automaton of the windows that start in them first."""
 
-    def __init__(self, pieces: list[bytes], order: np.ndarray, place: np.ndarray):
-        self.words = Words(pieces, False)
-        counts = self.words.counts()
+    def __init__(self, passages: list[bytes], new: list[list[bool]]):
+        self.words = Words(passages, False)
         units = ngrams(self.words.hashes, UNIT)
         places = [np.arange(phase, len(units), UNIT) for phase in range(UNIT)]
         self.read = np.concatenate(places)  # the place of each unit as it is read
-        self.written = np.argsort(self.read)
         codes = np.unique(units[self.read], return_inverse=True)[1]
         # A unit is two characters of a small alphabet: the states of an automaton list
         # their arcs, and a list as long as the number of units would be searched for each.
         base = max(2, int(np.ceil(np.sqrt(codes.max(initial=0) + 1))))
-        wide = self.wide = 2
         spelled = CODES[np.stack((codes // base, codes % base), axis=1)]
         self.text = spelled.astype("<u4").tobytes().decode("utf-32-le")
         owner = self.words.documents()
@@ -186,59 +230,44 @@ class Shard:
         self.at = at[owner[at] == owner[at + WINDOW - 1]]
         self.owner = owner[self.at]
         self.offset = self.at - self.words.first[self.owner]
-        self.order, self.place = order[self.owner], place[self.owner] + self.offset
-        self.counts = counts
-
-    def recurring(self) -> tuple[list[str], np.ndarray]:
-        """The confirmed windows as patterns, and for each the (order, place) it starts first."""
-        kind = np.unique(ngrams(self.words.hashes, WINDOW)[self.at], return_inverse=True)[1]
-        ranked = np.lexsort((self.place, self.order, kind))
-        kind, order, place = kind[ranked], self.order[ranked], self.place[ranked]
-        head = np.flatnonzero(np.diff(kind, prepend=-1))
-        # A place sent twice is one occurrence.
-        moved = (np.diff(order) != 0) | (np.diff(place) != 0)
-        moved = np.concatenate(([0], moved & (np.diff(kind) == 0)))
-        recurs = np.add.reduceat(moved, head) > 0 if len(head) else np.empty(0, bool)
-        chosen = head[recurs]
-        step = WINDOW // UNIT * self.wide
-        starts = (self.written[self.at[ranked[chosen]]] * self.wide).tolist()
-        return (
-            [self.text[s : s + step] for s in starts],
-            np.stack((order[chosen], place[chosen]), axis=1),
-        )
+        self.automaton = self._compiled(np.array([n for row in new for n in row], bool))
 
-    def before(self) -> list[np.ndarray]:
-        """For each piece the offsets of its windows that start earlier elsewhere."""
+    def _compiled(self, new: np.ndarray):
+        """The windows at which ``new`` holds, each with the number of the window it is."""
         import ahocorasick
 
-        patterns, first = self.recurring()
-        out = [np.empty(0, np.int64)] * len(self.counts)
-        if not patterns:
-            return out
+        written = np.argsort(self.read)
+        chosen = np.flatnonzero(new)
+        step = WINDOW // UNIT * 2
+        starts = (written[self.at[chosen]] * 2).tolist()
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for k, pattern in enumerate(patterns):
-            automaton.add_word(pattern, k)
-        automaton.make_automaton()
-        hits = itertools.chain.from_iterable(automaton.iter(self.text))
+        for window, s in zip(chosen.tolist(), starts, strict=True):
+            automaton.add_word(self.text[s : s + step], window)
+        if starts:
+            automaton.make_automaton()
+        return automaton
+
+    def matches(self) -> tuple[np.ndarray, np.ndarray]:
+        """Windows where the automaton matches, in order, and the window that each equals."""
+        if not len(self.automaton):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        hits = itertools.chain.from_iterable(self.automaton.iter(self.text))
         hits = np.fromiter(hits, np.int64).reshape(-1, 2)
         units = WINDOW // UNIT
-        start = hits[:, 0] + 1 - units * self.wide
-        aligned = start % self.wide == 0
-        start, earliest = start[aligned] // self.wide, first[hits[aligned, 1]]
-        # A match may also lie across two readings or two pieces; that is no window.
+        start = hits[:, 0] + 1 - units * 2
+        aligned = start % 2 == 0
+        start, equal = start[aligned] // 2, hits[aligned, 1]
+        # A match may also lie across two readings or two passages; that is no window.
         at = self.read[start]
         window = np.minimum(np.searchsorted(self.at, at), len(self.at) - 1)
         inside = (self.at[window] == at) & (self.read[start + units - 1] == at + WINDOW - UNIT)
-        window, earliest = window[inside], earliest[inside]
-        order, place = self.order[window], self.place[window]
-        late = (earliest[:, 0] < order) | ((earliest[:, 0] == order) & (earliest[:, 1] < place))
-        window = np.sort(window[late])
-        cuts = np.searchsorted(self.owner[window], np.arange(len(self.counts) + 1))
-        return [self.offset[window[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        window, equal = window[inside], equal[inside]
+        ranked = np.argsort(window, kind="stable")
+        return window[ranked], equal[ranked]
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows sorted by (anchor, part) in tables that hold all rows of theirs."""
+    """Rows sorted by anchor in tables that hold all rows of theirs."""
     held: list[pa.RecordBatch] = []
     size, enough = 0, SHARD_PIECES
     for batch in batches:
@@ -248,9 +277,9 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         if size < enough:
             continue
         rows = pa.Table.from_batches(held)
-        anchor, part = (rows.column(c).to_numpy() for c in ("anchor", "part"))
-        # More rows of the last part may follow.
-        stop = int(((anchor == anchor[-1]) & (part == part[-1])).argmax())
+        anchor = rows.column("anchor").to_numpy()
+        # More rows of the last anchor may follow.
+        stop = int((anchor == anchor[-1]).argmax())
         if stop:
             yield rows.slice(0, stop)
             held = rows.slice(stop).to_batches()
@@ -260,38 +289,36 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _first_windows(pieces: DataFrame) -> DataFrame:
-    """anchor, digest, first occurrence of each piece, and its windows that came before.
+MATCHES = "array<struct<k:int, first_order:long, first_place:long>>"
 
-    ``pieces`` has anchor, part, digest, order, place and words, with all pieces of
-    an anchor and part in one partition, next to each other; a piece may come
-    several times.
+
+def _matched(passages: DataFrame) -> DataFrame:
+    """By run, the windows that the automata found, with the first place of each.
+
+    ``passages`` has all rows of an anchor in one partition, next to each other.
     """
-    schema = pa.schema([
-        ("anchor", pa.int64()), ("digest", pa.int64()), ("first_order", pa.int64()),
-        ("first_place", pa.int64()), ("before", pa.list_(pa.int32())),
-    ])
+    match = pa.struct([("k", pa.int32()), ("first_order", pa.int64()), ("first_place", pa.int64())])
+    schema = pa.schema([("run", pa.int64()), ("found", pa.list_(match))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches):
-            names = ("anchor", "digest", "_order", "place")
-            anchor, digest, order, place = (rows.column(c).to_numpy() for c in names)
-            words = rows.column("words").to_pylist()
-            before = Shard(words, order, place).before()
-            # Of the times a piece came, the earliest is its first occurrence.
-            ranked = np.lexsort((place, order, digest, anchor))
-            new = np.diff(digest[ranked], prepend=digest[ranked[0]] - 1) != 0
-            new |= np.diff(anchor[ranked], prepend=anchor[ranked[0]] - 1) != 0
-            chosen = ranked[new]
-            yield emit(
-                schema, anchor=anchor[chosen], digest=digest[chosen], first_order=order[chosen],
-                first_place=place[chosen], before=[before[k] for k in chosen.tolist()],
-            )
-
-    return pieces.mapInArrow(
-        run,
-        "anchor long, digest long, first_order long, first_place long, before array<int>",
-    )
+            runs, order, place = (rows.column(c).to_numpy() for c in ("run", "_order", "place"))
+            shard = Shard(rows.column("words").to_pylist(), rows.column("new").to_pylist())
+            window, equal = shard.matches()
+            owner, first = shard.owner[window], shard.owner[equal]
+            cuts = np.searchsorted(owner, np.arange(len(runs) + 1)).astype(np.int32)
+            found = pa.StructArray.from_arrays(
+                [
+                    pa.array(shard.offset[window].astype(np.int32)),
+                    pa.array(order[first]),
+                    pa.array(place[first] + shard.offset[equal]),
+                ],
+                fields=list(match),
+            )
+            lists = pa.ListArray.from_arrays(pa.array(cuts), found)
+            yield pa.RecordBatch.from_arrays([pa.array(runs), lists], schema=schema)
+
+    return passages.mapInArrow(run, f"run long, found {MATCHES}")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -302,69 +329,86 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     are one place in the order, so a row repeated whole repeats nothing). Windows
     are judged on the input. Returns all columns, the text of a document that lost
     words as the kept ones joined by spaces, other texts as they are, and n_words
-    and n_removed (which replace columns of that name). Null and short texts lose
-    nothing; an empty table gives no rows.
+    and n_removed (which replace columns of that name).
+    Null and short texts lose nothing; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    docs = docs.drop("n_words", "n_removed", "_key", "_order", "_lost")
-    rows = docs.withColumns({
-        "_key": F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"),
-        "_order": F.coalesce("doc_id", F.lit(-(2**63)).cast("long")),
-    })
+    docs = docs.drop("n_words", "n_removed")
+    names = docs.columns
+    # Columns of the caller travel as one, so no name of theirs meets one of these.
+    rows = docs.select(
+        F.struct(*names).alias("_row"),
+        F.col("text").cast("string").alias("text"),
+        F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text").alias("_key"),
+        F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("_order"),
+    )
     spread = cut(_anchor_rows(rows), "anchors")
     each = spread.select("_key", F.explode("anchors").alias("anchor"))
     # Counted before they move, so an anchor of many documents is a row for each task.
-    again = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    parts = F.when(F.col("n") > HOT, F.ceil(F.col("n") / PART)).otherwise(1).cast("int")
-    again = cut(again.select("anchor", parts.alias("parts")), "recurring-anchors")
-    lists = each.join(again, "anchor").groupBy("_key")
-    lists = lists.agg(F.collect_set(F.struct("anchor", "parts")).alias("found")).select(
-        "_key", F.col("found.anchor").alias("anchors"), F.col("found.parts").alias("parts")
-    )
+    again = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    lists = each.join(again, "anchor").groupBy("_key").agg(F.collect_set("anchor").alias("anchors"))
     searched = rows.select("_key", "_order", "text").join(lists, "_key")
     pieces = cut(_piece_rows(searched), "pieces")
-    sent = pieces.where("words is not null")
-    shards = sent.select("anchor", "part", "digest", "_order", "place", "words").repartition(
-        SHARDS * partitions(spark), "anchor", "part"
+    runs = cut(recurring_runs(pieces), "recurring-runs")
+    # Of equal runs the first is sent, from the document that holds it.
+    least = runs.groupBy("run").agg(F.min("position").alias("position"))
+    sending = runs.join(least, ["run", "position"]).select("digest", "first", "run", "k", "new")
+    occurrences = pieces.drop("windows")
+    sent = (
+        occurrences.join(sending, "digest")
+        .where(f"cast(_order as decimal(20, 0)) * {PLACES}BD + place = first")
+        .groupBy("_key")
+        .agg(F.collect_set(F.struct((F.col("place") + F.col("k")).alias("place"), "run", "new")).alias("sent"))
     )
-    firsts = cut(_first_windows(shards.sortWithinPartitions("anchor", "part")), "first-windows")
-    found = pieces.drop("words", "part").join(firsts, ["anchor", "digest"])
-    is_first = (F.col("_order") == F.col("first_order")) & (F.col("place") == F.col("first_place"))
-    found = found.where(~is_first | (F.size("before") > 0)).select(
-        "_key",
-        F.struct(
-            "place", "windows", F.when(is_first, F.col("before")).alias("before")
-        ).alias("lost"),
+    different = rows.dropDuplicates(["_key"]).select("_key", "_order", "text")
+    passages = _passage_rows(different.join(sent, "_key"))
+    dealt = passages.repartition(SHARDS * partitions(spark), "anchor").sortWithinPartitions("anchor")
+    found = cut(_matched(dealt), "matches")
+    earlier = F.expr(
+        "transform(filter(found, m -> m.first_order < _order or "
+        "(m.first_order = _order and m.first_place < place + k + m.k)), m -> place + k + m.k)"
     )
-    lost = cut(found.groupBy("_key").agg(F.collect_set("lost").alias("_lost")), "lost")
-    joined = rows.drop("_order").join(lost, "_key", "left").drop("_key")
-    result = StructType([*docs.schema.fields]).add("n_words", LongType()).add("n_removed", LongType())
-    names = docs.columns
-    where = names.index("text")
+    by_piece = runs.select("digest", "k", "run").join(found, "run")
+    lost = (
+        occurrences.join(by_piece, "digest")
+        .select("_key", earlier.alias("places"))
+        .where("size(places) > 0")
+        .groupBy("_key")
+        .agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("_lost"))
+    )
+    joined = rows.select("_row", "text", "_key").join(cut(lost, "lost"), "_key", "left")
+    kept = _without(joined.select("_row", "text", "_lost"))
+    plain = [F.col("_row")[n].alias(n) if n != "text" else F.col("text") for n in names]
+    return kept.select(*plain, "n_words", "n_removed")
+
+
+def _without(rows: DataFrame) -> DataFrame:
+    """The rows (_row, text, _lost) without the words of the windows that start at ``_lost``."""
+    result = StructType([f for f in rows.schema.fields if f.name != "_lost"])
+    result = result.add("n_words", LongType()).add("n_removed", LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in texts(batches):
             words = Words(found, False)
             kept_texts, removed = batch.column("text").to_pylist(), []
-            for d, lost in enumerate(batch.column("_lost").to_pylist()):
+            for d, lost in enumerate(batch.column("_lost")):
                 first, last = int(words.first[d]), int(words.first[d + 1])
-                gone = np.zeros(last - first, bool)
-                for piece in lost or ():
-                    if piece["before"] is None:
-                        gone[piece["place"] : piece["place"] + piece["windows"] + WINDOW - 1] = True
-                    for k in piece["before"] or ():
-                        gone[piece["place"] + k : piece["place"] + k + WINDOW] = True
+                lost = lost.values.to_numpy() if lost.is_valid else np.empty(0, np.int64)
+                # One up where a window starts and one down behind its end.
+                cover = np.zeros(last - first + 1, np.int64)
+                np.add.at(cover, lost, 1)
+                np.add.at(cover, lost + WINDOW, -1)
+                gone = np.cumsum(cover[:-1]) > 0
                 removed.append(int(gone.sum()))
                 if removed[-1]:
                     spans = zip(words.starts[first:last][~gone], words.ends[first:last][~gone], strict=True)
                     kept = b" ".join([words.data[s:e].tobytes() for s, e in spans])
                     kept_texts[d] = kept.decode()
-            arrays = [batch.column(c) for c in names]
-            arrays[where] = pa.array(kept_texts, arrays[where].type)
+            arrays = [batch.column("_row"), pa.array(kept_texts, pa.string())]
             arrays += [pa.array(words.counts(), pa.int64()), pa.array(removed, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "n_words", "n_removed"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["_row", "text", "n_words", "n_removed"])
 
-    return joined.select(*names, "_lost").mapInArrow(run, result)
+    return rows.mapInArrow(run, result)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
