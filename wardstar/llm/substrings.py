@@ -2,14 +2,14 @@
 
 Of every window of WINDOW words the run of ANCHOR words with the least hash is its
 anchor, so equal windows have equal anchors. Windows whose anchor occurs once are
-settled. Neighbouring windows with one anchor are a piece; equal pieces are counted
-as one, and of the windows in different pieces the digests are counted, so it is
-known which windows recur and where each starts first, before any word moves.
-
-The passages of such windows are then sent, once for each different piece, to the
-shard of their anchor. A shard compiles the windows that start there first into an
-Aho-Corasick automaton over words and streams all its passages through it. What a
-match finds in a piece holds for each of its occurrences; only matches remove words.
+settled. Of the others the digests are counted, so it is known which windows recur and
+where each starts first, before any word moves. Neighbouring windows that recur
+are a passage, and equal passages are one.
+
+Each different passage is then sent, cut where the anchor changes, to the shards of
+its anchors. A shard compiles the windows that start there first into an Aho-Corasick
+automaton over words and streams all its passages through it. What a match finds
+in a passage holds for each of its occurrences; only matches remove words.
 """
 
 from __future__ import annotations
@@ -87,21 +87,17 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
     return docs.select("_key", "text").mapInArrow(run, "_key long, anchors array<long>")
 
 
-def _piece_rows(docs: DataFrame) -> DataFrame:
-    """Pieces of the documents (_key, _order, text, anchors that occur again).
-
-    A piece is known by its digest and has the digests of its windows, but no words.
-    """
+def _candidate_rows(docs: DataFrame) -> DataFrame:
+    """Places and digests of the windows of documents (_key, _order, text, recurring anchors)."""
     schema = pa.schema([
-        ("_key", pa.int64()), ("_order", pa.int64()), ("place", pa.int64()),
-        ("digest", pa.int64()), ("windows", pa.list_(pa.int64())),
+        ("_key", pa.int64()), ("_order", pa.int64()),
+        ("places", pa.list_(pa.int32())), ("digests", pa.list_(pa.int64())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in texts(batches):
             words = Words(found, False)
-            at, places, hashes = window_anchors(words)
-            owner = words.documents()[at] if len(at) else at
+            at, _, hashes = window_anchors(words)
             hashes = hashes.view(np.int64)
             again = [np.sort(np.array(a, np.int64)) for a in batch.column("anchors").to_pylist()]
             cuts = np.searchsorted(at, words.first)
@@ -110,81 +106,94 @@ def _piece_rows(docs: DataFrame) -> DataFrame:
                 if len(again[d]):
                     to = np.minimum(np.searchsorted(again[d], hashes[a:b]), len(again[d]) - 1)
                     recurs[a:b] = again[d][to] == hashes[a:b]
-            chosen = np.flatnonzero(recurs)
-            if not len(chosen):
-                continue
-            new = (np.diff(places[chosen]) != 0) | (np.diff(chosen) != 1)
-            new |= np.diff(owner[chosen]) != 0
-            starts = np.concatenate(([0], np.flatnonzero(new) + 1))
-            sizes = np.diff(np.concatenate((starts, [len(chosen)])))
-            first = chosen[starts]
-            low, high = at[first], at[first] + sizes + WINDOW - 1
-            windows = ngrams(words.hashes, WINDOW)[at[chosen]].view(np.int64)
-            offsets = np.concatenate((starts, [len(chosen)])).astype(np.int32)
-            doc = owner[first]
+            chosen = at[recurs]
+            offsets = pa.array(np.searchsorted(chosen, words.first).astype(np.int32))
+            places = chosen - words.first[words.documents()[chosen]]
+            digests = ngrams(words.hashes, WINDOW)[chosen].view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(batch.column("_key").to_numpy()[doc]),
-                    pa.array(batch.column("_order").to_numpy()[doc]),
-                    pa.array(low - words.first[doc]),
-                    pa.array(_digests(words.hashes, low, high).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(windows)),
+                    batch.column("_key"),
+                    batch.column("_order"),
+                    pa.ListArray.from_arrays(offsets, pa.array(places.astype(np.int32))),
+                    pa.ListArray.from_arrays(offsets, pa.array(digests)),
                 ],
                 schema=schema,
             )
 
     return docs.select("_key", "_order", "text", "anchors").mapInArrow(
-        run, "_key long, _order long, place long, digest long, windows array<long>"
+        run, "_key long, _order long, places array<int>, digests array<long>"
     )
 
 
-def recurring_runs(pieces: DataFrame) -> DataFrame:
-    """Of different pieces, the runs of windows that stand in two places or more.
+#: A position in the order of documents and places: a decimal, so that the least merges
+#: in a hash aggregate.
+POSITION = f"cast(_order as decimal(20, 0)) * {PLACES}BD + place"
+
+
+def recurring_windows(candidates: DataFrame) -> DataFrame:
+    """By document, its windows that stand in two places or more, in order.
 
-    A row has the piece's digest and ``first`` position, the number ``k`` of the run's
-    first window there, ``run`` (equal for runs of equal words), its ``position``, and
-    for each window whether it starts there first. Positions are decimals, so
-    their least and greatest merge in a hash aggregate.
+    ``held`` has the place, the digest, and whether the window starts there first. A
+    row that is repeated whole counts twice, which costs time and removes nothing.
     """
-    position = F.expr(f"cast(_order as decimal(20, 0)) * {PLACES}BD + place")
-    different = pieces.groupBy("digest", "windows").agg(
-        F.min(position).alias("first"), F.max(position).alias("last")
-    )
-    different = cut(different, "different-pieces")
-    each = different.select("digest", "first", "last", F.posexplode("windows").alias("k", "window"))
+    each = candidates.select(
+        "_key", "_order", F.expr("inline(arrays_zip(places, digests)) as (place, digest)")
+    ).withColumn("position", F.expr(POSITION))
     recurring = (
-        each.groupBy("window")
-        .agg(F.min(F.expr("first + k")).alias("starts"), F.max(F.expr("last + k")).alias("ends"))
-        .where("starts != ends")
+        each.groupBy("digest")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("starts"))
+        .where("n > 1")
+        .select("digest", "starts")
     )
-    held = F.sort_array(F.collect_list(F.struct("k", "window", F.expr("starts = first + k").alias("new"))))
     return (
-        each.join(recurring.select("window", "starts"), "window")
-        .groupBy("digest", "first")
-        .agg(held.alias("held"))
-        .select("digest", "first", F.posexplode("held").alias("i", "h"))
-        # Numbers that follow each other differ from their index by the same.
-        .groupBy("digest", "first", (F.col("h.k") - F.col("i")).alias("gap"))
-        .agg(F.sort_array(F.collect_list("h")).alias("held"))
-        .select(
-            "digest",
-            "first",
-            F.col("held")[0]["k"].alias("k"),
-            F.xxhash64("held.window").alias("run"),
-            F.col("held.new").alias("new"),
-        )
-        .withColumn("position", F.expr("first + k"))
+        each.join(recurring, "digest")
+        .groupBy("_key", "_order")
+        .agg(F.collect_set(F.struct("place", "digest", F.expr("starts = position").alias("new"))).alias("held"))
+        .select("_key", "_order", F.sort_array("held").alias("held"))
     )
 
 
+def _runs(windows: DataFrame) -> DataFrame:
+    """Passages of the documents: _key, _order, place, ``run`` (equal for equal words), new.
+
+    ``new`` says of each window whether it starts there first.
+    """
+    schema = pa.schema([
+        ("_key", pa.int64()), ("_order", pa.int64()), ("place", pa.int64()), ("run", pa.int64()),
+        ("new", pa.list_(pa.bool_())),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column("held")
+            place, digest, new = (held.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            ends = held.offsets.to_numpy()
+            first, last = int(ends[0]), int(ends[-1])
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            place, digest, new = place[first:last], digest[first:last], new[first:last]
+            opens = np.concatenate(([True], (np.diff(place) != 1) | (np.diff(doc) != 0)))
+            starts = np.flatnonzero(opens[: len(place)])
+            stops = np.append(starts[1:], len(place))
+            yield emit(
+                schema,
+                _key=batch.column("_key").to_numpy()[doc[starts]],
+                _order=batch.column("_order").to_numpy()[doc[starts]],
+                place=place[starts].astype(np.int64),
+                run=_digests(digest.view(np.uint64), starts, stops).view(np.int64),
+                new=[new[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)],
+            )
+
+    return windows.mapInArrow(run, "_key long, _order long, place long, run long, new array<boolean>")
+
+
 def _passage_rows(docs: DataFrame) -> DataFrame:
-    """The words of different runs of recurring windows, where each stands first.
+    """The words of different passages, where each stands first, cut where the anchor changes.
 
     ``docs`` has _order, text, and what to send: the run, its place, and which of its
-    windows start there first.
+    windows start there first. ``k`` is the number of a row's first window in its run.
     """
     schema = pa.schema([
-        ("anchor", pa.int64()), ("run", pa.int64()), ("_order", pa.int64()),
+        ("anchor", pa.int64()), ("run", pa.int64()), ("k", pa.int32()), ("_order", pa.int64()),
         ("place", pa.int64()), ("words", pa.binary()), ("new", pa.list_(pa.bool_())),
     ])
 
@@ -192,22 +201,29 @@ def _passage_rows(docs: DataFrame) -> DataFrame:
         for batch, found in texts(batches):
             words = Words(found, False)
             at, _, hashes = window_anchors(words)
+            hashes = hashes.view(np.int64)
             rows: list[tuple] = []
             orders = batch.column("_order").to_pylist()
             for d, sent in enumerate(batch.column("sent").to_pylist()):
-                for run in sent:
-                    low = int(words.first[d]) + run["place"]
-                    high = low + len(run["new"]) + WINDOW - 1
-                    text = words.data[words.starts[low] : words.ends[high - 1]].tobytes()
-                    anchor = int(hashes[np.searchsorted(at, low)].view(np.int64))
-                    rows.append((
-                        anchor, run["run"], orders[d], run["place"], b" ".join(text.split()), run["new"]
-                    ))
+                first = int(words.first[d])
+                for passage in sent:
+                    new, place = passage["new"], passage["place"]
+                    own = int(np.searchsorted(at, first + place))
+                    anchors = hashes[own : own + len(new)]
+                    cuts = [0, *(np.flatnonzero(np.diff(anchors)) + 1).tolist(), len(new)]
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                        low = first + place + a
+                        text = words.data[words.starts[low] : words.ends[low + b - a + WINDOW - 2]]
+                        rows.append((
+                            int(anchors[a]), passage["run"], a, orders[d], place + a,
+                            b" ".join(text.tobytes().split()), new[a:b],
+                        ))
             if rows:
                 yield emit(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
 
     return docs.select("_order", "text", "sent").mapInArrow(
-        run, "anchor long, run long, _order long, place long, words binary, new array<boolean>"
+        run,
+        "anchor long, run long, k int, _order long, place long, words binary, new array<boolean>",
     )
 
 
@@ -302,14 +318,16 @@ def _matched(passages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches):
-            runs, order, place = (rows.column(c).to_numpy() for c in ("run", "_order", "place"))
+            runs, k, order, place = (
+                rows.column(c).to_numpy() for c in ("run", "k", "_order", "place")
+            )
             shard = Shard(rows.column("words").to_pylist(), rows.column("new").to_pylist())
             window, equal = shard.matches()
             owner, first = shard.owner[window], shard.owner[equal]
             cuts = np.searchsorted(owner, np.arange(len(runs) + 1)).astype(np.int32)
             found = pa.StructArray.from_arrays(
                 [
-                    pa.array(shard.offset[window].astype(np.int32)),
+                    pa.array((k[owner] + shard.offset[window]).astype(np.int32)),
                     pa.array(order[first]),
                     pa.array(place[first] + shard.offset[equal]),
                 ],
@@ -348,29 +366,29 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     again = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     lists = each.join(again, "anchor").groupBy("_key").agg(F.collect_set("anchor").alias("anchors"))
     searched = rows.select("_key", "_order", "text").join(lists, "_key")
-    pieces = cut(_piece_rows(searched), "pieces")
-    runs = cut(recurring_runs(pieces), "recurring-runs")
-    # Of equal runs the first is sent, from the document that holds it.
-    least = runs.groupBy("run").agg(F.min("position").alias("position"))
-    sending = runs.join(least, ["run", "position"]).select("digest", "first", "run", "k", "new")
-    occurrences = pieces.drop("windows")
+    candidates = cut(_candidate_rows(searched), "candidate-windows")
+    windows = cut(recurring_windows(candidates), "recurring-windows")
+    runs = cut(_runs(windows), "passages")
+    # Of equal passages the first is sent, from the document that holds it.
+    position = F.expr(POSITION)
+    least = runs.groupBy("run").agg(F.min(position).alias("position"))
     sent = (
-        occurrences.join(sending, "digest")
-        .where(f"cast(_order as decimal(20, 0)) * {PLACES}BD + place = first")
+        runs.withColumn("position", position)
+        .join(least, ["run", "position"])
         .groupBy("_key")
-        .agg(F.collect_set(F.struct((F.col("place") + F.col("k")).alias("place"), "run", "new")).alias("sent"))
+        .agg(F.collect_set(F.struct("place", "run", "new")).alias("sent"))
     )
-    different = rows.dropDuplicates(["_key"]).select("_key", "_order", "text")
-    passages = _passage_rows(different.join(sent, "_key"))
+    different = rows.select("_key", "_order", "text").join(sent, "_key").dropDuplicates(["_key"])
+    passages = _passage_rows(different)
     dealt = passages.repartition(SHARDS * partitions(spark), "anchor").sortWithinPartitions("anchor")
     found = cut(_matched(dealt), "matches")
     earlier = F.expr(
         "transform(filter(found, m -> m.first_order < _order or "
-        "(m.first_order = _order and m.first_place < place + k + m.k)), m -> place + k + m.k)"
+        "(m.first_order = _order and m.first_place < place + m.k)), m -> place + m.k)"
     )
-    by_piece = runs.select("digest", "k", "run").join(found, "run")
     lost = (
-        occurrences.join(by_piece, "digest")
+        runs.drop("new")
+        .join(found, "run")
         .select("_key", earlier.alias("places"))
         .where("size(places) > 0")
         .groupBy("_key")
