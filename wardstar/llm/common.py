@@ -29,8 +29,8 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(rows: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read back.
+def written(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows written to the shared folder and read back, and where.
 
     Cuts the lineage: what is read more than once is computed once, and a lost
     executor costs no recomputation of what was written before. Spark deletes the
@@ -44,7 +44,12 @@ def cut(rows: DataFrame, name: str) -> DataFrame:
     del rows
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path), path
+
+
+def cut(rows: DataFrame, name: str) -> DataFrame:
+    """``written`` for rows whose folder stays."""
+    return written(rows, name)[0]
 
 
 def partitions(spark: SparkSession) -> int:

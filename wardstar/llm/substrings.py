@@ -2,12 +2,12 @@
 
 Of every window of WINDOW words the run of ANCHOR words with the least hash is its
 anchor, so equal windows have equal anchors. Windows whose anchor occurs once are
-settled. Of the others the digests are counted, so it is known which windows recur and
-where each starts first, before any word moves. Neighbouring windows that recur
-are a passage, and equal passages are one.
+settled. Neighbouring windows with one anchor are a piece; equal pieces are counted
+as one, and of the windows in different pieces the digests are counted, so it is
+known which windows recur and in which document first, before any word moves.
 
-Each different passage is then sent, cut where the anchor changes, to the shards of
-its anchors. A shard compiles the windows that start there first into an Aho-Corasick
+The runs of such windows, each different one once, are sent to the shard of their anchor.
+A shard compiles the windows that start there first into an Aho-Corasick
 automaton over words and streams all its passages through it. What a match finds
 in a passage holds for each of its occurrences; only matches remove words.
 """
@@ -23,14 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from wardstar.llm.common import cut, emit, partitions, table, texts
+from wardstar.llm.common import cut, emit, partitions, table, texts, written
+from wardstar.llm.files import remove_folder
 from wardstar.llm.words import BASE, INVERSE, Words, mix, ngrams, powers
 
 WINDOW, ANCHOR = 20, 5
 #: Shards for each shuffle partition, so an automaton stays far below a task's memory.
 SHARDS = 4
-#: Places of one document; a document's order times this, and a place, is a position.
-PLACES = 1 << 32
 #: Pieces from which on a task compiles what it has into an automaton of its own.
 SHARD_PIECES = 100_000
 #: Words that an automaton reads as one character. A window is WINDOW / UNIT of them,
@@ -87,17 +86,21 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
     return docs.select("_key", "text").mapInArrow(run, "_key long, anchors array<long>")
 
 
-def _candidate_rows(docs: DataFrame) -> DataFrame:
-    """Places and digests of the windows of documents (_key, _order, text, recurring anchors)."""
+def _piece_rows(docs: DataFrame) -> DataFrame:
+    """Pieces of documents (_key, _order, text, recurring anchors): windows with one anchor.
+
+    A piece is known by its digest and has the digests of its windows, but no words.
+    """
     schema = pa.schema([
-        ("_key", pa.int64()), ("_order", pa.int64()),
-        ("places", pa.list_(pa.int32())), ("digests", pa.list_(pa.int64())),
+        ("_key", pa.int64()), ("_order", pa.int64()), ("place", pa.int32()),
+        ("digest", pa.int64()), ("windows", pa.list_(pa.int64())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in texts(batches):
             words = Words(found, False)
-            at, _, hashes = window_anchors(words)
+            at, places, hashes = window_anchors(words)
+            owner = words.documents()[at] if len(at) else at
             hashes = hashes.view(np.int64)
             again = [np.sort(np.array(a, np.int64)) for a in batch.column("anchors").to_pylist()]
             cuts = np.searchsorted(at, words.first)
@@ -106,94 +109,112 @@ def _candidate_rows(docs: DataFrame) -> DataFrame:
                 if len(again[d]):
                     to = np.minimum(np.searchsorted(again[d], hashes[a:b]), len(again[d]) - 1)
                     recurs[a:b] = again[d][to] == hashes[a:b]
-            chosen = at[recurs]
-            offsets = pa.array(np.searchsorted(chosen, words.first).astype(np.int32))
-            places = chosen - words.first[words.documents()[chosen]]
-            digests = ngrams(words.hashes, WINDOW)[chosen].view(np.int64)
+            chosen = np.flatnonzero(recurs)
+            if not len(chosen):
+                continue
+            new = (np.diff(places[chosen]) != 0) | (np.diff(chosen) != 1)
+            new |= np.diff(owner[chosen]) != 0
+            starts = np.concatenate(([0], np.flatnonzero(new) + 1))
+            stops = np.append(starts[1:], len(chosen))
+            first = chosen[starts]
+            doc = owner[first]
+            windows = ngrams(words.hashes, WINDOW)[at[chosen]]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("_key"),
-                    batch.column("_order"),
-                    pa.ListArray.from_arrays(offsets, pa.array(places.astype(np.int32))),
-                    pa.ListArray.from_arrays(offsets, pa.array(digests)),
+                    pa.array(batch.column("_key").to_numpy()[doc]),
+                    pa.array(batch.column("_order").to_numpy()[doc]),
+                    pa.array((at[first] - words.first[doc]).astype(np.int32)),
+                    pa.array(_digests(windows, starts, stops).view(np.int64)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.append(starts, len(chosen)).astype(np.int32)),
+                        pa.array(windows.view(np.int64)),
+                    ),
                 ],
                 schema=schema,
             )
 
     return docs.select("_key", "_order", "text", "anchors").mapInArrow(
-        run, "_key long, _order long, places array<int>, digests array<long>"
+        run, "_key long, _order long, place int, digest long, windows array<long>"
     )
 
 
-#: A position in the order of documents and places: a decimal, so that the least merges
-#: in a hash aggregate.
-POSITION = f"cast(_order as decimal(20, 0)) * {PLACES}BD + place"
+def recurring_runs(pieces: DataFrame) -> DataFrame:
+    """Of different pieces, the runs of windows that stand in two places or more.
 
-
-def recurring_windows(candidates: DataFrame) -> DataFrame:
-    """By document, its windows that stand in two places or more, in order.
-
-    ``held`` has the place, the digest, and whether the window starts there first. A
-    row that is repeated whole counts twice, which costs time and removes nothing.
+    A row has the piece's digest, the first document it stands in, the number ``k`` of
+    the run's first window in the piece, ``run`` (equal for equal words), and of each
+    window whether no earlier document holds it. A row that is repeated whole counts
+    twice, which costs time and removes nothing.
     """
-    each = candidates.select(
-        "_key", "_order", F.expr("inline(arrays_zip(places, digests)) as (place, digest)")
-    ).withColumn("position", F.expr(POSITION))
-    recurring = (
-        each.groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("starts"))
+    different, folder = written(
+        pieces.groupBy("digest", "windows").agg(
+            F.count(F.lit(1)).alias("n"), F.min("_order").alias("first_order")
+        ),
+        "different-pieces",
+    )
+    counted = different.select("n", "first_order", F.explode("windows").alias("window"))
+    recurring = cut(
+        counted.groupBy("window")
+        .agg(F.sum("n").alias("n"), F.min("first_order").alias("starts_in"))
         .where("n > 1")
-        .select("digest", "starts")
+        .select("window", "starts_in"),
+        "recurring-windows",
     )
-    return (
-        each.join(recurring, "digest")
-        .groupBy("_key", "_order")
-        .agg(F.collect_set(F.struct("place", "digest", F.expr("starts = position").alias("new"))).alias("held"))
-        .select("_key", "_order", F.sort_array("held").alias("held"))
+    each = different.select("digest", "first_order", F.posexplode("windows").alias("k", "window"))
+    held = F.struct("k", "window", (F.col("starts_in") == F.col("first_order")).alias("new"))
+    found = (
+        each.join(recurring, "window")
+        .groupBy("digest", "first_order")
+        .agg(F.sort_array(F.collect_list(held)).alias("held"))
     )
+    runs = cut(_split(found), "recurring-runs")
+    remove_folder(folder)
+    return runs
 
 
-def _runs(windows: DataFrame) -> DataFrame:
-    """Passages of the documents: _key, _order, place, ``run`` (equal for equal words), new.
-
-    ``new`` says of each window whether it starts there first.
-    """
+def _split(pieces: DataFrame) -> DataFrame:
+    """The runs of windows numbered one after the other in each piece's ``held``."""
     schema = pa.schema([
-        ("_key", pa.int64()), ("_order", pa.int64()), ("place", pa.int64()), ("run", pa.int64()),
+        ("digest", pa.int64()), ("first_order", pa.int64()), ("k", pa.int32()), ("run", pa.int64()),
         ("new", pa.list_(pa.bool_())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = batch.column("held")
-            place, digest, new = (held.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
             ends = held.offsets.to_numpy()
-            first, last = int(ends[0]), int(ends[-1])
-            doc = np.repeat(np.arange(batch.num_rows), np.diff(ends))
-            place, digest, new = place[first:last], digest[first:last], new[first:last]
-            opens = np.concatenate(([True], (np.diff(place) != 1) | (np.diff(doc) != 0)))
-            starts = np.flatnonzero(opens[: len(place)])
-            stops = np.append(starts[1:], len(place))
+            here = slice(int(ends[0]), int(ends[-1]))
+            k, window, new = (
+                held.values.field(i).to_numpy(zero_copy_only=False)[here] for i in range(3)
+            )
+            piece = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            opens = np.concatenate(([True], (np.diff(k) != 1) | (np.diff(piece) != 0)))
+            starts = np.flatnonzero(opens[: len(k)])
+            stops = np.append(starts[1:], len(k))
             yield emit(
                 schema,
-                _key=batch.column("_key").to_numpy()[doc[starts]],
-                _order=batch.column("_order").to_numpy()[doc[starts]],
-                place=place[starts].astype(np.int64),
-                run=_digests(digest.view(np.uint64), starts, stops).view(np.int64),
-                new=[new[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)],
+                digest=batch.column("digest").to_numpy()[piece[starts]],
+                first_order=batch.column("first_order").to_numpy()[piece[starts]],
+                k=k[starts],
+                run=_digests(window.view(np.uint64), starts, stops).view(np.int64),
+                new=pa.ListArray.from_arrays(
+                    pa.array(np.append(starts, len(k)).astype(np.int32)), pa.array(new, pa.bool_())
+                ),
             )
 
-    return windows.mapInArrow(run, "_key long, _order long, place long, run long, new array<boolean>")
+    return pieces.mapInArrow(
+        run, "digest long, first_order long, k int, run long, new array<boolean>"
+    )
 
 
 def _passage_rows(docs: DataFrame) -> DataFrame:
-    """The words of different passages, where each stands first, cut where the anchor changes.
+    """The words of different passages, from the first documents that hold them.
 
     ``docs`` has _order, text, and what to send: the run, its place, and which of its
-    windows start there first. ``k`` is the number of a row's first window in its run.
+    windows stand in no earlier document.
     """
     schema = pa.schema([
-        ("anchor", pa.int64()), ("run", pa.int64()), ("k", pa.int32()), ("_order", pa.int64()),
+        ("anchor", pa.int64()), ("run", pa.int64()), ("_order", pa.int64()),
         ("place", pa.int64()), ("words", pa.binary()), ("new", pa.list_(pa.bool_())),
     ])
 
@@ -205,32 +226,28 @@ def _passage_rows(docs: DataFrame) -> DataFrame:
             rows: list[tuple] = []
             orders = batch.column("_order").to_pylist()
             for d, sent in enumerate(batch.column("sent").to_pylist()):
-                first = int(words.first[d])
                 for passage in sent:
-                    new, place = passage["new"], passage["place"]
-                    own = int(np.searchsorted(at, first + place))
-                    anchors = hashes[own : own + len(new)]
-                    cuts = [0, *(np.flatnonzero(np.diff(anchors)) + 1).tolist(), len(new)]
-                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                        low = first + place + a
-                        text = words.data[words.starts[low] : words.ends[low + b - a + WINDOW - 2]]
-                        rows.append((
-                            int(anchors[a]), passage["run"], a, orders[d], place + a,
-                            b" ".join(text.tobytes().split()), new[a:b],
-                        ))
+                    low = int(words.first[d]) + passage["place"]
+                    high = low + len(passage["new"]) + WINDOW - 1
+                    text = words.data[words.starts[low] : words.ends[high - 1]].tobytes()
+                    rows.append((
+                        int(hashes[np.searchsorted(at, low)]), passage["run"], orders[d],
+                        passage["place"], b" ".join(text.split()), passage["new"],
+                    ))
             if rows:
                 yield emit(schema, **dict(zip(schema.names, zip(*rows, strict=True), strict=True)))
 
     return docs.select("_order", "text", "sent").mapInArrow(
-        run,
-        "anchor long, run long, k int, _order long, place long, words binary, new array<boolean>",
+        run, "anchor long, run long, _order long, place long, words binary, new array<boolean>"
     )
 
 
 class Shard:
     """The passages of some anchors, and the automaton of the windows that start in them first."""
 
-    def __init__(self, passages: list[bytes], new: list[list[bool]]):
+    def __init__(
+        self, passages: list[bytes], new: list[list[bool]], order: np.ndarray, place: np.ndarray
+    ):
         self.words = Words(passages, False)
         units = ngrams(self.words.hashes, UNIT)
         places = [np.arange(phase, len(units), UNIT) for phase in range(UNIT)]
@@ -246,14 +263,19 @@ class Shard:
         self.at = at[owner[at] == owner[at + WINDOW - 1]]
         self.owner = owner[self.at]
         self.offset = self.at - self.words.first[self.owner]
+        self.order, self.place = order[self.owner], place[self.owner] + self.offset
         self.automaton = self._compiled(np.array([n for row in new for n in row], bool))
 
     def _compiled(self, new: np.ndarray):
-        """The windows at which ``new`` holds, each with the number of the window it is."""
+        """The windows at which ``new`` holds, each with the number of the window it is.
+
+        Of equal windows in one document the earliest is kept: it is added last.
+        """
         import ahocorasick
 
         written = np.argsort(self.read)
         chosen = np.flatnonzero(new)
+        chosen = chosen[np.lexsort((-self.place[chosen], ~self.order[chosen]))]
         step = WINDOW // UNIT * 2
         starts = (written[self.at[chosen]] * 2).tolist()
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
@@ -318,18 +340,17 @@ def _matched(passages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches):
-            runs, k, order, place = (
-                rows.column(c).to_numpy() for c in ("run", "k", "_order", "place")
-            )
-            shard = Shard(rows.column("words").to_pylist(), rows.column("new").to_pylist())
+            runs, order, place = (rows.column(c).to_numpy() for c in ("run", "_order", "place"))
+            words, new = rows.column("words").to_pylist(), rows.column("new").to_pylist()
+            shard = Shard(words, new, order, place)
             window, equal = shard.matches()
-            owner, first = shard.owner[window], shard.owner[equal]
+            owner = shard.owner[window]
             cuts = np.searchsorted(owner, np.arange(len(runs) + 1)).astype(np.int32)
             found = pa.StructArray.from_arrays(
                 [
-                    pa.array((k[owner] + shard.offset[window]).astype(np.int32)),
-                    pa.array(order[first]),
-                    pa.array(place[first] + shard.offset[equal]),
+                    pa.array(shard.offset[window].astype(np.int32)),
+                    pa.array(shard.order[equal]),
+                    pa.array(shard.place[equal]),
                 ],
                 fields=list(match),
             )
@@ -360,35 +381,35 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text").alias("_key"),
         F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("_order"),
     )
-    spread = cut(_anchor_rows(rows), "anchors")
+    spread, folder = written(_anchor_rows(rows), "anchors")
     each = spread.select("_key", F.explode("anchors").alias("anchor"))
     # Counted before they move, so an anchor of many documents is a row for each task.
     again = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     lists = each.join(again, "anchor").groupBy("_key").agg(F.collect_set("anchor").alias("anchors"))
-    searched = rows.select("_key", "_order", "text").join(lists, "_key")
-    candidates = cut(_candidate_rows(searched), "candidate-windows")
-    windows = cut(recurring_windows(candidates), "recurring-windows")
-    runs = cut(_runs(windows), "passages")
-    # Of equal passages the first is sent, from the document that holds it.
-    position = F.expr(POSITION)
-    least = runs.groupBy("run").agg(F.min(position).alias("position"))
+    lists = cut(lists, "recurring-anchors")
+    remove_folder(folder)
+    pieces = cut(_piece_rows(rows.select("_key", "_order", "text").join(lists, "_key")), "pieces")
+    runs = recurring_runs(pieces)
+    # Of equal runs those of the first document are sent.
+    least = runs.groupBy("run").agg(F.min("first_order").alias("first_order"))
+    sending = runs.join(least, ["run", "first_order"]).withColumnRenamed("first_order", "_order")
+    occurrences = pieces.select("_key", "_order", "place", "digest")
     sent = (
-        runs.withColumn("position", position)
-        .join(least, ["run", "position"])
+        occurrences.join(sending, ["digest", "_order"])
         .groupBy("_key")
-        .agg(F.collect_set(F.struct("place", "run", "new")).alias("sent"))
+        .agg(F.collect_set(F.struct((F.col("place") + F.col("k")).alias("place"), "run", "new")).alias("sent"))
     )
-    different = rows.select("_key", "_order", "text").join(sent, "_key").dropDuplicates(["_key"])
-    passages = _passage_rows(different)
+    different = rows.select("_key", "_order", "text").join(cut(sent, "sent"), "_key")
+    passages = _passage_rows(different.dropDuplicates(["_key"]))
     dealt = passages.repartition(SHARDS * partitions(spark), "anchor").sortWithinPartitions("anchor")
     found = cut(_matched(dealt), "matches")
     earlier = F.expr(
         "transform(filter(found, m -> m.first_order < _order or "
-        "(m.first_order = _order and m.first_place < place + m.k)), m -> place + m.k)"
+        "(m.first_order = _order and m.first_place < place + k + m.k)), m -> place + k + m.k)"
     )
+    by_piece = runs.select("digest", "k", "run").join(found, "run")
     lost = (
-        runs.drop("new")
-        .join(found, "run")
+        occurrences.join(by_piece, "digest")
         .select("_key", earlier.alias("places"))
         .where("size(places) > 0")
         .groupBy("_key")
