@@ -328,15 +328,22 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 MATCHES = "array<struct<k:int, first_order:long, first_place:long>>"
+#: Later than any document.
+NEVER_LATER = 2**63 - 1
 
 
 def _matched(passages: DataFrame) -> DataFrame:
     """By run, the windows that the automata found, with the first place of each.
 
+    Where every window of a run matched, ``latest`` is the last document in which one of
+    them stands first: the run is a repeat as a whole in any later document.
+
     ``passages`` has all rows of an anchor in one partition, next to each other.
     """
     match = pa.struct([("k", pa.int32()), ("first_order", pa.int64()), ("first_place", pa.int64())])
-    schema = pa.schema([("run", pa.int64()), ("found", pa.list_(match))])
+    schema = pa.schema([
+        ("run", pa.int64()), ("n", pa.int32()), ("latest", pa.int64()), ("found", pa.list_(match))
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches):
@@ -355,9 +362,17 @@ def _matched(passages: DataFrame) -> DataFrame:
                 fields=list(match),
             )
             lists = pa.ListArray.from_arrays(pa.array(cuts), found)
-            yield pa.RecordBatch.from_arrays([pa.array(runs), lists], schema=schema)
+            sizes = np.array([len(n) for n in new], np.int32)
+            latest = np.full(len(runs), NEVER_LATER)
+            whole = np.flatnonzero((np.diff(cuts) == sizes) & (sizes > 0))
+            if len(whole):
+                every = np.maximum.reduceat(shard.order[equal], np.minimum(cuts[:-1], len(equal) - 1))
+                latest[whole] = every[whole]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(runs), pa.array(sizes), pa.array(latest), lists], schema=schema
+            )
 
-    return passages.mapInArrow(run, f"run long, found {MATCHES}")
+    return passages.mapInArrow(run, f"run long, n int, latest long, found {MATCHES}")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -400,21 +415,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .agg(F.collect_set(F.struct((F.col("place") + F.col("k")).alias("place"), "run", "new")).alias("sent"))
     )
     different = rows.select("_key", "_order", "text").join(cut(sent, "sent"), "_key")
-    passages = _passage_rows(different.dropDuplicates(["_key"]))
+    passages = _passage_rows(different)
     dealt = passages.repartition(SHARDS * partitions(spark), "anchor").sortWithinPartitions("anchor")
     found = cut(_matched(dealt), "matches")
-    earlier = F.expr(
-        "transform(filter(found, m -> m.first_order < _order or "
-        "(m.first_order = _order and m.first_place < place + k + m.k)), m -> place + k + m.k)"
-    )
-    by_piece = runs.select("digest", "k", "run").join(found, "run")
-    lost = (
-        occurrences.join(by_piece, "digest")
-        .select("_key", earlier.alias("places"))
-        .where("size(places) > 0")
-        .groupBy("_key")
-        .agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("_lost"))
+    placed = occurrences.join(
+        runs.select("digest", "k", "run").join(found.select("run", "n", "latest").distinct(), "run"), "digest"
+    ).select("_key", "_order", (F.col("place") + F.col("k")).alias("start"), "n", "run", "latest")
+    repeated = placed.where("_order > latest").select("_key", F.struct("start", "n").alias("span"))
+    # Where a window of the run may stand first, each of its windows is compared.
+    single = F.expr(
+        "explode(transform(filter(found, m -> m.first_order < _order or "
+        "(m.first_order = _order and m.first_place < start + m.k)), "
+        "m -> struct(start + m.k as start, 1 as n)))"
     )
+    compared = placed.where("_order <= latest").join(found.select("run", "found"), "run")
+    spans = repeated.union(compared.select("_key", single.alias("span")))
+    lost = spans.groupBy("_key").agg(F.collect_set("span").alias("_lost"))
     joined = rows.select("_row", "text", "_key").join(cut(lost, "lost"), "_key", "left")
     kept = _without(joined.select("_row", "text", "_lost"))
     plain = [F.col("_row")[n].alias(n) if n != "text" else F.col("text") for n in names]
@@ -422,7 +438,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def _without(rows: DataFrame) -> DataFrame:
-    """The rows (_row, text, _lost) without the words of the windows that start at ``_lost``."""
+    """The rows (_row, text, _lost) without the words of the windows that ``_lost`` names.
+
+    ``_lost`` has the start of the first and the number of windows in a row.
+    """
     result = StructType([f for f in rows.schema.fields if f.name != "_lost"])
     result = result.add("n_words", LongType()).add("n_removed", LongType())
 
@@ -432,11 +451,15 @@ def _without(rows: DataFrame) -> DataFrame:
             kept_texts, removed = batch.column("text").to_pylist(), []
             for d, lost in enumerate(batch.column("_lost")):
                 first, last = int(words.first[d]), int(words.first[d + 1])
-                lost = lost.values.to_numpy() if lost.is_valid else np.empty(0, np.int64)
-                # One up where a window starts and one down behind its end.
+                start, n = (
+                    (lost.values.field(i).to_numpy() for i in range(2))
+                    if lost.is_valid
+                    else (np.empty(0, np.int64),) * 2
+                )
+                # One up where a span starts and one down behind its end.
                 cover = np.zeros(last - first + 1, np.int64)
-                np.add.at(cover, lost, 1)
-                np.add.at(cover, lost + WINDOW, -1)
+                np.add.at(cover, start, 1)
+                np.add.at(cover, start + n + WINDOW - 1, -1)
                 gone = np.cumsum(cover[:-1]) > 0
                 removed.append(int(gone.sum()))
                 if removed[-1]:
