@@ -400,7 +400,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     each = spread.select("_key", F.explode("anchors").alias("anchor"))
     # Counted before they move, so an anchor of many documents is a row for each task.
     again = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    lists = each.join(again, "anchor").groupBy("_key").agg(F.collect_set("anchor").alias("anchors"))
+    lists = each.join(again, "anchor").groupBy("_key").agg(F.collect_list("anchor").alias("anchors"))
     lists = cut(lists, "recurring-anchors")
     remove_folder(folder)
     pieces = cut(_piece_rows(rows.select("_key", "_order", "text").join(lists, "_key")), "pieces")
@@ -412,7 +412,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     sent = (
         occurrences.join(sending, ["digest", "_order"])
         .groupBy("_key")
-        .agg(F.collect_set(F.struct((F.col("place") + F.col("k")).alias("place"), "run", "new")).alias("sent"))
+        .agg(F.collect_list(F.struct((F.col("place") + F.col("k")).alias("place"), "run", "new")).alias("sent"))
     )
     different = rows.select("_key", "_order", "text").join(cut(sent, "sent"), "_key")
     passages = _passage_rows(different)
@@ -430,7 +430,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     compared = placed.where("_order <= latest").join(found.select("run", "found"), "run")
     spans = repeated.union(compared.select("_key", single.alias("span")))
-    lost = spans.groupBy("_key").agg(F.collect_set("span").alias("_lost"))
+    # A span that comes twice covers the same words; lists merge faster than sets.
+    lost = spans.groupBy("_key").agg(F.collect_list("span").alias("_lost"))
     joined = rows.select("_row", "text", "_key").join(cut(lost, "lost"), "_key", "left")
     kept = _without(joined.select("_row", "text", "_lost"))
     plain = [F.col("_row")[n].alias(n) if n != "text" else F.col("text") for n in names]
