@@ -20,13 +20,18 @@ from wardstar.llm.tokens import default_path
 ORACLE_SQL = None
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """What a stage reads, and all columns as one, so that no name of theirs meets a stage's."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.7 by a model of the labelled ones that are not held out.
 
     Null and empty texts score as clean.
     """
     model = toxicity.fitted(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("score < 0.7").select(*docs.columns)
+    return toxicity.score(_carried(docs), model).where("score < 0.7").select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +50,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     n_chars follows the text; untouched rows stay as they are.
     """
-    kept = substrings.remove_repeats(docs).where("n_removed = 0 or n_removed < n_words")
-    if "n_chars" in docs.columns:
+    kept = substrings.remove_repeats(_carried(docs)).where("n_removed = 0 or n_removed < n_words")
+    own = {c: F.col("_row")[c] for c in docs.columns}
+    own["text"] = F.col("text")
+    if "n_chars" in own:
         changed = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long"))
-        kept = kept.withColumn("n_chars", F.coalesce(changed, "n_chars"))
-    return kept.select(*docs.columns)
+        own["n_chars"] = F.coalesce(changed, own["n_chars"])
+    return kept.select(*(value.alias(name) for name, value in own.items()))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from wardstar.llm import substrings
 
 
@@ -71,3 +72,17 @@ def test_columns_of_the_caller_stay(spark):
     got = {r.doc_id: r for r in substrings.remove_repeats(table).collect()}
     assert [got[2][n] for n in names] == [*range(10, 19)] and got[2].n_removed == 30
     assert (got[1].text, got[2].text) == (text, "")
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    text = " ".join(f"w{k}" for k in range(30))
+    names = ["score", "n_words", "n_removed", "_key", "at", "kept", "found"]
+    rows = [(1, text, 7.5, *range(6)), (2, "x y z " + text, 8.5, *range(6))]
+    schema = "doc_id long, text string, score double, " + ", ".join(f"{n} int" for n in names[1:])
+    table = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.cut_repeats):
+        got = sorted(stage(spark, table, str(tmp_path)).collect())
+        assert [tuple(r)[2:] for r in got] == [(7.5, *range(6)), (8.5, *range(6))]
+        assert got[0].__fields__ == table.columns
+    assert got[1].text == "x y z"
