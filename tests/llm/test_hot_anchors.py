@@ -64,6 +64,23 @@ def test_only_matches_remove(spark, monkeypatch):
     assert {r.n_removed for r in substrings.remove_repeats(table).collect()} == {0}
 
 
+def test_a_document_that_repeats_itself(spark, monkeypatch):
+    """However often a run stands in its first document, it is sent and found once."""
+    sent = []
+    matched = substrings._matched
+
+    def watched(passages):
+        sent.extend(r.run for r in passages.select("run").collect())
+        return matched(passages)
+
+    monkeypatch.setattr(substrings, "_matched", watched)
+    texts = ["same " * 500, "one two three four five six seven " * 90, "same " * 70]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substrings.remove_repeats(table).collect()}
+    assert got == {0: 499, 1: 630 - 7, 2: 70}
+    assert len(sent) == len(set(sent)) < 100
+
+
 def test_columns_of_the_caller_stay(spark):
     text = " ".join(f"w{k}" for k in range(30))
     names = ["_key", "_order", "_lost", "place", "digest", "run", "k", "_row", "found"]

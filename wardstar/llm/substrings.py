@@ -405,21 +405,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     remove_folder(folder)
     pieces = cut(_piece_rows(rows.select("_key", "_order", "text").join(lists, "_key")), "pieces")
     runs = recurring_runs(pieces)
-    # Of equal runs those of the first document are sent.
+    # Of equal runs one is sent: the first of the first document that holds it.
     least = runs.groupBy("run").agg(F.min("first_order").alias("first_order"))
     sending = runs.join(least, ["run", "first_order"]).withColumnRenamed("first_order", "_order")
     occurrences = pieces.select("_key", "_order", "place", "digest")
+    one = F.min_by(F.struct("_key", "place", "new"), "place").alias("one")
     sent = (
         occurrences.join(sending, ["digest", "_order"])
-        .groupBy("_key")
-        .agg(F.collect_list(F.struct((F.col("place") + F.col("k")).alias("place"), "run", "new")).alias("sent"))
+        .withColumn("place", F.col("place") + F.col("k"))
+        .groupBy("run")
+        .agg(one)
+        .groupBy("one._key")
+        .agg(F.collect_list(F.struct("one.place", "run", "one.new")).alias("sent"))
     )
     different = rows.select("_key", "_order", "text").join(cut(sent, "sent"), "_key")
     passages = _passage_rows(different)
     dealt = passages.repartition(SHARDS * partitions(spark), "anchor").sortWithinPartitions("anchor")
     found = cut(_matched(dealt), "matches")
     placed = occurrences.join(
-        runs.select("digest", "k", "run").join(found.select("run", "n", "latest").distinct(), "run"), "digest"
+        runs.select("digest", "k", "run").join(found.select("run", "n", "latest"), "run"), "digest"
     ).select("_key", "_order", (F.col("place") + F.col("k")).alias("start"), "n", "run", "latest")
     repeated = placed.where("_order > latest").select("_key", F.struct("start", "n").alias("span"))
     # Where a window of the run may stand first, each of its windows is compared.
