@@ -18,6 +18,8 @@ from wardstar.sources.tables import shared_folder
 STEP_BYTES = 1 << 20
 #: The bits of ``monotonically_increasing_id`` that count rows of a partition.
 ROW_BITS = 33
+#: Spark's setting that deletes an execution's shuffle files when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,13 +35,21 @@ def written(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
     """The rows written to the shared folder and read back, and where.
 
     Cuts the lineage: what is read more than once is computed once, and a lost
-    executor costs no recomputation of what was written before. Spark deletes the
-    shuffle files of a finished step once the driver has collected its plan as
-    garbage, which a driver with free memory may not do for long; so ask for it.
+    executor costs no recomputation of what was written before. The write is the only
+    reader of its shuffles, so their files go when it ends; broadcasts go when the
+    driver has collected the plan as garbage, which it is asked to do.
     """
     spark = rows.sparkSession
     path = work_folder(spark, name)
-    rows.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        rows.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
     schema = rows.schema
     del rows
     gc.collect()
