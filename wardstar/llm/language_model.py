@@ -43,6 +43,17 @@ def _unpack(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
+def _pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending keys by their steps, byte by byte: the high bytes are nearly all zero."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return _pack(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T))
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(_unpack(data, np.uint8).reshape(8, -1).T)
+    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
+
+
 class Block(NamedTuple):
     """Token hashes of some documents, each ended by END."""
 
@@ -156,7 +167,7 @@ def _counts(blocks: DataFrame) -> DataFrame:
                     if a < b:
                         is_word, kept, held = (v[a:b] for v in values)
                         yield emit(
-                            asked, part=[p], block=[row["block"]], keys=[keys[a:b].tobytes()],
+                            asked, part=[p], block=[row["block"]], keys=[_pack_sorted(keys[a:b])],
                             is_word=[_pack(is_word)], kept=[_pack(kept)], held=[_pack(held)],
                             judges=[row["judges"]],
                         )
@@ -170,7 +181,7 @@ def _counts(blocks: DataFrame) -> DataFrame:
         rows = [r for batch in batches for r in batch.to_pylist()]
         if not rows:
             return
-        keys = [np.frombuffer(r.pop("keys"), np.uint64) for r in rows]
+        keys = [_unpack_sorted(r.pop("keys")) for r in rows]
         place = np.unique(np.concatenate(keys), return_inverse=True)[1]
         n = int(place.max()) + 1
         totals = [
