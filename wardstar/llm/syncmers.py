@@ -208,6 +208,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     n_chars = F.char_length("text").cast("long")
     # Both joins take these three columns, so that one exchange of the texts serves both.
+    # The next text moves as it is: its links would be longer than it.
     rows = docs.select(
         "doc_id",
         text.alias("text"),
@@ -217,13 +218,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     following = placed.dropDuplicates(["key"]).select(
         F.col("before").alias("key"),
         F.col("doc_id").alias("next_doc_id"),
-        F.expr("left(text, wanted)").alias("tail"),
-        links(anchors(F.col("text"), size=None)).alias("next_links"),
+        F.col("text").alias("next_text"),
+        "wanted",
     )
     both = rows.join(following, "key").withColumn("n_chars", n_chars)
     cut_at = (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")
     both = both.withColumn(
-        "edited", F.concat(F.left("text", cut_at), F.col("tail"))
+        "edited", F.concat(F.left("text", cut_at), F.left("next_text", F.col("wanted")))
     )
     both = both.select(
         "doc_id",
@@ -231,7 +232,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         anchors(F.col("text"), size=None).alias("own"),
         anchors(F.col("edited"), size=None).alias("other"),
-        "next_links",
+        links(anchors(F.col("next_text"), size=None)).alias("next_links"),
         "next_doc_id",
     )
     both = both.select(
