@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,3 +104,10 @@ def test_stages_keep_columns_of_any_name(spark, tmp_path):
         assert [tuple(r)[2:] for r in got] == [(7.5, *range(6)), (8.5, *range(6))]
         assert got[0].__fields__ == table.columns
     assert got[1].text == "x y z"
+
+
+def test_words_are_joined_by_one_space(spark):
+    texts = ["", None, " ", "a", " a  b\t\n c\x0b\x0cd\r\r\re ", "a b  c", "  \t", "a b c"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for text, joined in rows.select("text", substrings.spaced(F.col("text"))).collect():
+        assert joined == " ".join(re.findall(r"[^\x20\x09-\x0D]+", text or ""))

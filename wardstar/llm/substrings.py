@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
@@ -478,12 +478,23 @@ def _without(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, result)
 
 
+def spaced(text: Column) -> Column:
+    """The words of a text joined by one space; a null text is empty."""
+    out = F.coalesce(text, F.lit(""))
+    for space in "\t\n\x0b\x0c\r":
+        out = F.replace(out, F.lit(space), F.lit(" "))
+    # Single spaces, the usual case, need no pattern.
+    doubled = F.contains(out, F.lit("  "))
+    return F.trim(F.when(doubled, F.regexp_replace(out, " +", " ")).otherwise(out))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # A text that lost words is joined already.
+    words = F.when(F.col("n_removed") > 0, F.col("text")).otherwise(spaced(F.col("text")))
     return kept.select(
         "doc_id",
         "n_words",
         "n_removed",
-        F.sha2(F.array_join(words, " ").cast("binary"), 256).alias("kept_sha256"),
+        F.sha2(words.cast("binary"), 256).alias("kept_sha256"),
     )
