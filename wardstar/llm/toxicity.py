@@ -2,9 +2,10 @@
 
 Words and their beginnings weigh their log-odds between toxic and clean labelled
 documents under an informative Dirichlet prior; of a word and its beginnings the
-most significant one counts. A linear scan finds every maximal segment of a text;
-its score is compared with the greatest score that chance gives a text of that
-length, and a logistic curve over the significant ones gives the probability.
+most significant one counts. A linear scan finds every maximal segment of a text,
+once for each label; its score is compared with the greatest score that chance gives
+a text of that length, and a logistic curve over the significant ones gives the
+probability.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ from wardstar.llm.words import MARKED, Words
 #: Labelled rows the model is fitted on, chosen by hash; and words it may hold.
 SAMPLE_ROWS = 20_000
 MODEL_WORDS = 20_000
-#: Pseudo-counts of the prior, significance a word needs, and cost of any word.
+#: Pseudo-counts of the prior, least and greatest significance asked of a word, and cost of any word.
 PRIOR = 500.0
-SIGNIFICANT = 5.0
+SIGNIFICANT = (3.0, 5.0)
 DRIFT = 0.7
 EULER = 0.5772156649015329
 
@@ -36,15 +37,23 @@ EULER = 0.5772156649015329
 BEGINNINGS = (3, 4, 6)
 
 
+class Law(NamedTuple):
+    """The greatest segment score of n words by chance has the mean (log(k n) + Euler) / rate."""
+
+    rate: float
+    log_k: float = 0.0
+
+
 class Model(NamedTuple):
-    """Feature hashes (sorted) with weights and significance; the extreme-value law; the logistic curve."""
+    """Feature hashes (sorted) with weights and significance; the extreme-value law of toxic
+    segments and that of clean ones; the logistic curve over the evidence."""
 
     words: np.ndarray
     weights: np.ndarray
     strength: np.ndarray
-    rate: float
-    log_k: float
-    curve: tuple[float, float, float]
+    law: Law
+    clean_law: Law
+    curve: tuple[float, ...]
 
 
 class Segment(NamedTuple):
@@ -102,25 +111,40 @@ def word_scores(model: Model, words: Words) -> np.ndarray:
     return weight - DRIFT
 
 
-def normalized(model: Model, score: float, words: int) -> float:
+def clean_side(scores: np.ndarray) -> np.ndarray:
+    """Of the scores of words, those for the other label."""
+    return -scores - 2 * DRIFT
+
+
+def significance(labelled: int) -> float:
+    """What a word needs: few of so many chance deviations pass it, and few documents can reach it."""
+    low, high = SIGNIFICANT
+    return min(high, max(low, math.sqrt(2 * math.log(max(labelled, 1)))))
+
+
+def normalized(law: Law, score: float, words: int) -> float:
     """A segment's score over what chance gives so many words; above 0 is significant."""
-    return model.rate * score - model.log_k - math.log(max(words, 1))
+    return law.rate * score - law.log_k - math.log(max(words, 1))
 
 
-def evidence(model: Model, scores: np.ndarray) -> tuple[float, float]:
+def _side(law: Law, scores: np.ndarray) -> tuple[float, float]:
     """The greatest normalized score (from -10 on) and the log of the significant sum."""
     best, total = -10.0, 0.0
     for segment in maximal_segments(scores):
-        value = normalized(model, segment.score, len(scores))
+        value = normalized(law, segment.score, len(scores))
         best = max(best, value)
         total += max(value, 0.0)
     return best, math.log1p(total)
 
 
+def evidence(model: Model, scores: np.ndarray) -> tuple[float, float, float, float]:
+    """Greatest score and significant sum of the toxic segments, then of the clean ones."""
+    return *_side(model.law, scores), *_side(model.clean_law, clean_side(scores))
+
+
 def probability(model: Model, scores: np.ndarray) -> float:
-    best, total = evidence(model, scores)
-    a, b, c = model.curve
-    return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, a * best + b * total + c))))
+    value = sum(a * x for a, x in zip(model.curve, (*evidence(model, scores), 1.0), strict=True))
+    return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, value))))
 
 
 def passages(model: Model, text: str) -> list[tuple[str, float]]:
@@ -129,7 +153,7 @@ def passages(model: Model, text: str) -> list[tuple[str, float]]:
     words = Words([raw], True, MARKED)
     out = []
     for s in maximal_segments(word_scores(model, words)):
-        value = normalized(model, s.score, len(words.hashes))
+        value = normalized(model.law, s.score, len(words.hashes))
         if value > 0:
             out.append((raw[words.starts[s.start] : words.ends[s.stop - 1]].decode(), value))
     return out
@@ -174,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     kinds = 1 + len(BEGINNINGS)
     toxic_n, clean_n = (sums["t"] or 0) / kinds, (sums["c"] or 0) / kinds
     if not toxic_n or not clean_n:
-        return Model(np.array([], np.uint64), np.array([]), np.array([]), 1.0, 0.0, (0, 0, -3))
+        return Model(np.array([], np.uint64), np.array([]), np.array([]), Law(1.0), Law(1.0), (0, 0, 0, 0, -3))
     prior = F.lit(PRIOR / (toxic_n + clean_n)) * (F.col("toxic") + F.col("clean"))
     t, c = F.col("toxic") + prior, F.col("clean") + prior
     odds = F.log(t / (toxic_n + PRIOR - t)) - F.log(c / (clean_n + PRIOR - c))
@@ -183,9 +207,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     # The signed root of the likelihood ratio of the two counts against the shares.
     ratio = _times_log(F.col("toxic"), n * share) + _times_log(F.col("clean"), n * (1 - share))
     z = F.signum(odds) * F.sqrt(F.greatest(F.lit(0.0), 2 * ratio))
+    p, q = c / (clean_n + PRIOR), t / (toxic_n + PRIOR)
     kept = (
-        counts.select("word", odds.alias("odds"), z.alias("z"), (c / (clean_n + PRIOR)).alias("p"))
-        .where((F.abs("z") >= SIGNIFICANT) & (F.col("word") != 0))
+        counts.select("word", odds.alias("odds"), z.alias("z"), p.alias("p"), q.alias("q"))
+        .where((F.abs("z") >= significance(rows.count())) & (F.col("word") != 0))
         .orderBy(F.abs("z").desc(), "word")
         .limit(MODEL_WORDS)
         .collect()
@@ -194,19 +219,25 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     order = np.argsort(words)
     weights = np.array([r["odds"] for r in kept])[order]
     strength = np.array([abs(r["z"]) for r in kept])[order]
-    chance = np.array([r["p"] for r in kept])[order] / kinds
-    rate = _rate(weights - DRIFT, chance)
-    model = Model(words[order], weights, strength, rate, 0.0, (0.0, 0.0, 0.0))
-    # The greatest score of a clean text of n words has the mean (log(k n) + Euler) / rate.
-    clean = [
-        rate * top - math.log(n) - EULER
-        for n, top, _, label in _evidence(rows, model).collect()
-        if label == 0 and n
-    ]
-    model = model._replace(log_k=max(-10.0, float(np.mean(clean))) if clean else 0.0)
+    law, clean_law = (
+        Law(_rate(sign * weights - DRIFT, np.array([r[chance] for r in kept])[order] / kinds))
+        for sign, chance in ((1, "p"), (-1, "q"))
+    )
+    model = Model(words[order], weights, strength, law, clean_law, ())
+    tops = _evidence(rows, model).collect()
+    model = model._replace(
+        law=_fitted_law(law, [(r["n"], r["best"]) for r in tops if r["label"] == 0]),
+        clean_law=_fitted_law(clean_law, [(r["n"], r["clean_best"]) for r in tops if r["label"] != 0]),
+    )
     found = _evidence(rows, model).collect()
-    x = np.array([(r["best"], r["total"], 1.0) for r in found])
-    return model._replace(curve=_logistic(x, np.array([r["label"] for r in found], float)))
+    x = np.array([(r["best"], r["total"], r["clean_best"], r["clean_total"], 1.0) for r in found])
+    return model._replace(curve=_curve(x, np.array([r["label"] for r in found], float)))
+
+
+def _fitted_law(law: Law, tops: list[tuple[int, float]]) -> Law:
+    """The law with the constant that texts of the other label show, from (words, greatest score)."""
+    seen = [law.rate * top - math.log(n) - EULER for n, top in tops if n]
+    return law._replace(log_k=max(-10.0, float(np.mean(seen))) if seen else 0.0)
 
 
 def _times_log(seen, expected):
@@ -230,11 +261,15 @@ def _rate(scores: np.ndarray, chance: np.ndarray) -> float:
 
 
 def _evidence(rows: DataFrame, model: Model) -> DataFrame:
-    """Per labelled document: words, greatest normalized or raw score, sum, label."""
-    schema = pa.schema([
-        ("n", pa.int64()), ("best", pa.float64()), ("total", pa.float64()), ("label", pa.int64()),
-    ])
-    raw = model.curve == (0.0, 0.0, 0.0) and model.log_k == 0.0
+    """Per labelled document: words, the evidence (without a curve only raw greatest scores), label."""
+    names = ("best", "total", "clean_best", "clean_total")
+    schema = pa.schema(
+        [("n", pa.int64()), *[(name, pa.float64()) for name in names], ("label", pa.int64())]
+    )
+    raw = not model.curve and model.law.log_k == 0.0 and model.clean_law.log_k == 0.0
+
+    def top(scores: np.ndarray) -> float:
+        return max((s.score for s in maximal_segments(scores)), default=0.0)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in texts(batches):
@@ -243,29 +278,43 @@ def _evidence(rows: DataFrame, model: Model) -> DataFrame:
             out = []
             for first, last in zip(words.first[:-1], words.first[1:], strict=True):
                 own = scores[first:last]
-                if raw:
-                    out.append((max((s.score for s in maximal_segments(own)), default=0.0), 0.0))
-                else:
-                    out.append(evidence(model, own))
-            best, total = zip(*out, strict=True)
+                out.append((top(own), 0.0, top(clean_side(own)), 0.0) if raw else evidence(model, own))
             labels = batch.column("label").to_numpy().astype(np.int64)
-            yield emit(schema, n=words.counts(), best=best, total=total, label=labels)
+            columns = dict(zip(names, zip(*out, strict=True), strict=True))
+            yield emit(schema, n=words.counts(), **columns, label=labels)
 
-    return rows.mapInArrow(score, "n long, best double, total double, label long")
+    return rows.mapInArrow(
+        score, f"n long, {', '.join(f'{name} double' for name in names)}, label long"
+    )
+
+
+def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
+    """Logistic weights of the evidence and a constant.
+
+    Evidence for a label never speaks against it: a column whose weight has the wrong
+    sign is left out, so few documents cannot turn the order round.
+    """
+    used = x * 1.0
+    while True:
+        w = _logistic(used, y)
+        wrong = [i for i, sign in enumerate((1, 1, -1, -1)) if w[i] * sign < 0]
+        if not wrong:
+            return tuple(w.tolist())
+        used[:, max(wrong, key=lambda i: abs(w[i]))] = 0.0
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Logistic weights by Newton steps with a small ridge."""
-    w = np.zeros(3)
+    w = np.zeros(x.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (p - y) + ridge * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(3)
+        curve = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
         step = np.linalg.solve(curve, slope)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0]), float(w[1]), float(w[2])
+    return w
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
