@@ -29,3 +29,10 @@ def test_keys_of_one_kind_are_counted_alone(spark, star, fresh, kind):
     assert sorted(found) == sorted(rules.generic_failures(spark, star.table, kind).collect())
     assert not {"key_ledger", "patient_marks", "suspect_periods"} & set(fresh._written)
     assert all(use.domain != "condition grain" for use in part.uses.values())
+
+
+def test_tables_are_observed_for_rules_only(spark, star, fresh):
+    fresh.table("fct_encounter")
+    assert not fresh.figures
+    found = rules.rule_summary(spark, fresh.table, evidence=fresh.evidence()).collect()
+    assert sorted(found) == sorted(rules.rule_summary(spark, star.table).collect())
