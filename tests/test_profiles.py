@@ -231,3 +231,10 @@ def test_each_feed_is_read_once(spark, feeds):
     assert len(re.findall(r"(?:LocalTableScan|Scan ExistingRDD|FileScan)", initial)) == len(feeds)
     assert "Subquery" not in initial and "Join" not in initial
     assert initial.count("hashpartitioning(domain") == initial.count("Exchange hashpartitioning")
+
+
+def test_ledger_is_sorted_by_key_before_domain(spark, feeds):
+    """Keys that do not fit in memory are sorted by the first column, so it must differ."""
+    plan = profiles.profile_claims(**feeds)._jdf.queryExecution().toString()
+    partial = re.findall(r"HashAggregate\(keys=\[(\w+)#\d+, (\w+)#\d+\], functions=\[partial_count", plan)
+    assert partial and set(partial) == {("domain_key", "domain")}
