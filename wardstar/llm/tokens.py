@@ -16,8 +16,8 @@ import pyarrow as pa
 
 from wardstar.llm.common import spans
 
-#: Bytes of text encoded in one step.
-ENCODED_BYTES = 4 << 20
+#: Bytes of text encoded in one step: the more, the fewer pieces are looked up again.
+ENCODED_BYTES = 8 << 20
 #: Marks that often follow a word.
 MARKS = b".,;:!?"
 #: Bytes that are or begin a visible character: ASCII, and two-byte Latin letters. What
@@ -47,6 +47,14 @@ def piece_starts(data: np.ndarray) -> np.ndarray:
     return starts
 
 
+def _values(pieces: pa.LargeBinaryArray) -> list[bytes]:
+    """The pieces of a whole array, cut from its buffer: ``to_pylist`` makes a scalar of each."""
+    _, offsets, data = pieces.buffers()
+    edges = np.frombuffer(offsets, np.int64, len(pieces) + 1).tolist()
+    held = data.to_pybytes()
+    return [held[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
 class Encoder:
     """Ids as little-endian 32-bit bytes, with a bounded memo by piece.
 
@@ -89,7 +97,7 @@ class Encoder:
         pieces = pa.Array.from_buffers(
             pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
         ).dictionary_encode()
-        ids = self._distinct(pieces.dictionary.to_pylist())
+        ids = self._distinct(_values(pieces.dictionary))
         numbers = pieces.indices.to_numpy()
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
@@ -126,7 +134,11 @@ class Encoder:
         # A mark right after a letter is a piece of its own.
         marked = [p for p in left if p[-1] in MARKS and p[-2:-1].isalpha()]
         bases = {p[:-1] for p in marked} | set(left).difference(marked)
-        bases = [b for b in bases if b not in memo]
+        bases.difference_update(memo.keys() & bases)
+        # What stands before a mark may be known from the older generation.
+        for base in older.keys() & bases:
+            memo[base] = older[base]
+            bases.remove(base)
         after_space = [b for b in bases if b[0] == 0x20]
         self._encode_joined(after_space, b"")
         plain = [b for b in bases if 0x21 <= b[0] < 0x7F and 0x21 <= b[-1] < 0x7F]
@@ -143,13 +155,13 @@ class Encoder:
             return
         ids = np.frombuffer(self._library([between.join(pieces).decode()])[0], "<u4")
         ends = np.cumsum(self.lengths[ids])
-        sizes = np.array([len(p) for p in pieces]) + len(between)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) + len(between)
         stops = np.cumsum(sizes) - len(between)
         lasts = np.searchsorted(ends, stops, "right") * 4
         firsts = np.searchsorted(ends, stops - sizes + len(between), "right") * 4
         data = ids.tobytes()
-        for piece, a, b in zip(pieces, firsts.tolist(), lasts.tolist(), strict=True):
-            self.memo[piece] = data[a:b]
+        cuts = map(slice, firsts.tolist(), lasts.tolist())
+        self.memo.update(zip(pieces, map(data.__getitem__, cuts), strict=True))
 
 
 @functools.lru_cache(maxsize=2)
