@@ -455,12 +455,11 @@ def _without(rows: DataFrame) -> DataFrame:
             words = Words(found, False)
             kept_texts, removed = batch.column("text").to_pylist(), []
             for d, lost in enumerate(batch.column("_lost")):
+                if not lost.is_valid:
+                    removed.append(0)
+                    continue
                 first, last = int(words.first[d]), int(words.first[d + 1])
-                start, n = (
-                    (lost.values.field(i).to_numpy() for i in range(2))
-                    if lost.is_valid
-                    else (np.empty(0, np.int64),) * 2
-                )
+                start, n = (lost.values.field(i).to_numpy() for i in range(2))
                 # One up where a span starts and one down behind its end.
                 cover = np.zeros(last - first + 1, np.int64)
                 np.add.at(cover, start, 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 
 _RANDOM = np.random.default_rng(20240229)
@@ -31,9 +33,12 @@ _UP, _DOWN = powers(BASE, REACH + 1), powers(INVERSE, REACH + 1)
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer; every bit of the result depends on every bit given."""
     x = np.asarray(x, np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 class Words:
@@ -54,10 +59,13 @@ class Words:
         places = np.cumsum([0, *(len(d) + 1 for d in documents)])
         self.places = places
         self.first = np.searchsorted(self.starts, places)
-        self.hashes = self._hashes()
 
-    def _hashes(self) -> np.ndarray:
-        """A polynomial in the bytes for each word, finalized with its length."""
+    @functools.cached_property
+    def hashes(self) -> np.ndarray:
+        """A polynomial in the bytes for each word, finalized with its length.
+
+        Computed when first asked for: who only cuts texts at words needs none.
+        """
         out = np.empty(len(self.starts), np.uint64)
         i = 0
         while i < len(out):
@@ -96,14 +104,23 @@ class Words:
 
 
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
-    """A hash for each n values in a row; shorter input gives none."""
+    """A hash for each n values in a row; shorter input gives none.
+
+    The polynomial of 2 m values follows from two of m, so it takes about log n steps.
+    """
     size = max(0, len(hashes) - n + 1)
     total = np.zeros(size, np.uint64)
-    factor = 1
-    for k in range(n):
-        factor = factor * BASE % (1 << 64)
-        total += hashes[k : k + size] * np.uint64(factor)
-    return mix(total)
+    if not size:
+        return total
+    sums, width, done = hashes * np.uint64(BASE), 1, 0
+    while True:
+        if n & width:
+            total += sums[done : done + size] * np.uint64(pow(BASE, done, 1 << 64))
+            done += width
+        if done == n:
+            return mix(total)
+        sums = sums[:-width] + sums[width:] * np.uint64(pow(BASE, width, 1 << 64))
+        width *= 2
 
 
 #: White space and every ASCII character that is no letter, digit or apostrophe.
