@@ -140,9 +140,9 @@ def write_token_files(
             ids = encode(found)
             for doc_id, one in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
                 writer.add(doc_id, one + end)
-            if writer.size >= file_bytes:
-                yield flush(writer)
-                writer = FileWriter()
+                if writer.size >= file_bytes:
+                    yield flush(writer)
+                    writer = FileWriter()
         if writer.listed:
             yield flush(writer)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from wardstar.llm.common import spans
 
 #: Bytes of text encoded in one step: the more, the fewer pieces are looked up again.
-ENCODED_BYTES = 8 << 20
+ENCODED_BYTES = 16 << 20
 #: Marks that often follow a word.
 MARKS = b".,;:!?"
 #: Bytes that are or begin a visible character: ASCII, and two-byte Latin letters. What
@@ -62,7 +62,7 @@ class Encoder:
     moves to the newer one, so common pieces outlive the rare ones.
     """
 
-    def __init__(self, path: str, size: int = 300_000):
+    def __init__(self, path: str, size: int = 500_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
