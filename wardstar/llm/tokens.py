@@ -16,16 +16,20 @@ import pyarrow as pa
 
 from wardstar.llm.common import spans
 
-#: Bytes of text encoded in one step: the more, the fewer pieces are looked up again.
-ENCODED_BYTES = 16 << 20
+#: Bytes of text encoded in one step: the more, the fewer pieces are looked up again, but
+#: an executor holds a step for each of its cores beside a heap that may be full.
+ENCODED_BYTES = 4 << 20
+#: Pieces given to the library at once; its result takes some 100 bytes for each id.
+AT_ONCE = 1 << 13
 #: Marks that often follow a word.
 MARKS = b".,;:!?"
-#: Bytes that are or begin a visible character: ASCII, and two-byte Latin letters. What
-#: is not among them is not cut at, which is always right.
-VISIBLE = np.zeros(256, bool)
-VISIBLE[0x21:0x7F] = True
-LATIN = np.zeros(256, bool)
-LATIN[0xC3:0xCA] = True
+#: What a byte is: a visible ASCII character, the first byte of a two-byte Latin letter, a
+#: space or a line break. What is none of them is not cut at, which is always right.
+VISIBLE, LATIN, SPACE, BREAK = 1, 2, 4, 8
+KINDS = bytes(
+    VISIBLE * (0x21 <= b < 0x7F) | LATIN * (0xC3 <= b < 0xCA) | SPACE * (b == 0x20) | BREAK * (b == 0x0A)
+    for b in range(256)
+)
 
 
 def default_path() -> str:
@@ -34,15 +38,17 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def piece_starts(data: np.ndarray) -> np.ndarray:
+def piece_starts(data: bytes) -> np.ndarray:
     """Where a new piece begins: good spaces, and single line breaks with what follows."""
-    edge = np.concatenate(([0, 0], data, [0]))
-    begins = VISIBLE[edge] | LATIN[edge]
-    after = begins[3:]
+    kinds = np.frombuffer(data.translate(KINDS), np.uint8)
+    after = np.zeros(len(kinds), bool)
+    after[:-1] = kinds[1:] & (VISIBLE | LATIN) != 0
     # A visible character ends before a place: ASCII, or the second byte of a Latin one.
-    before = VISIBLE[edge[1:-2]] | LATIN[edge[:-3]]
-    breaks = (data == 0x0A) & before & after
-    starts = ((data == 0x20) & after) | breaks
+    before = np.zeros(len(kinds), bool)
+    before[1:] = kinds[:-1] & VISIBLE != 0
+    before[2:] |= kinds[:-2] & LATIN != 0
+    breaks = (kinds & BREAK != 0) & before & after
+    starts = ((kinds & SPACE != 0) & after) | breaks
     starts[1:] |= breaks[:-1]
     return starts
 
@@ -87,7 +93,7 @@ class Encoder:
             return [b""] * len(documents)
         data = b"".join(documents)
         spread = np.frombuffer(data, np.uint8)
-        starts = piece_starts(spread)
+        starts = piece_starts(data)
         # A space that ends a text stands before nothing, whatever the next text begins with.
         ends = edges[1:][sizes > 0] - 1
         starts[ends] &= spread[ends] != 0x20
@@ -140,19 +146,20 @@ class Encoder:
             memo[base] = older[base]
             bases.remove(base)
         after_space = [b for b in bases if b[0] == 0x20]
-        self._encode_joined(after_space, b"")
+        for k in range(0, len(after_space), AT_ONCE):
+            self._encode_joined(after_space[k : k + AT_ONCE], b"")
         plain = [b for b in bases if 0x21 <= b[0] < 0x7F and 0x21 <= b[-1] < 0x7F]
-        self._encode_joined(plain, b"\n")
-        rest = set(bases).difference(after_space, plain)
-        for piece, ids in zip(rest, self._library([p.decode() for p in rest]), strict=True):
-            memo[piece] = ids
+        for k in range(0, len(plain), AT_ONCE):
+            self._encode_joined(plain[k : k + AT_ONCE], b"\n")
+        rest = list(bases.difference(after_space, plain))
+        for k in range(0, len(rest), AT_ONCE):
+            some = rest[k : k + AT_ONCE]
+            memo.update(zip(some, self._library([p.decode() for p in some]), strict=True))
         for piece in marked:
             memo[piece] = memo[piece[:-1]] + self.marks[piece[-1]]
 
     def _encode_joined(self, pieces: list[bytes], between: bytes) -> None:
         """Encode the pieces as one text, cut at the places a text may be cut."""
-        if not pieces:
-            return
         ids = np.frombuffer(self._library([between.join(pieces).decode()])[0], "<u4")
         ends = np.cumsum(self.lengths[ids])
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) + len(between)
