@@ -33,6 +33,8 @@ MOST_BITS = 35
 #: Rounds in which a class meets the best of its buckets' representatives, before
 #: every pair that may still be a link is compared.
 ROUNDS = 3
+#: Rows of links or labels that one task writes: numbers, so a part of fewer is mostly start-up.
+LABELLED = 1 << 17
 #: Classes outside the largest components, and members, that one cell compares.
 BLOCK, MEMBERS = 64, 512
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -135,20 +137,26 @@ def verified(edges: DataFrame, held: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text").mapInArrow(run, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
+def parts(rows: int) -> int:
+    """How many tasks write so many rows of numbers; the shuffle before may deal to more."""
+    return max(1, -(-rows // LABELLED))
+
+
+def components(links: DataFrame, most: int) -> DataFrame:
     """node and component (the smallest node reachable) for the nodes of links (a, b).
 
     Every round each node takes the least label among itself and its neighbours,
-    then the label of its label, so long chains fold quickly.
+    then the label of its label, so long chains fold quickly. ``most`` bounds the links:
+    rounds are many and their tables may be small, so they are written in as few parts.
     """
+    tasks = parts(2 * most)
     both = links.select(F.col("a").alias("node"), F.col("b").alias("next")).union(
         links.select(F.col("b").alias("node"), F.col("a").alias("next"))
     )
-    both = cut(both.distinct(), "links")
+    both = cut(both.distinct().coalesce(tasks), "links")
     labels = both.groupBy("node").agg(F.min("next").alias("next"))
-    labels = cut(
-        labels.select("node", F.least("node", "next").alias("component")), "labels"
-    )
+    labels = labels.select("node", F.least("node", "next").alias("component"))
+    labels = cut(labels.coalesce(tasks), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "next"), "next")
         least = near.groupBy("node").agg(F.min("component").alias("least"))
@@ -161,25 +169,25 @@ def components(links: DataFrame) -> DataFrame:
         step = step.join(target, "new").select(
             "node", "component", F.least("new", "further").alias("new")
         )
-        step = cut(step, "labels")
+        step = cut(step.coalesce(tasks), "labels")
         moved = step.where("new <> component").limit(1).count()
         labels = step.select("node", F.col("new").alias("component"))
         if not moved:
             return labels
 
 
-def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """The labels (node, component) after joining components by further links."""
+def _relabelled(labels: DataFrame, links: DataFrame, nodes: int) -> DataFrame:
+    """The labels (node, component) of so many nodes after joining components by further links."""
     side = {
         x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"
     }
     between = links.join(side["a"], "a").join(side["b"], "b").where("ca <> cb")
-    merged = components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    between = between.select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    merged = components(between, links.count())
     merged = merged.select(F.col("node").alias("component"), F.col("component").alias("merged"))
     joined = labels.join(merged, "component", "left")
-    return cut(
-        joined.select("node", F.coalesce("merged", "component").alias("component")), "labels"
-    )
+    joined = joined.select("node", F.coalesce("merged", "component").alias("component"))
+    return cut(joined.coalesce(parts(nodes)), "labels")
 
 
 def shared_sizes(held: DataFrame) -> DataFrame:
@@ -262,7 +270,7 @@ def link_classes(reps: DataFrame, docs: DataFrame) -> DataFrame:
         else:
             links = verified(_best_of_mains(named, open_bands), held)
         links = cut(links, "links")
-        labels = _relabelled(labels, links)
+        labels = _relabelled(labels, links, total)
         if last:
             break
     return labels
