@@ -7,7 +7,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from wardstar.llm import tokens
+from wardstar.llm import packing, token_files, tokens
 from wardstar.llm.common import texts
 
 
@@ -37,3 +37,26 @@ def test_the_library_gets_a_bounded_number_of_pieces_at_once():
     whole = encoder.library.encode(text, add_special_tokens=False).ids
     assert encoder.encode(text) == np.array(whole, "<u4").tobytes()
     assert max(t.count(" ") for t in asked) <= 1 << 13
+
+
+def test_a_worker_keeps_no_pieces_after_its_task(spark):
+    path = tokens.default_path()
+    texts_of = [(k, " ".join(f"w{k}x{j}" for j in range(50))) for k in range(40)]
+    docs = spark.createDataFrame(texts_of, "doc_id long, text string").repartition(4)
+
+    def held(batches):
+        # The same workers again: what the encoder of each still has.
+        for _ in batches:
+            pass
+        made = tokens.encoder.cache_info().currsize
+        known = tokens.encoder(path)
+        yield pa.RecordBatch.from_pydict({"made": [made], "n": [len(known.memo) + len(known.older)]})
+
+    for encode in (
+        lambda: packing.pack(docs, path).count(),
+        lambda: token_files.write_token_files(docs, path).count(),
+    ):
+        assert encode()
+        rows = spark.range(0, 32, 1, 16).mapInArrow(held, "made long, n long").collect()
+        assert max(r.made for r in rows) == 1
+        assert max(r.n for r in rows) == 0

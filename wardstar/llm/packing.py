@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import cut, emit, firsts, in_order, positions, table, texts
-from wardstar.llm.tokens import ENCODED_BYTES, default_path, encoder
+from wardstar.llm.common import cut, emit, firsts, in_order, positions, table
+from wardstar.llm.tokens import default_path, encoded
 
 
 class Capacity(NamedTuple):
@@ -135,10 +135,8 @@ def pack(
     schema = pa.schema(fields)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode_all
-        for batch, found in texts(batches, ENCODED_BYTES):
+        for batch, all_ids in encoded(batches, tokenizer):
             rows: dict[str, list] = {n: [] for n in schema.names}
-            all_ids = encode(found)
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), all_ids, strict=True):
                 ids += end
                 first, start = len(ids) % most or most, 0

@@ -19,9 +19,9 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import cut, dealt, emit, table, texts, work_folder
+from wardstar.llm.common import cut, dealt, emit, table, work_folder
 from wardstar.llm.files import opened, write_file
-from wardstar.llm.tokens import ENCODED_BYTES, default_path, encoder
+from wardstar.llm.tokens import default_path, encoded
 
 #: Fixed values of the seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -127,8 +127,6 @@ def write_token_files(
     schema = pa.schema([("path", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode_all
-
         def flush(writer: FileWriter) -> pa.RecordBatch:
             path = write_file(folder, "ids", writer.finish())
             return emit(
@@ -136,8 +134,7 @@ def write_token_files(
             )
 
         writer = FileWriter()
-        for batch, found in texts(batches, ENCODED_BYTES):
-            ids = encode(found)
+        for batch, ids in encoded(batches, tokenizer):
             for doc_id, one in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
                 writer.add(doc_id, one + end)
                 if writer.size >= file_bytes:

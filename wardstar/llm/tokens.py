@@ -10,11 +10,12 @@ of its pieces, one after the other.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-from wardstar.llm.common import spans
+from wardstar.llm.common import spans, texts
 
 #: Bytes of text encoded in one step: the more, the fewer pieces are looked up again, but
 #: an executor holds a step for each of its cores beside a heap that may be full.
@@ -68,7 +69,7 @@ class Encoder:
     moves to the newer one, so common pieces outlive the rare ones.
     """
 
-    def __init__(self, path: str, size: int = 500_000):
+    def __init__(self, path: str, size: int = 250_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -82,6 +83,11 @@ class Encoder:
         self.older: dict[bytes, bytes] = {}
         self.marks = {m: self._library([chr(m)])[0] for m in MARKS}
 
+    def forget(self) -> None:
+        """Empty the memo, and give back what Arrow keeps of memory it no longer uses."""
+        self.memo, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
+
     def encode(self, text: str) -> bytes:
         return self.encode_all([text.encode()])[0]
 
@@ -178,3 +184,19 @@ def encoder(path: str) -> Encoder:
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return Encoder(path)
+
+
+def encoded(
+    batches: Iterator[pa.RecordBatch], path: str
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of a task's batches, and the ids of each text of column ``text`` (null: empty).
+
+    The memo lasts for the task: a worker outlives it, and would hold the memo beside
+    the executor's heap while other stages use that to the full.
+    """
+    known = encoder(path)
+    try:
+        for batch, found in texts(batches, ENCODED_BYTES):
+            yield batch, known.encode_all(found)
+    finally:
+        known.forget()
