@@ -75,3 +75,16 @@ def test_safe_harbor_broadcasts_no_table(tables, limit, size):
 def test_safe_harbor_by_any_join(tables, limit, size):
     limit(size)
     assert found(tables, SAFE_HARBOR) == EXPECTED[SAFE_HARBOR]
+
+
+@pytest.mark.parametrize("size", [3_000, 10 << 20])
+def test_implied_ages_broadcast_no_table(tables, limit, size):
+    limit(size)
+    for rows in (planted(tables, IMPLIED), rules.rule_rows(IMPLIED, tables)):
+        assert [side for side in broadcasts(rows) if side.count("Scan") == 1] == []
+
+
+@pytest.mark.parametrize("size", [10 << 20, -1])
+def test_implied_ages_by_any_join(tables, limit, size):
+    limit(size)
+    assert found(tables, IMPLIED) == EXPECTED[IMPLIED]
